@@ -1,0 +1,45 @@
+"""Versioned index snapshots without a transactional table format.
+
+Batch n reads the newest committed version below n and writes version n by
+overwrite, so a retried batch reproduces the same version and nothing is read and
+overwritten by one job. A version counts only once its ``_SUCCESS`` marker exists.
+With an external database instead, write the folded delta to a staging table over
+JDBC and run one ``INSERT ... ON CONFLICT`` / ``UPDATE`` on the server.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..session import list_dirs, path_exists
+
+
+def index_path(root: str) -> str:
+    return f"{root.rstrip('/')}/index"
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    out = []
+    for name in list_dirs(spark, index_path(root)):
+        if name.startswith("v=") and name[2:].isdigit():
+            if path_exists(spark, f"{index_path(root)}/{name}/_SUCCESS"):
+                out.append(int(name[2:]))
+    return sorted(out)
+
+
+def latest_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
+    vs = [v for v in versions(spark, root) if v < batch_id]
+    return vs[-1] if vs else None
+
+
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.read.parquet(f"{index_path(root)}/v={version}")
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
+    vs = versions(spark, root)
+    return read_version(spark, root, vs[-1]) if vs else None
+
+
+def write_version(df: DataFrame, root: str, version: int) -> None:
+    df.write.mode("overwrite").parquet(f"{index_path(root)}/v={version}")
