@@ -51,10 +51,14 @@ def read_records(spark: SparkSession, root: str, opts: SyncOptions) -> DataFrame
     """Records back as (value, tableName, dt, batch_id, file)."""
     path = records_path(root, opts)
     if opts.layout == "per_table":
-        df = spark.read.option("basePath", path).text(f"{path}/*")
+        # {table}/dt=.../batch_id=... is not a key=value tree at the table level, so the
+        # partition values are taken from the file path instead of partition discovery.
+        df = spark.read.option("recursiveFileLookup", "true").text(path)
         f = F.input_file_name()
-        return df.select("value", F.regexp_extract(f, r"/([^/]+)/dt=[^/]+/batch_id=", 1).alias("tableName"),
-                         F.col("dt").cast("string").alias("dt"), "batch_id", f.alias("file"))
+        m = r"/([^/]+)/dt=([^/]+)/batch_id=([^/]+)/"
+        return df.select("value", F.regexp_extract(f, m, 1).alias("tableName"),
+                         F.regexp_extract(f, m, 2).alias("dt"),
+                         F.regexp_extract(f, m, 3).cast("int").alias("batch_id"), f.alias("file"))
     df = spark.read.text(path)
     return df.select("value", "tableName", F.col("dt").cast("string").alias("dt"), "batch_id",
                      F.input_file_name().alias("file"))

@@ -55,7 +55,18 @@ def file_events(spark: SparkSession, path: str, streaming: bool = False, fmt: st
 
 
 def stage_events(raw: DataFrame, path: str, files: int) -> str:
-    """Write raw events as ``files`` files in seq order (a replayable log for tests/backfills)."""
-    (raw.repartitionByRange(files, "seq").sortWithinPartitions("seq")
-        .write.mode("overwrite").parquet(path))
+    """Write raw events as ``files`` consecutive seq ranges, one append each, oldest first.
+
+    A file stream picks files up by modification time, so the ranges are written one
+    after another: micro-batches then see events in seq order, as a keyed Kafka topic
+    delivers them.
+    """
+    lo, hi = raw.agg(F.min("seq"), F.max("seq")).first()
+    if lo is None:
+        raw.limit(0).write.mode("overwrite").parquet(path)
+        return path
+    step = (hi - lo) // files + 1
+    for i in range(files):
+        part = raw.filter((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step))
+        part.repartition(1).sortWithinPartitions("seq").write.mode("append").parquet(path)
     return path
