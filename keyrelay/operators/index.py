@@ -55,7 +55,8 @@ def gate(good_events: DataFrame, gate_keys: DataFrame) -> DataFrame:
 
 
 def index_events(gated: DataFrame, dbid: str, apply_ts: str = "event", run_ts: str | None = None) -> DataFrame:
-    ts = F.col("apply_ts") if apply_ts == "event" else run_ts_col(run_ts)
+    use_event = apply_ts == "event" and "apply_ts" in gated.columns
+    ts = F.col("apply_ts") if use_event else run_ts_col(run_ts)
     return gated.select(index_table(dbid, F.col("ajzlx")).alias("index_table"), "c_stm", "seq", "data_state",
                         "d_xgsj", "c_baah", "n_jbfy", ts.cast("timestamp_ntz").alias("apply_ts"))
 
