@@ -51,6 +51,9 @@ class SyncOptions:
     # A key side is broadcast only when its distinct-key count, measured per batch,
     # is at most this; otherwise the join shuffles (AQE handles skewed keys).
     broadcast_key_limit: int = 1_000_000
+    # Up to this many distinct keys per table and batch are also pushed into the
+    # source scan as an IN list (Parquet row-group / bucket pruning, JDBC IN chunks).
+    pushdown_key_limit: int = 10_000
     # Catalogue frames are broadcast only under this many rows.
     broadcast_catalog_limit: int = 100_000
     # Warehouse layout: "single" = one write partitioned by tableName/dt/batch_id;

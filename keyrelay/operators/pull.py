@@ -30,33 +30,43 @@ def schema_events(pull_events: DataFrame, schema: str) -> DataFrame:
     return pull_events.filter((F.col("schema_name") == schema) & F.col("c_stm").isNotNull())
 
 
+def key_values(pull_events: DataFrame, schema: str, n_keys: int, opts: SyncOptions) -> list[str] | None:
+    """Distinct keys of a schema as a list, only when their count is within the push-down limit."""
+    if n_keys > opts.pushdown_key_limit:
+        return None
+    ev = schema_events(pull_events, schema)
+    return sorted(r[0] for r in ev.select("c_stm").distinct().collect())
+
+
 def pulled_rows(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int, n_keys: int,
-                opts: SyncOptions, columns: list[str] | None = None) -> DataFrame:
+                opts: SyncOptions, columns: list[str] | None = None,
+                values: list[str] | None = None) -> DataFrame:
     """Source rows matched to events: source columns + ``_k`` (event key) + ``seq``."""
     ev = schema_events(pull_events, plan.event_schema)
     limit = opts.broadcast_key_limit
     if opts.multiplicity == "latest":
         keys = ev.groupBy(F.col("c_stm").alias(KEY)).agg(F.max("seq").alias("seq"))
         return catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                            broadcast_keys=n_keys <= limit, columns=columns)
+                            broadcast_keys=n_keys <= limit, columns=columns, key_values=values)
     if n_events <= limit:
         keys = ev.select(F.col("c_stm").alias(KEY), "seq")
         return catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                            broadcast_keys=True, columns=columns)
+                            broadcast_keys=True, columns=columns, key_values=values)
     keys = ev.select(F.col("c_stm").alias(KEY)).distinct()
     rows = catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                        broadcast_keys=n_keys <= limit, columns=columns)
+                        broadcast_keys=n_keys <= limit, columns=columns, key_values=values)
     back = ev.select(F.col("c_stm").alias("_ek"), "seq")
     return rows.join(back, rows[KEY] == back["_ek"]).drop("_ek")
 
 
 def matched_keys(catalog, plan: TablePlan, pull_events: DataFrame, n_keys: int,
-                 opts: SyncOptions) -> DataFrame:
+                 opts: SyncOptions, values: list[str] | None = None) -> DataFrame:
     """Distinct event keys that have at least one row in the table (reads the key column only)."""
     ev = schema_events(pull_events, plan.event_schema)
     keys = ev.select(F.col("c_stm").alias(KEY)).distinct()
     rows = catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                        broadcast_keys=n_keys <= opts.broadcast_key_limit, columns=[plan.key_column])
+                        broadcast_keys=n_keys <= opts.broadcast_key_limit, columns=[plan.key_column],
+                        key_values=values)
     return rows.select(KEY).distinct()
 
 

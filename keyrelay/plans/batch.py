@@ -27,7 +27,8 @@ from ..functions.records import tombstone_value
 from ..operators import errors as err
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan, table_plans
-from ..operators.pull import matched_keys, pulled_rows, record_frame
+from ..operators.pull import key_values, matched_keys, pulled_rows, record_frame
+from ..session import path_exists
 from ..sinks import index_store, warehouse
 
 RECORD_COLUMNS = ["tableName", "dt", "seq", "c_stm", "schema_name", "main_family", "value"]
@@ -44,6 +45,16 @@ class BatchFrames:
     plans: list            # list[TablePlan]
     opts: SyncOptions
     catalog: object
+    _values: dict = None
+
+    def values(self, schema: str) -> list[str] | None:
+        """Distinct keys of a schema for scan push-down (bounded by pushdown_key_limit), cached."""
+        if self._values is None:
+            self._values = {}
+        if schema not in self._values:
+            n_keys = self.stats.get(schema, (0, 0))[1]
+            self._values[schema] = key_values(self.pull_events, schema, n_keys, self.opts)
+        return self._values[schema]
 
     # -- lazily built outputs --
     def tombstones(self) -> DataFrame:
@@ -56,7 +67,8 @@ class BatchFrames:
 
     def pulled(self, plan: TablePlan, columns: list[str] | None = None) -> DataFrame:
         n_ev, n_keys = self.stats.get(plan.event_schema, (0, 0))
-        return pulled_rows(self.catalog, plan, self.pull_events, n_ev, n_keys, self.opts, columns)
+        return pulled_rows(self.catalog, plan, self.pull_events, n_ev, n_keys, self.opts, columns,
+                           self.values(plan.event_schema))
 
     def source_columns(self, plan: TablePlan) -> list[str]:
         return self.catalog.column_names(plan.source_schema, plan.table)
@@ -87,14 +99,20 @@ class BatchFrames:
                 frames.append(err.missing_key_errors(self.pull_events, p, o.dbid, o.run_ts))
             elif not p.routable:
                 n_keys = self.stats.get(p.event_schema, (0, 0))[1]
-                m = matched_keys(self.catalog, p, self.pull_events, n_keys, o)
+                m = matched_keys(self.catalog, p, self.pull_events, n_keys, o, self.values(p.event_schema))
                 frames.append(err.unroutable_errors(self.pull_events, p, m, o.dbid, o.run_ts))
         if not frames:
             return err.empty_errors(self.good.sparkSession)
         return reduce(DataFrame.unionByName, frames)
 
     def gate_keys(self, records: DataFrame | None = None) -> DataFrame:
-        """(schema_name, c_stm) of events that found a main-family row."""
+        """(schema_name, c_stm) of events that found a main-family row.
+
+        ``records`` may be a record frame, or already the (schema_name, c_stm) keys
+        read back from written files (``written_gate_keys``).
+        """
+        if records is not None and "main_family" not in records.columns:
+            return records
         if records is None:
             frames = [self.table_records(p) for p in self.record_plans() if p.main_family and p.kind == "table"]
             if not frames:
@@ -107,11 +125,45 @@ class BatchFrames:
         return idx.index_events(gated, self.opts.dbid, self.opts.apply_ts, self.opts.run_ts)
 
 
-def event_stats(pull_events: DataFrame) -> dict:
-    """Per schema: events and distinct keys on the pull path (one row per schema)."""
-    rows = (pull_events.groupBy("schema_name")
-            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("c_stm").alias("k")).collect())
-    return {r.schema_name: (int(r.n), int(r.k)) for r in rows if r.schema_name is not None}
+def event_stats(pull_events: DataFrame, exact_above: int) -> dict:
+    """Per schema: (events, distinct keys) on the pull path; one row per schema reaches the driver.
+
+    Event counts are a cheap partial aggregate and bound the key count from above.
+    The exact distinct-key count (a shuffle of the keys) is computed only for schemas
+    whose event count exceeds ``exact_above``, where the bound is not tight enough.
+    """
+    n = {r.schema_name: int(r.n) for r in pull_events.groupBy("schema_name")
+         .agg(F.count(F.lit(1)).alias("n")).collect() if r.schema_name is not None}
+    out = {s: (c, c) for s, c in n.items()}
+    big = [s for s, c in n.items() if c > exact_above]
+    if big:
+        for r in (pull_events.filter(F.col("schema_name").isin(big)).groupBy("schema_name")
+                  .agg(F.countDistinct("c_stm").alias("k")).collect()):
+            out[r.schema_name] = (n[r.schema_name], int(r.k))
+    return out
+
+
+def written_gate_keys(spark: SparkSession, out_root: str, batch_id: int, bf: BatchFrames) -> DataFrame:
+    """(schema_name, c_stm) from this batch's committed main-family record files."""
+    o = bf.opts
+    base = warehouse.records_path(out_root, o)
+    dt = F.date_format(F.lit(o.run_ts).cast("timestamp_ntz"), "yyyy-MM-dd")
+    dt_s = bf.good.sparkSession.range(1).select(dt).first()[0]
+    frames = []
+    for p in bf.record_plans():
+        if not (p.main_family and p.kind == "table"):
+            continue
+        sub = (f"tableName={p.record_table}" if o.layout != "per_table" else p.record_table)
+        path = f"{base}/{sub}/dt={dt_s}/batch_id={int(batch_id)}"
+        if not path_exists(spark, path):
+            continue
+        # pulled rows carry data_state 1; tombstones (0) share the main table's files
+        j = F.from_json("value", f"`{p.key_column}` STRING, data_state INT")
+        frames.append(spark.read.text(path).select(j.alias("j")).filter(F.col("j.data_state") == 1)
+                      .select(F.lit(p.event_schema).alias("schema_name"), F.col("j")[p.key_column].alias("c_stm")))
+    if not frames:
+        return spark.createDataFrame([], "schema_name string, c_stm string")
+    return reduce(DataFrame.unionByName, frames).filter(F.col("c_stm").isNotNull()).distinct()
 
 
 def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame | None = None) -> BatchFrames:
@@ -122,7 +174,7 @@ def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame |
     quarantine = decoded.filter(F.col("reason").isNotNull())
     deletes = good.filter(F.col("data_state") == STATE_DELETE)
     pull_events = good.filter(F.col("data_state") != STATE_DELETE)
-    stats = event_stats(pull_events)
+    stats = event_stats(pull_events, opts.pushdown_key_limit)
     plans = table_plans(catalog.tables(), catalog.columns(), sorted(stats)) if stats else []
     return BatchFrames(decoded, good, quarantine, deletes, pull_events, stats, plans, opts, catalog)
 
@@ -131,9 +183,10 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
                   batch_id: int) -> dict:
     """Run one batch and write all outputs; safe to re-run for the same ``batch_id``.
 
-    Order: records -> errors/quarantine -> index version. The pulled records are
-    checkpointed (shared checkpoint folder) first, so the record files and the index
-    gate come from one read of the source even if executors are lost.
+    Order: records -> errors/quarantine -> index version. The index gate is read back
+    from the record files this batch committed (main-family tables only), so files and
+    index come from one read of the source, and the lineage is cut at a written table
+    in the shared output folder: a lost executor later on recomputes nothing upstream.
     """
     if opts.run_ts is None:
         if "run_ts" not in raw.columns:
@@ -146,7 +199,7 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bf = plan_batch(raw, catalog, opts, decoded=decoded)
-        records = bf.records().select(*RECORD_COLUMNS).checkpoint(eager=True)
+        records = bf.records().select(*RECORD_COLUMNS)
         tables = sorted({p.record_table for p in bf.record_plans()} |
                         {r[0] for r in bf.deletes.select(tombstone_table(F.col("schema_name"), F.col("ajzlx")))
                          .distinct().collect()}) if opts.layout == "per_table" else None
@@ -157,12 +210,12 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
         q = bf.quarantine.select("seq", "value", "reason", dt_value(opts.run_ts).alias("dt"),
                                  F.lit(int(batch_id)).alias("batch_id"))
         warehouse.write_table(q, f"{root}/quarantine", ["dt", "batch_id"])
-        ie = bf.index_events(records)
+        ie = bf.index_events(written_gate_keys(spark, out_root, batch_id, bf))
         prior_v = index_store.latest_before(spark, root, batch_id)
         prior = index_store.read_version(spark, root, prior_v) if prior_v is not None else None
         delta = idx.fold_delta(ie)
-        new = idx.merge(prior, delta, broadcast_delta=sum(k for _, k in bf.stats.values()) + bf.deletes.count()
-                        <= opts.broadcast_key_limit)
+        bound = sum(n for n, _ in bf.stats.values()) + bf.deletes.count()   # >= keys in the delta
+        new = idx.merge(prior, delta, broadcast_delta=bound <= opts.broadcast_key_limit)
         index_store.write_version(new, root, batch_id)
         return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
     finally:

@@ -58,14 +58,19 @@ class FrameCatalog:
 
     # -- keyed pull --
     def pull(self, schema: str, table: str, key_col: str, keys: DataFrame,
-             broadcast_keys: bool, columns: list[str] | None = None) -> DataFrame:
+             broadcast_keys: bool, columns: list[str] | None = None,
+             key_values: list[str] | None = None) -> DataFrame:
         """Rows of the table whose ``key_col`` is in ``keys._k``, with ``_k`` appended.
 
         One scan of the table per batch, however many events ask for it. The key
         side is broadcast only when the caller measured it under the limit; otherwise
-        both sides shuffle on the key and AQE splits skewed keys.
+        both sides shuffle on the key and AQE splits skewed keys. ``key_values`` (a
+        counted, bounded list) is also pushed into the scan as an IN filter, so Parquet
+        row groups and buckets without those keys are skipped.
         """
         src = self.frame(schema, table)
+        if key_values is not None:
+            src = src.filter(F.col(f"`{key_col}`").isin(key_values))
         if columns is not None:
             src = src.select(*[F.col(f"`{c}`") for c in columns])
         k = F.broadcast(keys) if broadcast_keys else keys

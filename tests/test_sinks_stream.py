@@ -51,7 +51,8 @@ def test_per_table_layout_and_compaction(spark):
     assert os.path.isdir(f"{base}/db_supplier_t_lineitem/dt=2024-02-01/batch_id=3")
     # compaction of a single-layout copy: fewer files, same rows
     src = scratch_path(spark, "t", "csrc")
-    warehouse.write_records(bf.records().repartition(16), src, 0, FIXTURE_OPTIONS)
+    small_files = FIXTURE_OPTIONS.with_(max_records_per_file=2000)     # many small files to compact
+    warehouse.write_records(bf.records(), src, 0, small_files)
     before = glob.glob(_local(warehouse.records_path(src, FIXTURE_OPTIONS)) + "/*/*/*/part-*")
     dst = scratch_path(spark, "t", "cdst")
     warehouse.compact(spark, src, dst, FIXTURE_OPTIONS)
@@ -71,7 +72,6 @@ def test_stream_recovers_from_failure_between_sinks(spark):
     ck = out + "/_checkpoint"
     stream = lambda: evsrc.file_events(spark, stage, streaming=True, max_files_per_trigger=1)
     q = start_sync(spark, stream(), cat, FIXTURE_OPTIONS, out, ck, {"availableNow": True}, fail_after=1)
-    q.awaitTermination() if q.exception() is None else None
     try:
         q.awaitTermination()
     except Exception:
