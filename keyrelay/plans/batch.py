@@ -211,12 +211,12 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
                                  F.lit(int(batch_id)).alias("batch_id"))
         warehouse.write_table(q, f"{root}/quarantine", ["dt", "batch_id"])
         ie = bf.index_events(written_gate_keys(spark, out_root, batch_id, bf))
-        prior_v = index_store.latest_before(spark, root, batch_id)
-        prior = index_store.read_version(spark, root, prior_v) if prior_v is not None else None
         delta = idx.fold_delta(ie)
         bound = sum(n for n, _ in bf.stats.values()) + bf.deletes.count()   # >= keys in the delta
-        new = idx.merge(prior, delta, broadcast_delta=bound <= opts.broadcast_key_limit)
-        index_store.write_version(new, root, batch_id)
+        small = bound <= opts.broadcast_key_limit
+        prior = index_store.read_state(spark, root, before=batch_id, keys=delta.select("index_table", "c_stm"),
+                                       broadcast_keys=small)
+        index_store.write_layer(idx.merge(prior, delta), root, batch_id)
         return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
     finally:
         decoded.unpersist()

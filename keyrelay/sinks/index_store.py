@@ -1,45 +1,94 @@
-"""Versioned index snapshots without a transactional table format.
+"""Layered index store on plain Parquet (no transactional table format needed).
 
-Batch n reads the newest committed version below n and writes version n by
-overwrite, so a retried batch reproduces the same version and nothing is read and
-overwritten by one job. A version counts only once its ``_SUCCESS`` marker exists.
+    index/v=<n>/     layer written by batch n: the new rows of the keys it touched
+    index/base=<n>/  full snapshot as of batch n (written by ``compact_index``)
+
+The current row of a key is its row in the newest layer that has it, looking at
+the newest base and the layers after it. A batch reads only the prior rows of the
+keys it touches (a broadcast semi-join per layer, or a shuffle join above the
+limit), so its cost is O(touched keys) in writes instead of rewriting the index.
+Batch n overwrites ``v=<n>`` as a whole, so a retried batch is idempotent, and no job
+reads and overwrites the same folder. A folder counts only once ``_SUCCESS`` exists.
 With an external database instead, write the folded delta to a staging table over
 JDBC and run one ``INSERT ... ON CONFLICT`` / ``UPDATE`` on the server.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.index import INDEX_COLUMNS
 from ..session import list_dirs, path_exists
 
+_KEYS = ["index_table", "c_stm"]
+
 
 def index_path(root: str) -> str:
     return f"{root.rstrip('/')}/index"
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
+def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
     out = []
     for name in list_dirs(spark, index_path(root)):
-        if name.startswith("v=") and name[2:].isdigit():
+        if name.startswith(prefix) and name[len(prefix):].isdigit():
             if path_exists(spark, f"{index_path(root)}/{name}/_SUCCESS"):
-                out.append(int(name[2:]))
+                out.append(int(name[len(prefix):]))
     return sorted(out)
 
 
-def latest_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
-    vs = [v for v in versions(spark, root) if v < batch_id]
-    return vs[-1] if vs else None
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed batch layers."""
+    return _committed(spark, root, "v=")
+
+
+def live_folders(spark: SparkSession, root: str, before: int | None = None) -> list[tuple[int, str]]:
+    """(version, path) of the newest base and the layers after it, all below ``before``."""
+    ok = (lambda v: True) if before is None else (lambda v: v < before)
+    bases = [b for b in _committed(spark, root, "base=") if ok(b)]
+    start = bases[-1] if bases else -1
+    out = [(start, f"{index_path(root)}/base={start}")] if bases else []
+    out += [(v, f"{index_path(root)}/v={v}") for v in versions(spark, root) if ok(v) and v > start]
+    return out
+
+
+def read_state(spark: SparkSession, root: str, before: int | None = None, keys: DataFrame | None = None,
+               broadcast_keys: bool = True) -> DataFrame | None:
+    """Current index rows (optionally only those of ``keys``: index_table, c_stm)."""
+    folders = live_folders(spark, root, before)
+    if not folders:
+        return None
+    layers = []
+    for v, path in folders:
+        layer = spark.read.parquet(path).select(*INDEX_COLUMNS)
+        if keys is not None:
+            k = F.broadcast(keys) if broadcast_keys else keys
+            layer = layer.join(k, _KEYS, "left_semi")
+        layers.append(layer.withColumn("_v", F.lit(v)))
+    if len(layers) == 1:
+        return layers[0].drop("_v")
+    rest = [c for c in INDEX_COLUMNS if c not in _KEYS]
+    newest = (reduce(DataFrame.unionByName, layers).groupBy(*_KEYS)
+              .agg(F.max(F.struct("_v", *rest)).alias("r")))
+    return newest.select(*_KEYS, *[F.col("r")[c].alias(c) for c in rest])
 
 
-def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{index_path(root)}/v={version}")
+def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
+    return read_state(spark, root)
 
 
-def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    vs = versions(spark, root)
-    return read_version(spark, root, vs[-1]) if vs else None
+def write_layer(df: DataFrame, root: str, version: int) -> None:
+    """Rows of the touched keys, sorted by key so later key lookups skip row groups."""
+    (df.select(*INDEX_COLUMNS).repartitionByRange(*_KEYS).sortWithinPartitions(*_KEYS)
+       .write.mode("overwrite").parquet(f"{index_path(root)}/v={version}"))
 
 
-def write_version(df: DataFrame, root: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{index_path(root)}/v={version}")
+def compact_index(spark: SparkSession, root: str, version: int) -> None:
+    """Fold all live layers up to ``version`` into ``base=<version>``; older folders stop being read."""
+    state = read_state(spark, root, before=version + 1)
+    if state is None:
+        return
+    (state.repartitionByRange(*_KEYS).sortWithinPartitions(*_KEYS)
+     .write.mode("overwrite").parquet(f"{index_path(root)}/base={version}"))

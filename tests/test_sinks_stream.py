@@ -91,3 +91,23 @@ def test_stream_recovers_from_failure_between_sinks(spark):
     assert sorted(per_batch) == [0, 1, 2]
     total = plan_batch(raw, cat, FIXTURE_OPTIONS).records().count()
     assert sum(per_batch.values()) == total
+
+
+def test_index_layers_and_compaction(spark):
+    raw = fixtures.raw_events(spark, SF)
+    cat = fixtures.fixture_catalog(spark, SF)
+    ie = plan_batch(raw, cat, FIXTURE_OPTIONS).index_events()
+    root = scratch_path(spark, "t", "layers")
+    bounds = [0, 300, 650, 10**9]
+    for n in range(3):
+        chunk = ie.filter((F.col("seq") >= bounds[n]) & (F.col("seq") < bounds[n + 1]))
+        delta = idx.fold_delta(chunk)
+        prior = index_store.read_state(spark, root, before=n, keys=delta.select("index_table", "c_stm"))
+        index_store.write_layer(idx.merge(prior, delta), root, n)
+        if n == 1:
+            index_store.compact_index(spark, root, 1)
+    live = [p.rsplit("/", 1)[1] for _, p in index_store.live_folders(spark, root)]
+    assert live == ["base=1", "v=2"]
+    got, want = index_store.read_latest(spark, root), idx.fold(ie)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
