@@ -88,3 +88,26 @@ def os_env_cpus(default: int = 8) -> int:
         return int(os.environ.get("BENCH_CPUS", default))
     except ValueError:
         return default
+
+
+def _fs(spark: SparkSession, p: str):
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(p)
+    return hp, hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def move_dir(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a committed folder into place (replacing ``dst``); a metadata operation on HDFS."""
+    s, fs = _fs(spark, src)
+    d, _ = _fs(spark, dst)
+    if fs.exists(d):
+        fs.delete(d, True)
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise IOError(f"could not move {src} to {dst}")
+
+
+def delete_dir(spark: SparkSession, p: str) -> None:
+    hp, fs = _fs(spark, p)
+    if fs.exists(hp):
+        fs.delete(hp, True)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SyncOptions
+from ..session import delete_dir, list_dirs, move_dir
 
 
 def records_path(root: str, opts: SyncOptions) -> str:
@@ -30,19 +31,29 @@ def write_records(records: DataFrame, root: str, batch_id: int, opts: SyncOption
     """K1/K2: one JSON object per line, UTF-8.
 
     ``single``: {db}/tableName=T/dt=D/batch_id=N/part-*.txt in one job.
-    ``per_table``: {db}/T/dt=D/batch_id=N/part-*.txt, the original directory shape, one
-    job per table (``table_names``, known from the plan).
+    ``per_table``: {db}/T/dt=D/batch_id=N/part-*.txt, the original directory shape: the
+    same single job writes to a staging folder of the batch, then each committed
+    dt/batch_id leaf is moved under its table (metadata only; a retry replaces its own
+    leaves). ``table_names`` is accepted for API symmetry and not needed.
     Rows are rebalanced by (tableName, dt) so each table/date gets few, advisory-sized
     files; AQE splits a hot table across several tasks instead of one.
     """
     path = records_path(root, opts)
     df = records.select("value", "tableName", "dt", F.lit(int(batch_id)).alias("batch_id"))
+    df = df.hint("rebalance", "tableName", "dt")
     if opts.layout == "per_table":
-        for t in table_names if table_names is not None else []:
-            part = df.filter(F.col("tableName") == t).drop("tableName").hint("rebalance", "dt")
-            _text_writer(part, opts).partitionBy("dt", "batch_id").text(f"{path}/{t}")
+        spark = records.sparkSession
+        stage = f"{root.rstrip('/')}/_staging/{opts.warehouse_db}/batch_id={int(batch_id)}"
+        delete_dir(spark, stage)
+        _text_writer(df.drop("batch_id"), opts).partitionBy("tableName", "dt").text(stage)
+        for tdir in list_dirs(spark, stage):
+            if not tdir.startswith("tableName="):
+                continue
+            for ddir in list_dirs(spark, f"{stage}/{tdir}"):
+                move_dir(spark, f"{stage}/{tdir}/{ddir}",
+                         f"{path}/{tdir[len('tableName='):]}/{ddir}/batch_id={int(batch_id)}")
+        delete_dir(spark, stage)
         return path
-    df = df.hint("rebalance", "tableName", "dt")
     _text_writer(df, opts).partitionBy("tableName", "dt", "batch_id").text(path)
     return path
 
@@ -53,7 +64,7 @@ def read_records(spark: SparkSession, root: str, opts: SyncOptions) -> DataFrame
     if opts.layout == "per_table":
         # {table}/dt=.../batch_id=... is not a key=value tree at the table level, so the
         # partition values are taken from the file path instead of partition discovery.
-        df = spark.read.option("recursiveFileLookup", "true").text(path)
+        df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").text(path)
         f = F.input_file_name()
         m = r"/([^/]+)/dt=([^/]+)/batch_id=([^/]+)/"
         return df.select("value", F.regexp_extract(f, m, 1).alias("tableName"),
