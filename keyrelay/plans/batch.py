@@ -130,7 +130,8 @@ def event_stats(pull_events: DataFrame, exact_above: int) -> dict:
 
     Event counts are a cheap partial aggregate and bound the key count from above.
     The exact distinct-key count (a shuffle of the keys) is computed only for schemas
-    whose event count exceeds ``exact_above``, where the bound is not tight enough.
+    whose event count exceeds ``exact_above`` (the broadcast limit), where the bound
+    alone cannot decide the join strategy.
     """
     n = {r.schema_name: int(r.n) for r in pull_events.groupBy("schema_name")
          .agg(F.count(F.lit(1)).alias("n")).collect() if r.schema_name is not None}
@@ -166,15 +167,20 @@ def written_gate_keys(spark: SparkSession, out_root: str, batch_id: int, bf: Bat
     return reduce(DataFrame.unionByName, frames).filter(F.col("c_stm").isNotNull()).distinct()
 
 
-def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame | None = None) -> BatchFrames:
+def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame | None = None,
+               persist: bool = False) -> BatchFrames:
+    """Plan one batch. ``persist`` keeps the decoded events cached for the many jobs of the batch."""
     if opts.run_ts is None:
         raise ValueError("opts.run_ts must be set (process_batch takes it from the batch)")
-    decoded = decoded if decoded is not None else decode_events(raw)
+    if decoded is None:
+        decoded = decode_events(raw)
+        if persist:
+            decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
     good = decoded.filter(F.col("reason").isNull())
     quarantine = decoded.filter(F.col("reason").isNotNull())
     deletes = good.filter(F.col("data_state") == STATE_DELETE)
     pull_events = good.filter(F.col("data_state") != STATE_DELETE)
-    stats = event_stats(pull_events, opts.pushdown_key_limit)
+    stats = event_stats(pull_events, opts.broadcast_key_limit)
     plans = table_plans(catalog.tables(), catalog.columns(), sorted(stats)) if stats else []
     return BatchFrames(decoded, good, quarantine, deletes, pull_events, stats, plans, opts, catalog)
 
