@@ -61,6 +61,8 @@ class SyncOptions:
     layout: str = "single"
     warehouse_db: str = WAREHOUSE_DB
     max_records_per_file: int = 1_000_000
+    # Most writer tasks one table/date of a batch is spread over (AQE merges small ones).
+    write_fanout: int = 64
     alias_rules: tuple = field(default=ALIAS_RULES)
 
     def with_(self, **kw) -> "SyncOptions":

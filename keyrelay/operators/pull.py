@@ -59,6 +59,38 @@ def pulled_rows(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int,
     return rows.join(back, rows[KEY] == back["_ek"]).drop("_ek")
 
 
+COPY_CHUNK = 10_000
+
+
+def pulled_row_copies(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int, n_keys: int,
+                      opts: SyncOptions, columns: list[str] | None = None,
+                      values: list[str] | None = None, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Source rows with a copy count ``_cnt`` instead of one row per event (record path).
+
+    The key side is ``(key, chunk, _cnt)``: the events of a key are counted (a
+    partial aggregate), and a count above ``chunk`` is split into several key-side
+    rows, so no row is replicated more than ``chunk`` times by one expression and a
+    hot key's copies spread over the tasks of the join. Each pulled row's record is
+    then built once per chunk, not once per event. ``seq`` is the key's last event.
+    """
+    ev = schema_events(pull_events, plan.event_schema)
+    n = F.count(F.lit(1)) if opts.multiplicity != "latest" else F.lit(1).cast("long")
+    counts = ev.groupBy(F.col("c_stm").alias(KEY)).agg(n.alias("_n"), F.max("seq").alias("seq"))
+    last_chunk = F.floor((F.col("_n") - 1) / F.lit(chunk)).cast("long")
+    keys = (counts.select(KEY, "seq", "_n", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_c"))
+            .select(KEY, "seq", "_c", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_c") * chunk)
+                    .alias("_cnt")))
+    bound = n_keys + n_events // chunk + 1       # >= key-side rows
+    return catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
+                        broadcast_keys=bound <= opts.broadcast_key_limit, columns=columns, key_values=values)
+
+
+def replicate(df: DataFrame) -> DataFrame:
+    """Expand ``_cnt`` into that many identical rows (the per-event copies)."""
+    return df.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cnt")))) \
+             .drop("_rep", "_cnt")
+
+
 def matched_keys(catalog, plan: TablePlan, pull_events: DataFrame, n_keys: int,
                  opts: SyncOptions, values: list[str] | None = None) -> DataFrame:
     """Distinct event keys that have at least one row in the table (reads the key column only)."""
@@ -70,11 +102,17 @@ def matched_keys(catalog, plan: TablePlan, pull_events: DataFrame, n_keys: int,
     return rows.select(KEY).distinct()
 
 
-def record_frame(rows: DataFrame, plan: TablePlan, source_columns: list[str], opts: SyncOptions) -> DataFrame:
-    """Common record frame: (tableName, dt, seq, c_stm, schema_name, main_family, value)."""
+def record_frame(rows: DataFrame, plan: TablePlan, source_columns: list[str], opts: SyncOptions,
+                 expand: bool = True) -> DataFrame:
+    """Common record frame: (tableName, dt, seq, c_stm, schema_name, main_family, value).
+
+    With ``expand=False`` a ``_cnt`` column is kept instead of the copies (the writer
+    expands them after its shuffle, so the exchange carries each row once).
+    """
     fields = record_fields(source_columns, plan.source_schema, plan.table, plan.record_table,
                            opts.dbid, opts.run_ts, opts.alias_rules)
-    return rows.select(
+    extra = ["_cnt"] if "_cnt" in rows.columns else []
+    out = rows.select(
         F.lit(plan.record_table).alias("tableName"),
         F.date_format(F.lit(opts.run_ts).cast("timestamp_ntz"), "yyyy-MM-dd").alias("dt"),
         F.col("seq"),
@@ -82,7 +120,9 @@ def record_frame(rows: DataFrame, plan: TablePlan, source_columns: list[str], op
         F.lit(plan.event_schema).alias("schema_name"),
         F.lit(plan.main_family and plan.kind == "table").alias("main_family"),
         record_value(fields).alias("value"),
+        *extra,
     )
+    return replicate(out) if extra and expand else out
 
 
 def record_columns(rows: DataFrame, plan: TablePlan, source_columns: list[str], opts: SyncOptions) -> DataFrame:

@@ -27,7 +27,7 @@ from ..functions.records import tombstone_value
 from ..operators import errors as err
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan, table_plans
-from ..operators.pull import key_values, matched_keys, pulled_rows, record_frame
+from ..operators.pull import key_values, matched_keys, pulled_row_copies, pulled_rows, record_frame
 from ..session import path_exists
 from ..sinks import index_store, warehouse
 
@@ -76,17 +76,26 @@ class BatchFrames:
     def record_plans(self) -> list[TablePlan]:
         return [p for p in self.plans if p.key_present and p.routable]
 
-    def table_records(self, plan: TablePlan) -> DataFrame:
-        return record_frame(self.pulled(plan), plan, self.source_columns(plan), self.opts)
+    def table_records(self, plan: TablePlan, expand: bool = True) -> DataFrame:
+        """Records of one table: each pulled row's JSON is built once, then copied per event."""
+        n_ev, n_keys = self.stats.get(plan.event_schema, (0, 0))
+        rows = pulled_row_copies(self.catalog, plan, self.pull_events, n_ev, n_keys, self.opts,
+                                 self.source_columns(plan), self.values(plan.event_schema))
+        return record_frame(rows, plan, self.source_columns(plan), self.opts, expand)
 
-    def pulled_records(self) -> DataFrame | None:
-        frames = [self.table_records(p) for p in self.record_plans()]
+    def pulled_records(self, expand: bool = True) -> DataFrame | None:
+        frames = [self.table_records(p, expand) for p in self.record_plans()]
         return reduce(DataFrame.unionByName, frames) if frames else None
 
-    def records(self) -> DataFrame:
-        """Tombstones and all pulled records in the common record frame."""
-        pulled = self.pulled_records()
+    def records(self, expand: bool = True) -> DataFrame:
+        """Tombstones and all pulled records in the common record frame.
+
+        ``expand=False`` keeps one row per distinct record with its copy count ``_cnt``.
+        """
+        pulled = self.pulled_records(expand)
         t = self.tombstones()
+        if not expand:
+            t = t.withColumn("_cnt", F.lit(1).cast("long"))
         return t.unionByName(pulled) if pulled is not None else t
 
     def errors(self) -> DataFrame:
@@ -172,6 +181,8 @@ def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame |
     """Plan one batch. ``persist`` keeps the decoded events cached for the many jobs of the batch."""
     if opts.run_ts is None:
         raise ValueError("opts.run_ts must be set (process_batch takes it from the batch)")
+    if hasattr(catalog, "refresh"):
+        catalog.refresh()          # the catalogue is re-read every batch, never cached for ever
     if decoded is None:
         decoded = decode_events(raw)
         if persist:
@@ -205,7 +216,7 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bf = plan_batch(raw, catalog, opts, decoded=decoded)
-        records = bf.records().select(*RECORD_COLUMNS)
+        records = bf.records(expand=False).select(*RECORD_COLUMNS, "_cnt")
         tables = sorted({p.record_table for p in bf.record_plans()} |
                         {r[0] for r in bf.deletes.select(tombstone_table(F.col("schema_name"), F.col("ajzlx")))
                          .distinct().collect()}) if opts.layout == "per_table" else None

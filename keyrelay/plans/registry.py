@@ -194,7 +194,7 @@ def _written(spark, sf_dir, layout: str, name: str):
     bf = batch(spark, sf_dir, opts)
     root = scratch_path(spark, "q", name)
     tables = sorted({p.record_table for p in bf.record_plans()} | {"db_customer_t_customer", "db_supplier_t_supplier"})
-    warehouse.write_records(bf.records(), root, 0, opts, tables)
+    warehouse.write_records(bf.records(expand=False), root, 0, opts, tables)
     return root, opts
 
 

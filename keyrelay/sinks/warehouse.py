@@ -36,11 +36,20 @@ def write_records(records: DataFrame, root: str, batch_id: int, opts: SyncOption
     dt/batch_id leaf is moved under its table (metadata only; a retry replaces its own
     leaves). ``table_names`` is accepted for API symmetry and not needed.
     Rows are rebalanced by (tableName, dt) so each table/date gets few, advisory-sized
-    files; AQE splits a hot table across several tasks instead of one.
+    files; AQE splits a hot table across several tasks instead of one. A frame with a
+    copy count ``_cnt`` is shuffled once per distinct record (salted, so one table's
+    rows still spread over up to ``write_fanout`` tasks) and expanded after the shuffle.
     """
     path = records_path(root, opts)
-    df = records.select("value", "tableName", "dt", F.lit(int(batch_id)).alias("batch_id"))
-    df = df.hint("rebalance", "tableName", "dt")
+    if "_cnt" in records.columns:
+        salt = F.pmod(F.xxhash64("value", "seq", "c_stm"), F.lit(opts.write_fanout))
+        df = (records.select("value", "tableName", "dt", "_cnt", salt.alias("_salt"))
+              .hint("rebalance", "tableName", "dt", "_salt"))
+        df = df.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cnt"))))
+        df = df.select("value", "tableName", "dt", F.lit(int(batch_id)).alias("batch_id"))
+    else:
+        df = records.select("value", "tableName", "dt", F.lit(int(batch_id)).alias("batch_id"))
+        df = df.hint("rebalance", "tableName", "dt")
     if opts.layout == "per_table":
         spark = records.sparkSession
         stage = f"{root.rstrip('/')}/_staging/{opts.warehouse_db}/batch_id={int(batch_id)}"

@@ -71,3 +71,19 @@ def test_null_key_matches_nothing(spark):
     recs = bf.records().collect()
     assert [r.tableName for r in recs] == ["db_a_t_a"]            # only the tombstone
     assert bf.index_events().count() == 0
+
+
+def test_chunked_copies_equal_per_event_rows(spark):
+    from keyrelay.operators.pull import pulled_row_copies, pulled_rows, replicate
+    c = _catalog(spark)
+    ev = [("1", 1)] * 5 + [("2", 2)] * 3 + [("9", 1)]
+    bf = plan_batch(_raw(spark, ev), c, SyncOptions(run_ts=RUN_TS))
+    plan = next(p for p in bf.record_plans() if p.table == "t_a_child")
+    n_ev, n_keys = bf.stats["db_a"]
+    want = sorted(tuple(r) for r in pulled_rows(c, plan, bf.pull_events, n_ev, n_keys, bf.opts)
+                  .select("c_stm", "_k").collect())
+    for chunk in (1, 2, 10_000):
+        rows = pulled_row_copies(c, plan, bf.pull_events, n_ev, n_keys, bf.opts, chunk=chunk)
+        assert rows.agg({"_cnt": "max"}).first()[0] <= chunk
+        got = sorted(tuple(r) for r in replicate(rows).select("c_stm", "_k").collect())
+        assert got == want, chunk
