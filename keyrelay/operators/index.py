@@ -90,6 +90,19 @@ def _merge_rows(prior: DataFrame, delta: DataFrame) -> DataFrame:
     return out
 
 
+def _from_delta(delta: DataFrame) -> DataFrame:
+    """No prior rows: a key has a row iff it saw an insert; no join needed."""
+    return delta.filter(F.col("first_ins").isNotNull()).select(
+        *_KEYS,
+        F.col("last_attr.d_xgsj").alias("d_xgsj"),
+        F.col("last_attr.c_baah").alias("c_baah"),
+        F.col("last_attr.n_jbfy").alias("n_jbfy"),
+        F.col("first_ins.apply_ts").alias("create_time"),
+        F.col("last_ev.apply_ts").alias("update_time"),
+        F.col("last_ev.data_state").alias("data_state"),
+    )
+
+
 def merge(prior: DataFrame | None, delta: DataFrame, broadcast_delta: bool = False) -> DataFrame:
     """Apply a folded delta to the prior index rows.
 
@@ -98,8 +111,7 @@ def merge(prior: DataFrame | None, delta: DataFrame, broadcast_delta: bool = Fal
     meet the delta. Otherwise one full outer sort-merge join.
     """
     if prior is None:
-        spark = delta.sparkSession
-        prior = spark.createDataFrame([], INDEX_SCHEMA)
+        return _from_delta(delta)
     prior = prior.select(*INDEX_COLUMNS)
     if not broadcast_delta:
         return _merge_rows(prior, delta)
