@@ -11,10 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import KEY_COLUMN, KEY_LIKE, MAIN_TABLE_PREFIX, TABLE_LIKE, VIEW_PREFIX, VIEW_SCHEMA
 from ..functions.decode import case_type
 from ..functions.names import record_table_name, view_record_table_name
+from ..session import local_frame
 
 
 def maybe_broadcast(df: DataFrame, rows: int | None, limit: int) -> DataFrame:
@@ -94,7 +96,8 @@ class TablePlan:
 def table_plans(tables: DataFrame, columns: DataFrame, schema_names: list[str]) -> list[TablePlan]:
     """Collect the (small) per-table plan for the schemas seen in a batch."""
     spark = tables.sparkSession
-    schemas = spark.createDataFrame([(s,) for s in schema_names], "schema_name string")
+    schemas = local_frame(spark, [(s,) for s in schema_names],
+                          T.StructType([T.StructField("schema_name", T.StringType())]))
     shape = key_shape(tables, columns).join(
         schemas.withColumnRenamed("schema_name", "table_schema"), "table_schema", "left_semi")
     plans = [TablePlan(r.table_schema, r.table_schema, r.table_name, r.ajzlx or "", "table", r.key_column,

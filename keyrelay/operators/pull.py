@@ -130,3 +130,18 @@ def record_columns(rows: DataFrame, plan: TablePlan, source_columns: list[str],
     fields = record_fields(source_columns, plan.source_schema, plan.table, plan.record_table,
                            opts.dbid, opts.run_ts, opts.alias_rules)
     return rows.select(F.col("seq"), *fields)
+
+
+def full_pull(catalog, schema: str, table: str, opts: SyncOptions, encoded: bool = True) -> DataFrame:
+    """Daily full pull of a table whose rows cannot be reached by key (no key join).
+
+    Same record rules as the keyed path; ``encoded=False`` returns the named record
+    columns before JSON encoding. One scan of the table, no shuffle.
+    """
+    plan = TablePlan(schema, schema, table, "", "table", "", True, True, False, f"{schema}_{table}")
+    cols = catalog.column_names(schema, table)
+    rows = catalog.frame(schema, table).select(*[F.col(f"`{c}`") for c in cols])
+    rows = rows.withColumn("seq", F.lit(None).cast("long")).withColumn(KEY, F.lit(None).cast("string"))
+    if not encoded:
+        return record_columns(rows, plan, cols, opts)
+    return record_frame(rows, plan, cols, opts)

@@ -45,6 +45,7 @@ class BatchFrames:
     plans: list            # list[TablePlan]
     opts: SyncOptions
     catalog: object
+    n_deletes: int = 0
     _values: dict = None
 
     def values(self, schema: str) -> list[str] | None:
@@ -134,7 +135,7 @@ class BatchFrames:
         return idx.index_events(gated, self.opts.dbid, self.opts.apply_ts, self.opts.run_ts)
 
 
-def event_stats(pull_events: DataFrame, exact_above: int) -> dict:
+def event_stats(good: DataFrame, exact_above: int) -> tuple[dict, int]:
     """Per schema: (events, distinct keys) on the pull path; one row per schema reaches the driver.
 
     Event counts are a cheap partial aggregate and bound the key count from above.
@@ -142,15 +143,18 @@ def event_stats(pull_events: DataFrame, exact_above: int) -> dict:
     whose event count exceeds ``exact_above`` (the broadcast limit), where the bound
     alone cannot decide the join strategy.
     """
-    n = {r.schema_name: int(r.n) for r in pull_events.groupBy("schema_name")
-         .agg(F.count(F.lit(1)).alias("n")).collect() if r.schema_name is not None}
+    is_del = (F.col("data_state") == STATE_DELETE).alias("is_del")
+    rows = good.groupBy("schema_name", is_del).agg(F.count(F.lit(1)).alias("n")).collect()
+    n = {r.schema_name: int(r.n) for r in rows if r.schema_name is not None and not r.is_del}
+    n_deletes = sum(int(r.n) for r in rows if r.is_del)
+    pull_events = good.filter(F.col("data_state") != STATE_DELETE)
     out = {s: (c, c) for s, c in n.items()}
     big = [s for s, c in n.items() if c > exact_above]
     if big:
         for r in (pull_events.filter(F.col("schema_name").isin(big)).groupBy("schema_name")
                   .agg(F.countDistinct("c_stm").alias("k")).collect()):
             out[r.schema_name] = (n[r.schema_name], int(r.k))
-    return out
+    return out, n_deletes
 
 
 def written_gate_keys(spark: SparkSession, out_root: str, batch_id: int, bf: BatchFrames) -> DataFrame:
@@ -191,9 +195,9 @@ def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame |
     quarantine = decoded.filter(F.col("reason").isNotNull())
     deletes = good.filter(F.col("data_state") == STATE_DELETE)
     pull_events = good.filter(F.col("data_state") != STATE_DELETE)
-    stats = event_stats(pull_events, opts.broadcast_key_limit)
+    stats, n_deletes = event_stats(good, opts.broadcast_key_limit)
     plans = table_plans(catalog.tables(), catalog.columns(), sorted(stats)) if stats else []
-    return BatchFrames(decoded, good, quarantine, deletes, pull_events, stats, plans, opts, catalog)
+    return BatchFrames(decoded, good, quarantine, deletes, pull_events, stats, plans, opts, catalog, n_deletes)
 
 
 def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOptions, out_root: str,
@@ -229,7 +233,7 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
         warehouse.write_table(q, f"{root}/quarantine", ["dt", "batch_id"])
         ie = bf.index_events(written_gate_keys(spark, out_root, batch_id, bf))
         delta = idx.fold_delta(ie)
-        bound = sum(n for n, _ in bf.stats.values()) + bf.deletes.count()   # >= keys in the delta
+        bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes        # >= keys in the delta
         small = bound <= opts.broadcast_key_limit
         prior = index_store.read_state(spark, root, before=batch_id, keys=delta.select("index_table", "c_stm"),
                                        broadcast_keys=small)

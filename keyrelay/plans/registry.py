@@ -19,7 +19,7 @@ from ..functions.names import dt_value, index_table, tombstone_table, view_table
 from ..operators import catalog_ops as cat
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan
-from ..operators.pull import record_columns
+from ..operators.pull import full_pull, record_columns
 from ..session import scratch_path
 from ..sinks import index_store, warehouse
 from ..sources import events as evsrc
@@ -142,9 +142,9 @@ def q_record_cols(spark, sf_dir):
 
 
 def _full_records(spark, frame: DataFrame, schema: str, table: str, opts: SyncOptions) -> DataFrame:
-    """Daily full pull (no key join): every row of the table as a record."""
-    plan = TablePlan(schema, schema, table, "", "table", "", True, True, False, f"{schema}_{table}")
-    return record_columns(frame.withColumn("seq", F.lit(None).cast("long")), plan, frame.columns, opts)
+    """Daily full pull (no key join): every row of the table as a record, before JSON encoding."""
+    cat1 = FrameCatalog(spark, {(schema, table): frame})
+    return full_pull(cat1, schema, table, opts, encoded=False)
 
 
 def q_alias_rule(spark, sf_dir):
@@ -199,8 +199,10 @@ def _written(spark, sf_dir, layout: str, name: str):
 
 
 def q_end_to_end(spark, sf_dir):
-    r = batch(spark, sf_dir).records()
-    return r.groupBy("tableName", "dt").agg(F.count(F.lit(1)).alias("n_records"))
+    """Records per (tableName, dt) of the whole batch: the sum of the copy counts of the
+    distinct records, i.e. the number of lines the writer emits."""
+    r = batch(spark, sf_dir).records(expand=False)
+    return r.groupBy("tableName", "dt").agg(F.sum("_cnt").alias("n_records"))
 
 
 def q_json_lines(spark, sf_dir):

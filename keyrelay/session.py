@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -111,3 +113,29 @@ def delete_dir(spark: SparkSession, p: str) -> None:
     hp, fs = _fs(spark, p)
     if fs.exists(hp):
         fs.delete(hp, True)
+
+
+def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Small driver-side data (catalogue metadata) as a local relation.
+
+    Unlike ``createDataFrame`` (an RDD scan of unknown size), a VALUES relation has
+    known statistics, so the planner broadcasts it and joins with it need no shuffle.
+    Values are bound as parameters, never spliced into SQL text.
+    """
+    names = [f.name for f in schema.fields]
+    if not rows:
+        nulls = ", ".join("NULL" for _ in names)
+        df = spark.sql(f"SELECT * FROM VALUES ({nulls}) AS t({', '.join(names)}) WHERE false")
+    else:
+        args, tuples = {}, []
+        for i, r in enumerate(rows):
+            marks = []
+            for j, v in enumerate(r):
+                if v is None:
+                    marks.append("NULL")
+                else:
+                    args[f"p{i}_{j}"] = v
+                    marks.append(f":p{i}_{j}")
+            tuples.append("(" + ", ".join(marks) + ")")
+        df = spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t({', '.join(names)})", args=args)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

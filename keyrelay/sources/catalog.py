@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import local_frame
+
 COLUMNS_SCHEMA = T.StructType([
     T.StructField("table_schema", T.StringType()),
     T.StructField("table_name", T.StringType()),
@@ -43,11 +45,11 @@ class FrameCatalog:
     # -- catalogue (metadata: sized by the number of tables, not by the data) --
     def columns(self) -> DataFrame:
         rows = [(s, t, c, i + 1) for (s, t), df in self.frames.items() for i, c in enumerate(df.columns)]
-        return self.spark.createDataFrame(rows, COLUMNS_SCHEMA)
+        return local_frame(self.spark, rows, COLUMNS_SCHEMA)
 
     def tables(self) -> DataFrame:
         rows = [(s, t, "VIEW" if (s, t) in self.views else "BASE TABLE") for (s, t) in self.frames]
-        return self.spark.createDataFrame(rows, TABLES_SCHEMA)
+        return local_frame(self.spark, rows, TABLES_SCHEMA)
 
     def column_names(self, schema: str, table: str) -> list[str]:
         df = self.frames.get((schema, table))
