@@ -63,6 +63,12 @@ class SyncOptions:
     max_records_per_file: int = 1_000_000
     # Most writer tasks one table/date of a batch is spread over (AQE merges small ones).
     write_fanout: int = 64
+    # Tables per record-writing job: hundreds of tables are written in groups instead of
+    # one very wide union plan (each group overwrites only its own table partitions).
+    write_group_tables: int = 50
+    # Every this many batches the index layers are folded into a base snapshot and the
+    # superseded folders are deleted (0 = never).
+    index_compact_every: int = 100
     alias_rules: tuple = field(default=ALIAS_RULES)
 
     def with_(self, **kw) -> "SyncOptions":

@@ -88,16 +88,36 @@ class BatchFrames:
         frames = [self.table_records(p, expand) for p in self.record_plans()]
         return reduce(DataFrame.unionByName, frames) if frames else None
 
-    def records(self, expand: bool = True) -> DataFrame:
+    def records(self, expand: bool = True, plans: list[TablePlan] | None = None,
+                tombstones: bool = True) -> DataFrame:
         """Tombstones and all pulled records in the common record frame.
 
         ``expand=False`` keeps one row per distinct record with its copy count ``_cnt``.
+        ``plans``/``tombstones`` restrict the frame to a group of tables.
         """
-        pulled = self.pulled_records(expand)
-        t = self.tombstones()
-        if not expand:
-            t = t.withColumn("_cnt", F.lit(1).cast("long"))
-        return t.unionByName(pulled) if pulled is not None else t
+        plans = self.record_plans() if plans is None else plans
+        frames = [self.table_records(p, expand) for p in plans]
+        if tombstones or not frames:
+            t = self.tombstones()
+            if not tombstones:
+                t = t.limit(0)
+            frames.insert(0, t if expand else t.withColumn("_cnt", F.lit(1).cast("long")))
+        return reduce(DataFrame.unionByName, frames)
+
+    def record_groups(self) -> list[DataFrame]:
+        """The records in groups of about ``write_group_tables`` tables.
+
+        Each group is its own write job with dynamic partition overwrite, so no two
+        groups may write the same table partition: tombstones land in the main
+        table's partition ({schema}_t_{case type}), hence the first group holds the
+        tombstones together with every main table.
+        """
+        plans, g = self.record_plans(), max(1, self.opts.write_group_tables)
+        is_main = lambda p: p.kind == "table" and p.table == f"t_{p.ajzlx}"
+        first = [p for p in plans if is_main(p)]
+        rest = [p for p in plans if not is_main(p)]
+        chunks = [first] + [rest[i:i + g] for i in range(0, len(rest), g)]
+        return [self.records(expand=False, plans=c, tombstones=(i == 0)) for i, c in enumerate(chunks)]
 
     def errors(self) -> DataFrame:
         o = self.opts
@@ -220,17 +240,17 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         bf = plan_batch(raw, catalog, opts, decoded=decoded)
-        records = bf.records(expand=False).select(*RECORD_COLUMNS, "_cnt")
-        tables = sorted({p.record_table for p in bf.record_plans()} |
-                        {r[0] for r in bf.deletes.select(tombstone_table(F.col("schema_name"), F.col("ajzlx")))
-                         .distinct().collect()}) if opts.layout == "per_table" else None
-        warehouse.write_records(records, out_root, batch_id, opts, tables)
+        for group in bf.record_groups():       # one job per group of tables, same batch partitions
+            warehouse.write_records(group.select(*RECORD_COLUMNS, "_cnt"), out_root, batch_id, opts)
         root = out_root.rstrip("/")
         warehouse.write_table(bf.errors().withColumn("batch_id", F.lit(int(batch_id))),
                               f"{root}/errors", ["c_dt", "batch_id"])
         q = bf.quarantine.select("seq", "value", "reason", dt_value(opts.run_ts).alias("dt"),
                                  F.lit(int(batch_id)).alias("batch_id"))
         warehouse.write_table(q, f"{root}/quarantine", ["dt", "batch_id"])
+        if index_store.has_base(spark, root, batch_id):
+            # a retry after this batch was already compacted: its index work is in the base
+            return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
         ie = bf.index_events(written_gate_keys(spark, out_root, batch_id, bf))
         delta = idx.fold_delta(ie)
         bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes        # >= keys in the delta
@@ -238,6 +258,10 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
         prior = index_store.read_state(spark, root, before=batch_id, keys=delta.select("index_table", "c_stm"),
                                        broadcast_keys=small)
         index_store.write_layer(idx.merge(prior, delta), root, batch_id)
+        k = opts.index_compact_every
+        if k and batch_id > 0 and batch_id % k == 0:
+            index_store.compact_index(spark, root, batch_id)
+            index_store.prune_index(spark, root)
         return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
     finally:
         decoded.unpersist()

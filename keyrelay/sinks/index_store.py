@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.index import INDEX_COLUMNS
-from ..session import list_dirs, path_exists
+from ..session import delete_dir, list_dirs, path_exists
 
 _KEYS = ["index_table", "c_stm"]
 
@@ -75,6 +75,10 @@ def read_state(spark: SparkSession, root: str, before: int | None = None, keys:
     return newest.select(*_KEYS, *[F.col("r")[c].alias(c) for c in rest])
 
 
+def has_base(spark: SparkSession, root: str, version: int) -> bool:
+    return path_exists(spark, f"{index_path(root)}/base={version}/_SUCCESS")
+
+
 def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
     return read_state(spark, root)
 
@@ -92,3 +96,21 @@ def compact_index(spark: SparkSession, root: str, version: int) -> None:
         return
     (state.repartitionByRange(*_KEYS).sortWithinPartitions(*_KEYS)
      .write.mode("overwrite").parquet(f"{index_path(root)}/base={version}"))
+
+
+def prune_index(spark: SparkSession, root: str) -> int:
+    """Delete folders no reader looks at any more (everything below the newest base)."""
+    bases = _committed(spark, root, "base=")
+    if not bases:
+        return 0
+    newest = bases[-1]
+    gone = 0
+    for name in list_dirs(spark, index_path(root)):
+        kind, _, num = name.partition("=")
+        if kind in ("v", "base") and num.isdigit() and int(num) < newest:
+            delete_dir(spark, f"{index_path(root)}/{name}")
+            gone += 1
+        elif kind == "v" and num.isdigit() and int(num) == newest:
+            delete_dir(spark, f"{index_path(root)}/{name}")   # folded into base=<newest>
+            gone += 1
+    return gone

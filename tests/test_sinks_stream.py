@@ -111,3 +111,22 @@ def test_index_layers_and_compaction(spark):
     got, want = index_store.read_latest(spark, root), idx.fold(ie)
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_batches_with_index_compaction_and_retry(spark):
+    raw = fixtures.raw_events(spark, SF)
+    cat = fixtures.fixture_catalog(spark, SF)
+    opts = FIXTURE_OPTIONS.with_(index_compact_every=1, write_group_tables=2)
+    root = scratch_path(spark, "t", "compact_every")
+    bounds = [0, 300, 650, 10**9]
+    for n in range(3):
+        part = raw.filter((F.col("seq") >= bounds[n]) & (F.col("seq") < bounds[n + 1]))
+        process_batch(spark, part, cat, opts, root, n)
+    process_batch(spark, raw.filter(F.col("seq") >= bounds[2]), cat, opts, root, 2)     # retry of the last batch
+    live = [p.rsplit("/", 1)[1] for _, p in index_store.live_folders(spark, root)]
+    assert live == ["base=2"]
+    got = index_store.read_latest(spark, root)
+    want = idx.fold(plan_batch(raw, cat, FIXTURE_OPTIONS).index_events())
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    recs = warehouse.read_records(spark, root, opts).count()
+    assert recs == plan_batch(raw, cat, FIXTURE_OPTIONS).records().count()
