@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from keyrelay.config import FIXTURE_OPTIONS  # noqa: E402
 from keyrelay.plans import registry  # noqa: E402
 from keyrelay.plans.batch import process_batch  # noqa: E402
-from keyrelay.session import get_session, scratch_path  # noqa: E402
+from keyrelay.session import delete_dir, get_session, scratch_path  # noqa: E402
 from keyrelay.sources import fixtures  # noqa: E402
 
 HEADLINE = ["end_to_end", "index_fold", "index_merge", "error_rows", "pull_child", "tombstones", "decode_events"]
@@ -46,6 +46,7 @@ def main() -> None:
     process_batch(spark, fixtures.raw_events(spark, sf_dir), fixtures.fixture_catalog(spark, sf_dir),
                   FIXTURE_OPTIONS, root, 0)
     times["sync_batch"] = round(time.time() - t0, 3)
+    delete_dir(spark, root)        # the bench's own output (GBs of JSON lines at sf0.1); nothing else
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({"metric": "sync_wall_time", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
