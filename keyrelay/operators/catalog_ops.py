@@ -94,20 +94,26 @@ class TablePlan:
 
 
 def table_plans(tables: DataFrame, columns: DataFrame, schema_names: list[str]) -> list[TablePlan]:
-    """Collect the (small) per-table plan for the schemas seen in a batch."""
+    """Collect the (small) per-table plan for the schemas seen in a batch, tables and views in one job."""
     spark = tables.sparkSession
     schemas = local_frame(spark, [(s,) for s in schema_names],
                           T.StructType([T.StructField("schema_name", T.StringType())]))
     shape = key_shape(tables, columns).join(
         schemas.withColumnRenamed("schema_name", "table_schema"), "table_schema", "left_semi")
-    plans = [TablePlan(r.table_schema, r.table_schema, r.table_name, r.ajzlx or "", "table", r.key_column,
-                       bool(r.key_present), bool(r.routable), bool(r.main_family),
-                       record_table_name(r.table_schema, r.table_name))
-             for r in shape.orderBy("table_schema", "table_name").collect()]
-    for r in view_shape(columns, schemas).orderBy("schema_name").collect():
-        plans.append(TablePlan(r.schema_name, VIEW_SCHEMA, r.view_name, r.ajzlx, "view", r.key_column,
-                               bool(r.key_present), True, False, view_record_table_name(r.schema_name, r.ajzlx)))
-    return plans
+    t = shape.select(F.lit("table").alias("kind"), F.col("table_schema").alias("event_schema"),
+                     F.col("table_schema").alias("source_schema"), "table_name", "ajzlx", "key_column",
+                     "key_present", "routable", "main_family")
+    v = view_shape(columns, schemas).select(
+        F.lit("view").alias("kind"), F.col("schema_name").alias("event_schema"),
+        F.lit(VIEW_SCHEMA).alias("source_schema"), F.col("view_name").alias("table_name"), "ajzlx", "key_column",
+        "key_present", F.lit(True).alias("routable"), F.lit(False).alias("main_family"))
+    plans = []
+    for r in t.unionByName(v).collect():
+        name = (record_table_name(r.source_schema, r.table_name) if r.kind == "table"
+                else view_record_table_name(r.event_schema, r.ajzlx))
+        plans.append(TablePlan(r.event_schema, r.source_schema, r.table_name, r.ajzlx or "", r.kind, r.key_column,
+                               bool(r.key_present), bool(r.routable), bool(r.main_family), name))
+    return sorted(plans, key=lambda p: (p.kind != "table", p.event_schema, p.source_schema, p.table))
 
 
 def fanout(pull_events: DataFrame, tables: DataFrame, catalog_rows: int | None, limit: int) -> DataFrame:

@@ -14,6 +14,7 @@ event counts and the catalogue); ``process_batch`` runs and writes them.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -27,7 +28,7 @@ from ..functions.records import tombstone_value
 from ..operators import errors as err
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan, table_plans
-from ..operators.pull import key_values, matched_keys, pulled_row_copies, pulled_rows, record_frame
+from ..operators.pull import matched_keys, pulled_row_copies, pulled_rows, record_frame
 from ..session import path_exists
 from ..sinks import index_store, warehouse
 
@@ -49,13 +50,23 @@ class BatchFrames:
     _values: dict = None
 
     def values(self, schema: str) -> list[str] | None:
-        """Distinct keys of a schema for scan push-down (bounded by pushdown_key_limit), cached."""
+        """Distinct keys of a schema for scan push-down (bounded by pushdown_key_limit).
+
+        Collected for all small schemas of the batch in one job, then cached.
+        """
         if self._values is None:
-            self._values = {}
-        if schema not in self._values:
-            n_keys = self.stats.get(schema, (0, 0))[1]
-            self._values[schema] = key_values(self.pull_events, schema, n_keys, self.opts)
-        return self._values[schema]
+            small = [s for s, (_, k) in self.stats.items() if k <= self.opts.pushdown_key_limit]
+            self._values = {s: None for s in self.stats}
+            if small:
+                rows = (self.pull_events.filter(F.col("schema_name").isin(small) & F.col("c_stm").isNotNull())
+                        .select("schema_name", "c_stm").distinct().collect())
+                for s in small:
+                    self._values[s] = []
+                for r in rows:
+                    self._values[r.schema_name].append(r.c_stm)
+                for s in small:
+                    self._values[s].sort()
+        return self._values.get(schema)
 
     # -- lazily built outputs --
     def tombstones(self) -> DataFrame:
@@ -181,8 +192,7 @@ def written_gate_keys(spark: SparkSession, out_root: str, batch_id: int, bf: Bat
     """(schema_name, c_stm) from this batch's committed main-family record files."""
     o = bf.opts
     base = warehouse.records_path(out_root, o)
-    dt = F.date_format(F.lit(o.run_ts).cast("timestamp_ntz"), "yyyy-MM-dd")
-    dt_s = bf.good.sparkSession.range(1).select(dt).first()[0]
+    dt_s = datetime.fromisoformat(o.run_ts).strftime("%Y-%m-%d")     # = dt_value(run_ts)
     frames = []
     for p in bf.record_plans():
         if not (p.main_family and p.kind == "table"):
