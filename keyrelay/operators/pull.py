@@ -30,14 +30,6 @@ def schema_events(pull_events: DataFrame, schema: str) -> DataFrame:
     return pull_events.filter((F.col("schema_name") == schema) & F.col("c_stm").isNotNull())
 
 
-def key_values(pull_events: DataFrame, schema: str, n_keys: int, opts: SyncOptions) -> list[str] | None:
-    """Distinct keys of a schema as a list, only when their count is within the push-down limit."""
-    if n_keys > opts.pushdown_key_limit:
-        return None
-    ev = schema_events(pull_events, schema)
-    return sorted(r[0] for r in ev.select("c_stm").distinct().collect())
-
-
 def pulled_rows(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int, n_keys: int,
                 opts: SyncOptions, columns: list[str] | None = None,
                 values: list[str] | None = None) -> DataFrame:

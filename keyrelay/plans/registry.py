@@ -193,8 +193,8 @@ def _written(spark, sf_dir, layout: str, name: str):
     opts = OPTS.with_(layout=layout)
     bf = batch(spark, sf_dir, opts)
     root = scratch_path(spark, "q", name)
-    tables = sorted({p.record_table for p in bf.record_plans()} | {"db_customer_t_customer", "db_supplier_t_supplier"})
-    warehouse.write_records(bf.records(expand=False), root, 0, opts, tables)
+    for group in bf.record_groups():
+        warehouse.write_records(group, root, 0, opts)
     return root, opts
 
 

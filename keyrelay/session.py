@@ -59,15 +59,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "keyrelay", *parts, uuid.uuid4().hex[:12]])
 
 
-def local_path(p: str) -> str | None:
-    """Filesystem path for file: URIs, else None."""
-    if p.startswith("file:"):
-        return p[len("file:"):]
-    if p.startswith("/"):
-        return p
-    return None
-
-
 def path_exists(spark: SparkSession, p: str) -> bool:
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(p)
@@ -85,13 +76,6 @@ def list_dirs(spark: SparkSession, p: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hp) if s.isDirectory()]
 
 
-def os_env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default
-
-
 def _fs(spark: SparkSession, p: str):
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(p)

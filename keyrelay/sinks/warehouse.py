@@ -26,15 +26,14 @@ def _text_writer(df: DataFrame, opts: SyncOptions):
             .option("maxRecordsPerFile", str(opts.max_records_per_file)))
 
 
-def write_records(records: DataFrame, root: str, batch_id: int, opts: SyncOptions,
-                  table_names: list[str] | None = None) -> str:
+def write_records(records: DataFrame, root: str, batch_id: int, opts: SyncOptions) -> str:
     """K1/K2: one JSON object per line, UTF-8.
 
     ``single``: {db}/tableName=T/dt=D/batch_id=N/part-*.txt in one job.
     ``per_table``: {db}/T/dt=D/batch_id=N/part-*.txt, the original directory shape: the
     same single job writes to a staging folder of the batch, then each committed
     dt/batch_id leaf is moved under its table (metadata only; a retry replaces its own
-    leaves). ``table_names`` is accepted for API symmetry and not needed.
+    leaves).
     Rows are rebalanced by (tableName, dt) so each table/date gets few, advisory-sized
     files; AQE splits a hot table across several tasks instead of one. A frame with a
     copy count ``_cnt`` is shuffled once per distinct record (salted, so one table's

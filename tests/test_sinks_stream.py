@@ -44,9 +44,7 @@ def test_per_table_layout_and_compaction(spark):
     opts = FIXTURE_OPTIONS.with_(layout="per_table")
     bf = plan_batch(fixtures.raw_events(spark, SF), fixtures.fixture_catalog(spark, SF), opts)
     root = scratch_path(spark, "t", "layout")
-    tables = sorted({p.record_table for p in bf.record_plans()} | {"db_customer_t_customer",
-                                                                   "db_supplier_t_supplier"})
-    warehouse.write_records(bf.records().repartition(16), root, 3, opts, tables)
+    warehouse.write_records(bf.records().repartition(16), root, 3, opts)
     base = _local(warehouse.records_path(root, opts))
     assert os.path.isdir(f"{base}/db_supplier_t_lineitem/dt=2024-02-01/batch_id=3")
     # compaction of a single-layout copy: fewer files, same rows
