@@ -177,11 +177,13 @@ def q_index_fold(spark, sf_dir):
 
 def q_index_merge(spark, sf_dir):
     """Fold the events below a cut into a prior index, then merge the rest as a delta."""
-    ie = batch(spark, sf_dir).index_events()
+    bf = batch(spark, sf_dir)
+    ie = bf.index_events()
     cut = (ie.agg(F.max("seq")).first()[0] or 0) // 2
     prior = idx.fold(ie.filter(F.col("seq") < cut))
     delta = idx.fold_delta(ie.filter(F.col("seq") >= cut))
-    return idx.merge(prior, delta, broadcast_delta=True)
+    bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes       # >= index events >= delta keys
+    return idx.merge(prior, delta, broadcast_delta=bound <= OPTS.broadcast_key_limit)
 
 
 def q_error_rows(spark, sf_dir):

@@ -55,8 +55,11 @@ def live_folders(spark: SparkSession, root: str, before: int | None = None) -> l
 
 
 def read_state(spark: SparkSession, root: str, before: int | None = None, keys: DataFrame | None = None,
-               broadcast_keys: bool = True) -> DataFrame | None:
-    """Current index rows (optionally only those of ``keys``: index_table, c_stm)."""
+               broadcast_keys: bool = False) -> DataFrame | None:
+    """Current index rows (optionally only those of ``keys``: index_table, c_stm).
+
+    ``broadcast_keys`` only when the caller has a bound on the number of keys.
+    """
     folders = live_folders(spark, root, before)
     if not folders:
         return None

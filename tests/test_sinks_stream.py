@@ -100,7 +100,8 @@ def test_index_layers_and_compaction(spark):
     for n in range(3):
         chunk = ie.filter((F.col("seq") >= bounds[n]) & (F.col("seq") < bounds[n + 1]))
         delta = idx.fold_delta(chunk)
-        prior = index_store.read_state(spark, root, before=n, keys=delta.select("index_table", "c_stm"))
+        prior = index_store.read_state(spark, root, before=n, keys=delta.select("index_table", "c_stm"),
+                                       broadcast_keys=(n % 2 == 0))
         index_store.write_layer(idx.merge(prior, delta), root, n)
         if n == 1:
             index_store.compact_index(spark, root, 1)
