@@ -265,8 +265,11 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
         delta = idx.fold_delta(ie)
         bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes        # >= keys in the delta
         small = bound <= opts.broadcast_key_limit
-        prior = index_store.read_state(spark, root, before=batch_id, keys=delta.select("index_table", "c_stm"),
-                                       broadcast_keys=small)
+        delta_keys = delta.select("index_table", "c_stm")
+        values = (sorted({r.c_stm for r in delta_keys.collect()}) if bound <= opts.pushdown_key_limit
+                  and index_store.live_folders(spark, root, batch_id) else None)
+        prior = index_store.read_state(spark, root, before=batch_id, keys=delta_keys,
+                                       broadcast_keys=small, key_values=values)
         index_store.write_layer(idx.merge(prior, delta), root, batch_id)
         k = opts.index_compact_every
         if k and batch_id > 0 and batch_id % k == 0:

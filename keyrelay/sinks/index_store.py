@@ -55,10 +55,12 @@ def live_folders(spark: SparkSession, root: str, before: int | None = None) -> l
 
 
 def read_state(spark: SparkSession, root: str, before: int | None = None, keys: DataFrame | None = None,
-               broadcast_keys: bool = False) -> DataFrame | None:
+               broadcast_keys: bool = False, key_values: list[str] | None = None) -> DataFrame | None:
     """Current index rows (optionally only those of ``keys``: index_table, c_stm).
 
     ``broadcast_keys`` only when the caller has a bound on the number of keys.
+    ``key_values`` (a bounded list of c_stm) is pushed into the Parquet scan: layers
+    are sorted by key, so row groups without those keys are skipped.
     """
     folders = live_folders(spark, root, before)
     if not folders:
@@ -66,6 +68,8 @@ def read_state(spark: SparkSession, root: str, before: int | None = None, keys:
     layers = []
     for v, path in folders:
         layer = spark.read.parquet(path).select(*INDEX_COLUMNS)
+        if key_values is not None:
+            layer = layer.filter(F.col("c_stm").isin(key_values))
         if keys is not None:
             k = F.broadcast(keys) if broadcast_keys else keys
             layer = layer.join(k, _KEYS, "left_semi")

@@ -48,3 +48,19 @@ def test_pull_prunes_columns_and_broadcasts_checked_keys(spark):
 def test_fold_is_partial_aggregation(spark):
     p = _plan(registry.QUERIES["index_fold"](spark, SF))
     assert "partial_min" in p and "partial_max" in p
+
+
+def test_index_key_reads_push_keys_into_the_scan(spark):
+    from pyspark.sql import functions as F
+    from keyrelay.operators import index as idx
+    from keyrelay.session import scratch_path
+    from keyrelay.sinks import index_store
+    ie = registry.batch(spark, SF).index_events()
+    root = scratch_path(spark, "t", "pushkeys")
+    index_store.write_layer(idx.fold(ie), root, 0)
+    keys = idx.fold_delta(ie.filter(F.col("c_stm") == "2")).select("index_table", "c_stm")
+    df = index_store.read_state(spark, root, before=1, keys=keys, broadcast_keys=True, key_values=["2"])
+    p = _plan(df)
+    pushed = p.split("PushedFilters: [", 1)[1].split("]", 1)[0]
+    assert "EqualTo(c_stm,2)" in pushed or "In(c_stm" in pushed, pushed
+    assert [r.c_stm for r in df.collect()] == ["2"]
