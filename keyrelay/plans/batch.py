@@ -7,8 +7,9 @@ r"""One batch of change events, end to end.
                            --Q15/F5--> error rows
     records(main family) --J6--> gate; deletes + gated upserts --A2--> delta --J7--> index version n
 
-``plan_batch`` builds the DataFrames lazily (two tiny metadata actions: the per-schema
-event counts and the catalogue); ``process_batch`` runs and writes them.
+``plan_batch`` builds the DataFrames lazily after a few small metadata actions (per-schema
+event counts, exact key counts only above the broadcast limit, the catalogue, bounded key
+lists for scan push-down); ``process_batch`` runs and writes them.
 """
 
 from __future__ import annotations
@@ -121,7 +122,8 @@ class BatchFrames:
         Each group is its own write job with dynamic partition overwrite, so no two
         groups may write the same table partition: tombstones land in the main
         table's partition ({schema}_t_{case type}), hence the first group holds the
-        tombstones together with every main table.
+        tombstones together with every main table (one per schema, so it grows with the
+        number of schemas, not tables).
         """
         plans, g = self.record_plans(), max(1, self.opts.write_group_tables)
         is_main = lambda p: p.kind == "table" and p.table == f"t_{p.ajzlx}"
@@ -155,7 +157,8 @@ class BatchFrames:
         if records is not None and "main_family" not in records.columns:
             return records
         if records is None:
-            frames = [self.table_records(p) for p in self.record_plans() if p.main_family and p.kind == "table"]
+            frames = [self.table_records(p, expand=False) for p in self.record_plans()
+                      if p.main_family and p.kind == "table"]
             if not frames:
                 return self.good.sparkSession.createDataFrame([], "schema_name string, c_stm string")
             records = reduce(DataFrame.unionByName, frames)
