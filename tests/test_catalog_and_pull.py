@@ -87,3 +87,23 @@ def test_chunked_copies_equal_per_event_rows(spark):
         assert rows.agg({"_cnt": "max"}).first()[0] <= chunk
         got = sorted(tuple(r) for r in replicate(rows).select("c_stm", "_k").collect())
         assert got == want, chunk
+
+
+def test_state_three_pulls_rows_and_shared_index_table(spark):
+    from keyrelay.operators import index as idx
+    frames = {
+        ("db_a", "t_a"): spark.createDataFrame([("1", "x")], "c_stm string, name string"),
+        ("xx_a", "t_a"): spark.createDataFrame([("1", "y")], "c_stm string, name string"),
+    }
+    c = FrameCatalog(spark, frames)
+    rows = [(0, '{"c_stm":"1","data_state":3,"schemaName":"db_a"}'),     # Q18: pulls, no index change
+            (1, '{"c_stm":"1","data_state":1,"schemaName":"xx_a"}'),     # Q21: same case type "a"
+            (2, '{"c_stm":"1","data_state":2,"schemaName":"db_a"}')]
+    bf = plan_batch(spark.createDataFrame(rows, "seq long, value string"), c, SyncOptions(run_ts=RUN_TS))
+    counts = {r.tableName: r["count"] for r in bf.records().groupBy("tableName").count().collect()}
+    assert counts == {"db_a_t_a": 2, "xx_a_t_a": 1}
+    ie = bf.index_events()
+    assert sorted((r.seq, r.index_table) for r in ie.collect()) == [
+        (1, "index_00.t_a_index"), (2, "index_00.t_a_index")]
+    out = idx.fold(ie).collect()
+    assert len(out) == 1 and out[0].data_state == 2          # the update from db_a lands on xx_a's insert
