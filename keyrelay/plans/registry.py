@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE_OPTIONS, SyncOptions
+from ..config import FIXTURE_DT, FIXTURE_OPTIONS, SyncOptions
 from ..functions.decode import route
 from ..functions.names import dt_value, index_table, tombstone_table, view_table
 from ..operators import catalog_ops as cat
@@ -234,7 +234,7 @@ def q_bucket_counts(spark, sf_dir):
 def q_compaction_rows(spark, sf_dir):
     root, opts = _written(spark, sf_dir, "single", "compaction_src")
     out_root = scratch_path(spark, "q", "compaction_dst")
-    warehouse.compact(spark, root, out_root, opts, target_bytes=32 * 1024 * 1024)
+    warehouse.compact(spark, root, out_root, opts, target_bytes=32 * 1024 * 1024, dt=FIXTURE_DT)
     recs = spark.read.text(warehouse.records_path(out_root, opts))
     return recs.groupBy("tableName", F.col("dt").cast("string").alias("dt")).agg(
         F.count(F.lit(1)).alias("n_records"))

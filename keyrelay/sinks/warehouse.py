@@ -90,15 +90,18 @@ def bucket_of(file_col, opts: SyncOptions):
 
 
 def compact(spark: SparkSession, root: str, out_root: str, opts: SyncOptions,
-            target_bytes: int = 122 * 1024 * 1024) -> str:
+            target_bytes: int = 122 * 1024 * 1024, dt: str | None = None) -> str:
     """K3: rewrite the records under ``root`` into about ``target_bytes``-sized files per (tableName, dt).
 
     The file count of each (table, date) is computed from its byte size (a tiny
     aggregate: one row per partition), rows are spread over that many slots by a
     deterministic hash, and each slot becomes one file. Writes to ``out_root``; the
-    caller swaps directories once the write has committed.
+    caller swaps directories once the write has committed. ``dt`` limits the job to one
+    closed date (a partition filter, so only that date's folders are listed and read).
     """
     recs = read_records(spark, root, opts).drop("file")
+    if dt is not None:
+        recs = recs.filter(F.col("dt") == dt)
     sizes = (recs.groupBy("tableName", "dt").agg(F.sum(F.length("value") + 1).alias("bytes"))
              .withColumn("n_files", F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_bytes)))))
     n_parts = sizes.count()
@@ -114,6 +117,10 @@ def compact(spark: SparkSession, root: str, out_root: str, opts: SyncOptions,
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """Append-style table with dynamic partition overwrite (errors, quarantine)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Append-style table with dynamic partition overwrite (errors, quarantine).
+
+    Rebalanced by the partition columns so a batch writes a few advisory-sized files
+    per partition instead of one small file per task.
+    """
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).parquet(path))
