@@ -20,7 +20,7 @@ from ..operators import catalog_ops as cat
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan
 from ..operators.pull import full_pull, record_columns
-from ..session import scratch_path
+from ..session import delete_dir, scratch_path
 from ..sinks import index_store, warehouse
 from ..sources import events as evsrc
 from ..sources import fixtures
@@ -191,6 +191,15 @@ def q_error_rows(spark, sf_dir):
 
 
 # -- sinks ---------------------------------------------------------------------------
+def _settle(df: DataFrame, *scratch: str) -> DataFrame:
+    """Materialise a (small) result with a reliable checkpoint, then drop the query's own scratch
+    output: the files it wrote are only the means, and repeated checks must not fill the disk."""
+    out = df.checkpoint(eager=True)
+    for p in scratch:
+        delete_dir(df.sparkSession, p)
+    return out
+
+
 def _written(spark, sf_dir, layout: str, name: str):
     opts = OPTS.with_(layout=layout)
     bf = batch(spark, sf_dir, opts)
@@ -210,6 +219,10 @@ def q_end_to_end(spark, sf_dir):
 def q_json_lines(spark, sf_dir):
     root, opts = _written(spark, sf_dir, "single", "json_lines")
     recs = warehouse.read_records(spark, root, opts)
+    return _settle(_json_line_stats(recs), root)
+
+
+def _json_line_stats(recs: DataFrame) -> DataFrame:
     v = F.col("value")
     j = recs.select(
         "tableName", "dt",
@@ -227,8 +240,9 @@ def q_json_lines(spark, sf_dir):
 def q_bucket_counts(spark, sf_dir):
     root, opts = _written(spark, sf_dir, "per_table", "bucket_counts")
     recs = warehouse.read_records(spark, root, opts)
-    return recs.groupBy(warehouse.bucket_of(F.col("file"), opts).alias("bucket")).agg(
+    out = recs.groupBy(warehouse.bucket_of(F.col("file"), opts).alias("bucket")).agg(
         F.count(F.lit(1)).alias("n_records"))
+    return _settle(out, root)
 
 
 def q_compaction_rows(spark, sf_dir):
@@ -236,8 +250,9 @@ def q_compaction_rows(spark, sf_dir):
     out_root = scratch_path(spark, "q", "compaction_dst")
     warehouse.compact(spark, root, out_root, opts, target_bytes=32 * 1024 * 1024, dt=FIXTURE_DT)
     recs = spark.read.text(warehouse.records_path(out_root, opts))
-    return recs.groupBy("tableName", F.col("dt").cast("string").alias("dt")).agg(
+    out = recs.groupBy("tableName", F.col("dt").cast("string").alias("dt")).agg(
         F.count(F.lit(1)).alias("n_records"))
+    return _settle(out, root, out_root)
 
 
 def q_stream_index_replay(spark, sf_dir):
@@ -252,7 +267,7 @@ def q_stream_index_replay(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return index_store.read_latest(spark, out_root)
+    return _settle(index_store.read_latest(spark, out_root), stage, out_root)
 
 
 QUERIES = {
