@@ -4,7 +4,9 @@
 
 The properties file uses the original job's keys (one ``key=value`` per line,
 ``#`` comments): dbid, warehouse.path, checkpoint.dir, kafka.server, kafka.topic,
-kafka.input.groupId, postgres.url, postgres.username, postgres.password.
+kafka.input.groupId, postgres.url, postgres.username, postgres.password, and optionally
+postgres.index.url / .username / .password for a relational index table (otherwise the
+index is kept as Parquet layers under warehouse.path).
 ``--events-dir`` reads events from files (columns seq, value, apply_ts) instead of
 Kafka; ``--fixtures`` uses the test-table catalogue instead of the database; ``--once``
 processes what is available and stops (availableNow) instead of a 5-minute cadence.
@@ -41,9 +43,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default="local[*]")
     a = ap.parse_args(argv)
     p = read_properties(a.properties)
-    extra = {"spark.checkpoint.dir": p["checkpoint.dir"]} if p.get("checkpoint.dir") else {}
-    spark = get_session(master=a.master, extra=extra)
-    opts = SyncOptions(dbid=p.get("dbid", "00"))
+    fallback = p["checkpoint.dir"].rstrip("/") + "/spark" if p.get("checkpoint.dir") else None
+    spark = get_session(master=a.master, checkpoint_fallback=fallback)   # the session's own setting wins
+    index_jdbc = None
+    if p.get("postgres.index.url"):
+        index_jdbc = {"url": p["postgres.index.url"], "staging_schema": f"index_{p.get('dbid', '00')}",
+                      "props": {"user": p.get("postgres.index.username", ""),
+                                "password": p.get("postgres.index.password", ""), "driver": "org.postgresql.Driver"}}
+    opts = SyncOptions(dbid=p.get("dbid", "00"), index_jdbc=index_jdbc)
     if a.fixtures:
         from .sources.fixtures import fixture_catalog
         catalog = fixture_catalog(spark, a.fixtures)

@@ -70,6 +70,8 @@ class SyncOptions:
     # superseded folders are deleted (0 = never).
     index_compact_every: int = 100
     alias_rules: tuple = field(default=ALIAS_RULES)
+    # Relational index table instead of Parquet layers: {"url", "props", "staging_schema"}.
+    index_jdbc: dict | None = None
 
     def with_(self, **kw) -> "SyncOptions":
         return replace(self, **kw)

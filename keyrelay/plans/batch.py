@@ -261,6 +261,17 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
         q = bf.quarantine.select("seq", "value", "reason", dt_value(opts.run_ts).alias("dt"),
                                  F.lit(int(batch_id)).alias("batch_id"))
         warehouse.write_table(q, f"{root}/quarantine", ["dt", "batch_id"])
+        if opts.index_jdbc:
+            from ..sinks import jdbc_index
+            ie = bf.index_events(written_gate_keys(spark, out_root, batch_id, bf))
+            delta = idx.fold_delta(ie)
+            bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes
+            values = (sorted({r.c_stm for r in delta.select("c_stm").collect()})
+                      if bound <= opts.pushdown_key_limit else None)
+            j = opts.index_jdbc
+            jdbc_index.apply_delta(spark, delta, j["url"], j["props"], batch_id, j["staging_schema"], values,
+                                   broadcast_delta=bound <= opts.broadcast_key_limit)
+            return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
         if index_store.has_base(spark, root, batch_id):
             # a retry after this batch was already compacted: its index work is in the base
             return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}

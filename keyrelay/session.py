@@ -23,7 +23,8 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str = "local[8]", app: str = "keyrelay",
-                shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int = 8, extra: dict | None = None,
+                checkpoint_fallback: str | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -32,15 +33,16 @@ def get_session(master: str = "local[8]", app: str = "keyrelay",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark, checkpoint_fallback)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this is set by the deployment and is only read here. When it is
-    unset (local tests), a private folder is created and registered.
+    unset, ``fallback`` (e.g. the job's own shared checkpoint path) is used, else a
+    private folder is created (local tests).
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -48,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="keyrelay-ckpt-")
+        conf = fallback or tempfile.mkdtemp(prefix="keyrelay-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
