@@ -54,14 +54,27 @@ def record_value(fields: list[Column]) -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def tombstone_value(value: Column, table_name: Column, run_ts: str, dbid: str) -> Column:
+def decoded_event_map(c_stm: Column, d_xgsj_text: Column, c_baah: Column, n_jbfy: Column,
+                      schema_name: Column) -> Column:
+    """The known event fields as a map, for events whose text the variant parser rejects
+    (e.g. a repeated key, which the event decoder resolves as last-wins)."""
+    return F.create_map(F.lit("c_stm"), c_stm.cast("variant"), F.lit("d_xgsj"), d_xgsj_text.cast("variant"),
+                        F.lit("c_baah"), c_baah.cast("variant"), F.lit("n_jbfy"), n_jbfy.cast("variant"),
+                        F.lit("schemaName"), schema_name.cast("variant"))
+
+
+def tombstone_value(value: Column, table_name: Column, run_ts: str, dbid: str,
+                    fallback: Column | None = None) -> Column:
     """The event's own JSON object (unknown fields and JSON types kept) plus metadata.
 
     Metadata keys replace event keys of the same name; JSON nulls are dropped.
+    ``fallback`` (``decoded_event_map``) is used when the text is not a parsable object.
     """
     m = F.try_parse_json(value).try_cast("map<string,variant>")
+    if fallback is not None:
+        m = F.coalesce(m, fallback)
     meta_names = F.array(*[F.lit(k) for k in META_KEYS])
-    kept = F.map_filter(m, lambda k, v: ~F.array_contains(meta_names, k) & ~F.is_variant_null(v))
+    kept = F.map_filter(m, lambda k, v: ~F.array_contains(meta_names, k) & v.isNotNull() & ~F.is_variant_null(v))
     meta = F.create_map(
         F.lit("tableName"), table_name.cast("variant"),
         F.lit("dt"), dt_value(run_ts).cast("variant"),

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..config import STATE_DELETE, SyncOptions
 from ..functions.decode import decode_events
 from ..functions.names import dt_value, tombstone_table
-from ..functions.records import tombstone_value
+from ..functions.records import decoded_event_map, tombstone_value
 from ..operators import errors as err
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan, table_plans
@@ -76,7 +76,9 @@ class BatchFrames:
         return self.deletes.select(
             tname.alias("tableName"), dt_value(o.run_ts).alias("dt"), "seq", "c_stm", "schema_name",
             F.lit(False).alias("main_family"),
-            tombstone_value(F.col("value"), tname, o.run_ts, o.dbid).alias("value"))
+            tombstone_value(F.col("value"), tname, o.run_ts, o.dbid,
+                            decoded_event_map(F.col("c_stm"), F.col("d_xgsj_text"), F.col("c_baah"), F.col("n_jbfy"),
+                                              F.col("schema_name"))).alias("value"))
 
     def pulled(self, plan: TablePlan, columns: list[str] | None = None) -> DataFrame:
         n_ev, n_keys = self.stats.get(plan.event_schema, (0, 0))

@@ -59,3 +59,16 @@ def test_tombstone_keeps_event_fields_and_types(spark):
     assert out == {"c_stm": "k", "extra": {"a": [1, 2]}, "f": 1.5, "schemaName": "db_x",
                    "tableName": "db_x_t_x", "dt": "2024-02-01", "update_time": "2024-02-01 00:00:00",
                    "dbid": "00", "data_state": 0}
+
+
+def test_tombstone_of_event_with_repeated_key(spark):
+    from keyrelay.config import SyncOptions
+    from keyrelay.plans.batch import plan_batch
+    from keyrelay.sources.catalog import FrameCatalog
+    raw = spark.createDataFrame([(1, '{"c_stm":"1","c_stm":"2","data_state":0,"n_jbfy":5,"schemaName":"db_a"}')],
+                                "seq long, value string")
+    cat = FrameCatalog(spark, {("db_a", "t_a"): spark.createDataFrame([("2",)], "c_stm string")})
+    bf = plan_batch(raw, cat, SyncOptions(run_ts=RUN_TS))
+    out = json.loads(bf.tombstones().first().value)
+    assert out == {"c_stm": "2", "n_jbfy": 5, "schemaName": "db_a", "tableName": "db_a_t_a", "dt": "2024-02-01",
+                   "update_time": "2024-02-01 00:00:00", "dbid": "00", "data_state": 0}
