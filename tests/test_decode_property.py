@@ -39,3 +39,17 @@ def test_valid_events_round_trip(spark, events):
         assert (r.c_stm, r.data_state, r.schema_name) == (e["c_stm"], e["data_state"], e["schemaName"])
         assert r.c_baah == e.get("c_baah") and r.n_jbfy == e.get("n_jbfy")
         assert r.ajzlx == e["schemaName"].split("_")[1]
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text(max_size=12)), st.one_of(st.none(), st.text(max_size=12))),
+                min_size=1, max_size=10))
+def test_record_json_round_trips_any_text(spark, rows):
+    from keyrelay.functions.records import record_fields, record_value
+    df = spark.createDataFrame(rows, "`c_stm` string, `a.b` string")
+    fields = record_fields(df.columns, "db_x", "t_x", "db_x_t_x", "00", "2024-02-01 00:00:00")
+    got = [json.loads(r[0]) for r in df.select(record_value(fields)).collect()]
+    for (k, v), obj in zip(rows, got):
+        assert obj.get("c_stm") == k and obj.get("a.b") == v
+        assert ("c_stm" in obj) == (k is not None) and ("a.b" in obj) == (v is not None)
+        assert obj["tableName"] == "db_x_t_x" and obj["data_state"] == 1 and "lsn" not in obj
