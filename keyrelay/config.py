@@ -61,6 +61,9 @@ class SyncOptions:
     layout: str = "single"
     warehouse_db: str = WAREHOUSE_DB
     max_records_per_file: int = 1_000_000
+    # Codec of the JSON-lines files ("gzip", "zstd", ...); None keeps plain UTF-8 text as the
+    # original sink writes. At scale a codec cuts the write volume several-fold.
+    text_compression: str | None = None
     # Most writer tasks one table/date of a batch is spread over (AQE merges small ones).
     write_fanout: int = 64
     # Tables per record-writing job: hundreds of tables are written in groups instead of

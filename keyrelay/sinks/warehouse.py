@@ -22,8 +22,9 @@ def records_path(root: str, opts: SyncOptions) -> str:
 
 
 def _text_writer(df: DataFrame, opts: SyncOptions):
-    return (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", str(opts.max_records_per_file)))
+    w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", str(opts.max_records_per_file)))
+    return w.option("compression", opts.text_compression) if opts.text_compression else w
 
 
 def write_records(records: DataFrame, root: str, batch_id: int, opts: SyncOptions) -> str:

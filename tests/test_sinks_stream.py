@@ -129,3 +129,14 @@ def test_batches_with_index_compaction_and_retry(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     recs = warehouse.read_records(spark, root, opts).count()
     assert recs == plan_batch(raw, cat, FIXTURE_OPTIONS).records().count()
+
+
+def test_compressed_record_files(spark):
+    opts = FIXTURE_OPTIONS.with_(text_compression="gzip")
+    bf = plan_batch(fixtures.raw_events(spark, SF), fixtures.fixture_catalog(spark, SF), opts)
+    root = scratch_path(spark, "t", "gz")
+    for g in bf.record_groups():
+        warehouse.write_records(g, root, 0, opts)
+    files = glob.glob(_local(warehouse.records_path(root, opts)) + "/*/*/*/part-*")
+    assert files and all(f.endswith(".gz") for f in files)
+    assert warehouse.read_records(spark, root, opts).count() == bf.records().count()
