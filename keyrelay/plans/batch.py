@@ -14,6 +14,7 @@ lists for scan push-down); ``process_batch`` runs and writes them.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -34,6 +35,7 @@ from ..session import path_exists
 from ..sinks import index_store, warehouse
 
 RECORD_COLUMNS = ["tableName", "dt", "seq", "c_stm", "schema_name", "main_family", "value"]
+log = logging.getLogger("keyrelay")
 
 
 @dataclass
@@ -232,6 +234,9 @@ def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame |
     pull_events = good.filter(F.col("data_state") != STATE_DELETE)
     stats, n_deletes = event_stats(good, opts.broadcast_key_limit)
     plans = table_plans(catalog.tables(), catalog.columns(), sorted(stats)) if stats else []
+    for p in plans:
+        if p.kind == "view" and not p.key_present:   # logged only, no error row (as the original)
+            log.warning("document view %s.%s has no column %s; skipped", p.source_schema, p.table, p.key_column)
     return BatchFrames(decoded, good, quarantine, deletes, pull_events, stats, plans, opts, catalog, n_deletes)
 
 
