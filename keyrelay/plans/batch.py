@@ -258,6 +258,7 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
         opts = opts.with_(run_ts=str(r))
     decoded = decode_events(raw.drop("run_ts") if "run_ts" in raw.columns else raw)
     decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [decoded]
     try:
         bf = plan_batch(raw, catalog, opts, decoded=decoded)
         for group in bf.record_groups():       # one job per group of tables, same batch partitions
@@ -283,7 +284,9 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
             # a retry after this batch was already compacted: its index work is in the base
             return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
         ie = bf.index_events(written_gate_keys(spark, out_root, batch_id, bf))
-        delta = idx.fold_delta(ie)
+        # one row per touched key, used three times below: computed once
+        delta = idx.fold_delta(ie).persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(delta)
         bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes        # >= keys in the delta
         small = bound <= opts.broadcast_key_limit
         delta_keys = delta.select("index_table", "c_stm")
@@ -298,4 +301,5 @@ def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOption
             index_store.prune_index(spark, root)
         return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
     finally:
-        decoded.unpersist()
+        for df in cached:
+            df.unpersist()
