@@ -124,6 +124,8 @@ def test_batches_with_index_compaction_and_retry(spark):
     process_batch(spark, raw.filter(F.col("seq") >= bounds[2]), cat, opts, root, 2)     # retry of the last batch
     live = [p.rsplit("/", 1)[1] for _, p in index_store.live_folders(spark, root)]
     assert live == ["base=2"]
+    from keyrelay.session import list_dirs
+    assert sorted(list_dirs(spark, index_store.index_path(root))) == ["base=2"]    # superseded folders pruned
     got = index_store.read_latest(spark, root)
     want = idx.fold(plan_batch(raw, cat, FIXTURE_OPTIONS).index_events())
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
