@@ -5,10 +5,10 @@ from __future__ import annotations
 from importlib import import_module
 
 #: query name -> module of this subpackage that defines it
-MODULES = {"op1_simhash": "simhash"}
+MODULES = {"op1_simhash": "simhash", "op2_quality": "quality", "op6_decontaminate": "decontaminate"}
 
-#: query name -> DuckDB SQL over the same tables
-ORACLES: dict[str, str] = {}
+#: query names that have DuckDB SQL over the same tables (ORACLE_SQL of their module)
+ORACLES = ("op2_quality", "op6_decontaminate")
 
 
 def queries() -> dict:
@@ -16,4 +16,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {n: import_module(f".{MODULES[n]}", __package__).ORACLE_SQL for n in ORACLES}
