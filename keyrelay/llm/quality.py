@@ -20,7 +20,7 @@ RULES: dict[str, str] = {
     "repeated_windows": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > n_words",
     "word_length": "word_chars < 2 * n_words OR word_chars > 20 * n_words",
-    "duplicate_lines": "10 * n_dup_lines > 3 * n_lines",
+    "duplicate_lines": "2 * n_dup_lines > n_lines",
     "capitals": "2 * n_capitals > word_chars",
     "exclamations": "4 * n_exclamations > n_words",
 }
