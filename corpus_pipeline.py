@@ -1,25 +1,48 @@
 """Corpus pipeline over ``documents``: a stage list and a runner.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet in the shared checkpoint folder
-and read again as the next stage's ``docs``. All but the last return the columns of ``documents``.
+and read again as the next stage's ``docs``. All but the last return the columns of ``documents``. Null and empty texts
+fail the quality rules; an empty table passes through all stages empty; extra columns are kept up to the last stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyrelay.llm import simhash
+from keyrelay.llm import bpe, decontaminate, pii, quality, simhash
 from keyrelay.llm.common import settle, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the current policy rejects go."""
+    return quality.passing_documents(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates: one document of each group stays, that of the smallest id."""
     return simhash.keep_one_each(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; spans of personal data are replaced by their kind, and ``n_chars`` follows the text."""
+    return pii.redact_documents(docs)
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, with digests of the ids and of the bytes they decode to."""
+    return bpe.digests(docs, keep_ids=True)
+
+
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup),
+          ("benchmark_decontamination", benchmark_decontamination), ("pii_redaction", pii_redaction),
+          ("bpe_encoding", bpe_encoding)]
 
-#: SQL cannot express the near-duplicate, PII and encoding stages.
+#: SQL cannot express the near-duplicate, personal-data and encoding stages.
 ORACLE_SQL = None
 
 

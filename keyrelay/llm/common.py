@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,9 +51,9 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(path)
 
 
-def utf8(column: pa.Array) -> list[bytes | None]:
-    """The texts of an Arrow string column as UTF-8 bytes (None for null)."""
-    return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
+def utf8(column: pa.Array) -> Iterator[bytes | None]:
+    """The texts of an Arrow string column as UTF-8 bytes (None for null), one at a time."""
+    return (x.as_py() for x in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()))
 
 
 def columns_of(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.StructArray:

@@ -7,7 +7,7 @@ comparison confirms each occurrence. Many stretches of a batch of texts are sear
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -141,7 +141,7 @@ FOUND = "struct<n_words: bigint, runs: array<array<bigint>>, items: array<string
 _TYPE = pa.struct([("n_words", pa.int64()), ("runs", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
 
 
-def _slices(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
+def _slices(texts: Iterable[bytes | None]) -> Iterator[list[bytes | None]]:
     part, size = [], 0
     for t in texts:
         part.append(t)
@@ -185,7 +185,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id"
         if number:
             out = settle(out, "decontaminate")
 
-        def scan(texts: list[bytes | None], before: list[dict | None], tables=tables) -> list[dict]:
+        def scan(texts: Iterable[bytes | None], before: list[dict | None], tables=tables) -> list[dict]:
             rows = []
             for part in _slices(texts):
                 words = [words_of(t) for t in part]
