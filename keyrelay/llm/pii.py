@@ -376,9 +376,12 @@ def _listed(base_only: bool) -> Column:
                                                                  s["end"].cast("string"))), ",")
 
 
+def _count(kind: str) -> Column:
+    return F.size(F.filter("pii", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+
 def op8_pii(spark, sf_dir):
     """Registered query: personal data in the whole ``documents`` table."""
     out = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("pii", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
-              for k in KINDS[:4]]
+    counts = [_count(kind).alias(f"n_{kind}") for kind in KINDS[:4]]
     return out.select("doc_id", *counts, F.sha2(_listed(True), 256).alias("base_sha256"), _listed(False).alias("spans"))
