@@ -5,8 +5,8 @@ from __future__ import annotations
 from importlib import import_module
 
 #: query name -> module of this subpackage that defines it
-MODULES = {"op1_simhash": "simhash", "op2_quality": "quality", "op6_decontaminate": "decontaminate", "op7_bpe": "bpe",
-           "op8_pii": "pii"}
+MODULES = {"op1_simhash": "simhash", "op2_quality": "quality",
+           "op4_token_files": "token_files", "op6_decontaminate": "decontaminate", "op7_bpe": "bpe", "op8_pii": "pii"}
 
 #: query names that have DuckDB SQL over the same tables (ORACLE_SQL of their module)
 ORACLES = ("op2_quality", "op6_decontaminate")
