@@ -6,10 +6,12 @@ from importlib import import_module
 
 #: query name -> module of this subpackage that defines it
 MODULES = {"op1_simhash": "simhash", "op2_quality": "quality",
-           "op4_token_files": "token_files", "op6_decontaminate": "decontaminate", "op7_bpe": "bpe", "op8_pii": "pii"}
+           "op4_token_files": "token_files", "op5_chat": "chat",
+           "op6_decontaminate": "decontaminate", "op7_bpe": "bpe", "op8_pii": "pii",
+           "op10_token_counts": "token_counts"}
 
 #: query names that have DuckDB SQL over the same tables (ORACLE_SQL of their module)
-ORACLES = ("op2_quality", "op6_decontaminate")
+ORACLES = ("op2_quality", "op5_chat", "op6_decontaminate")
 
 
 def queries() -> dict:
