@@ -6,7 +6,7 @@ from importlib import import_module
 
 #: query name -> module of this subpackage that defines it
 MODULES = {"op1_simhash": "simhash", "op2_quality": "quality",
-           "op4_token_files": "token_files", "op5_chat": "chat",
+           "op3_html_text": "html_text", "op4_token_files": "token_files", "op5_chat": "chat",
            "op6_decontaminate": "decontaminate", "op7_bpe": "bpe", "op8_pii": "pii",
            "op10_token_counts": "token_counts"}
 
