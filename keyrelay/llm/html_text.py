@@ -156,7 +156,7 @@ class _Lines:
                 self.lines.append("")
             self.blank = False
             pad = " " * max(0, self.indent - len(self.marker))
-            self.lines.append((pad + self.marker + "".join(self.now)).rstrip())
+            self.lines.append((pad + self.marker + "".join(self.now)).rstrip(" "))
             self.marker = ""
         self.now, self.open = [], False
 
@@ -169,7 +169,7 @@ class _Lines:
         if lines and self.blank and self.lines:
             self.lines.append("")
         self.blank = False
-        self.lines += [(" " * self.indent + x).rstrip() for x in lines]
+        self.lines += [(" " * self.indent + x).rstrip(" ") for x in lines]
 
 
 def _aligned(rows: list[list[str]]) -> list[str]:
