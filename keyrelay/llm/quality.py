@@ -79,7 +79,9 @@ def measure(docs: DataFrame, text_col: str = "text", into: str = "quality") -> D
         count("!").alias("n_exclamations")).alias("m"))
     failures = " + ".join(f"if({_qualified(c)}, {bit(r)}L, 0L)" for r, c in RULES.items())
     df = df.withColumn("bits", F.expr(failures))
-    return df.select("_row._all.*", F.struct("m.*", F.col("bits").alias("fail_bits")).alias(into))
+    # the row number (never negative) keeps the optimiser from copying the measurements into later filters, once per use
+    ledger = F.when(F.monotonically_increasing_id() >= 0, F.struct("m.*", F.col("bits").alias("fail_bits")))
+    return df.select("_row._all.*", ledger.alias(into))
 
 
 def _qualified(condition: str) -> str:
