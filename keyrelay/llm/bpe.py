@@ -10,24 +10,30 @@ from __future__ import annotations
 
 import base64
 import heapq
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table
+from .common import Remembered, ship, slices, strings, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes below which a piece is merged directly, tokens on each side of a boundary that are encoded anew first.
 LEAF, EDGE = 24, 2
-#: Pieces (and token pairs) remembered by a task, before those not used since the last time are forgotten.
-REMEMBERED, LONGEST = 200_000, 64
+#: Words and token pairs remembered by a task, bytes of text encoded at once.
+REMEMBERED, AT_ONCE = 900_000, 1 << 22
 NONE = 1 << 62
+#: Pieces merged side by side.
+SIDE_BY_SIDE = 4096
+#: A space beside another white-space character.
+BESIDE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}] | [\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 
 
 class Ranks:
@@ -38,6 +44,12 @@ class Ranks:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
         self.token = {rank: token for token, rank in self.ranks.items()}
         self.stable: dict[tuple[int, int], bool] = {}
+        # all pairs of tokens whose joint bytes are a token, as sorted numbers, and that token
+        pairs = {(a << 32) | b: rank for token, rank in self.ranks.items() for k in range(1, len(token))
+                 if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None}
+        self.pairs = np.array(sorted(pairs), np.int64)
+        self.joint = np.array([pairs[p] for p in self.pairs.tolist()], np.int64)
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of a piece; a piece that is itself a token is that token."""
@@ -86,6 +98,65 @@ class Ranks:
                 pairs[i - 1] = rank(piece[cut[i - 1]:cut[i + 1]], NONE)
         return [self.ranks[piece[a:b]] for a, b in zip(cut, cut[1:])]
 
+    def encode_many(self, pieces: list[bytes]) -> list[list[int]]:
+        """encode() of many pieces: those that are leaves of the tree are merged side by side, the others one by one."""
+        out: list = [None] * len(pieces)
+        leaves = []
+        for k, p in enumerate(pieces):
+            whole = self.ranks.get(p)
+            if whole is not None:
+                out[k] = [whole]
+            elif len(p) > LEAF:
+                out[k] = self.tree(p)
+            else:
+                leaves.append(k)
+        leaves.sort(key=lambda k: len(pieces[k]))
+        for at in range(0, len(leaves), SIDE_BY_SIDE):
+            part = leaves[at:at + SIDE_BY_SIDE]
+            for k, ids in zip(part, self.merge_rows([pieces[k] for k in part])):
+                out[k] = ids
+        return out
+
+    def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Token that each pair of tokens merges to, NONE if there is none; a negative b stands for no token."""
+        pair = (a << 32) | np.maximum(b, 0)
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (b >= 0), self.joint[at], NONE)
+
+    def merge_rows(self, pieces: list[bytes]) -> list[list[int]]:
+        """merge() of pieces of similar length, one row of tokens each: every round merges one pair in every row."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = int(size.max())
+        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
+        column = np.arange(width)
+        tokens = np.where(column < size[:, None], self.of_byte[raw], -1)
+        tokens = np.concatenate([tokens, np.full((len(pieces), 1), -1)], axis=1)
+        ranks = self.rank_of(tokens[:, :-1].ravel(), tokens[:, 1:].ravel()).reshape(-1, width)
+        ranks[tokens[:, :-1] < 0] = NONE
+        out: list = [None] * len(pieces)
+        rows = np.arange(len(pieces))
+        while len(rows):
+            at = ranks.argmin(1)
+            here = np.arange(len(rows))
+            token = ranks[here, at]
+            done = token == NONE
+            if done.any():
+                for k, ids in zip(rows[done].tolist(), tokens[done].tolist()):
+                    out[k] = ids[:ids.index(-1)]
+                go = ~done
+                rows, tokens, ranks, at, token = rows[go], tokens[go], ranks[go], at[go], token[go]
+                here = np.arange(len(rows))
+            # the token after the merged place goes, everything behind it moves up by one
+            behind = column >= at[:, None] + 1
+            tokens[:, :-1] = np.where(behind, tokens[:, 1:], tokens[:, :-1])
+            ranks[:, :-1] = np.where(behind[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = NONE
+            tokens[here, at] = token
+            ranks[here, at] = self.rank_of(token, tokens[here, at + 1])
+            left = np.flatnonzero(at > 0)
+            ranks[left, at[left] - 1] = self.rank_of(tokens[left, at[left] - 1], token[left])
+        return out
+
     def merge_long(self, piece: bytes) -> list[int]:
         """merge() with a queue, for windows that have grown long."""
         ranks, n = self.ranks, len(piece)
@@ -112,79 +183,128 @@ class Ranks:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-class _Pieces(dict):
-    """Piece of text -> its ids, filled as pieces come up; long pieces are not kept."""
+class Codec:
+    """Encodes texts: cut into words at single spaces, words into pieces by the pattern, pieces into ids.
 
-    def __init__(self, ranks: Ranks):
-        super().__init__()
-        self.ranks, self.old = ranks, {}
+    A space between two characters that are not white space always starts a piece, so the words that start with such spaces
+    are encoded each for itself, and remembered. Texts with a space beside other white space are cut by the pattern alone.
+    """
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self.ranks.encode(piece.encode())
-        if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
+    def __init__(self, path: str, pattern: str):
+        self.ranks, self.pattern = Ranks(path), regex.compile(pattern)
+        self.known = Remembered(self.encode_words, REMEMBERED, "<i4")
+        self.pieces = Remembered(self.encode_pieces, REMEMBERED // 3, "<i4")
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.ranks.encode_many([p.encode() for p in pieces])
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return size, np.fromiter(chain.from_iterable(ids), "<i4", int(size.sum()))
+
+    def cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """(the pieces of all words one after the other, number of pieces of each word)."""
+        plain = [w for w in words if w[:1] == " " and len(w) > 1 and " " not in w[1:] and not w[1].isspace()]
+        if len(plain) < len(words):         # words of other forms are cut one by one
+            easy, (pieces, counts) = set(plain), self.cut(plain)
+            ends, out, number, at = np.cumsum(counts), [], [], 0
+            for w in words:
+                own = pieces[ends[at] - counts[at]:ends[at]] if w in easy else self.pattern.findall(w)
+                at += w in easy
+                out += own
+                number.append(len(own))
+            return out, np.array(number, np.int64)
+        pieces = self.pattern.findall("".join(words))       # a space starts a word here, and nothing else does
+        first = np.flatnonzero(np.fromiter((p[0] == " " for p in pieces), bool, len(pieces)))
+        return pieces, np.diff(np.append(first, len(pieces)))
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces, counts = self.cut(words)
+        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        rows = self.pieces.rows_of(strings(coded.dictionary))[coded.indices.to_numpy()]
+        ends = np.concatenate([[0], np.cumsum(self.pieces.size[rows], dtype=np.int64)])
+        return np.diff(ends[np.concatenate([[0], np.cumsum(counts)])]), self.pieces.gather(rows)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, all ids one after the other); null counts as empty."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, BESIDE).to_numpy(zero_copy_only=False)
+        easy = pc.if_else(pa.array(whole), "", texts)
+        lists = pc.split_pattern(easy, " ")
+        words = lists.flatten().dictionary_encode()
+        at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        distinct = strings(words.dictionary)
+        first = [distinct[k] for k in words.indices.to_numpy()[at[:-1]].tolist()]
+        # a text's first word has no space before it, so it and the texts cut as a whole differ from all other names
+        more, where = _distinct([*first, *(t.as_py() for t in texts.filter(pa.array(whole)))])
+        rows = self.known.rows_of([*(" " + w for w in distinct), *more])
+        rows = np.concatenate([rows[:len(distinct)], rows[len(distinct):][where]])
+        of = rows[words.indices.to_numpy()]
+        of[at[:-1]] = rows[len(distinct):len(distinct) + len(first)]
+        of[at[:-1][whole]] = rows[len(distinct) + len(first):]
+        ends = np.concatenate([[0], np.cumsum(self.known.size[of], dtype=np.int64)])
+        return np.diff(ends[at]), self.known.gather(of)
+
+
+def _distinct(names: list[str]) -> tuple[list[str], np.ndarray]:
+    place: dict[str, int] = {}
+    where = np.fromiter((place.setdefault(n, len(place)) for n in names), np.int64, len(names))
+    return list(place), where
 
 
 @lru_cache(maxsize=2)
-def pieces_of(path: str) -> _Pieces:
-    return _Pieces(Ranks(path))
+def codec(path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> Codec:
+    return Codec(path, pattern)
 
 
-@lru_cache(maxsize=2)
-def splitter(pattern: str) -> regex.Pattern:
-    return regex.compile(pattern)
+def encode_text(text: str, path: str = VOCABULARY) -> list[int]:
+    return codec(path).encode(pa.array([text]))[1].tolist()
 
 
-def encode_text(text: str, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> np.ndarray:
-    pieces = pieces_of(path)
-    return np.fromiter(chain.from_iterable(map(pieces.__getitem__, splitter(pattern).findall(text))), np.int32)
+CODED = "struct<ids: array<int>, decoded: binary>"
 
 
-def encode_column(text: Column, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> Column:
-    """Ids (array<int>) of a text column, without special tokens; null and empty texts have none."""
-    @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
-        ids = [encode_text(t, path, pattern) if (t := x.as_py()) else np.empty(0, np.int32) for x in texts]
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+def code_column(text: Column, path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> Column:
+    """Struct of the ids of a text column, without special tokens, and of the bytes these ids decode to."""
+    @F.arrow_udf(CODED)
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = codec(path, pattern)
+        for texts in batches:
+            for a, b in slices(texts, AT_ONCE):         # results leave in slices, which bounds a task's memory
+                n, flat = own.encode(texts.slice(a, b - a))
+                ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                decoded = [own.ranks.decode(flat[i:j].tolist()) for i, j in zip(ends.tolist(), ends[1:].tolist())]
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+                yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.binary())], ["ids", "decoded"])
 
-    return encode(text)
+    return code(text)
 
 
 def decode_column(ids: Column, path: str = VOCABULARY) -> Column:
     """Bytes (binary) of a column of ids; null gives no bytes."""
     @F.arrow_udf("binary")
     def decode(lists: pa.Array) -> pa.Array:
-        token = pieces_of(path).ranks.decode
-        return pa.array((token(x.values.to_pylist()) if x.is_valid else b"" for x in lists), pa.binary())
+        decoder = codec(path).ranks.decode
+        return pa.array((decoder(x.values.to_pylist()) if x.is_valid else b"" for x in lists), pa.binary())
 
     return decode(ids)
 
 
-def encode_documents(docs: DataFrame, text_col: str = "text", path: str = VOCABULARY, ids: str = "ids",
-                     decoded: str = "decoded") -> DataFrame:
-    """``docs`` with the ids of its texts and the bytes these ids decode to.
+def encode_documents(docs: DataFrame, text_col: str = "text", path: str = VOCABULARY, into: str = "coded") -> DataFrame:
+    """``docs`` with a struct column: the ids of its texts and the bytes these ids decode to.
 
     Null and empty texts have no ids; repeated rows are encoded alike; an empty table stays empty; other columns pass
-    through (columns named as the two new ones are replaced).
+    through (one named as the new column is replaced).
     """
     ship(docs.sparkSession)
-    out = docs.withColumn(ids, encode_column(F.col(text_col).cast("string"), path))
-    return out.withColumn(decoded, decode_column(F.col(ids), path))
+    return docs.withColumn(into, code_column(F.col(text_col).cast("string"), path))
 
 
 def digests(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of documents, with the ids themselves if asked for."""
     out = encode_documents(docs.select("doc_id", "text"))
-    found = out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), "ids")
+    ids = F.col("coded.ids")
+    found = out.select("doc_id", F.size(ids).cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2(F.col("coded.decoded"), 256).alias("decoded_sha256"), ids.alias("ids"))
     return found if keep_ids else found.drop("ids")
 
 

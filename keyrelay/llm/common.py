@@ -5,12 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -68,6 +69,69 @@ def expand(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def as_text(df: DataFrame, text_col: str) -> DataFrame:
-    """``df`` with the text column as string, null as empty."""
-    return df.withColumn(text_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+class Remembered:
+    """Words whose ids are known to a task: word -> row; a row's ids are one run of ``flat``.
+
+    Bounded: when half of ``bound`` words are held, they become the older generation and the one before them goes; words
+    of the older generation that come up again move to the younger one.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], bound: int, dtype: str = "<u4"):
+        """``encode``: (number of ids of each word, all ids one after the other) of new words."""
+        self.encode, self.bound, self.dtype, self.old = encode, bound, dtype, None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.start = self.size = np.empty(0, np.int32)
+        self.flat = np.empty(0, self.dtype)
+
+    def gather(self, rows: np.ndarray) -> np.ndarray:
+        """The ids of rows, one after the other."""
+        return runs(self.flat, self.start[rows], self.size[rows])
+
+    def _add(self, words: list[str], size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        rows = np.arange(len(self.rows), len(self.rows) + len(words), dtype=np.int32)
+        self.rows.update(zip(words, rows.tolist()))
+        size = size.astype(np.int32)
+        self.start = np.concatenate([self.start, np.int32(len(self.flat)) + np.cumsum(size, dtype=np.int32) - size])
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+        return rows
+
+    def rows_of(self, words: list[str]) -> np.ndarray:
+        """Rows of distinct words, valid until the next call."""
+        if len(self.rows) + len(words) > self.bound // 2 and self.rows:
+            self.old = (self.rows, self.start, self.size, self.flat)
+            self._clear()
+        found = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int32, len(words))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown) and self.old:
+            rows, start, size, flat = self.old
+            before = np.fromiter((rows.get(words[k], -1) for k in unknown.tolist()), np.int32, len(unknown))
+            again, before = unknown[before >= 0], before[before >= 0]
+            found[again] = self._add([words[k] for k in again.tolist()], size[before],
+                                     runs(flat, start[before], size[before]))
+            unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            new = [words[k] for k in unknown.tolist()]
+            found[unknown] = self._add(new, *self.encode(new))
+        return found
+
+
+def runs(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """flat[start:start + size] of every run, one after the other."""
+    at = np.repeat(start - (np.cumsum(size, dtype=np.int32) - size), size)
+    at += np.arange(len(at), dtype=np.int32)
+    return flat[at]
+
+
+def strings(column: pa.Array) -> list[str]:
+    """The texts of a string column without nulls."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges [a, b) of a text column of about ``size`` bytes each, at least a row."""
+    parts = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // size
+    cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(texts)]
+    return ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
