@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table
+from .common import ship, strings, table
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 #: The character that starts a word in the vocabulary.
@@ -105,8 +105,9 @@ class Counter:
         """(words, tokens, unknown words) of each text; an unknown word is one token."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = lists.flatten().dictionary_encode()
-        of = self.lengths(words.dictionary.to_pylist())
-        real = np.array([w != "" for w in words.dictionary.to_pylist()], bool)
+        distinct = strings(words.dictionary)
+        of = self.lengths(distinct)
+        real = np.array([w != "" for w in distinct], bool)
         which, ends = words.indices.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
 
         def per_text(values: np.ndarray) -> np.ndarray:
