@@ -140,3 +140,45 @@ def op9_licenses(spark, sf_dir):
     """Registered query: the whole ``documents`` table, laid out as source/language/doc_id."""
     docs = table(spark, sf_dir, "documents").withColumn("path", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
     return scan(docs, keep=("doc_id",))
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLE_SQL = rf"""
+WITH d AS (SELECT doc_id, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path, concat_ws('/', source, lang) AS dir,
+             text, row_number() OVER () AS r FROM documents),
+parts AS (
+  SELECT r, dir, 'file' AS kind, text AS part FROM d WHERE regexp_matches(text, '{CUE}')
+  UNION ALL SELECT r, dir, 'paragraph', unnest(string_split_regex(text, '\n[ \t]*\n')) FROM d WHERE regexp_matches(text, '{CUE}')
+  UNION ALL SELECT r, dir, 'line', unnest(string_split_regex(regexp_replace(text, '([.!?]) +([A-Z])', '\1' || chr(1) || '\2', 'g'),
+                   '\n|\x01')) FROM d WHERE regexp_matches(text, '{CUE}')),
+seg AS (SELECT *, array_to_string(regexp_extract_all(lower(part), '{TERM}'), ' ') AS norm FROM parts
+        WHERE kind = 'file' OR regexp_matches(part, '{CUE}')),
+s AS (SELECT r, dir, kind, norm FROM seg WHERE norm <> ''),
+tpl AS (SELECT 'template ' || i AS key, license, array_to_string(regexp_extract_all(lower(text), '{TERM}'), ' ') AS norm
+        FROM (VALUES {', '.join(f"({k}, {_sql_text(n)}, {_sql_text(t)})" for k, (n, t) in enumerate(TEMPLATES))}) AS t(i, license, text)),
+keyed AS (SELECT norm AS key, norm, count(*) AS n FROM s GROUP BY norm UNION ALL SELECT key, norm, 1 FROM tpl),
+vec AS (SELECT key, n, term, count(*) AS tf FROM (SELECT key, n, unnest(string_split(norm, ' ')) AS term FROM keyed) GROUP BY ALL),
+idf AS (SELECT term, 1 + ln((1 + (SELECT sum(n) FROM keyed)) / (1.0 + sum(n))) AS idf FROM vec GROUP BY term),
+w AS (SELECT key, term, (1 + ln(tf)) * idf AS w FROM vec JOIN idf USING (term)),
+nrm AS (SELECT key, sqrt(sum(w * w)) AS norm FROM w GROUP BY key),
+tv AS (SELECT w.key AS template, license, term, w / nrm.norm AS v FROM w JOIN tpl USING (key) JOIN nrm USING (key)),
+sc AS (SELECT dots.key, license, round(dot / nrm.norm, 6) AS score FROM (
+         SELECT w.key, template, license, sum(w.w * tv.v) AS dot FROM w JOIN tv USING (term)
+         WHERE w.key NOT IN (SELECT key FROM tpl) GROUP BY ALL) dots JOIN nrm ON nrm.key = dots.key),
+best AS (SELECT key, license, score FROM sc WHERE score >= {LEAST}
+         QUALIFY row_number() OVER (PARTITION BY key ORDER BY score DESC, license) = 1),
+hits AS (SELECT r, dir, kind, license, score FROM s JOIN best ON best.key = s.norm),
+own AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, license) = 1),
+lic AS (SELECT dir AS from_dir, license, score FROM hits WHERE kind = 'file'
+        QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1),
+near AS (SELECT x.dir, lic.* FROM (SELECT DISTINCT dir FROM d) x
+         JOIN lic ON lic.from_dir = '' OR x.dir = lic.from_dir OR starts_with(x.dir, lic.from_dir || '/')
+         QUALIFY row_number() OVER (PARTITION BY x.dir ORDER BY length(lic.from_dir) DESC) = 1)
+SELECT doc_id, path, coalesce(own.license, near.license) AS license, coalesce(own.score, near.score) AS score,
+       CASE WHEN own.license IS NOT NULL THEN 'own' WHEN near.license IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN own.license IS NULL THEN near.from_dir END AS from_dir
+FROM d LEFT JOIN own USING (r) LEFT JOIN near ON near.dir = d.dir
+"""

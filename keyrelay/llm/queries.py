@@ -11,7 +11,7 @@ MODULES = {"op1_simhash": "simhash", "op2_quality": "quality",
            "op9_licenses": "licenses", "op10_token_counts": "token_counts"}
 
 #: query names that have DuckDB SQL over the same tables (ORACLE_SQL of their module)
-ORACLES = ("op2_quality", "op5_chat", "op6_decontaminate")
+ORACLES = ("op2_quality", "op5_chat", "op6_decontaminate", "op9_licenses")
 
 
 def queries() -> dict:
