@@ -28,7 +28,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes below which a piece is merged directly, tokens on each side of a boundary that are encoded anew first.
 LEAF, EDGE = 24, 2
 #: Words and token pairs remembered by a task, bytes of text encoded at once.
-REMEMBERED, AT_ONCE = 900_000, 1 << 22
+REMEMBERED, AT_ONCE = 600_000, 1 << 22
 NONE = 1 << 62
 #: Pieces merged side by side.
 SIDE_BY_SIDE = 4096

@@ -7,6 +7,7 @@ or an at sign are decoded: the trained weights are checked to label every other
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -14,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, table
+from .common import ship, slices, table
 from .crf import Chain
 
 #: Kinds of spans in the order in which they are listed; the last is found by the field alone.
 KINDS = ("email", "ip", "card", "phone", "ssn")
 LABELS = ("outside", *KINDS)
-#: Words decoded at once in a task.
-AT_ONCE = 1 << 18
+#: Words decoded and bytes of text taken at once in a task.
+AT_ONCE, BYTES_AT_ONCE = 1 << 18, 1 << 22
 
 _AT = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
@@ -319,25 +320,37 @@ SPANS = "array<struct<kind: string, start: bigint, end: bigint, base: boolean>>"
 _TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
 
+def _found(batches: Iterator[pa.Array], chain: Chain) -> Iterator[tuple[list[str | None], list[list[dict]]]]:
+    """Texts and their spans, in slices that bound a task's memory."""
+    for texts in batches:
+        for a, b in slices(texts, BYTES_AT_ONCE):
+            part = texts.slice(a, b - a).to_pylist()
+            spans = find_spans([t or "" for t in part], chain)
+            yield part, [[dict(zip(("kind", "start", "end", "base"), s)) for s in own] for own in spans]
+
+
 def spans_column(text: Column) -> Column:
     """Spans of personal data (code points, end exclusive) of a text column; null and empty texts have none."""
     chain = field()
 
     @F.arrow_udf(SPANS)
-    def find(texts: pa.Array) -> pa.Array:
-        found = find_spans([t or "" for t in texts.to_pylist()], chain)
-        return pa.array([[dict(zip(("kind", "start", "end", "base"), s)) for s in spans] for spans in found], _TYPE)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for _, spans in _found(batches, chain):
+            yield pa.array(spans, _TYPE)
 
     return find(text)
 
 
-def redact_column(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; overlapping spans become one."""
+def redacted_column(text: Column) -> Column:
+    """The text with every span replaced by its kind in brackets; overlapping spans become one, null stays null."""
+    chain = field()
+
     @F.arrow_udf("string")
-    def redact(texts: pa.Array, found: pa.Array) -> pa.Array:
-        return pa.array([redacted(t, s) for t, s in zip(texts.to_pylist(), found.to_pylist())], pa.string())
+    def redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts, spans in _found(batches, chain):
+            yield pa.array([redacted(t, s) for t, s in zip(texts, spans)], pa.string())
 
-    return redact(text, spans)
+    return redact(text)
 
 
 def redacted(text: str | None, spans: list[dict] | None) -> str | None:
@@ -365,7 +378,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the columns of ``docs``: personal data in ``text`` is replaced, ``n_chars`` follows it."""
     ship(docs.sparkSession)
     rows = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
-    rows = find_pii(rows, into="pii").withColumn("clean", redact_column(F.col("text"), F.col("pii")))
+    rows = rows.withColumn("clean", redacted_column(F.col("text")))
     new = {"text": F.col("clean"), "n_chars": F.char_length("clean").cast("long")}
     return rows.select(*[new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
 

@@ -41,7 +41,8 @@ def fingerprint_column(text: Column, size: int = SHINGLE) -> Column:
     """64-bit SimHash (as a signed long) of a text column; null and empty texts have fingerprint 0."""
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
-        return pa.array(np.fromiter((simhash(t, size) for t in utf8(texts)), "<u8", len(texts)).view("<i8"))
+        prints = np.fromiter((simhash(t, size) for t in utf8(texts)), "<u8", len(texts))
+        return pa.array(prints.view("<i8"))
 
     return of(text)
 
