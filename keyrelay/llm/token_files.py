@@ -8,10 +8,12 @@ Spark writes to can hold them; ``shards`` beside them lists where each shard's i
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -23,16 +25,31 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import expand, ship, slots, table
+from .common import Remembered, runs, ship, slices, slots, strings, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 #: Ids of a block, ids after which a chunk ends (a document is never cut), zstandard level.
 BLOCK, CHUNK, LEVEL = 1 << 16, 1 << 18, 3
 #: Words remembered by a task, bytes of text that are encoded at once.
-REMEMBERED, AT_ONCE = 1_000_000, 1 << 23
+REMEMBERED, AT_ONCE = 1_000_000, 1 << 22
 #: A character that is a word and a token by itself, put between the words that are encoded in one call.
 MARK = "\x01"
+#: Words in one call.
+A_CALL = 2000
+#: Words of Latin letters, with a mark behind at most: the tokenizer only lower-cases them and cuts off the mark.
+PLAIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+[.,]?")
+
+
+def _byte_level() -> str:
+    """The characters that byte-level tokenizers write the 256 bytes with: printable ones as they are, the others from
+    U+0100 on. The space stays, since it separates words here."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return "".join(" " if b == 0x20 and next(others) else chr(b if b in kept else next(others)) for b in range(256))
+
+
+BYTE_LEVEL = _byte_level()
 
 
 # -- planes ------------------------------------------------------------------
@@ -90,12 +107,13 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
         self.tokenizer = Tokenizer.from_file(path)
+        # the same merges without normalizer and pre-tokenizer, for words whose outcome is known beforehand
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = Split(" ", "removed")
         self.mark, = self.ids(MARK).tolist()
-        # known words: word -> row; the ids of a row are flat[start[row]:start[row] + size[row]]
-        self.rows: dict[str, int] = {}
-        self.start = self.size = np.empty(0, np.int64)
-        self.flat = np.empty(0, "<u4")
+        self.known = Remembered(self.encode_words, REMEMBERED)
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -105,40 +123,39 @@ class Encoder:
         texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         lists = pc.split_pattern(texts, " ")
         words = lists.flatten().dictionary_encode()
-        rows = self.rows_of(words.dictionary.to_pylist())[words.indices.to_numpy()]
-        size = self.size[rows]
-        ends = np.concatenate([[0], np.cumsum(size)])
+        rows = self.known.rows_of(strings(words.dictionary))[words.indices.to_numpy()]
+        ends = np.concatenate([[0], np.cumsum(self.known.size[rows], dtype=np.int64)])
         counts = np.diff(ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
-        return counts, self.gather(rows)
-
-    def gather(self, rows: np.ndarray) -> np.ndarray:
-        owner, place = expand(self.size[rows])
-        return self.flat[self.start[rows][owner] + place]
-
-    def rows_of(self, words: list[str]) -> np.ndarray:
-        """Rows of distinct words; unknown ones are encoded in one call."""
-        if len(self.rows) + len(words) > REMEMBERED:        # keep what is needed now
-            kept = [w for w in words if w in self.rows]
-            rows = np.array([self.rows[w] for w in kept], np.int64)
-            self.flat, self.size = self.gather(rows), self.size[rows]
-            self.start, self.rows = np.cumsum(self.size) - self.size, {w: k for k, w in enumerate(kept)}
-        found = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(found < 0)
-        if len(unknown):
-            new = [words[k] for k in unknown.tolist()]
-            # set apart by a mark; words that hold the mark's character are encoded alone
-            flat = self.ids(f" {MARK} ".join(["" if MARK in w else w for w in new]))
-            ends = np.append(np.flatnonzero(flat == self.mark), len(flat))
-            size = np.diff(ends, prepend=-1) - 1
-            flat = flat[flat != self.mark]
-            for k in [k for k, w in enumerate(new) if MARK in w]:
-                alone, at = self.ids(new[k]), int(size[:k].sum())
-                flat, size[k] = np.concatenate([flat[:at], alone, flat[at:]]), len(alone)
-            found[unknown] = np.arange(len(self.rows), len(self.rows) + len(new))
-            self.rows.update(zip(new, found[unknown].tolist()))
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
-        return found
+        return counts, self.known.gather(rows)
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A few calls for all words, which are set apart by a mark; words that hold the mark's character go alone."""
+        plain, other, alone = [], [], []
+        for k, w in enumerate(words):
+            (plain if PLAIN.fullmatch(w) else alone if MARK in w else other).append(k)
+        parts = [(plain, *self._joined([words[k] for k in plain], self.pieces, _as_bytes)),
+                 (other, *self._joined([words[k] for k in other], self.tokenizer, str))]
+        for k in alone:
+            ids = self.ids(words[k])
+            parts.append(([k], np.array([len(ids)]), ids))
+        order = np.concatenate([np.array(p[0], np.int64) for p in parts])
+        size, flat = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+        back = np.argsort(order)
+        start = np.cumsum(size) - size
+        return size[back], runs(flat, start[back].astype(np.int32), size[back].astype(np.int32))
+
+    def _joined(self, words: list[str], tokenizer, prepare) -> tuple[np.ndarray, np.ndarray]:
+        texts = [prepare(f" {MARK} ".join([*words[k:k + A_CALL], ""])) for k in range(0, len(words), A_CALL)]
+        found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.array(list(chain.from_iterable(found)), "<u4")
+        marks = flat == self.mark
+        return np.diff(np.flatnonzero(marks), prepend=-1) - 1, flat[~marks]
+
+
+def _as_bytes(text: str) -> str:
+    """What normalizer and pre-tokenizer make of joined plain words: lower case, marks apart, byte-level characters."""
+    text = text.lower().replace(",", " ,").replace(".", " .")
+    return codecs.charmap_decode(text.encode(), "strict", BYTE_LEVEL)[0]
 
 
 @lru_cache(maxsize=2)
@@ -170,7 +187,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bits: boo
         return out
 
     for batch in batches:
-        for part in _some(batch):
+        for part in (batch.slice(a, b - a) for a, b in slices(batch.column(1), AT_ONCE)):
             counts, ids = encoder(path).encode(part.column(1))
             ends = np.cumsum(counts).tolist()
             for doc_id, a, b in zip(part.column(0).to_pylist(), [0, *ends], ends):
@@ -183,16 +200,6 @@ def _chunks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, bits: boo
         yield chunk()
 
 
-def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of a bounded number of bytes of text (at least a row each)."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-    slices = np.cumsum(sizes) // AT_ONCE
-    cuts = [0, *(np.flatnonzero(np.diff(slices)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:]):
-        if a < b:
-            yield batch.slice(a, b - a)
-
-
 def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                       vocabulary: str = VOCABULARY, end_id: int = END_ID, bits: bool = False,
                       shards: int | None = None) -> str:
