@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,16 +23,22 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[8]", app: str = "keyrelay",
-                shuffle_partitions: int = 8, extra: dict | None = None,
-                checkpoint_fallback: str | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+def get_session(master: str | None = None, app: str = "keyrelay", shuffle_partitions: int | None = None,
+                extra: dict | None = None, checkpoint_fallback: str | None = None) -> SparkSession:
+    """A session with this package's settings where the deployment has none.
+
+    What spark-submit, spark-defaults.conf or PYSPARK_SUBMIT_ARGS set stays as it is, master and shuffle partitions
+    included; only values passed here explicitly (tests, the bench) win over it. Without any master the session is local.
+    """
+    SparkContext._ensure_initialized()          # so that SparkConf holds what the deployment set
+    given = SparkConf()
+    conf = {k: v for k, v in DEFAULT_CONF.items() if not given.contains(k)}
+    if master or not given.contains("spark.master"):
+        conf["spark.master"] = master or "local[*]"
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
+    spark = SparkSession.builder.appName(app).config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark, checkpoint_fallback)
     return spark
@@ -40,17 +47,18 @@ def get_session(master: str = "local[8]", app: str = "keyrelay",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this is set by the deployment and is only read here. When it is
-    unset, ``fallback`` (e.g. the job's own shared checkpoint path) is used, else a
-    private folder is created (local tests).
+    On a cluster this is set by the deployment and is only read here. When it is unset, ``fallback`` (e.g. the job's own
+    shared checkpoint path) is used. Only a local session may fall back to a private folder of this machine.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None) or fallback
     if not conf:
-        conf = fallback or tempfile.mkdtemp(prefix="keyrelay-ckpt-")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: a shared folder is needed on a cluster")
+        conf = tempfile.mkdtemp(prefix="keyrelay-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -101,6 +109,42 @@ def delete_dir(spark: SparkSession, p: str) -> None:
         fs.delete(hp, True)
 
 
+def read_text(spark: SparkSession, p: str) -> str | None:
+    """Content of a small text file on any file system Spark knows; None if there is none."""
+    hp, fs = _fs(spark, p)
+    if not fs.exists(hp):
+        return None
+    stream = fs.open(hp)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, p: str, text: str) -> None:
+    hp, fs = _fs(spark, p)
+    stream = fs.create(hp, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def list_files(spark: SparkSession, p: str) -> list[str]:
+    """Names of the files directly under ``p``."""
+    hp, fs = _fs(spark, p)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hp) if s.isFile()) if fs.exists(hp) else []
+
+
+def move_file(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename one small file; the commit point of a swap."""
+    s, fs = _fs(spark, src)
+    d, _ = _fs(spark, dst)
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise IOError(f"could not move {src} to {dst}")
+
+
 def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """Small driver-side data (catalogue metadata) as a local relation.
 
