@@ -20,8 +20,7 @@ EVENT_TEXT_SCHEMA = T.StructType(
 _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 # Accepted modification-time text: yyyy-[m]m-[d]d hh:mm:ss[.f...] (up to nanoseconds).
-D_XGSJ_FORMATS = ("yyyy-M-d H:m:s", "yyyy-M-d H:m:s.SSSSSSSSS", "yyyy-M-d H:m:s.SSSSSS",
-                  "yyyy-M-d H:m:s.SSS", "yyyy-M-d H:m:s.SS", "yyyy-M-d H:m:s.S")
+D_XGSJ_FORMAT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(\.[0-9]{1,9})?$"
 
 REASONS = ("bad_json", "no_data_state", "bad_data_state", "bad_schema_name", "bad_n_jbfy", "bad_d_xgsj")
 
@@ -34,8 +33,8 @@ def case_type(schema_name: Column) -> Column:
 def parse_d_xgsj(text: Column) -> Column:
     """Empty or absent -> NULL; otherwise a wall-clock timestamp (NTZ) or NULL if unparsable."""
     t = F.nullif(F.trim(text), F.lit(""))
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(fmt)) for fmt in D_XGSJ_FORMATS])
-    return parsed.cast(T.TimestampNTZType())
+    # to a time without zone at once: no session zone can shift it or find it missing
+    return F.when(t.rlike(D_XGSJ_FORMAT), t.try_cast(T.TimestampNTZType()))
 
 
 def decode_events(raw: DataFrame) -> DataFrame:
@@ -47,6 +46,8 @@ def decode_events(raw: DataFrame) -> DataFrame:
     passthru = [c for c in raw.columns if c not in ("seq", "value")]
     j = F.from_json(F.col("value"), EVENT_TEXT_SCHEMA, _JSON_OPTS)
     df = raw.select("seq", "value", *passthru, j.alias("_j"))
+    # the decoder stops at the end of the object; as the element of an array, text after it is an error (or a second element)
+    one_value = F.coalesce(F.json_array_length(F.concat(F.lit("["), "value", F.lit("]"))) == 1, F.lit(False))
     ds_txt = F.col("_j.data_state")
     nj_txt = F.col("_j.n_jbfy")
     df = df.select(
@@ -59,7 +60,7 @@ def decode_events(raw: DataFrame) -> DataFrame:
         nj_txt.try_cast("int").alias("n_jbfy"),
         F.col("_j.schemaName").alias("schema_name"),
         case_type(F.col("_j.schemaName")).alias("ajzlx"),
-        (F.col(f"_j.{CORRUPT}").isNotNull() | F.coalesce(F.trim("value"), F.lit("")).__eq__("")).alias("_bad"),
+        (F.col(f"_j.{CORRUPT}").isNotNull() | F.coalesce(F.trim("value"), F.lit("")).__eq__("") | ~one_value).alias("_bad"),
         ds_txt.alias("_ds_txt"), nj_txt.alias("_nj_txt"),
     )
     reason = (

@@ -65,3 +65,20 @@ def test_quarantine_reasons(spark):
 def test_null_key_is_valid(spark):
     r = _decode(spark, [(1, '{"data_state":0,"schemaName":"db_x"}')])
     assert r[1].reason is None and r[1].c_stm is None
+
+
+def test_text_after_the_object_is_bad_json(spark):
+    good = '{"c_stm":"a","data_state":1,"schemaName":"db_x"}'
+    r = _decode(spark, [(1, good), (2, good + " xyz"), (3, good + "}"), (4, good + good), (5, f" {good}\n"), (6, good + ", 1"),
+                        (7, good[:-1])])
+    assert [r[k].reason for k in range(1, 8)] == [None, "bad_json", "bad_json", "bad_json", None, "bad_json", "bad_json"]
+
+
+def test_modification_time_ignores_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = _decode(spark, [(1, '{"c_stm":"a","data_state":1,"schemaName":"db_x","d_xgsj":"2024-03-10 02:30:00"}')])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert r[1].d_xgsj == dt.datetime(2024, 3, 10, 2, 30)      # an hour that New York skipped
