@@ -39,6 +39,11 @@ class SyncOptions:
     """Per-job settings. Everything that varies between shards or runs lives here."""
 
     dbid: str = "00"
+    # Tells apart the streams and backfills of a shard that write to one warehouse; a stream gets the
+    # query id of its checkpoint, which survives restarts. Part of every output path.
+    stream_id: str = "batch"
+    # Zone whose wall clock gives the batch time (dt, update_time) and event times.
+    time_zone: str = "UTC"
     # Batch time as 'yyyy-MM-dd HH:mm:ss[.ffffff]'. Streaming batches take it from the
     # micro-batch timestamp; fixtures pin it so results are reproducible.
     run_ts: str | None = None
@@ -56,18 +61,17 @@ class SyncOptions:
     pushdown_key_limit: int = 10_000
     # Catalogue frames are broadcast only under this many rows.
     broadcast_catalog_limit: int = 100_000
-    # Warehouse layout: "single" = one write partitioned by tableName/dt/batch_id;
-    # "per_table" = {db}/{tableName}/dt=.../batch_id=... one write per table.
+    # Warehouse layout: "single" = one write partitioned by tableName/dt/writer/batch_id;
+    # "per_table" = {db}/{tableName}/dt=.../writer=.../batch_id=... one write per table.
     layout: str = "single"
     warehouse_db: str = WAREHOUSE_DB
-    max_records_per_file: int = 1_000_000
+    max_records_per_file: int | None = None
+    # Bytes a record file should have; compaction uses the same size.
+    file_bytes: int = 122 * 1024 * 1024
     # Codec of the JSON-lines files ("gzip", "zstd", ...); None keeps plain UTF-8 text as the
     # original sink writes. At scale a codec cuts the write volume several-fold.
     text_compression: str | None = None
-    # Most writer tasks one table/date of a batch is spread over (AQE merges small ones).
-    write_fanout: int = 64
-    # Tables per record-writing job: hundreds of tables are written in groups instead of
-    # one very wide union plan (each group overwrites only its own table partitions).
+    # Tables per staging job: hundreds of tables are staged in groups instead of one very wide union plan.
     write_group_tables: int = 50
     # Every this many batches the index layers are folded into a base snapshot and the
     # superseded folders are deleted (0 = never).
@@ -76,6 +80,10 @@ class SyncOptions:
     # Relational index table instead of Parquet layers: {"url", "props", "staging_schema"}.
     index_jdbc: dict | None = None
 
+    @property
+    def writer(self) -> str:
+        return f"{self.dbid}-{self.stream_id}"
+
     def with_(self, **kw) -> "SyncOptions":
         return replace(self, **kw)
 

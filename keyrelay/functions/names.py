@@ -32,6 +32,11 @@ def index_table(dbid: str, ajzlx: Column) -> Column:
     return F.concat(F.lit(f"{INDEX_SCHEMA_PREFIX}{dbid}.{MAIN_TABLE_PREFIX}"), ajzlx, F.lit(INDEX_TABLE_SUFFIX))
 
 
+def wall_clock(instant: Column, time_zone: str) -> Column:
+    """Wall clock (NTZ) of a zone for a UTC wall clock (NTZ)."""
+    return F.convert_timezone(F.lit("UTC"), F.lit(time_zone), instant)
+
+
 def run_ts_col(run_ts: str) -> Column:
     """The batch time as a wall-clock timestamp."""
     return F.lit(run_ts).cast("timestamp_ntz")

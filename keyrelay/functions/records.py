@@ -23,14 +23,14 @@ def _alias_rule(rules, dbid: str, schema: str, table: str):
 
 
 def record_fields(columns: list[str], schema: str, table: str, record_table: str, dbid: str,
-                  run_ts: str, alias_rules=(), data_state: int = STATE_INSERT) -> list[Column]:
-    """Named columns of one record, in JSON key order."""
+                  run_ts: str, alias_rules=(), data_state: int = STATE_INSERT, row: str = "_row") -> list[Column]:
+    """Named columns of one record, in JSON key order, from the struct column ``row``."""
     src = [c for c in columns if c not in META_KEYS]
-    fields: dict[str, Column] = {c: F.col(f"`{c}`").cast("string") for c in src}
+    fields: dict[str, Column] = {c: F.col(f"`{row}`.`{c}`").cast("string") for c in src}
     rule = _alias_rule(alias_rules, dbid, schema, table)
     if rule and rule[0] in src:
         from_c, to_c = rule
-        alias_val = F.col(f"`{from_c}`").cast("string")
+        alias_val = F.col(f"`{row}`.`{from_c}`").cast("string")
         if to_c not in fields:
             fields[to_c] = alias_val                      # NULL is elided like any other
         elif src.index(to_c) < src.index(from_c):

@@ -119,13 +119,13 @@ def table_plans(tables: DataFrame, columns: DataFrame, schema_names: list[str])
 def fanout(pull_events: DataFrame, tables: DataFrame, catalog_rows: int | None, limit: int) -> DataFrame:
     """Each pull-path event meets every listed table of its schema.
 
-    Returned aggregated per table (events and distinct keys), which is what the pull
-    stage consumes; the per-event fan-out itself is never materialised.
+    Returned aggregated per table (events and distinct keys), which is what the pull stage consumes: events and keys are
+    counted per schema first, and only the counts meet the tables.
     """
     t = maybe_broadcast(listed_tables(tables), catalog_rows, limit)
-    j = pull_events.select("schema_name", "c_stm").join(t, pull_events["schema_name"] == t["table_schema"])
-    return (j.groupBy("table_schema", "table_name")
-            .agg(F.count(F.lit(1)).alias("n_events"), F.countDistinct("c_stm").alias("n_keys")))
+    counts = pull_events.groupBy(F.col("schema_name").alias("table_schema")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.countDistinct("c_stm").alias("n_keys"))
+    return counts.join(t, "table_schema").select("table_schema", "table_name", "n_events", "n_keys")
 
 
 def main_table(ajzlx: str) -> str:

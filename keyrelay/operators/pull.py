@@ -33,7 +33,7 @@ def schema_events(pull_events: DataFrame, schema: str) -> DataFrame:
 def pulled_rows(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int, n_keys: int,
                 opts: SyncOptions, columns: list[str] | None = None,
                 values: list[str] | None = None) -> DataFrame:
-    """Source rows matched to events: source columns + ``_k`` (event key) + ``seq``."""
+    """Source rows matched to events: the row as struct ``_row``, ``_k`` (event key) and ``seq``."""
     ev = schema_events(pull_events, plan.event_schema)
     limit = opts.broadcast_key_limit
     if opts.multiplicity == "latest":
@@ -47,11 +47,11 @@ def pulled_rows(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int,
     keys = ev.select(F.col("c_stm").alias(KEY)).distinct()
     rows = catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
                         broadcast_keys=n_keys <= limit, columns=columns, key_values=values)
-    back = ev.select(F.col("c_stm").alias("_ek"), "seq")
-    return rows.join(back, rows[KEY] == back["_ek"]).drop("_ek")
+    return rows.join(ev.select(F.col("c_stm").alias(KEY), "seq"), KEY)
 
 
-COPY_CHUNK = 10_000
+#: Copies of a record that stay together; the writer deals the chunks of a hot key to different tasks.
+COPY_CHUNK = 1_000
 
 
 def pulled_row_copies(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int, n_keys: int,
@@ -59,11 +59,11 @@ def pulled_row_copies(catalog, plan: TablePlan, pull_events: DataFrame, n_events
                       values: list[str] | None = None, chunk: int = COPY_CHUNK) -> DataFrame:
     """Source rows with a copy count ``_cnt`` instead of one row per event (record path).
 
-    The key side is ``(key, chunk, _cnt)``: the events of a key are counted (a
+    The key side is ``(key, chunk number _c, _cnt)``: the events of a key are counted (a
     partial aggregate), and a count above ``chunk`` is split into several key-side
-    rows, so no row is replicated more than ``chunk`` times by one expression and a
-    hot key's copies spread over the tasks of the join. Each pulled row's record is
-    then built once per chunk, not once per event. ``seq`` is the key's last event.
+    rows, so no row is replicated more than ``chunk`` times by one expression; ``_c`` stays
+    with the record, so the writer can deal the chunks apart. Each pulled row's record is
+    built once per chunk, not once per event. ``seq`` is the key's last event.
     """
     ev = schema_events(pull_events, plan.event_schema)
     n = F.count(F.lit(1)) if opts.multiplicity != "latest" else F.lit(1).cast("long")
@@ -80,7 +80,7 @@ def pulled_row_copies(catalog, plan: TablePlan, pull_events: DataFrame, n_events
 def replicate(df: DataFrame) -> DataFrame:
     """Expand ``_cnt`` into that many identical rows (the per-event copies)."""
     return df.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cnt")))) \
-             .drop("_rep", "_cnt")
+             .drop("_rep", "_cnt", "_c")
 
 
 def matched_keys(catalog, plan: TablePlan, pull_events: DataFrame, n_keys: int,
@@ -103,7 +103,7 @@ def record_frame(rows: DataFrame, plan: TablePlan, source_columns: list[str], op
     """
     fields = record_fields(source_columns, plan.source_schema, plan.table, plan.record_table,
                            opts.dbid, opts.run_ts, opts.alias_rules)
-    extra = ["_cnt"] if "_cnt" in rows.columns else []
+    extra = [c for c in ("_cnt", "_c") if c in rows.columns]
     out = rows.select(
         F.lit(plan.record_table).alias("tableName"),
         F.date_format(F.lit(opts.run_ts).cast("timestamp_ntz"), "yyyy-MM-dd").alias("dt"),
@@ -118,13 +118,14 @@ def record_frame(rows: DataFrame, plan: TablePlan, source_columns: list[str], op
 
 
 def record_columns(rows: DataFrame, plan: TablePlan, source_columns: list[str], opts: SyncOptions) -> DataFrame:
-    """The record's named columns before JSON encoding, plus ``seq`` (used by tests/oracles)."""
+    """The record's named columns before JSON encoding, plus ``event_seq`` (used by tests/oracles)."""
     fields = record_fields(source_columns, plan.source_schema, plan.table, plan.record_table,
                            opts.dbid, opts.run_ts, opts.alias_rules)
-    return rows.select(F.col("seq"), *fields)
+    return rows.select(F.col("seq").alias("event_seq"), *fields)
 
 
-def full_pull(catalog, schema: str, table: str, opts: SyncOptions, encoded: bool = True) -> DataFrame:
+def full_pull(catalog, schema: str, table: str, opts: SyncOptions, encoded: bool = True,
+              expand: bool = True) -> DataFrame:
     """Daily full pull of a table whose rows cannot be reached by key (no key join).
 
     Same record rules as the keyed path; ``encoded=False`` returns the named record
@@ -132,8 +133,9 @@ def full_pull(catalog, schema: str, table: str, opts: SyncOptions, encoded: bool
     """
     plan = TablePlan(schema, schema, table, "", "table", "", True, True, False, f"{schema}_{table}")
     cols = catalog.column_names(schema, table)
-    rows = catalog.frame(schema, table).select(*[F.col(f"`{c}`") for c in cols])
-    rows = rows.withColumn("seq", F.lit(None).cast("long")).withColumn(KEY, F.lit(None).cast("string"))
+    rows = catalog.frame(schema, table).select(
+        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), F.lit(None).cast("long").alias("seq"),
+        F.lit(None).cast("string").alias(KEY), F.lit(1).cast("long").alias("_cnt"), F.lit(0).cast("long").alias("_c"))
     if not encoded:
         return record_columns(rows, plan, cols, opts)
-    return record_frame(rows, plan, cols, opts)
+    return record_frame(rows, plan, cols, opts, expand)

@@ -30,9 +30,8 @@ from ..functions.records import decoded_event_map, tombstone_value
 from ..operators import errors as err
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan, table_plans
-from ..operators.pull import matched_keys, pulled_row_copies, pulled_rows, record_frame
-from ..session import path_exists
-from ..sinks import index_store, warehouse
+from ..operators.pull import full_pull, matched_keys, pulled_row_copies, pulled_rows, record_frame
+from ..sinks import commits, index_store, warehouse
 
 RECORD_COLUMNS = ["tableName", "dt", "seq", "c_stm", "schema_name", "main_family", "value"]
 log = logging.getLogger("keyrelay")
@@ -108,33 +107,24 @@ class BatchFrames:
                 tombstones: bool = True) -> DataFrame:
         """Tombstones and all pulled records in the common record frame.
 
-        ``expand=False`` keeps one row per distinct record with its copy count ``_cnt``.
-        ``plans``/``tombstones`` restrict the frame to a group of tables.
+        ``expand=False`` keeps one row per distinct record and chunk of copies, with the copy count ``_cnt`` and chunk
+        number ``_c``. ``plans``/``tombstones`` restrict the frame to a group of tables.
         """
-        plans = self.record_plans() if plans is None else plans
-        frames = [self.table_records(p, expand) for p in plans]
+        frames = [self.table_records(p, expand) for p in (self.record_plans() if plans is None else plans)]
         if tombstones or not frames:
             t = self.tombstones()
-            if not tombstones:
-                t = t.limit(0)
-            frames.insert(0, t if expand else t.withColumn("_cnt", F.lit(1).cast("long")))
+            frames.insert(0, t if expand else t.withColumns({"_cnt": F.lit(1).cast("long"), "_c": F.lit(0).cast("long")}))
         return reduce(DataFrame.unionByName, frames)
 
     def record_groups(self) -> list[DataFrame]:
-        """The records in groups of about ``write_group_tables`` tables.
+        """The records to be staged, in groups of ``write_group_tables`` tables; the first group has the tombstones.
 
-        Each group is its own write job with dynamic partition overwrite, so no two
-        groups may write the same table partition: tombstones land in the main
-        table's partition ({schema}_t_{case type}), hence the first group holds the
-        tombstones together with every main table (one per schema, so it grows with the
-        number of schemas, not tables).
+        Groups are appended to one staged table, so several may hold records of the same target table.
         """
         plans, g = self.record_plans(), max(1, self.opts.write_group_tables)
-        is_main = lambda p: p.kind == "table" and p.table == f"t_{p.ajzlx}"
-        first = [p for p in plans if is_main(p)]
-        rest = [p for p in plans if not is_main(p)]
-        chunks = [first] + [rest[i:i + g] for i in range(0, len(rest), g)]
-        return [self.records(expand=False, plans=c, tombstones=(i == 0)) for i, c in enumerate(chunks)]
+        chunks = [plans[i:i + g] for i in range(0, len(plans), g)] or [[]]
+        return [self.records(expand=False, plans=c, tombstones=(i == 0)).select(*RECORD_COLUMNS, "_cnt", "_c")
+                for i, c in enumerate(chunks)]
 
     def errors(self) -> DataFrame:
         o = self.opts
@@ -155,18 +145,16 @@ class BatchFrames:
     def gate_keys(self, records: DataFrame | None = None) -> DataFrame:
         """(schema_name, c_stm) of events that found a main-family row.
 
-        ``records`` may be a record frame, or already the (schema_name, c_stm) keys
-        read back from written files (``written_gate_keys``).
+        ``records``: a record frame, in production the batch's staged records; without it the main-family tables are pulled.
         """
-        if records is not None and "main_family" not in records.columns:
-            return records
         if records is None:
             frames = [self.table_records(p, expand=False) for p in self.record_plans()
                       if p.main_family and p.kind == "table"]
             if not frames:
                 return self.good.sparkSession.createDataFrame([], "schema_name string, c_stm string")
             records = reduce(DataFrame.unionByName, frames)
-        return records.filter(F.col("main_family")).select("schema_name", "c_stm").distinct()
+        keys = records.filter(F.col("main_family") & F.col("c_stm").isNotNull())
+        return keys.select("schema_name", "c_stm").distinct()
 
     def index_events(self, records: DataFrame | None = None) -> DataFrame:
         gated = idx.gate(self.good, self.gate_keys(records))
@@ -195,35 +183,11 @@ def event_stats(good: DataFrame, exact_above: int) -> tuple[dict, int]:
     return out, n_deletes
 
 
-def written_gate_keys(spark: SparkSession, out_root: str, batch_id: int, bf: BatchFrames) -> DataFrame:
-    """(schema_name, c_stm) from this batch's committed main-family record files."""
-    o = bf.opts
-    base = warehouse.records_path(out_root, o)
-    dt_s = datetime.fromisoformat(o.run_ts).strftime("%Y-%m-%d")     # = dt_value(run_ts)
-    frames = []
-    for p in bf.record_plans():
-        if not (p.main_family and p.kind == "table"):
-            continue
-        sub = (f"tableName={p.record_table}" if o.layout != "per_table" else p.record_table)
-        path = f"{base}/{sub}/dt={dt_s}/batch_id={int(batch_id)}"
-        if not path_exists(spark, path):
-            continue
-        # pulled rows carry data_state 1; tombstones (0) share the main table's files
-        j = F.from_json("value", f"`{p.key_column}` STRING, data_state INT")
-        frames.append(spark.read.text(path).select(j.alias("j")).filter(F.col("j.data_state") == 1)
-                      .select(F.lit(p.event_schema).alias("schema_name"), F.col("j")[p.key_column].alias("c_stm")))
-    if not frames:
-        return spark.createDataFrame([], "schema_name string, c_stm string")
-    return reduce(DataFrame.unionByName, frames).filter(F.col("c_stm").isNotNull()).distinct()
-
-
 def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame | None = None,
                persist: bool = False) -> BatchFrames:
     """Plan one batch. ``persist`` keeps the decoded events cached for the many jobs of the batch."""
     if opts.run_ts is None:
         raise ValueError("opts.run_ts must be set (process_batch takes it from the batch)")
-    if hasattr(catalog, "refresh"):
-        catalog.refresh()          # the catalogue is re-read every batch, never cached for ever
     if decoded is None:
         decoded = decode_events(raw)
         if persist:
@@ -233,6 +197,8 @@ def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame |
     deletes = good.filter(F.col("data_state") == STATE_DELETE)
     pull_events = good.filter(F.col("data_state") != STATE_DELETE)
     stats, n_deletes = event_stats(good, opts.broadcast_key_limit)
+    if hasattr(catalog, "refresh"):
+        catalog.refresh(sorted(stats))          # the catalogue is re-read every batch, never cached for ever
     plans = table_plans(catalog.tables(), catalog.columns(), sorted(stats)) if stats else []
     for p in plans:
         if p.kind == "view" and not p.key_present:   # logged only, no error row (as the original)
@@ -242,64 +208,88 @@ def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame |
 
 def process_batch(spark: SparkSession, raw: DataFrame, catalog, opts: SyncOptions, out_root: str,
                   batch_id: int) -> dict:
-    """Run one batch and write all outputs; safe to re-run for the same ``batch_id``.
+    """Run one batch and write all outputs; safe to re-run for the same writer and ``batch_id``.
 
-    Order: records -> errors/quarantine -> index version. The index gate is read back
-    from the record files this batch committed (main-family tables only), so files and
-    index come from one read of the source, and the lineage is cut at a written table
-    in the shared output folder: a lost executor later on recomputes nothing upstream.
+    Order: open the batch -> stage its records -> record files, errors, quarantine -> index layer -> commit. The staged
+    records are the one read of the source; record files and index gate both come from them, and the lineage ends there: a
+    lost executor later on recomputes nothing upstream. Readers see the record files once the batch is committed.
     """
-    if opts.run_ts is None:
-        if "run_ts" not in raw.columns:
-            raise ValueError("raw batch has no run_ts column and opts.run_ts is unset")
-        r = raw.agg(F.max("run_ts")).first()[0]
-        if r is None:
-            return {"batch_id": batch_id, "empty": True}
-        opts = opts.with_(run_ts=str(r))
-    decoded = decode_events(raw.drop("run_ts") if "run_ts" in raw.columns else raw)
-    decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = decode_events(raw).persist(StorageLevel.MEMORY_AND_DISK)
     cached = [decoded]
     try:
-        bf = plan_batch(raw, catalog, opts, decoded=decoded)
-        for group in bf.record_groups():       # one job per group of tables, same batch partitions
-            warehouse.write_records(group.select(*RECORD_COLUMNS, "_cnt"), out_root, batch_id, opts)
-        root = out_root.rstrip("/")
-        warehouse.write_table(bf.errors().withColumn("batch_id", F.lit(int(batch_id))),
-                              f"{root}/errors", ["c_dt", "batch_id"])
-        q = bf.quarantine.select("seq", "value", "reason", dt_value(opts.run_ts).alias("dt"),
-                                 F.lit(int(batch_id)).alias("batch_id"))
-        warehouse.write_table(q, f"{root}/quarantine", ["dt", "batch_id"])
-        if opts.index_jdbc:
-            from ..sinks import jdbc_index
-            ie = bf.index_events(written_gate_keys(spark, out_root, batch_id, bf))
-            delta = idx.fold_delta(ie)
-            bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes
-            values = (sorted({r.c_stm for r in delta.select("c_stm").collect()})
-                      if bound <= opts.pushdown_key_limit else None)
-            j = opts.index_jdbc
-            jdbc_index.apply_delta(spark, delta, j["url"], j["props"], batch_id, j["staging_schema"], values,
-                                   broadcast_delta=bound <= opts.broadcast_key_limit)
-            return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
-        if index_store.has_base(spark, root, batch_id):
-            # a retry after this batch was already compacted: its index work is in the base
-            return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
-        ie = bf.index_events(written_gate_keys(spark, out_root, batch_id, bf))
-        # one row per touched key, used three times below: computed once
-        delta = idx.fold_delta(ie).persist(StorageLevel.MEMORY_AND_DISK)
+        if opts.run_ts is None:
+            if "run_ts" not in raw.columns:
+                raise ValueError("raw batch has no run_ts column and opts.run_ts is unset")
+            r = decoded.agg(F.max("run_ts")).first()[0]
+            if r is None:
+                return {"batch_id": batch_id, "empty": True}
+            opts = opts.with_(run_ts=str(r))
+        bf = plan_batch(raw, catalog, opts, decoded=decoded.drop("run_ts"))
+        root, writer = out_root.rstrip("/"), opts.writer
+        dt = datetime.fromisoformat(opts.run_ts).strftime("%Y-%m-%d")       # = dt_value(run_ts)
+        redone = commits.is_done(spark, root, writer, batch_id)
+        commits.begin(spark, root, writer, batch_id, dt, [warehouse.records_path(root, opts)],
+                      {f"{root}/errors": "c_dt", f"{root}/quarantine": "dt"})
+        staged = warehouse.stage_records(bf.record_groups(), root, opts, batch_id)
+        warehouse.write_records(staged, root, batch_id, opts)
+        own = {"writer": F.lit(writer), "batch_id": F.lit(int(batch_id))}
+        errors = bf.errors()
+        warehouse.write_table(errors.withColumns(own), f"{root}/errors", ["c_dt", "writer", "batch_id"])
+        q = bf.quarantine.select("seq", "value", "reason", dt_value(opts.run_ts).alias("dt")).withColumns(own)
+        warehouse.write_table(q, f"{root}/quarantine", ["dt", "writer", "batch_id"])
+        # one row per touched key, used several times below: computed once
+        delta = idx.fold_delta(bf.index_events(staged)).persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(delta)
         bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes        # >= keys in the delta
-        small = bound <= opts.broadcast_key_limit
-        delta_keys = delta.select("index_table", "c_stm")
-        values = (sorted({r.c_stm for r in delta_keys.collect()}) if bound <= opts.pushdown_key_limit
-                  and index_store.live_folders(spark, root, batch_id) else None)
-        prior = index_store.read_state(spark, root, before=batch_id, keys=delta_keys,
-                                       broadcast_keys=small, key_values=values)
-        index_store.write_layer(idx.merge(prior, delta), root, batch_id)
+        if opts.index_jdbc:
+            _index_to_database(spark, delta, errors, bound, opts, batch_id)
+        else:
+            _index_to_layers(spark, delta, bound, opts, root, batch_id, redone)
+        commits.finish(spark, root, writer, batch_id, dt)
+        warehouse.drop_staging(spark, root, opts, batch_id)
         k = opts.index_compact_every
-        if k and batch_id > 0 and batch_id % k == 0:
-            index_store.compact_index(spark, root, batch_id)
-            index_store.prune_index(spark, root)
+        if k and not opts.index_jdbc and batch_id > 0 and batch_id % k == 0:
+            index_store.compact_index(spark, root, opts.dbid)       # after the commit: what is folded is complete
+            index_store.prune_index(spark, root, opts.dbid)
         return {"batch_id": batch_id, "empty": False, "run_ts": opts.run_ts}
     finally:
         for df in cached:
             df.unpersist()
+
+
+def run_full_pull(spark: SparkSession, catalog, schema: str, table: str, opts: SyncOptions, out_root: str,
+                  batch_id: int = 0) -> None:
+    """Write every row of a table as records, keyed and committed like a batch; a repeated run replaces its own files."""
+    root = out_root.rstrip("/")
+    dt = datetime.fromisoformat(opts.run_ts).strftime("%Y-%m-%d")
+    commits.begin(spark, root, opts.writer, batch_id, dt, [warehouse.records_path(root, opts)], {})
+    frame = full_pull(catalog, schema, table, opts, expand=False).select(*RECORD_COLUMNS, "_cnt", "_c")
+    staged = warehouse.stage_records([frame], root, opts, batch_id)
+    warehouse.write_records(staged, root, batch_id, opts)
+    commits.finish(spark, root, opts.writer, batch_id, dt)
+    warehouse.drop_staging(spark, root, opts, batch_id)
+
+
+def _key_values(delta: DataFrame, bound: int, opts: SyncOptions) -> list[str] | None:
+    """Touched keys as a list if they are few enough to be pushed into scans."""
+    return sorted({r.c_stm for r in delta.select("c_stm").collect()}) if bound <= opts.pushdown_key_limit else None
+
+
+def _index_to_layers(spark: SparkSession, delta: DataFrame, bound: int, opts: SyncOptions, root: str, batch_id: int,
+                     redone: bool) -> None:
+    number, name, exists = index_store.layer_of(spark, root, opts.dbid, opts.writer, batch_id)
+    if redone and not exists:
+        return              # complete once, and its layer has been folded into a base since
+    values = _key_values(delta, bound, opts) if index_store.live_folders(spark, root, opts.dbid, number) else None
+    prior = index_store.read_state(spark, root, opts.dbid, before=number, keys=delta.select("index_table", "c_stm"),
+                                   broadcast_keys=bound <= opts.broadcast_key_limit, key_values=values)
+    index_store.write_layer(idx.merge(prior, delta), root, opts.dbid, name)
+
+
+def _index_to_database(spark: SparkSession, delta: DataFrame, errors: DataFrame, bound: int, opts: SyncOptions,
+                       batch_id: int) -> None:
+    from ..sinks import jdbc_index
+    j = opts.index_jdbc
+    jdbc_index.apply_delta(spark, delta, j["url"], j["props"], f"{opts.writer}~{int(batch_id)}", j["staging_schema"],
+                           _key_values(delta, bound, opts), broadcast_delta=bound <= opts.broadcast_key_limit)
+    jdbc_index.append_errors(spark, errors, j["url"], j["props"], f"{opts.writer}~{int(batch_id)}", j["staging_schema"])

@@ -17,39 +17,64 @@ CDC = """cdc AS (
          ts AS apply_ts
   FROM events)"""
 
-# decoded, valid events: remainders 0, 1, 2 mod 97 and unparsable times of upserts are quarantined
+# decoded, valid events: remainders 0, 1, 2, 4, 5, 6 mod 97 and unparsable times of upserts are quarantined
 EV = """ev AS (
   SELECT seq, c_stm,
          CASE WHEN seq % 97 = 3 OR seq % 13 = 0 THEN NULL ELSE d_xgsj END AS d_xgsj,
          data_state, c_baah, n_jbfy, schema_name, split_part(schema_name, '_', 2) AS ajzlx, apply_ts
   FROM cdc
-  WHERE seq % 97 NOT IN (0, 1, 2) AND NOT (seq % 97 = 3 AND data_state <> 0))"""
+  WHERE seq % 97 NOT IN (0, 1, 2, 4, 5, 6) AND NOT (seq % 97 = 3 AND data_state <> 0))"""
 
 PULL_EV = "pe AS (SELECT * FROM ev WHERE data_state <> 0)"
 
+META = [("data_state", "'1'"), ("dbid", "'00'"), ("dt", "'2024-02-01'"), ("update_time", "'2024-02-01 00:00:00'")]
+
+
+def _pairs(pairs: list[tuple[str, str]]) -> str:
+    """SQL of name=value texts joined by |, null values left out."""
+    return "concat_ws('|', " + ", ".join(f"'{k}=' || CAST({v} AS VARCHAR)" for k, v in pairs) + ")"
+
+
+def _record(table: str, fields: list[tuple[str, str]]) -> str:
+    """SQL of a record's fields and metadata by name; metadata wins over a field of the same name."""
+    own = {**dict(fields), **dict(META), "tableName": f"'{table}'"}
+    return _pairs(sorted(own.items()))
+
+
+# record table, schema of its events, source table x, key, source columns in order
+SOURCES = [
+    ("db_customer_t_customer", "db_customer", "customer", "x.c_custkey",
+     [("c_stm", "x.c_custkey"), ("c_name", "x.c_name"), ("n_nation", "x.c_nationkey"), ("c_mktsegment", "x.c_mktsegment")]),
+    ("db_customer_t_customer_order", "db_customer", "orders", "x.o_custkey",
+     [("c_stm", "x.o_orderkey"), ("c_stm_customer", "x.o_custkey"), ("o_orderstatus", "x.o_orderstatus"),
+      ("o_orderpriority", "x.o_orderpriority")]),
+    ("db_customer_t_label", "db_customer", "labels", "x.doc_id",
+     [("c_stm", "x.doc_id"), ("n_quality", "x.quality"), ("data_state", "x.toxic")]),
+    ("db_customer_t_customerws", "db_customer", "documents", "x.doc_id",
+     [("c_stm_customer", "x.doc_id"), ("lang", "x.lang"), ("source", "x.source"), ("n_chars", "x.n_chars")]),
+    ("db_supplier_t_supplier", "db_supplier", "supplier", "x.s_suppkey",
+     [("c_stm", "x.s_suppkey"), ("s_name", "x.s_name"), ("n_nation", "x.s_nationkey")]),
+    ("db_supplier_t_lineitem", "db_supplier", "lineitem", "x.l_suppkey",
+     [("c_stm", "CAST(x.l_orderkey AS VARCHAR) || '-' || CAST(x.l_linenumber AS VARCHAR)"), ("c_stm_supplier", "x.l_suppkey"),
+      ("l_returnflag", "x.l_returnflag"), ("l_linestatus", "x.l_linestatus")]),
+]
+
+
+def _pulled(table: str, schema: str, source: str, key: str, fields: list[tuple[str, str]]) -> str:
+    return (f"SELECT '{table}' AS tableName, e.seq, e.c_stm, 1 AS data_state, {_pairs(fields)} AS row, "
+            f"{_record(table, fields)} AS body FROM pe e JOIN {source} x ON CAST({key} AS VARCHAR) = e.c_stm "
+            f"WHERE e.schema_name = '{schema}'")
+
+
+TOMBSTONES = """SELECT schema_name || '_t_' || ajzlx AS tableName, seq, c_stm, 0 AS data_state, '' AS row,
+         concat_ws('|', 'c_baah=' || c_baah, 'c_stm=' || c_stm, 'd_xgsj=' || CASE WHEN seq % 97 = 3 THEN 'not a time'
+           WHEN seq % 13 = 0 THEN '' ELSE CAST(date_trunc('second', apply_ts) AS VARCHAR) END, 'data_state=0', 'dbid=00',
+           'dt=2024-02-01', 'n_jbfy=' || CAST(n_jbfy AS VARCHAR), 'schemaName=' || schema_name,
+           'tableName=' || schema_name || '_t_' || ajzlx, 'update_time=2024-02-01 00:00:00') AS body
+    FROM ev WHERE data_state = 0"""
+
 # per-event pulled rows of every record table, plus tombstones
-REC = """rec AS (
-  SELECT schema_name || '_t_' || ajzlx AS tableName, seq, c_stm, c_stm AS row_c_stm, 0 AS data_state
-    FROM ev WHERE data_state = 0
-  UNION ALL
-  SELECT 'db_customer_t_customer', e.seq, e.c_stm, CAST(c.c_custkey AS VARCHAR), 1
-    FROM pe e JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_customer'
-  UNION ALL
-  SELECT 'db_customer_t_customer_order', e.seq, e.c_stm, CAST(o.o_orderkey AS VARCHAR), 1
-    FROM pe e JOIN orders o ON CAST(o.o_custkey AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_customer'
-  UNION ALL
-  SELECT 'db_customer_t_label', e.seq, e.c_stm, CAST(l.doc_id AS VARCHAR), 1
-    FROM pe e JOIN labels l ON CAST(l.doc_id AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_customer'
-  UNION ALL
-  SELECT 'db_customer_t_customerws', e.seq, e.c_stm, NULL, 1
-    FROM pe e JOIN documents d ON CAST(d.doc_id AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_customer'
-  UNION ALL
-  SELECT 'db_supplier_t_supplier', e.seq, e.c_stm, CAST(s.s_suppkey AS VARCHAR), 1
-    FROM pe e JOIN supplier s ON CAST(s.s_suppkey AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_supplier'
-  UNION ALL
-  SELECT 'db_supplier_t_lineitem', e.seq, e.c_stm,
-         CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR), 1
-    FROM pe e JOIN lineitem l ON CAST(l.l_suppkey AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_supplier')"""
+REC = "rec AS (\n  " + "\n  UNION ALL\n  ".join([TOMBSTONES, *[_pulled(*s) for s in SOURCES]]) + ")"
 
 COLS = """cols AS (SELECT * FROM (VALUES
  ('db_customer','t_customer','c_stm'), ('db_customer','t_customer','c_name'),
@@ -114,8 +139,8 @@ def oracle_sql() -> dict[str, str]:
         FROM ev GROUP BY 1, 2"""
     q["quarantine"] = _with(CDC) + """SELECT seq,
         CASE seq % 97 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'no_data_state' WHEN 2 THEN 'bad_schema_name'
-             ELSE 'bad_d_xgsj' END AS reason
-        FROM cdc WHERE seq % 97 IN (0, 1, 2) OR (seq % 97 = 3 AND data_state <> 0)"""
+             WHEN 4 THEN 'bad_data_state' WHEN 5 THEN 'bad_n_jbfy' WHEN 6 THEN 'bad_json' ELSE 'bad_d_xgsj' END AS reason
+        FROM cdc WHERE seq % 97 IN (0, 1, 2, 4, 5, 6) OR (seq % 97 = 3 AND data_state <> 0)"""
     q["catalog_tables"] = _with(*BASE, COLS, LISTED) + "SELECT table_schema, table_name FROM t"
     q["catalog_key_shape"] = _with(*BASE, COLS, LISTED) + """
         , sk AS (SELECT table_schema, table_name FROM cols WHERE column_name LIKE 'c_stm%'
@@ -141,17 +166,29 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT tableName, {DT} AS dt, count(*) AS n_records FROM rec GROUP BY tableName"
     q["bucket_counts"] = _with(*BASE, REC) + \
         f"SELECT 'db_ods15.db/' || tableName || '/dt=' || {DT} AS bucket, count(*) AS n_records FROM rec GROUP BY 1"
-    q["compaction_rows"] = q["end_to_end"]
-    q["json_lines"] = _with(*BASE, REC) + f"""SELECT tableName, {DT} AS dt, data_state, '00' AS dbid,
-        count(*) AS n_records, count(DISTINCT row_c_stm) AS n_keys,
-        CAST(0 AS BIGINT) AS n_with_lsn, count(*) AS n_name_match
-        FROM rec GROUP BY tableName, data_state"""
-    q["pull_main"] = _with(*BASE, REC) + """SELECT seq, tableName, c_stm, row_c_stm FROM rec
-        WHERE tableName IN ('db_customer_t_customer', 'db_supplier_t_supplier') AND data_state = 1"""
-    q["pull_child"] = _with(*BASE, REC) + """SELECT seq, tableName, c_stm, row_c_stm FROM rec
-        WHERE tableName IN ('db_customer_t_customer_order', 'db_supplier_t_lineitem')"""
-    q["pull_irregular"] = _with(*BASE, REC) + """SELECT seq, tableName, c_stm, row_c_stm FROM rec
-        WHERE tableName = 'db_customer_t_label'"""
+    q["compaction_rows"] = _with(*BASE, REC, "cut AS (SELECT max(event_id) // 2 AS half FROM events)") + f"""SELECT layout,
+        tableName, {DT} AS dt, count(*) AS n_records, count(DISTINCT seq <= half) AS n_writers
+        FROM rec, cut, (VALUES ('single'), ('per_table')) AS l(layout) GROUP BY ALL"""
+    q["json_lines"] = _with(*BASE, REC) + \
+        f"SELECT tableName, {DT} AS dt, body, count(*) AS copies FROM rec GROUP BY tableName, body"
+    q["record_cols"] = _with(*BASE, REC) + "SELECT tableName, body, count(*) AS copies FROM rec GROUP BY tableName, body"
+    q["target_names_zone"] = _with(CDC, EV) + """SELECT seq, schema_name || '_t_' || ajzlx AS tombstone_table,
+        strftime(apply_ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS dt FROM ev"""
+    clash = [("c_stm", "x.c_custkey"), ("seq", "x.c_name"), ("_k", "x.c_mktsegment"), ("_cnt", "x.c_nationkey"),
+             ("_row", "'r' || x.c_mktsegment"), ("value", "'v' || x.c_mktsegment"), ("_c", "x.c_custkey")]
+    q["clashing_columns"] = _with(*BASE) + f"""SELECT 'db_customer_t_customer' AS tableName, how, body, count(*) AS copies FROM (
+        SELECT 'full' AS how, {_record("db_customer_t_customer", clash)} AS body FROM customer x
+        UNION ALL SELECT 'keyed', {_record("db_customer_t_customer", clash)} FROM pe e
+        JOIN customer x ON CAST(x.c_custkey AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_customer') GROUP BY ALL"""
+    shared = _pulled("db_customer_t_customerws", "db_customer", "customer", "x.c_custkey",
+                     [("c_stm", "x.c_custkey"), ("c_name", "x.c_name")])
+    q["shared_record_table"] = _with(*BASE, REC) + f"""SELECT tableName, body, layout, count(*) AS copies FROM (
+        SELECT tableName, body FROM rec WHERE tableName = 'db_customer_t_customerws'
+        UNION ALL SELECT tableName, body FROM ({shared})), (VALUES ('single'), ('per_table')) AS l(layout) GROUP BY ALL"""
+    pulls = _with(*BASE, REC) + "SELECT seq, tableName, c_stm, row FROM rec WHERE data_state = 1 AND tableName "
+    q["pull_main"] = pulls + "IN ('db_customer_t_customer', 'db_supplier_t_supplier')"
+    q["pull_child"] = pulls + "IN ('db_customer_t_customer_order', 'db_supplier_t_lineitem')"
+    q["pull_irregular"] = pulls + "= 'db_customer_t_label'"
     q["pull_docview"] = _with(*BASE) + """SELECT e.seq, 'db_customer_t_customerws' AS tableName, e.c_stm,
         CAST(d.doc_id AS VARCHAR) AS c_stm_customer, d.lang, d.source, CAST(d.n_chars AS VARCHAR) AS n_chars
         FROM pe e JOIN documents d ON CAST(d.doc_id AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_customer'"""
@@ -165,10 +202,6 @@ def oracle_sql() -> dict[str, str]:
                   'dt', CASE WHEN n_jbfy IS NOT NULL THEN 'n_jbfy' END, 'schemaName', 'tableName',
                   'update_time') AS json_keys
         FROM ev WHERE data_state = 0"""
-    q["record_cols"] = _with(*BASE) + f"""SELECT e.seq, CAST(l.doc_id AS VARCHAR) AS c_stm,
-        CAST(l.quality AS VARCHAR) AS n_quality, 'db_customer_t_label' AS tableName, {DT} AS dt,
-        '2024-02-01 00:00:00' AS update_time, '00' AS dbid, CAST(NULL AS VARCHAR) AS lsn, 1 AS data_state
-        FROM pe e JOIN labels l ON CAST(l.doc_id AS VARCHAR) = e.c_stm WHERE e.schema_name = 'db_customer'"""
     q["alias_rule"] = """SELECT d.dbid, CAST(c.c_custkey AS VARCHAR) AS c_stm,
         CASE WHEN c.c_custkey % 3 <> 0 THEN c.c_mktsegment END AS n_jbfymc,
         CASE WHEN d.dbid IN ('6', '22') AND c.c_custkey % 3 <> 0 THEN c.c_mktsegment END AS c_jbfymc
@@ -189,6 +222,15 @@ def oracle_sql() -> dict[str, str]:
                'increment', {DT}, TIMESTAMP '2024-02-01 00:00:00', seq
         FROM pe e WHERE schema_name = 'db_customer'
           AND EXISTS (SELECT 1 FROM nation n WHERE CAST(n.n_nationkey AS VARCHAR) = e.c_stm)"""
-    q["full_pull"] = f"""SELECT 'db_customer_t_customer' AS tableName, CAST(c_custkey AS VARCHAR) AS c_stm,
-        c_name, {DT} AS dt, 1 AS data_state FROM customer"""
+    name, _, _, _, fields = SOURCES[0]
+    q["full_pull"] = f"""SELECT '{name}' AS tableName, {DT} AS dt, {_record(name, fields)} AS body,
+        count(*) AS copies FROM customer x GROUP BY ALL"""
+    shard = q["index_fold"]
+    q["two_shard_batches"] = _with(*BASE, REC, GATED, IE) + "SELECT * FROM (" + f"""
+        SELECT dbid, tableName AS name, count(*) AS n, CAST(sum(data_state) AS BIGINT) AS states
+        FROM rec, (VALUES ('00'), ('06')) AS s(dbid) GROUP BY ALL
+        UNION ALL
+        SELECT dbid, replace(index_table, 'index_00', 'index_' || dbid) AS name, count(*) AS n,
+               CAST(sum(data_state + coalesce(n_jbfy, 0)) AS BIGINT) AS states
+        FROM ({shard}), (VALUES ('00'), ('06')) AS s(dbid) GROUP BY ALL)"""
     return q

@@ -10,42 +10,51 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE_DT, FIXTURE_OPTIONS, SyncOptions
+from ..config import DATE_FORMAT, FIXTURE_DT, FIXTURE_OPTIONS, SyncOptions
 from ..functions.decode import route
-from ..functions.names import dt_value, index_table, tombstone_table, view_table
+from ..functions.names import dt_value, index_table, tombstone_table, view_table, wall_clock
 from ..operators import catalog_ops as cat
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan
 from ..operators.pull import full_pull, record_columns
 from ..session import delete_dir, scratch_path
-from ..sinks import index_store, warehouse
+from ..sinks import commits, index_store, warehouse
 from ..sources import events as evsrc
 from ..sources import fixtures
 from ..sources.catalog import KEY, FrameCatalog
-from .batch import BatchFrames, plan_batch
+from .batch import BatchFrames, plan_batch, process_batch, run_full_pull
 
 OPTS = FIXTURE_OPTIONS
 
 
 def batch(spark: SparkSession, sf_dir: str, opts: SyncOptions = OPTS) -> BatchFrames:
-    return plan_batch(fixtures.raw_events(spark, sf_dir), fixtures.fixture_catalog(spark, sf_dir), opts,
-                      persist=True)
+    return plan_batch(fixtures.raw_events(spark, sf_dir), fixtures.fixture_catalog(spark, sf_dir), opts)
 
 
 def _plans(bf: BatchFrames, pred) -> list[TablePlan]:
     return [p for p in bf.record_plans() if pred(p)]
 
 
+def _row_text(p: TablePlan, bf: BatchFrames) -> Column:
+    """All source columns of a pulled row as one text, name=value in column order."""
+    return F.concat_ws("|", *[F.concat(F.lit(f"{c}="), F.col(f"`_row`.`{c}`").cast("string")) for c in bf.source_columns(p)])
+
+
 def _pull_rows(bf: BatchFrames, plans: list[TablePlan]) -> DataFrame:
-    frames = [bf.pulled(p, columns=bf.source_columns(p)).select(
-        "seq", F.lit(p.record_table).alias("tableName"), F.col(KEY).alias("c_stm"),
-        F.col("c_stm").alias("row_c_stm")) for p in plans]
+    frames = [bf.pulled(p).select("seq", F.lit(p.record_table).alias("tableName"), F.col(KEY).alias("c_stm"),
+                                  _row_text(p, bf).alias("row")) for p in plans]
     return reduce(DataFrame.unionByName, frames)
 
 
+def _body(value: Column) -> Column:
+    """A record's JSON as one text: name=value of all fields, by name."""
+    m = F.from_json(value, "map<string,string>")
+    return F.array_join(F.transform(F.array_sort(F.map_keys(m)), lambda k: F.concat(k, F.lit("="), m[k])), "|")
+
+
 # -- events ------------------------------------------------------------------
 def q_decode_events(spark, sf_dir):
     bf = batch(spark, sf_dir)
@@ -68,6 +77,14 @@ def q_target_names(spark, sf_dir):
                     index_table(OPTS.dbid, a).alias("index_table"), dt_value(OPTS.run_ts).alias("dt"))
 
 
+def q_target_names_zone(spark, sf_dir):
+    """Processing dates of each event's own instant in a zone eight hours ahead (a third of each day is the next date)."""
+    g = batch(spark, sf_dir).good
+    clock = wall_clock(F.col("apply_ts"), "Asia/Shanghai")
+    return g.select("seq", tombstone_table(F.col("schema_name"), F.col("ajzlx")).alias("tombstone_table"),
+                    F.date_format(clock, DATE_FORMAT).alias("dt"))
+
+
 # -- catalogue -----------------------------------------------------------------
 def _event_schemas(bf: BatchFrames) -> DataFrame:
     return bf.pull_events.select(F.col("schema_name").alias("table_schema")).distinct()
@@ -110,7 +127,7 @@ def q_pull_irregular(spark, sf_dir):
 def q_pull_docview(spark, sf_dir):
     bf = batch(spark, sf_dir)
     frames = [bf.pulled(p).select("seq", F.lit(p.record_table).alias("tableName"), F.col(KEY).alias("c_stm"),
-                                  p.key_column, "lang", "source", "n_chars")
+                                  *[F.col(f"`_row`.`{c}`").cast("string").alias(c) for c in bf.source_columns(p)])
               for p in bf.plans if p.kind == "view" and p.key_present]
     return reduce(DataFrame.unionByName, frames)
 
@@ -135,10 +152,24 @@ def q_tombstones(spark, sf_dir):
     )
 
 
+def _bodies(records: DataFrame, copies: Column, *by: str) -> DataFrame:
+    """Distinct records with all their fields and how often each occurs."""
+    return records.groupBy("tableName", *by, _body(F.col("value")).alias("body")).agg(copies.cast("long").alias("copies"))
+
+
 def q_record_cols(spark, sf_dir):
-    bf = batch(spark, sf_dir)
-    p = next(p for p in bf.record_plans() if p.table == "t_label")
-    return record_columns(bf.pulled(p), p, bf.source_columns(p), bf.opts)
+    """Every record of the batch on the production path, all tables, all fields."""
+    return _bodies(batch(spark, sf_dir).records(expand=False), F.sum("_cnt"))
+
+
+def q_clashing_columns(spark, sf_dir):
+    """A source table with columns named like the job's helpers, on the keyed and the full pull."""
+    catalog = fixtures.clashing_catalog(spark, sf_dir)
+    bf = plan_batch(fixtures.raw_events(spark, sf_dir), catalog, OPTS)
+    keyed = bf.records(expand=False, tombstones=False)
+    full = full_pull(catalog, "db_customer", "t_customer", OPTS, expand=False)
+    both = keyed.withColumn("how", F.lit("keyed")).unionByName(full.withColumn("how", F.lit("full")))
+    return _bodies(both, F.sum("_cnt"), "how")
 
 
 def _full_records(spark, frame: DataFrame, schema: str, table: str, opts: SyncOptions) -> DataFrame:
@@ -159,16 +190,20 @@ def q_alias_rule(spark, sf_dir):
 
 
 def q_full_pull(spark, sf_dir):
-    frame = fixtures.source_frames(spark, sf_dir)[("db_customer", "t_customer")]
-    r = _full_records(spark, frame, "db_customer", "t_customer", OPTS)
-    return r.select("tableName", "c_stm", "c_name", "dt", "data_state")
+    """The daily full pull as the job writes it, read back."""
+    root, opts = scratch_path(spark, "q", "full_pull"), OPTS.with_(stream_id="full")
+    run_full_pull(spark, fixtures.fixture_catalog(spark, sf_dir), "db_customer", "t_customer", opts, root)
+    return _settle(_bodies(warehouse.read_records(spark, root, opts), F.count(F.lit(1)), "dt"), root)
 
 
 # -- index ------------------------------------------------------------------------
 def q_index_gate(spark, sf_dir):
+    """Gated events, the gate read from the batch's staged records as in production."""
     bf = batch(spark, sf_dir)
-    g = idx.gate(bf.good, bf.gate_keys()).filter(F.col("data_state").isin(1, 2))
-    return g.select("seq", index_table(OPTS.dbid, F.col("ajzlx")).alias("index_table"), "c_stm", "data_state")
+    root = scratch_path(spark, "q", "gate")
+    staged = warehouse.stage_records(bf.record_groups(), root, OPTS, 0)
+    g = idx.gate(bf.good, bf.gate_keys(staged)).filter(F.col("data_state").isin(1, 2))
+    return _settle(g.select("seq", index_table(OPTS.dbid, F.col("ajzlx")).alias("index_table"), "c_stm", "data_state"), root)
 
 
 def q_index_fold(spark, sf_dir):
@@ -200,12 +235,20 @@ def _settle(df: DataFrame, *scratch: str) -> DataFrame:
     return out
 
 
+def _write(bf: BatchFrames, root: str, batch_id: int = 0) -> None:
+    """The record part of process_batch: open, stage, write, commit."""
+    spark, o = bf.good.sparkSession, bf.opts
+    commits.begin(spark, root, o.writer, batch_id, FIXTURE_DT, [warehouse.records_path(root, o)], {})
+    staged = warehouse.stage_records(bf.record_groups(), root, o, batch_id)
+    warehouse.write_records(staged, root, batch_id, o)
+    commits.finish(spark, root, o.writer, batch_id, FIXTURE_DT)
+    warehouse.drop_staging(spark, root, o, batch_id)
+
+
 def _written(spark, sf_dir, layout: str, name: str):
     opts = OPTS.with_(layout=layout)
-    bf = batch(spark, sf_dir, opts)
     root = scratch_path(spark, "q", name)
-    for group in bf.record_groups():
-        warehouse.write_records(group, root, 0, opts)
+    _write(batch(spark, sf_dir, opts), root)
     return root, opts
 
 
@@ -217,24 +260,47 @@ def q_end_to_end(spark, sf_dir):
 
 
 def q_json_lines(spark, sf_dir):
+    """Every written record parsed back: table, date, all fields, number of lines."""
     root, opts = _written(spark, sf_dir, "single", "json_lines")
-    recs = warehouse.read_records(spark, root, opts)
-    return _settle(_json_line_stats(recs), root)
-
-
-def _json_line_stats(recs: DataFrame) -> DataFrame:
-    v = F.col("value")
-    j = recs.select(
-        "tableName", "dt",
-        F.get_json_object(v, "$.data_state").cast("int").alias("data_state"),
-        F.get_json_object(v, "$.dbid").alias("dbid"),
-        F.get_json_object(v, "$.c_stm").alias("j_c_stm"),
-        F.get_json_object(v, "$.tableName").alias("j_table"),
-        F.array_contains(F.json_object_keys(v), "lsn").alias("has_lsn"))
-    return j.groupBy("tableName", "dt", "data_state", "dbid").agg(
-        F.count(F.lit(1)).alias("n_records"), F.countDistinct("j_c_stm").alias("n_keys"),
-        F.sum(F.col("has_lsn").cast("long")).alias("n_with_lsn"),
-        F.sum((F.col("j_table") == F.col("tableName")).cast("long")).alias("n_name_match"))
+    return _settle(_bodies(warehouse.read_records(spark, root, opts), F.count(F.lit(1)), "dt"), root)
+
+
+def q_shared_record_table(spark, sf_dir):
+    """A view and a table whose rows land in one record table, staged in groups of one table, written in either layout."""
+    outs, roots = [], []
+    for layout in ("single", "per_table"):
+        o = OPTS.with_(layout=layout, write_group_tables=1)
+        bf = plan_batch(fixtures.raw_events(spark, sf_dir), fixtures.shared_name_catalog(spark, sf_dir), o)
+        roots.append(scratch_path(spark, "q", "shared"))
+        _write(bf, roots[-1])
+        recs = warehouse.read_records(spark, roots[-1], o).filter(F.col("tableName") == "db_customer_t_customerws")
+        outs.append(_bodies(recs, F.count(F.lit(1))).withColumn("layout", F.lit(layout)))
+    return _settle(outs[0].unionByName(outs[1]), *roots)
+
+
+def q_two_shard_batches(spark, sf_dir):
+    """Two shards and a restarted numbering in one warehouse: records and index rows of all of them.
+
+    Shard 00 writes batches 0 and 1 of one stream, then batch 0 of another stream (a new checkpoint); shard 06 writes all
+    events as its batch 0; then the last batch of shard 00 is retried.
+    """
+    raw, catalog = fixtures.raw_events(spark, sf_dir), fixtures.fixture_catalog(spark, sf_dir)
+    top = raw.agg(F.max("seq")).first()[0] or 0
+    part = lambda lo, hi: raw.filter((F.col("seq") > lo) & (F.col("seq") <= hi))
+    root = scratch_path(spark, "q", "two_shards")
+    first, second = OPTS.with_(stream_id="a", index_compact_every=1), OPTS.with_(stream_id="b")
+    process_batch(spark, part(-1, top // 3), catalog, first, root, 0)
+    process_batch(spark, part(top // 3, 2 * top // 3), catalog, first, root, 1)
+    process_batch(spark, part(2 * top // 3, top), catalog, second, root, 0)
+    process_batch(spark, raw, catalog, OPTS.with_(dbid="06"), root, 0)
+    process_batch(spark, part(2 * top // 3, top), catalog, second, root, 0)
+    recs = warehouse.read_records(spark, root, OPTS)
+    records = recs.groupBy(F.split_part("writer", F.lit("-"), F.lit(1)).alias("dbid"), F.col("tableName").alias("name")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("value", "$.data_state").cast("long")).alias("states"))
+    index = index_store.read_latest(spark, root)
+    rows = index.groupBy(F.substr("index_table", F.lit(7), F.lit(2)).alias("dbid"), F.col("index_table").alias("name")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("data_state").cast("long") + F.coalesce("n_jbfy", F.lit(0))).alias("states"))
+    return _settle(records.unionByName(rows), root)
 
 
 def q_bucket_counts(spark, sf_dir):
@@ -246,13 +312,20 @@ def q_bucket_counts(spark, sf_dir):
 
 
 def q_compaction_rows(spark, sf_dir):
-    root, opts = _written(spark, sf_dir, "single", "compaction_src")
-    out_root = scratch_path(spark, "q", "compaction_dst")
-    warehouse.compact(spark, root, out_root, opts, target_bytes=32 * 1024 * 1024, dt=FIXTURE_DT)
-    recs = spark.read.text(warehouse.records_path(out_root, opts))
-    out = recs.groupBy("tableName", F.col("dt").cast("string").alias("dt")).agg(
-        F.count(F.lit(1)).alias("n_records"))
-    return _settle(out, root, out_root)
+    """Either layout: a batch, its date compacted, a second batch; all read together."""
+    raw, catalog = fixtures.raw_events(spark, sf_dir), fixtures.fixture_catalog(spark, sf_dir)
+    half = (raw.agg(F.max("seq")).first()[0] or 0) // 2
+    outs, roots = [], []
+    for layout in ("single", "per_table"):
+        o = OPTS.with_(layout=layout, file_bytes=32 * 1024 * 1024)
+        roots.append(scratch_path(spark, "q", "compaction"))
+        for n, part in enumerate((raw.filter(F.col("seq") <= half), raw.filter(F.col("seq") > half))):
+            _write(plan_batch(part, catalog, o), roots[-1], n)
+            if n == 0:
+                warehouse.compact(spark, roots[-1], o, FIXTURE_DT)
+        outs.append(warehouse.read_records(spark, roots[-1], o).groupBy(F.lit(layout).alias("layout"), "tableName", "dt").agg(
+            F.count(F.lit(1)).alias("n_records"), F.countDistinct("writer").alias("n_writers")))
+    return _settle(outs[0].unionByName(outs[1]), *roots)
 
 
 def q_stream_index_replay(spark, sf_dir):
@@ -295,4 +368,8 @@ QUERIES = {
     "stream_index_replay": q_stream_index_replay,
     "full_pull": q_full_pull,
     "end_to_end": q_end_to_end,
+    "target_names_zone": q_target_names_zone,
+    "clashing_columns": q_clashing_columns,
+    "shared_record_table": q_shared_record_table,
+    "two_shard_batches": q_two_shard_batches,
 }

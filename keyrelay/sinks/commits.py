@@ -1,0 +1,87 @@
+"""Who wrote what: begin and commit of a batch's outputs, and which of them readers may see.
+
+Every output of a batch lies in partitions keyed by ``writer`` (shard and stream) and ``batch_id``, so shards and streams that
+share a warehouse never touch each other's files. Small text files next to the data hold the state:
+
+    _open/{writer}~{batch}     the batch is being written; its leaves are not read (content: its dates)
+    _done/{writer}/{batch}     the batch is complete (content: its dates)
+    _swap/{name}               a compaction is complete: the leaves listed in it are superseded and about to go
+
+``begin`` removes every leaf that an earlier attempt of the same batch left behind, so what is read after ``finish`` was
+written by the last attempt alone, whatever became of the source in between.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from ..session import delete_dir, list_dirs, list_files, move_file, path_exists, read_text, write_text
+
+
+def _open_file(root: str, writer: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/_open/{writer}~{int(batch_id)}"
+
+
+def _done_file(root: str, writer: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/_done/{writer}/{int(batch_id)}"
+
+
+def leaf(dt: str, writer: str, batch_id: int) -> str:
+    return f"dt={dt}/writer={writer}/batch_id={int(batch_id)}"
+
+
+def begin(spark: SparkSession, root: str, writer: str, batch_id: int, dt: str, tables_at: list[str],
+          dated: dict[str, str]) -> None:
+    """Open a batch. ``tables_at``: folders whose sub-folders are record tables; ``dated``: folder -> its date column."""
+    if "/" in writer or "~" in writer or "=" in writer:
+        raise ValueError(f"writer id {writer!r} cannot be part of a path")
+    before = [read_text(spark, f(root, writer, batch_id)) for f in (_open_file, _done_file)]
+    dates = sorted({dt, *(d for text in before if text for d in text.split())})
+    write_text(spark, _open_file(root, writer, batch_id), "\n".join(dates))
+    if any(before):
+        for d in dates:
+            end = f"writer={writer}/batch_id={int(batch_id)}"
+            for top in tables_at:
+                for t in list_dirs(spark, top):
+                    delete_dir(spark, f"{top}/{t}/dt={d}/{end}")
+            for folder, column in dated.items():
+                delete_dir(spark, f"{folder}/{column}={d}/{end}")
+
+
+def finish(spark: SparkSession, root: str, writer: str, batch_id: int, dt: str) -> None:
+    write_text(spark, _done_file(root, writer, batch_id), dt)
+    delete_dir(spark, _open_file(root, writer, batch_id))
+
+
+def is_done(spark: SparkSession, root: str, writer: str, batch_id: int) -> bool:
+    return path_exists(spark, _done_file(root, writer, batch_id))
+
+
+def unread(spark: SparkSession, root: str) -> tuple[list[tuple[str, int]], list[str]]:
+    """((writer, batch) of open batches, leaves superseded by a finished compaction); both lists are short."""
+    root = root.rstrip("/")
+    opened = [tuple(n.rsplit("~", 1)) for n in list_files(spark, f"{root}/_open")]
+    gone = [x for n in list_files(spark, f"{root}/_swap") for x in (read_text(spark, f"{root}/_swap/{n}") or "").split("\n") if x]
+    return [(w, int(b)) for w, b in opened], gone
+
+
+def swap(spark: SparkSession, root: str, writer: str, batch_id: int, dt: str, superseded: list[str]) -> None:
+    """Make a compaction's output visible and its sources invisible in one rename, then delete the sources.
+
+    ``superseded``: leaves relative to ``root``. A crash leaves a ``_swap`` file behind, which ``resume_swaps`` works off.
+    """
+    root = root.rstrip("/")
+    opened, done = _open_file(root, writer, batch_id), f"{root}/_swap/{writer}~{int(batch_id)}"
+    write_text(spark, opened, "\n".join(superseded))
+    write_text(spark, _done_file(root, writer, batch_id), dt)
+    move_file(spark, opened, done)
+    resume_swaps(spark, root)
+
+
+def resume_swaps(spark: SparkSession, root: str) -> None:
+    root = root.rstrip("/")
+    for name in list_files(spark, f"{root}/_swap"):
+        for path in (read_text(spark, f"{root}/_swap/{name}") or "").split("\n"):
+            if path:
+                delete_dir(spark, f"{root}/{path}")
+        delete_dir(spark, f"{root}/_swap/{name}")

@@ -1,22 +1,20 @@
-"""Layered index store on plain Parquet (no transactional table format needed).
-
-    index/v=<n>/     layer written by batch n: the new rows of the keys it touched
-    index/base=<n>/  full snapshot as of batch n (written by ``compact_index``)
-
-The current row of a key is its row in the newest layer that has it, looking at
-the newest base and the layers after it. A batch reads only the prior rows of the
-keys it touches (a broadcast semi-join per layer, or a shuffle join above the
-limit), so its cost is O(touched keys) in writes instead of rewriting the index.
-Batch n overwrites ``v=<n>`` as a whole, so a retried batch is idempotent, and no job
-reads and overwrites the same folder. A folder counts only once ``_SUCCESS`` exists.
-With an external database instead, write the folded delta to a staging table over
-JDBC and run one ``INSERT ... ON CONFLICT`` / ``UPDATE`` on the server.
+"""Layered index store on plain Parquet (no transactional table format needed), one per shard (dbid).
+
+    index/dbid=D/v=<n>~<writer>~<batch>/   layer n: the new rows of the keys that a batch touched
+    index/dbid=D/base=<n>/                 full snapshot as of layer n (written by ``compact_index``)
+
+The layers of a shard are numbered in the order in which batches first came, whatever their writers and batch numbers: a new
+checkpoint or a backfill that counts from zero again goes on top. A retried batch finds its own layer and overwrites it; one that is
+complete and already folded into a base is not applied again. The current row of a key is its row in the newest layer that has
+it, looking at the newest base and the layers after it. A batch reads only the prior rows of the keys it touches, so its cost
+is O(touched keys) in writes. A folder counts only once ``_SUCCESS`` exists. One job at a time writes a shard's index.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,47 +24,54 @@ from ..session import delete_dir, list_dirs, path_exists
 _KEYS = ["index_table", "c_stm"]
 
 
-def index_path(root: str) -> str:
-    return f"{root.rstrip('/')}/index"
+def index_path(root: str, dbid: str) -> str:
+    return f"{root.rstrip('/')}/index/dbid={dbid}"
+
+
+def shards(spark: SparkSession, root: str) -> list[str]:
+    return [n.partition("=")[2] for n in list_dirs(spark, f"{root.rstrip('/')}/index") if n.startswith("dbid=")]
+
 
+def _folders(spark: SparkSession, root: str, dbid: str, kind: str) -> list[tuple[int, str]]:
+    """(number, folder name) of all layers ("v") or bases ("base"), written in full or not."""
+    names = [n for n in list_dirs(spark, index_path(root, dbid)) if n.startswith(f"{kind}=")]
+    return sorted((int(n.partition("=")[2].split("~")[0]), n) for n in names)
 
-def _committed(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    out = []
-    for name in list_dirs(spark, index_path(root)):
-        if name.startswith(prefix) and name[len(prefix):].isdigit():
-            if path_exists(spark, f"{index_path(root)}/{name}/_SUCCESS"):
-                out.append(int(name[len(prefix):]))
-    return sorted(out)
 
+def _committed(spark: SparkSession, root: str, dbid: str, kind: str) -> list[tuple[int, str]]:
+    return [(v, n) for v, n in _folders(spark, root, dbid, kind)
+            if path_exists(spark, f"{index_path(root, dbid)}/{n}/_SUCCESS")]
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed batch layers."""
-    return _committed(spark, root, "v=")
 
+def layer_of(spark: SparkSession, root: str, dbid: str, writer: str, batch_id: int) -> tuple[int, str, bool]:
+    """(number, folder name, whether it exists) of a batch's layer; a new batch goes on top of everything."""
+    end = f"~{writer}~{int(batch_id)}"
+    layers = _folders(spark, root, dbid, "v")
+    for v, name in layers:
+        if name.endswith(end):
+            return v, name, True
+    top = max([v for v, _ in layers + _folders(spark, root, dbid, "base")], default=-1) + 1
+    return top, f"v={top}{end}", False
 
-def live_folders(spark: SparkSession, root: str, before: int | None = None) -> list[tuple[int, str]]:
-    """(version, path) of the newest base and the layers after it, all below ``before``."""
+
+def live_folders(spark: SparkSession, root: str, dbid: str, before: int | None = None) -> list[tuple[int, str]]:
+    """(number, path) of the newest base and the layers after it, all below ``before``."""
     ok = (lambda v: True) if before is None else (lambda v: v < before)
-    bases = [b for b in _committed(spark, root, "base=") if ok(b)]
-    start = bases[-1] if bases else -1
-    out = [(start, f"{index_path(root)}/base={start}")] if bases else []
-    out += [(v, f"{index_path(root)}/v={v}") for v in versions(spark, root) if ok(v) and v > start]
-    return out
+    bases = [x for x in _committed(spark, root, dbid, "base") if ok(x[0])]
+    start = bases[-1][0] if bases else -1
+    layers = [x for x in _committed(spark, root, dbid, "v") if ok(x[0]) and x[0] > start]
+    return [(v, f"{index_path(root, dbid)}/{n}") for v, n in bases[-1:] + layers]
 
 
-def read_state(spark: SparkSession, root: str, before: int | None = None, keys: DataFrame | None = None,
+def read_state(spark: SparkSession, root: str, dbid: str, before: int | None = None, keys: DataFrame | None = None,
                broadcast_keys: bool = False, key_values: list[str] | None = None) -> DataFrame | None:
     """Current index rows (optionally only those of ``keys``: index_table, c_stm).
 
-    ``broadcast_keys`` only when the caller has a bound on the number of keys.
-    ``key_values`` (a bounded list of c_stm) is pushed into the Parquet scan: layers
-    are sorted by key, so row groups without those keys are skipped.
+    ``broadcast_keys`` only when the caller has a bound on the number of keys. ``key_values`` (a bounded list of c_stm) is
+    pushed into the Parquet scan: layers are sorted by key, so row groups without those keys are skipped.
     """
-    folders = live_folders(spark, root, before)
-    if not folders:
-        return None
     layers = []
-    for v, path in folders:
+    for v, path in live_folders(spark, root, dbid, before):
         layer = spark.read.parquet(path).select(*INDEX_COLUMNS)
         if key_values is not None:
             layer = layer.filter(F.col("c_stm").isin(key_values))
@@ -74,6 +79,8 @@ def read_state(spark: SparkSession, root: str, before: int | None = None, keys:
             k = F.broadcast(keys) if broadcast_keys else keys
             layer = layer.join(k, _KEYS, "left_semi")
         layers.append(layer.withColumn("_v", F.lit(v)))
+    if not layers:
+        return None
     if len(layers) == 1:
         return layers[0].drop("_v")
     rest = [c for c in INDEX_COLUMNS if c not in _KEYS]
@@ -82,42 +89,43 @@ def read_state(spark: SparkSession, root: str, before: int | None = None, keys:
     return newest.select(*_KEYS, *[F.col("r")[c].alias(c) for c in rest])
 
 
-def has_base(spark: SparkSession, root: str, version: int) -> bool:
-    return path_exists(spark, f"{index_path(root)}/base={version}/_SUCCESS")
+def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
+    """Current index rows of all shards."""
+    states = [s for s in (read_state(spark, root, d) for d in shards(spark, root)) if s is not None]
+    return reduce(DataFrame.unionByName, states) if states else None
 
 
-def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
-    return read_state(spark, root)
+def _write_sorted(df: DataFrame, path: str) -> None:
+    """Sorted by key, so later key lookups skip row groups; range sampling reads the cached rows."""
+    rows = df.select(*INDEX_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows.repartitionByRange(*_KEYS).sortWithinPartitions(*_KEYS).write.mode("overwrite").parquet(path)
+    finally:
+        rows.unpersist()
 
 
-def write_layer(df: DataFrame, root: str, version: int) -> None:
-    """Rows of the touched keys, sorted by key so later key lookups skip row groups."""
-    (df.select(*INDEX_COLUMNS).repartitionByRange(*_KEYS).sortWithinPartitions(*_KEYS)
-       .write.mode("overwrite").parquet(f"{index_path(root)}/v={version}"))
+def write_layer(df: DataFrame, root: str, dbid: str, name: str) -> None:
+    _write_sorted(df, f"{index_path(root, dbid)}/{name}")
 
 
-def compact_index(spark: SparkSession, root: str, version: int) -> None:
-    """Fold all live layers up to ``version`` into ``base=<version>``; older folders stop being read."""
-    state = read_state(spark, root, before=version + 1)
-    if state is None:
+def compact_index(spark: SparkSession, root: str, dbid: str) -> None:
+    """Fold all live layers into a base; older folders stop being read. Run between batches."""
+    live = live_folders(spark, root, dbid)
+    if not live:
         return
-    (state.repartitionByRange(*_KEYS).sortWithinPartitions(*_KEYS)
-     .write.mode("overwrite").parquet(f"{index_path(root)}/base={version}"))
+    path = f"{index_path(root, dbid)}/base={live[-1][0]}"
+    if live[-1][1] != path:
+        _write_sorted(read_state(spark, root, dbid), path)
 
 
-def prune_index(spark: SparkSession, root: str) -> int:
-    """Delete folders no reader looks at any more (everything below the newest base)."""
-    bases = _committed(spark, root, "base=")
+def prune_index(spark: SparkSession, root: str, dbid: str) -> int:
+    """Delete folders no reader looks at any more (everything that the newest base covers)."""
+    bases = _committed(spark, root, dbid, "base")
     if not bases:
         return 0
-    newest = bases[-1]
-    gone = 0
-    for name in list_dirs(spark, index_path(root)):
-        kind, _, num = name.partition("=")
-        if kind in ("v", "base") and num.isdigit() and int(num) < newest:
-            delete_dir(spark, f"{index_path(root)}/{name}")
-            gone += 1
-        elif kind == "v" and num.isdigit() and int(num) == newest:
-            delete_dir(spark, f"{index_path(root)}/{name}")   # folded into base=<newest>
-            gone += 1
-    return gone
+    newest = bases[-1][0]
+    gone = [n for v, n in _folders(spark, root, dbid, "v") if v <= newest]
+    gone += [n for v, n in _folders(spark, root, dbid, "base") if v < newest]
+    for n in gone:
+        delete_dir(spark, f"{index_path(root, dbid)}/{n}")
+    return len(gone)

@@ -1,87 +1,133 @@
-"""Warehouse sinks: JSON-lines records (K1), partition routing (K2), file sizing and compaction (K3),
-plus the error and quarantine tables.
+"""Warehouse sinks: JSON-lines records (K1), partition routing (K2), file sizing and compaction (K3), error and quarantine
+tables.
 
-Every write of a batch goes to partitions that include ``batch_id`` and uses dynamic
-partition overwrite, so a replayed batch rewrites exactly its own files and nothing
-else (idempotent under retries).
+A batch's distinct records are staged once (one row per record and chunk of copies), then written out in full. Every leaf
+is keyed by writer and batch (sinks/commits.py), so a replayed batch replaces its own leaves and nothing else.
 """
 
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import SyncOptions
-from ..session import delete_dir, list_dirs, move_dir
+from ..session import delete_dir, list_dirs, local_frame, path_exists
+from . import commits
+
+_SIZES = T.StructType([T.StructField("tableName", T.StringType()), T.StructField("dt", T.StringType()),
+                       T.StructField("first", T.IntegerType()), T.StructField("n_slots", T.IntegerType())])
 
 
 def records_path(root: str, opts: SyncOptions) -> str:
     return f"{root.rstrip('/')}/{opts.warehouse_db}"
 
 
+def staging_path(root: str, opts: SyncOptions, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/_staging/{opts.writer}~{int(batch_id)}"
+
+
 def _text_writer(df: DataFrame, opts: SyncOptions):
-    w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .option("maxRecordsPerFile", str(opts.max_records_per_file)))
+    w = df.write.mode("append")
+    if opts.max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(opts.max_records_per_file))
     return w.option("compression", opts.text_compression) if opts.text_compression else w
 
 
-def write_records(records: DataFrame, root: str, batch_id: int, opts: SyncOptions) -> str:
-    """K1/K2: one JSON object per line, UTF-8.
+def stage_records(groups: list[DataFrame], root: str, opts: SyncOptions, batch_id: int) -> DataFrame:
+    """Distinct records of a batch with their copy counts, written once; several groups of tables are several jobs.
+
+    The source is read here only: sizes, record files and index gate all come from the staged rows.
+    """
+    path = staging_path(root, opts, batch_id)
+    delete_dir(groups[0].sparkSession, path)
+    for g in groups:
+        g.write.mode("append").parquet(path)
+    return groups[0].sparkSession.read.schema(groups[0].schema).parquet(path)
+
+
+def _bytes() -> Column:
+    return (F.octet_length("value") + 1).cast("long")
+
+
+def slots_of(sizes: list, opts: SyncOptions, parallelism: int) -> tuple[list[tuple], int]:
+    """(tableName, dt, first slot, slots) from (tableName, dt, bytes): a slot is one task and one file of about the target size.
+
+    The target is the file size, or less where that would leave cores idle.
+    """
+    total = sum(r[2] for r in sizes)
+    target = min(opts.file_bytes, max(opts.file_bytes // 16, math.ceil(total / (2 * max(1, parallelism)))))
+    out, at = [], 0
+    for name, dt, size in sorted(sizes):
+        n = max(1, math.ceil(size / target))
+        out.append((name, dt, at, n))
+        at += n
+    return out, at
+
+
+def dealt(staged: DataFrame, opts: SyncOptions) -> tuple[DataFrame, list[tuple]]:
+    """Staged rows (tableName, dt, seq, c_stm, value, _cnt, _c) dealt to slots sized by the bytes of their copies.
 
-    ``single``: {db}/tableName=T/dt=D/batch_id=N/part-*.txt in one job.
-    ``per_table``: {db}/T/dt=D/batch_id=N/part-*.txt, the original directory shape: the
-    same single job writes to a staging folder of the batch, then each committed
-    dt/batch_id leaf is moved under its table (metadata only; a retry replaces its own
-    leaves).
-    Rows are rebalanced by (tableName, dt) so each table/date gets few, advisory-sized
-    files; AQE splits a hot table across several tasks instead of one. A frame with a
-    copy count ``_cnt`` is shuffled once per distinct record (salted, so one table's
-    rows still spread over up to ``write_fanout`` tasks) and expanded after the shuffle.
+    The sizes are one row per table and date of the batch. A record's chunks of copies are dealt apart.
+    """
+    spark = staged.sparkSession
+    sizes = [tuple(r) for r in staged.groupBy("tableName", "dt").agg(F.sum(F.col("_cnt") * _bytes()).alias("b")).collect()]
+    slots, total = slots_of(sizes, opts, spark.sparkContext.defaultParallelism)
+    at = F.col("first") + F.pmod(F.xxhash64("value", "seq", "c_stm", "_c"), F.col("n_slots")).cast("int")
+    rows = (staged.select("value", "tableName", "dt", "seq", "c_stm", "_cnt", "_c")
+            .join(F.broadcast(local_frame(spark, slots, _SIZES)), ["tableName", "dt"])      # one row per table and date
+            .withColumn("_slot", at))
+    return rows.repartitionById(max(1, total), "_slot"), slots
+
+
+def write_records(staged: DataFrame, root: str, batch_id: int, opts: SyncOptions) -> str:
+    """K1/K2: one JSON object per line, UTF-8, every record as often as its copy count says.
+
+    ``single``: {db}/tableName=T/dt=D/writer=W/batch_id=N/part-*.txt in one job.
+    ``per_table``: {db}/T/dt=D/writer=W/batch_id=N/part-*.txt, the original directory shape, one job per table straight
+    into its folder (no renames), several tables at a time.
     """
     path = records_path(root, opts)
-    if "_cnt" in records.columns:
-        salt = F.pmod(F.xxhash64("value", "seq", "c_stm"), F.lit(opts.write_fanout))
-        df = (records.select("value", "tableName", "dt", "_cnt", salt.alias("_salt"))
-              .hint("rebalance", "tableName", "dt", "_salt"))
-        df = df.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cnt"))))
-        df = df.select("value", "tableName", "dt", F.lit(int(batch_id)).alias("batch_id"))
-    else:
-        df = records.select("value", "tableName", "dt", F.lit(int(batch_id)).alias("batch_id"))
-        df = df.hint("rebalance", "tableName", "dt")
-    if opts.layout == "per_table":
-        spark = records.sparkSession
-        stage = f"{root.rstrip('/')}/_staging/{opts.warehouse_db}/batch_id={int(batch_id)}"
-        delete_dir(spark, stage)
-        _text_writer(df.drop("batch_id"), opts).partitionBy("tableName", "dt").text(stage)
-        for tdir in list_dirs(spark, stage):
-            if not tdir.startswith("tableName="):
-                continue
-            for ddir in list_dirs(spark, f"{stage}/{tdir}"):
-                move_dir(spark, f"{stage}/{tdir}/{ddir}",
-                         f"{path}/{tdir[len('tableName='):]}/{ddir}/batch_id={int(batch_id)}")
-        delete_dir(spark, stage)
+    rows, slots = dealt(staged, opts)
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cnt")))
+    full = rows.withColumn("_rep", copies).select(
+        "value", "tableName", "dt", F.lit(opts.writer).alias("writer"), F.lit(int(batch_id)).alias("batch_id"))
+    if not slots:
+        return path
+    if opts.layout != "per_table":
+        _text_writer(full, opts).partitionBy("tableName", "dt", "writer", "batch_id").text(path)
         return path
-    _text_writer(df, opts).partitionBy("tableName", "dt", "batch_id").text(path)
+
+    def one(name: str) -> None:
+        own, _ = dealt(staged.filter(F.col("tableName") == name), opts)
+        out = own.withColumn("_rep", copies).select("value", "dt", F.lit(opts.writer).alias("writer"),
+                                                    F.lit(int(batch_id)).alias("batch_id"))
+        _text_writer(out, opts).partitionBy("dt", "writer", "batch_id").text(f"{path}/{name}")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(one, sorted({s[0] for s in slots})))
     return path
 
 
-def read_records(spark: SparkSession, root: str, opts: SyncOptions) -> DataFrame:
-    """Records back as (value, tableName, dt, batch_id, file)."""
+def read_records(spark: SparkSession, root: str, opts: SyncOptions, dt: str | None = None) -> DataFrame:
+    """Committed records as (value, tableName, dt, writer, batch_id, file)."""
     path = records_path(root, opts)
-    if opts.layout == "per_table":
-        # {table}/dt=.../batch_id=... is not a key=value tree at the table level, so the
-        # partition values are taken from the file path instead of partition discovery.
-        df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").text(path)
-        f = F.input_file_name()
-        m = r"/([^/]+)/dt=([^/]+)/batch_id=([^/]+)/"
-        return df.select("value", F.regexp_extract(f, m, 1).alias("tableName"),
-                         F.regexp_extract(f, m, 2).alias("dt"),
-                         F.regexp_extract(f, m, 3).cast("int").alias("batch_id"), f.alias("file"))
-    df = spark.read.text(path)
-    return df.select("value", "tableName", F.col("dt").cast("string").alias("dt"), "batch_id",
-                     F.input_file_name().alias("file"))
+    f = F.input_file_name()
+    place = r"/(?:tableName=)?([^/]+)/dt=([^/]+)/writer=([^/]+)/batch_id=([^/]+)/[^/]+$"
+    glob = f"{path}/*/dt={dt}/*/*" if dt else f"{path}/*/*/*/*"
+    # the place is taken from the path, which reads both layouts alike
+    df = spark.read.text(glob).select("value", *[
+        F.regexp_extract(f, place, k + 1).alias(n) for k, n in enumerate(("tableName", "dt", "writer"))],
+        F.regexp_extract(f, place, 4).cast("int").alias("batch_id"), f.alias("file"))
+    opened, gone = commits.unread(spark, root)
+    for w, b in opened:
+        df = df.filter(~((F.col("writer") == w) & (F.col("batch_id") == b)))
+    for g in gone:
+        df = df.filter(~F.col("file").contains(f"/{g}/"))
+    return df
 
 
 def bucket_of(file_col, opts: SyncOptions):
@@ -90,38 +136,55 @@ def bucket_of(file_col, opts: SyncOptions):
     return F.regexp_extract(file_col, rf"({db}/[^/]+/dt=[^/]+)/", 1)
 
 
-def compact(spark: SparkSession, root: str, out_root: str, opts: SyncOptions,
-            target_bytes: int = 122 * 1024 * 1024, dt: str | None = None) -> str:
-    """K3: rewrite the records under ``root`` into about ``target_bytes``-sized files per (tableName, dt).
+def compact(spark: SparkSession, root: str, opts: SyncOptions, dt: str, run: int = 0) -> int:
+    """K3: rewrite the committed leaves of one closed date into files of about ``opts.file_bytes`` bytes, in place.
 
-    The file count of each (table, date) is computed from its byte size (a tiny
-    aggregate: one row per partition), rows are spread over that many slots by a
-    deterministic hash, and each slot becomes one file. Writes to ``out_root``; the
-    caller swaps directories once the write has committed. ``dt`` limits the job to one
-    closed date (a partition filter, so only that date's folders are listed and read).
+    Sizes come from the file listing, not from the data. The output is a batch of the writer ``compact``, so it can be read next
+    to live batches and compacted again; it replaces its sources in one rename (commits.swap). Returns the leaves replaced.
+    ``run`` numbers repeated compactions of a date; a crashed run is repeated under its own number.
     """
-    recs = read_records(spark, root, opts).drop("file")
-    if dt is not None:
-        recs = recs.filter(F.col("dt") == dt)
-    sizes = (recs.groupBy("tableName", "dt").agg(F.sum(F.length("value") + 1).alias("bytes"))
-             .withColumn("n_files", F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_bytes)))))
-    n_parts = sizes.count()
-    sz = F.broadcast(sizes) if n_parts <= opts.broadcast_catalog_limit else sizes
-    slot = F.pmod(F.xxhash64("value", F.monotonically_increasing_id()), F.col("n_files"))
-    total = max(1, int(math.ceil((sizes.agg(F.sum("n_files")).first()[0] or 1))))
-    out = (recs.join(sz, ["tableName", "dt"]).withColumn("_slot", slot)
-           .repartition(total, "tableName", "dt", "_slot")
-           .select("value", "tableName", "dt"))
-    path = records_path(out_root, opts)
-    _text_writer(out, opts).partitionBy("tableName", "dt").text(path)
-    return path
+    commits.resume_swaps(spark, root)
+    own = opts.with_(dbid="compact", stream_id=dt)
+    top = records_path(root, opts)
+    opened, _ = commits.unread(spark, root)
+    leaves: dict[str, list[str]] = {}
+    for t in list_dirs(spark, top):
+        for w in list_dirs(spark, f"{top}/{t}/dt={dt}"):
+            for b in list_dirs(spark, f"{top}/{t}/dt={dt}/{w}"):
+                if (w.partition("=")[2], int(b.partition("=")[2])) not in opened and (w, b) != (
+                        f"writer={own.writer}", f"batch_id={int(run)}"):
+                    leaves.setdefault(t, []).append(f"{top}/{t}/dt={dt}/{w}/{b}")
+    if not any(leaves.values()) or commits.is_done(spark, root, own.writer, run) and (own.writer, int(run)) not in opened:
+        return 0
+    commits.begin(spark, root, own.writer, run, dt, [top], {})
+
+    def one(t: str) -> None:
+        n = max(1, math.ceil(sum(_size(spark, x) for x in leaves[t]) / opts.file_bytes))
+        rows = spark.read.text(leaves[t]).select("value")
+        _text_writer(rows.repartition(n), opts).text(f"{top}/{t}/{commits.leaf(dt, own.writer, run)}")
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(one, sorted(leaves)))
+    gone = [x[len(root.rstrip("/")) + 1:] for xs in leaves.values() for x in xs]
+    commits.swap(spark, root, own.writer, run, dt, gone)
+    return len(gone)
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hp).getLength())
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """Append-style table with dynamic partition overwrite (errors, quarantine).
+    """Append-style table (errors, quarantine) whose partitions include writer and batch; commits.begin has cleared them.
 
-    Rebalanced by the partition columns so a batch writes a few advisory-sized files
-    per partition instead of one small file per task.
+    Rebalanced by the partition columns so a batch writes a few advisory-sized files per partition.
     """
-    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).parquet(path))
+    df.hint("rebalance", *partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(path)
+
+
+def drop_staging(spark: SparkSession, root: str, opts: SyncOptions, batch_id: int) -> None:
+    path = staging_path(root, opts, batch_id)
+    if path_exists(spark, path):
+        delete_dir(spark, path)

@@ -9,7 +9,9 @@ serves a relational source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +64,9 @@ class FrameCatalog:
     def pull(self, schema: str, table: str, key_col: str, keys: DataFrame,
              broadcast_keys: bool, columns: list[str] | None = None,
              key_values: list[str] | None = None) -> DataFrame:
-        """Rows of the table whose ``key_col`` is in ``keys._k``, with ``_k`` appended.
+        """Rows of the table whose ``key_col`` is in ``keys._k``: the key side's columns and the row as struct ``_row``.
+
+        The row is packed before the join, so its columns may have any names.
 
         One scan of the table per batch, however many events ask for it. The key
         side is broadcast only when the caller measured it under the limit; otherwise
@@ -72,8 +76,29 @@ class FrameCatalog:
         """
         src = self.frame(schema, table)
         if key_values is not None:
-            src = src.filter(F.col(f"`{key_col}`").isin(key_values))
-        if columns is not None:
-            src = src.select(*[F.col(f"`{c}`") for c in columns])
-        k = F.broadcast(keys) if broadcast_keys else keys
-        return src.join(k, src[f"`{key_col}`"] == k[KEY], "inner")
+            src = src.filter(key_filter(src, key_col, key_values))
+        return join_keys(src, key_col, keys, broadcast_keys, columns)
+
+
+def join_keys(src: DataFrame, key_col: str, keys: DataFrame, broadcast_keys: bool, columns: list[str] | None) -> DataFrame:
+    row = F.struct(*[F.col(f"`{c}`") for c in (columns if columns is not None else src.columns)])
+    packed = src.select(F.col(f"`{key_col}`").cast("string").alias("_source_key"), row.alias("_row"))
+    k = F.broadcast(keys) if broadcast_keys else keys
+    return packed.join(k, packed["_source_key"] == k[KEY], "inner").drop("_source_key")
+
+
+_INTEGERS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+
+
+def key_filter(src: DataFrame, key_col: str, values: list[str]) -> Column:
+    """Key IN (values) in the column's own type, so that it reaches the scan.
+
+    A text equals an integer column's text only if it is that integer's plain decimal form; others match no row.
+    """
+    kind = dict(src.dtypes)[key_col]
+    col = F.col(f"`{key_col}`")
+    if kind in _INTEGERS:
+        top = 1 << _INTEGERS[kind]
+        own = [int(v) for v in values if re.fullmatch(r"0|-?[1-9][0-9]{0,18}", v) and -top <= int(v) < top]
+        return col.isin(own) if own else F.lit(False)
+    return (col if kind == "string" else col.cast("string")).isin(values)

@@ -26,8 +26,13 @@ _PARTITION_SHIFT = 44
 
 
 def kafka_events(spark: SparkSession, servers: str, topic: str, streaming: bool = True,
-                 starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = 5000,
-                 options: dict | None = None) -> DataFrame:
+                 starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
+                 options: dict | None = None, time_zone: str = "UTC") -> DataFrame:
+    """Events of a topic; ``apply_ts`` is the record time on the wall clock of ``time_zone``.
+
+    A batch takes all there is unless ``max_offsets_per_trigger`` bounds it; use a bound with back-to-back triggers only, or a
+    busy topic falls behind.
+    """
     reader = spark.readStream if streaming else spark.read
     r = (reader.format("kafka").option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic).option("startingOffsets", starting_offsets))
@@ -39,7 +44,7 @@ def kafka_events(spark: SparkSession, servers: str, topic: str, streaming: bool
     return df.select(
         (F.shiftleft(F.col("partition").cast("long"), _PARTITION_SHIFT) + F.col("offset")).alias("seq"),
         F.col("value").cast("string").alias("value"),
-        F.col("timestamp").cast("timestamp_ntz").alias("apply_ts"),
+        F.convert_timezone(F.current_timezone(), F.lit(time_zone), F.col("timestamp").cast("timestamp_ntz")).alias("apply_ts"),
     )
 
 
@@ -63,7 +68,7 @@ def stage_events(raw: DataFrame, path: str, files: int) -> str:
     """
     lo, hi = raw.agg(F.min("seq"), F.max("seq")).first()
     if lo is None:
-        raw.limit(0).write.mode("overwrite").parquet(path)
+        raw.filter(F.lit(False)).write.mode("overwrite").parquet(path)
         return path
     step = (hi - lo) // files + 1
     for i in range(files):

@@ -48,12 +48,15 @@ CASE seq % 97
             WHEN seq % 13 = 0 THEN ',"d_xgsj":""'
             ELSE ',"d_xgsj":"' || CAST(d_xgsj AS STRING) || '"' END
     || CASE WHEN seq % 97 = 1 THEN ''
+            WHEN seq % 97 = 4 THEN ',"data_state":"x"'
             WHEN seq % 5 = 0 THEN ',"data_state":"' || CAST(data_state AS STRING) || '"'
             ELSE ',"data_state":' || CAST(data_state AS STRING) END
     || coalesce(',"c_baah":"' || c_baah || '"', '')
-    || CASE WHEN seq % 7 = 0 AND seq % 2 = 0 THEN ',"n_jbfy":null'
+    || CASE WHEN seq % 97 = 5 THEN ',"n_jbfy":"many"'
+            WHEN seq % 7 = 0 AND seq % 2 = 0 THEN ',"n_jbfy":null'
             ELSE coalesce(',"n_jbfy":' || CAST(n_jbfy AS STRING), '') END
     || ',"schemaName":"' || CASE WHEN seq % 97 = 2 THEN 'nounderscore' ELSE schema_name END || '"}'
+    || CASE WHEN seq % 97 = 6 THEN ' tail' ELSE '' END
 END
 """
 
@@ -66,24 +69,25 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_frames(spark: SparkSession, sf_dir: str) -> dict:
     """FIXTURES B3: the logical source tables, keyed by (schema, table)."""
     t = lambda n: load_table(spark, sf_dir, n)
-    s = lambda c: F.col(c).cast("string")
+    c = F.col
+    # columns keep their own types: records cast them to text, and key lists reach the scan as numbers
     return {
         ("db_customer", "t_customer"): t("customer").select(
-            s("c_custkey").alias("c_stm"), "c_name", s("c_nationkey").alias("n_nation"), "c_mktsegment"),
+            c("c_custkey").alias("c_stm"), "c_name", c("c_nationkey").alias("n_nation"), "c_mktsegment"),
         ("db_customer", "t_customer_order"): t("orders").select(
-            s("o_orderkey").alias("c_stm"), s("o_custkey").alias("c_stm_customer"),
+            c("o_orderkey").alias("c_stm"), c("o_custkey").alias("c_stm_customer"),
             "o_orderstatus", "o_orderpriority"),
         ("db_customer", "t_label"): t("labels").select(
-            s("doc_id").alias("c_stm"), s("quality").alias("n_quality"), s("toxic").alias("data_state")),
+            c("doc_id").alias("c_stm"), c("quality").alias("n_quality"), c("toxic").alias("data_state")),
         ("db_customer", "t_note"): t("region").select("r_name"),
-        ("db_customer", "tab"): t("nation").select(s("n_nationkey").alias("c_stm"), "n_name"),
+        ("db_customer", "tab"): t("nation").select(c("n_nationkey").alias("c_stm"), "n_name"),
         ("db_supplier", "t_supplier"): t("supplier").select(
-            s("s_suppkey").alias("c_stm"), "s_name", s("s_nationkey").alias("n_nation")),
+            c("s_suppkey").alias("c_stm"), "s_name", c("s_nationkey").alias("n_nation")),
         ("db_supplier", "t_lineitem"): t("lineitem").select(
-            F.concat(s("l_orderkey"), F.lit("-"), s("l_linenumber")).alias("c_stm"),
-            s("l_suppkey").alias("c_stm_supplier"), "l_returnflag", "l_linestatus"),
+            F.concat(c("l_orderkey").cast("string"), F.lit("-"), c("l_linenumber").cast("string")).alias("c_stm"),
+            c("l_suppkey").alias("c_stm_supplier"), "l_returnflag", "l_linestatus"),
         ("db_fyygx", "v_customer"): t("documents").select(
-            s("doc_id").alias("c_stm_customer"), "lang", "source", s("n_chars").alias("n_chars")),
+            c("doc_id").alias("c_stm_customer"), "lang", "source", "n_chars"),
     }
 
 
@@ -99,3 +103,22 @@ def xzys_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")).alias("n_jbfymc"),
         F.col("c_name"),
     )
+
+
+def clashing_catalog(spark: SparkSession, sf_dir: str) -> FrameCatalog:
+    """A source table whose columns are named like the job's own helpers."""
+    c = load_table(spark, sf_dir, "customer")
+    key, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    t = c.select(key.alias("c_stm"), F.col("c_name").alias("seq"), seg.alias("_k"), F.col("c_nationkey").alias("_cnt"),
+                 F.concat(F.lit("r"), seg).alias("_row"), F.concat(F.lit("v"), seg).alias("value"), key.alias("_c"))
+    return FrameCatalog(spark, {("db_customer", "t_customer"): t})
+
+
+def shared_name_catalog(spark: SparkSession, sf_dir: str) -> FrameCatalog:
+    """A document view and a table whose rows land in the same record table (db_customer_t_customerws)."""
+    frames = source_frames(spark, sf_dir)
+    keep = {("db_customer", "t_customer"), ("db_fyygx", "v_customer")}
+    c = load_table(spark, sf_dir, "customer")
+    both = {k: v for k, v in frames.items() if k in keep}
+    both[("db_customer", "t_customerws")] = c.select(F.col("c_custkey").alias("c_stm"), F.col("c_name"))
+    return FrameCatalog(spark, both, views={("db_fyygx", "v_customer")})

@@ -1,14 +1,15 @@
 """Structured Streaming wiring.
 
-The batch time is added to the *streaming* plan (``current_timestamp()`` is fixed per
-micro-batch and recorded in the offset log), so a retried batch keeps its ``dt`` and
-rewrites the same partitions. Each micro-batch runs ``process_batch`` under
-``foreachBatch``; its writes are keyed by ``batch_id``, so replays are idempotent.
-No watermark: the job keeps no event-time state (R1/R2).
+The batch time is added to the *streaming* plan (``current_timestamp()`` is fixed per micro-batch and recorded in the
+offset log), so a retried batch keeps its ``dt``. Each micro-batch runs ``process_batch`` under ``foreachBatch``; its outputs are
+keyed by the query id of the checkpoint and ``batch_id``, so replays replace their own files and a new checkpoint, which counts
+from zero again, is another writer. No watermark: the job keeps no event-time state (R1/R2).
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,45 +18,29 @@ from ..config import SyncOptions
 from ..plans.batch import process_batch
 
 
-def with_batch_time(raw_stream: DataFrame) -> DataFrame:
-    return raw_stream.withColumn("run_ts", F.current_timestamp().cast("timestamp_ntz"))
+def with_batch_time(raw_stream: DataFrame, time_zone: str = "UTC") -> DataFrame:
+    """Adds ``run_ts``, the wall clock of ``time_zone`` when the micro-batch was planned, whatever the session's zone is."""
+    now = F.convert_timezone(F.current_timezone(), F.lit(time_zone), F.current_timestamp().cast("timestamp_ntz"))
+    return raw_stream.withColumn("run_ts", now)
 
 
 def start_sync(spark: SparkSession, raw_stream: DataFrame, catalog, opts: SyncOptions, out_root: str,
-               checkpoint_location: str, trigger: dict | None = None,
-               fail_after: int | None = None) -> StreamingQuery:
+               checkpoint_location: str, trigger: dict | None = None, run_batch=process_batch) -> StreamingQuery:
     """Start the sync stream. ``trigger`` e.g. {"processingTime": "5 minutes"} or {"availableNow": True}.
 
-    ``fail_after`` (tests only) raises after the records of that batch id are written
-    and before its index version, to exercise recovery.
+    Without a trigger, batches follow each other as long as there are events. ``run_batch`` has process_batch's signature.
     """
-    run_opts = opts.with_(run_ts=None)
+    known, query = threading.Event(), []
 
     def each_batch(df: DataFrame, batch_id: int) -> None:
-        if fail_after is not None and batch_id == fail_after and not _failed.get(batch_id):
-            _failed[batch_id] = True
-            _records_only(spark, df, catalog, run_opts, out_root, batch_id)
-            raise RuntimeError(f"injected failure in batch {batch_id}")
-        process_batch(spark, df, catalog, run_opts, out_root, batch_id)
+        known.wait()
+        # the query id is kept in the checkpoint and survives restarts
+        run_batch(spark, df, catalog, opts.with_(run_ts=None, stream_id=str(query[0].id)), out_root, batch_id)
 
-    w = (with_batch_time(raw_stream).writeStream.foreachBatch(each_batch)
+    w = (with_batch_time(raw_stream, opts.time_zone).writeStream.foreachBatch(each_batch)
          .option("checkpointLocation", checkpoint_location))
-    w = w.trigger(**(trigger or {"processingTime": "5 minutes"}))
-    return w.start()
-
-
-_failed: dict = {}
-
-
-def _records_only(spark, df, catalog, opts, out_root, batch_id):
-    """Write only the record files of a batch (the state a crash between sinks leaves behind)."""
-    from ..functions.decode import decode_events
-    from ..plans.batch import RECORD_COLUMNS, plan_batch
-    from ..sinks import warehouse
-    r = df.agg(F.max("run_ts")).first()[0]
-    if r is None:
-        return
-    o = opts.with_(run_ts=str(r))
-    decoded = decode_events(df.drop("run_ts"))
-    bf = plan_batch(df, catalog, o, decoded=decoded)
-    warehouse.write_records(bf.records().select(*RECORD_COLUMNS), out_root, batch_id, o)
+    if trigger:
+        w = w.trigger(**trigger)
+    query.append(w.start())
+    known.set()
+    return query[0]

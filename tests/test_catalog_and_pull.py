@@ -81,11 +81,11 @@ def test_chunked_copies_equal_per_event_rows(spark):
     plan = next(p for p in bf.record_plans() if p.table == "t_a_child")
     n_ev, n_keys = bf.stats["db_a"]
     want = sorted(tuple(r) for r in pulled_rows(c, plan, bf.pull_events, n_ev, n_keys, bf.opts)
-                  .select("c_stm", "_k").collect())
+                  .select("_row.c_stm", "_k").collect())
     for chunk in (1, 2, 10_000):
         rows = pulled_row_copies(c, plan, bf.pull_events, n_ev, n_keys, bf.opts, chunk=chunk)
         assert rows.agg({"_cnt": "max"}).first()[0] <= chunk
-        got = sorted(tuple(r) for r in replicate(rows).select("c_stm", "_k").collect())
+        got = sorted(tuple(r) for r in replicate(rows).select("_row.c_stm", "_k").collect())
         assert got == want, chunk
 
 

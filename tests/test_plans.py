@@ -31,6 +31,7 @@ def test_pull_prunes_columns_and_broadcasts_checked_keys(spark):
     df = bf.pulled(plan, columns=bf.source_columns(plan))
     p = _plan(df)
     assert "BroadcastHashJoin" in p                       # event side measured under the limit
+    assert "PushedFilters: [In(l_suppkey" in p            # the keys reach the scan in the column's own type
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int,l_returnflag:string," \
            "l_linestatus:string>" in p.replace("\n", "")
     # with Spark's own size-based broadcast off, only the measured-count check decides
@@ -50,6 +51,20 @@ def test_fold_is_partial_aggregation(spark):
     assert "partial_min" in p and "partial_max" in p
 
 
+def test_integer_keys_match_their_plain_text_only(spark):
+    from keyrelay.sources.catalog import key_filter
+    df = spark.createDataFrame([(1,), (-7,), (0,), (12,)], "k int")
+    got = {r.k for r in df.filter(key_filter(df, "k", ["1", "-7", "0", "012", " 12", "1.0", "x", "99999999999", "-0"])).collect()}
+    assert got == {1, -7, 0}
+    assert df.filter(key_filter(df, "k", ["x"])).count() == 0
+
+
+def test_fanout_counts_before_the_join(spark):
+    from pyspark.sql import functions as F
+    p = registry.QUERIES["fanout"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.index("Join") < p.index("Aggregate")         # the join stands above the count
+
+
 def test_index_key_reads_push_keys_into_the_scan(spark):
     from pyspark.sql import functions as F
     from keyrelay.operators import index as idx
@@ -57,9 +72,9 @@ def test_index_key_reads_push_keys_into_the_scan(spark):
     from keyrelay.sinks import index_store
     ie = registry.batch(spark, SF).index_events()
     root = scratch_path(spark, "t", "pushkeys")
-    index_store.write_layer(idx.fold(ie), root, 0)
+    index_store.write_layer(idx.fold(ie), root, "00", "v=0~w~0")
     keys = idx.fold_delta(ie.filter(F.col("c_stm") == "2")).select("index_table", "c_stm")
-    df = index_store.read_state(spark, root, before=1, keys=keys, broadcast_keys=True, key_values=["2"])
+    df = index_store.read_state(spark, root, "00", before=1, keys=keys, broadcast_keys=True, key_values=["2"])
     p = _plan(df)
     pushed = p.split("PushedFilters: [", 1)[1].split("]", 1)[0]
     assert "EqualTo(c_stm,2)" in pushed or "In(c_stm" in pushed, pushed

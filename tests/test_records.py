@@ -13,7 +13,7 @@ RUN_TS = "2024-02-01 00:00:00"
 def _records(spark, rows, schema, dbid="00", s="db_x", t="t_x"):
     df = spark.createDataFrame(rows, schema)
     fields = record_fields(df.columns, s, t, f"{s}_{t}", dbid, RUN_TS, ALIAS_RULES)
-    return [json.loads(r[0]) for r in df.select(record_value(fields)).collect()]
+    return [json.loads(r[0]) for r in df.select(F.struct("*").alias("_row")).select(record_value(fields)).collect()]
 
 
 def test_metadata_wins_and_nulls_are_omitted(spark):

@@ -26,7 +26,7 @@ def _brute_force(spark, bf):
               ("db_supplier", "t_lineitem"): "c_stm_supplier", ("db_fyygx", "v_customer"): "c_stm_customer"}
     out = Counter()
     for (schema, table), key in key_of.items():
-        rows = Counter(r[0] for r in frames[(schema, table)].select(key).collect())
+        rows = Counter(str(r[0]) for r in frames[(schema, table)].select(key).collect())
         ev_schema = "db_customer" if schema == "db_fyygx" else schema
         name = "db_customer_t_customerws" if table == "v_customer" else f"{schema}_{table}"
         out[name] = sum(rows[k] for s, k in ev if s == ev_schema)

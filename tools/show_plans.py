@@ -1,4 +1,4 @@
-"""Print the physical plans of the key operators at a scale factor (explain only, nothing is run).
+"""Print the physical plans of the key operators at a scale factor (only the staged records of the write are run).
 
 usage: python tools/show_plans.py [sf_dir] > PLANS.md
 """
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from keyrelay.operators import index as idx  # noqa: E402
 from keyrelay.plans import registry  # noqa: E402
-from keyrelay.plans.batch import RECORD_COLUMNS  # noqa: E402
-from keyrelay.session import get_session  # noqa: E402
+from keyrelay.session import delete_dir, get_session, scratch_path  # noqa: E402
+from keyrelay.sinks import warehouse  # noqa: E402
 
 
 def plan_text(df) -> str:
@@ -31,19 +31,18 @@ def plan_text(df) -> str:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session()
+    spark = get_session(shuffle_partitions=8)
     bf = registry.batch(spark, sf)
     li = next(p for p in bf.record_plans() if p.table == "t_lineitem")
-    g = bf.record_groups()[-1].select(*RECORD_COLUMNS, "_cnt")
-    salt = F.pmod(F.xxhash64("value", "seq", "c_stm"), F.lit(64))
-    write = (g.select("value", "tableName", "dt", "_cnt", salt.alias("_salt"))
-             .hint("rebalance", "tableName", "dt", "_salt")
+    root = scratch_path(spark, "plans")
+    staged = warehouse.stage_records(bf.record_groups(), root, bf.opts, 0)
+    write = (warehouse.dealt(staged, bf.opts)[0]
              .withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cnt"))))
              .select("value", "tableName", "dt"))
     sections = [
         ("Keyed pull of one table (t_lineitem): pruned scan, broadcast of per-key event counts, no shuffle of the source",
          bf.table_records(li, expand=False)),
-        ("Record write of a table group: one shuffle of distinct records, copies made after it", write),
+        ("Record write: staged distinct records dealt to slots sized by their copies' bytes, copies made after it", write),
         ("Index fold: partial + final aggregation over (index_table, c_stm)", idx.fold(bf.index_events())),
         ("Error rows", bf.errors()),
     ]
@@ -51,6 +50,7 @@ def main() -> None:
     print("Generated by `python tools/show_plans.py`; expression ids removed, long lines cut.\n")
     for title, df in sections:
         print(f"## {title}\n\n```\n{plan_text(df)}\n```\n")
+    delete_dir(spark, root)
 
 
 if __name__ == "__main__":
