@@ -213,7 +213,7 @@ def q_index_fold(spark, sf_dir):
 def q_index_merge(spark, sf_dir):
     """Fold the events below a cut into a prior index, then merge the rest as a delta."""
     bf = batch(spark, sf_dir)
-    ie = bf.index_events()
+    ie = _settle(bf.index_events())         # used three times: pulled once
     cut = (ie.agg(F.max("seq")).first()[0] or 0) // 2
     prior = idx.fold(ie.filter(F.col("seq") < cut))
     delta = idx.fold_delta(ie.filter(F.col("seq") >= cut))
