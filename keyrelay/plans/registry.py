@@ -31,7 +31,8 @@ OPTS = FIXTURE_OPTIONS
 
 
 def batch(spark: SparkSession, sf_dir: str, opts: SyncOptions = OPTS) -> BatchFrames:
-    return plan_batch(fixtures.raw_events(spark, sf_dir), fixtures.fixture_catalog(spark, sf_dir), opts)
+    """One planned batch over the test tables; its decoded events stay cached until the session's cache is cleared."""
+    return plan_batch(fixtures.raw_events(spark, sf_dir), fixtures.fixture_catalog(spark, sf_dir), opts, persist=True)
 
 
 def _plans(bf: BatchFrames, pred) -> list[TablePlan]:
