@@ -38,9 +38,11 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, unless they find it by PYTHONPATH or the working folder anyway."""
+    """Give the Python workers this package, unless they find it anyway: on this machine by PYTHONPATH or the working
+    folder, on a cluster by --py-files."""
     sc = spark.sparkContext
-    if ROOT in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) or sc.applicationId in _SHIPPED:
+    here = sc.master.startswith("local") and ROOT in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep))
+    if here or "keyrelay" in sc.getConf().get("spark.submit.pyFiles", "") or sc.applicationId in _SHIPPED:
         return
     _SHIPPED.add(sc.applicationId)
     path = os.path.join(tempfile.mkdtemp(prefix="keyrelay-py-"), "keyrelay.zip")    # Spark sends it to the executors

@@ -5,6 +5,8 @@ DataFrame functions only. All measurements come from one pass over each row; not
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,10 +60,11 @@ def measure(docs: DataFrame, text_col: str = "text", into: str = "quality") -> D
     """``docs`` with a struct column of measurements and the ledger's failure bits (long).
 
     Null, empty and wordless texts have no words: all counts are zero and ``few_words`` fails. Repeated rows are measured
-    alike, other columns pass through untouched, an empty table stays empty.
+    alike, other columns pass through untouched (one named as the new column is replaced), an empty table stays empty.
     """
     text = F.coalesce(F.col("_row._text"), F.lit(""))
-    df = docs.select(F.struct(F.col(text_col).cast("string").alias("_text"), F.struct("*").alias("_all")).alias("_row"))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != into.lower()])
+    df = docs.select(F.struct(F.col(text_col).cast("string").alias("_text"), others.alias("_all")).alias("_row"))
     df = df.withColumn("words", F.filter(F.split(text, GAP + "+"), lambda w: w != ""))
     df = df.withColumn("n", F.size("words").cast("long"))
     windows = F.slice(F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))),
@@ -85,7 +88,6 @@ def measure(docs: DataFrame, text_col: str = "text", into: str = "quality") -> D
 
 
 def _qualified(condition: str) -> str:
-    import re
     return re.sub(r"\b(n_\w+|word_chars)\b", r"m.\1", condition)
 
 

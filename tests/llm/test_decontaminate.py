@@ -47,7 +47,7 @@ def test_against_brute_force(spark, docs_of, monkeypatch, block):
     rng = random.Random(4)
     texts = TEXTS + [" ".join(rng.choice(["the", "quick", "brown", "a", "x", "second", "text", "of", "nine", "dog"])
                               for _ in range(60)) for _ in range(30)]
-    docs = docs_of(list(enumerate(texts)) + [(0, texts[0])], extra=True).drop("found")
+    docs = docs_of(list(enumerate(texts)) + [(0, texts[0])], extra=True)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     rows = d.decontaminate(docs, bench).select("doc_id", "text", "found", d.n_hit().alias("n")).collect()
     assert len(rows) == len(texts) + 1

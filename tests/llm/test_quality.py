@@ -25,7 +25,7 @@ def plain(text):
 
 def test_measurements_against_brute_force(docs_of, real):
     rows = real + [(5, "a b c a b c a b"), (6, "a a a a"), (7, "x y z. x y z"), (8, "l\nl\n\n \nl\nm"), (9, "#*$%&|<> # $")]
-    out = q.measure(docs_of(rows, extra=True).drop("quality")).select("doc_id", "text", "quality.*").collect()
+    out = q.measure(docs_of(rows, extra=True)).select("doc_id", "text", "quality.*").collect()
     assert len(out) == len(rows)
     for r in out:
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain(r.text), r.doc_id
@@ -48,7 +48,7 @@ def test_passing_documents_keep_columns(docs_of, real):
     docs = docs_of(real, extra=True)
     kept = q.passing_documents(docs)
     assert kept.columns == docs.columns
-    want = q.measure(docs.drop("quality")).filter(F.col("quality.fail_bits") == 0).count()
+    want = q.measure(docs).filter(F.col("quality.fail_bits") == 0).count()
     assert kept.count() == want > 0
 
 
