@@ -161,16 +161,18 @@ class BatchFrames:
         return idx.index_events(gated, self.opts.dbid, self.opts.apply_ts, self.opts.run_ts)
 
 
-def event_stats(good: DataFrame, exact_above: int) -> tuple[dict, int]:
-    """Per schema: (events, distinct keys) on the pull path; one row per schema reaches the driver.
+def event_stats(good: DataFrame, exact_above: int, known: tuple[list[str], list[str]]) -> tuple[dict, int]:
+    """Per schema: (events, distinct keys) on the pull path, and the number of deletes.
 
-    Event counts are a cheap partial aggregate and bound the key count from above.
-    The exact distinct-key count (a shuffle of the keys) is computed only for schemas
-    whose event count exceeds ``exact_above`` (the broadcast limit), where the bound
-    alone cannot decide the join strategy.
+    ``known``: schemas and case types of the catalogue. Only their counts reach the driver (one row per schema), whatever
+    schema names the events carry; an event of an unknown schema pulls nothing. Event counts are a cheap partial aggregate
+    and bound the key count from above. The exact distinct-key count (a shuffle of the keys) is computed only for schemas
+    whose event count exceeds ``exact_above`` (the broadcast limit), where the bound alone cannot decide the join strategy.
     """
     is_del = (F.col("data_state") == STATE_DELETE).alias("is_del")
-    rows = good.groupBy("schema_name", is_del).agg(F.count(F.lit(1)).alias("n")).collect()
+    leads = F.col("schema_name").isin(known[0]) | F.col("ajzlx").isin(known[1])
+    name = F.when(leads, F.col("schema_name")).alias("schema_name")
+    rows = good.groupBy(name, is_del).agg(F.count(F.lit(1)).alias("n")).collect()
     n = {r.schema_name: int(r.n) for r in rows if r.schema_name is not None and not r.is_del}
     n_deletes = sum(int(r.n) for r in rows if r.is_del)
     pull_events = good.filter(F.col("data_state") != STATE_DELETE)
@@ -196,7 +198,7 @@ def plan_batch(raw: DataFrame, catalog, opts: SyncOptions, decoded: DataFrame |
     quarantine = decoded.filter(F.col("reason").isNotNull())
     deletes = good.filter(F.col("data_state") == STATE_DELETE)
     pull_events = good.filter(F.col("data_state") != STATE_DELETE)
-    stats, n_deletes = event_stats(good, opts.broadcast_key_limit)
+    stats, n_deletes = event_stats(good, opts.broadcast_key_limit, catalog.known())
     if hasattr(catalog, "refresh"):
         catalog.refresh(sorted(stats))          # the catalogue is re-read every batch, never cached for ever
     plans = table_plans(catalog.tables(), catalog.columns(), sorted(stats)) if stats else []

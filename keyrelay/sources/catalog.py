@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import VIEW_PREFIX, VIEW_SCHEMA
 from ..session import local_frame
 
 COLUMNS_SCHEMA = T.StructType([
@@ -53,6 +54,11 @@ class FrameCatalog:
         rows = [(s, t, "VIEW" if (s, t) in self.views else "BASE TABLE") for (s, t) in self.frames]
         return local_frame(self.spark, rows, TABLES_SCHEMA)
 
+    def known(self) -> tuple[list[str], list[str]]:
+        """Schemas of the source, and case types that have a document view: what an event's schema can lead to."""
+        return (sorted({s for s, _ in self.frames}),
+                sorted(t[len(VIEW_PREFIX):] for s, t in self.frames if s == VIEW_SCHEMA and t.startswith(VIEW_PREFIX)))
+
     def column_names(self, schema: str, table: str) -> list[str]:
         df = self.frames.get((schema, table))
         return list(df.columns) if df is not None else []

@@ -107,3 +107,16 @@ def test_state_three_pulls_rows_and_shared_index_table(spark):
         (1, "index_00.t_a_index"), (2, "index_00.t_a_index")]
     out = idx.fold(ie).collect()
     assert len(out) == 1 and out[0].data_state == 2          # the update from db_a lands on xx_a's insert
+
+
+def test_unknown_schemas_stay_off_the_driver(spark):
+    """Made-up schema names of events are not counted one by one; a schema known by its view alone still is."""
+    frames = {("db_a", "t_a"): spark.createDataFrame([("1",)], "c_stm string"),
+              ("db_fyygx", "v_b"): spark.createDataFrame([("1", "doc")], "c_stm_b string, body string")}
+    rows = [(k, f'{{"c_stm":"1","data_state":{k % 2},"schemaName":"db_x{k}"}}') for k in range(200)]
+    rows += [(200, '{"c_stm":"1","data_state":1,"schemaName":"db_a"}'), (201, '{"c_stm":"1","data_state":2,"schemaName":"yy_b"}')]
+    bf = plan_batch(spark.createDataFrame(rows, "seq long, value string"),
+                    FrameCatalog(spark, frames, views={("db_fyygx", "v_b")}), SyncOptions(run_ts=RUN_TS))
+    assert set(bf.stats) == {"db_a", "yy_b"} and bf.n_deletes == 100
+    counts = {r.tableName: r["count"] for r in bf.records().groupBy("tableName").count().collect()}
+    assert counts["db_a_t_a"] == 1 and counts["yy_b_t_bws"] == 1 and sum(counts.values()) == 102
