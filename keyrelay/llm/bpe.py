@@ -22,13 +22,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, ship, slices, strings, table
+from .common import Remembered, release, ship, slices, strings, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes below which a piece is merged directly, tokens on each side of a boundary that are encoded anew first.
 LEAF, EDGE = 24, 2
 #: Words and token pairs remembered by a task, bytes of text encoded at once.
-REMEMBERED, AT_ONCE = 600_000, 1 << 22
+REMEMBERED, AT_ONCE = 300_000, 1 << 21
 NONE = 1 << 62
 #: Pieces merged side by side.
 SIDE_BY_SIDE = 4096
@@ -274,6 +274,7 @@ def code_column(text: Column, path: str = VOCABULARY, pattern: str = public_toke
                 decoded = [own.ranks.decode(flat[i:j].tolist()) for i, j in zip(ends.tolist(), ends[1:].tolist())]
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.binary())], ["ids", "decoded"])
+                release()
 
     return code(text)
 

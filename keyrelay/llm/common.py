@@ -132,6 +132,11 @@ def strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
+def release() -> None:
+    """Give memory that Arrow keeps for later back to the system; workers that wait for their next task hold less."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
     """Ranges [a, b) of a text column of about ``size`` bytes each, at least a row."""
     parts = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) // size

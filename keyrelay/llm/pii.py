@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, slices, table
+from .common import release, ship, slices, table
 from .crf import Chain
 
 #: Kinds of spans in the order in which they are listed; the last is found by the field alone.
 KINDS = ("email", "ip", "card", "phone", "ssn")
 LABELS = ("outside", *KINDS)
 #: Words decoded and bytes of text taken at once in a task.
-AT_ONCE, BYTES_AT_ONCE = 1 << 18, 1 << 22
+AT_ONCE, BYTES_AT_ONCE = 1 << 18, 1 << 21
 
 _AT = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
@@ -327,6 +327,7 @@ def _found(batches: Iterator[pa.Array], chain: Chain) -> Iterator[tuple[list[str
             part = texts.slice(a, b - a).to_pylist()
             spans = find_spans([t or "" for t in part], chain)
             yield part, [[dict(zip(("kind", "start", "end", "base"), s)) for s in own] for own in spans]
+            release()
 
 
 def spans_column(text: Column) -> Column:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle, ship, slots, utf8
+from .common import release, settle, ship, slots, utf8
 from .components import components
 from .fingerprint import simhash
 
@@ -42,6 +42,7 @@ def fingerprint_column(text: Column, size: int = SHINGLE) -> Column:
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
         prints = np.fromiter((simhash(t, size) for t in utf8(texts)), "<u8", len(texts))
+        release()
         return pa.array(prints.view("<i8"))
 
     return of(text)
