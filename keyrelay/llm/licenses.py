@@ -1,8 +1,9 @@
 """License scan: sparse TF-IDF cosine to templates, then inheritance from the nearest licensed directory.
 
 DataFrame functions only. Segments of files that hold a cue word (whole files, paragraphs, lines and sentences) become term vectors;
-equal segments are scored once. A file's own license is its best segment's; a file that as a whole is a license text licenses its
-directory, and files without a license of their own take that of their nearest licensed directory.
+equal segments are scored once. An SPDX tag names its license outright: its identifiers are read, not scored. A file's own license
+is its best segment's or its tag's; a file that as a whole is a license text (or a tag) licenses its directory, and files without
+a license of their own take that of their nearest licensed directory.
 """
 
 from __future__ import annotations
@@ -13,13 +14,18 @@ from pyspark.sql import types as T
 
 from ..session import local_frame
 from .common import settle, table
+from .license_texts import FULL_TEXTS
 
 #: Least cosine of a match.
 LEAST = 0.6
 CUE = r"(?i)licen[cs]|copyright|spdx|permission|warrant|redistribut|public domain|CC[ -](?:BY|0)"
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
+_ID = r"\(*[A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?\)*"
+#: An SPDX tag with its expression; in an expression, exceptions and an identifier.
+TAG = rf"(?i:SPDX-License-Identifier):[ \t]*({_ID}(?: +(?:AND|OR|WITH) +{_ID})*)"
+EXCEPTION, IDENTIFIER = r" +WITH +[^ ]+", r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*"
 
-#: Short notices by which licenses are named (fixed values: the wording of the licenses' own notices).
+#: Short notices by which licenses are named (fixed values: the wording of the licenses' own notices), and full texts.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
@@ -44,6 +50,7 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
     ("CC0-1.0", "Released to the public domain under CC0 1.0"),
+    *FULL_TEXTS.items(),
 ]
 
 
@@ -59,6 +66,17 @@ def _segments(text: Column) -> Column:
     return F.filter(F.flatten(F.array(*[_named(kind, xs) for kind, xs in kinds])), lambda s: s["norm"] != "")
 
 
+def _tagged(text: Column) -> Column:
+    """Licenses that the SPDX tags of a text name: versions "only", "or later" and "+" under the license's plain name."""
+    names = F.create_map(*[F.lit(x) for n in dict.fromkeys(n for n, _ in TEMPLATES) for x in (n.lower(), n)])
+    ids = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(TAG), F.lit(1)), lambda x: F.regexp_extract_all(
+        F.regexp_replace(x, EXCEPTION, ""), F.lit(IDENTIFIER), F.lit(0))))
+    ids = F.transform(F.filter(ids, lambda x: ~x.isin("AND", "OR")),
+                      lambda x: F.regexp_replace(x, "(?i)-(?:only|or-later)$", ""))
+    return F.transform(F.filter(ids, lambda x: ~F.lower(x).isin("none", "noassertion")),
+                       lambda x: F.coalesce(F.element_at(names, F.lower(x)), x))
+
+
 def _named(kind: str, texts: Column) -> Column:
     return F.transform(texts, lambda x: F.struct(F.lit(kind).alias("kind"), F.array_join(terms(x), " ").alias("norm")))
 
@@ -78,9 +96,9 @@ def _templates(spark: SparkSession) -> DataFrame:
 
 
 def best_templates(segments: DataFrame) -> DataFrame:
-    """(key, license, score) of distinct segments (key, n, norm) that reach the least cosine to a template.
+    """(key, license, score, full) of distinct segments (key, n, norm) that reach the least cosine to a template.
 
-    Weights: (1 + ln tf) (1 + ln((1 + N) / (1 + df))), N and df over all segments, each as often as it occurs, and templates.
+    full: the template is a full text. Weights: (1 + ln tf) (1 + ln((1 + N) / (1 + df))), N and df over all segments, each as often as it occurs, and templates.
     """
     templates = _templates(segments.sparkSession)
     vectors = settle(_vectors(segments.select("key", "n", "norm").union(templates.select("key", "n", "norm"))),
@@ -90,37 +108,51 @@ def best_templates(segments: DataFrame) -> DataFrame:
     idf = df.select("term", (1 + F.log((1 + F.lit(total)) / (1 + F.col("df")))).alias("idf"))
     weighted = settle(vectors.join(idf, "term").select("key", "term", ((1 + F.log("tf")) * F.col("idf")).alias("w")),
                       "license-weights")
-    norms = weighted.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    is_template = F.col("key").startswith("template ")
-    of_templates = (weighted.filter(is_template).join(templates.select("key", "license"), "key").join(norms, "key")
-                    .select(F.col("key").alias("template"), "license", "term", (F.col("w") / F.col("norm")).alias("v")))
-    # the templates' terms: a few hundred rows, however large the input
-    dots = (weighted.filter(~is_template).join(F.broadcast(of_templates), "term").groupBy("key", "template", "license")
-            .agg(F.sum(F.col("w") * F.col("v")).alias("dot")))
-    scored = dots.join(norms, "key").select("key", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
-    best = scored.filter(F.col("score") >= LEAST).groupBy("key").agg(F.min(F.struct(-F.col("score"), "license")).alias("b"))
-    return best.select("key", F.col("b.license").alias("license"), (-F.col("b.col1")).alias("score"))
+    of_templates = weighted.filter(F.col("key").startswith("template "))
+    norms = of_templates.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    # the templates' terms, a few thousand rows however large the input: a column of weights for every template
+    wide = of_templates.join(F.broadcast(norms), "key").groupBy("term").agg(
+        *[F.sum(F.when(F.col("key") == f"template {k}", F.col("w") / F.col("norm"))).alias(f"v{k}")
+          for k in range(len(TEMPLATES))])
+    dots = (weighted.filter(~F.col("key").startswith("template ")).repartition("key").join(F.broadcast(wide), "term", "left")
+            .groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
+                                *[F.sum(F.col("w") * F.col(f"v{k}")).alias(f"d{k}") for k in range(len(TEMPLATES))]))
+    scored = F.array(*[F.struct((-F.round(F.col(f"d{k}") / F.col("norm"), 6)).alias("s"), F.lit(name).alias("license"),
+                                F.lit(FULL_TEXTS.get(name) == text).alias("full")) for k, (name, text) in enumerate(TEMPLATES)])
+    best = dots.select("key", F.array_min(F.filter(scored, lambda x: x["s"] <= -LEAST)).alias("b")).filter("b IS NOT NULL")
+    return best.select("key", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"), "b.full")
 
 
 def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row of ``files``: the columns ``keep``, path, license, score, origin and from_dir.
 
-    origin: "own" (a segment of the file), "inherited" (from_dir: the nearest directory above it that holds a license file) or
+    origin: "own" (a segment or an SPDX tag of the file), "inherited" (from_dir: the nearest directory above it that holds a license file) or
     "none". Ties go to the alphabetically first license. Null and empty texts have no license of their own; a null or empty path
     lies in the root directory "". Repeated rows are scanned alike; an empty table stays empty; other columns are not read.
     """
     text, path = F.col(text_col).cast("string"), F.coalesce(F.col(path_col).cast("string"), F.lit(""))
     directory = F.when(F.locate("/", path) > 0, F.regexp_replace(path, "/[^/]*$", "")).otherwise("")
+    rest = F.regexp_replace(text, TAG, " ")     # a tag's words are not scored: they are much alike for all licenses
     rows = files.select(
         F.struct(*[F.col(c) for c in keep], path.alias("path")).alias("row"), directory.alias("dir"),
-        F.when(text.rlike(CUE), _segments(text)).alias("segments")).withColumn("rid", F.monotonically_increasing_id())
+        F.when(text.rlike(CUE), _segments(rest)).alias("segments"),
+        F.when(text.rlike(TAG), F.array_min(_tagged(text))).alias("tag"),
+        F.when(text.rlike(TAG), ~F.lower(rest).rlike(TERM)).alias("bare")).withColumn("rid", F.monotonically_increasing_id())
     rows = settle(rows, "license-files")        # fixes the row numbers
     found = rows.select("rid", "dir", F.inline("segments")).withColumn("key", F.sha2("norm", 256))
     distinct = settle(found.groupBy("key").agg(F.count("*").alias("n"), F.min("norm").alias("norm")), "license-segments")
     best = settle(best_templates(distinct), "license-best")
-    hits = settle(found.join(best, "key").select("rid", "dir", "kind", F.struct((-F.col("score")).alias("s"), "license")
-                                                 .alias("hit")), "license-hits")
-    own = hits.groupBy("rid").agg(F.min("hit").alias("own"))
+    hits = settle(found.join(best, "key").select("rid", "dir", "kind", "full",
+                                                 F.struct((-F.col("score")).alias("s"), "license").alias("hit")), "license-hits")
+    tags = rows.filter("tag IS NOT NULL").select("rid", "dir", F.when(F.col("bare"), "file").otherwise("tag").alias("kind"),
+                                                 F.lit(False).alias("full"), F.struct(F.lit(-1.0).alias("s"), F.col("tag").alias("license")).alias("hit"))
+    hits = hits.union(tags)
+    # a sentence that licenses of one family share does not outdo the full text of one of them
+    family = lambda hit: F.substring_index(hit["license"], "-", 1)
+    own = hits.groupBy("rid").agg(F.min("hit").alias("best"), F.min(F.when((F.col("kind") == "file") & F.col("full"), F.col("hit")))
+                                  .alias("whole"))
+    differ = (family(F.col("best")) == family(F.col("whole"))) & (F.col("best.license") != F.col("whole.license"))
+    own = own.select("rid", F.when(differ, F.col("whole")).otherwise(F.col("best")).alias("own"))
     licensed = hits.filter("kind = 'file'").groupBy(F.col("dir").alias("from_dir")).agg(F.min("hit").alias("given"))
     steps = F.split("dir", "/")
     above = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda k: F.struct(

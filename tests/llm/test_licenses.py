@@ -1,7 +1,12 @@
+import glob
 import math
+import os
 import re
 from collections import Counter
 
+import pyspark
+import pytest
+
 from keyrelay.llm import licenses as li
 
 MIT = li.TEMPLATES[3][1]
@@ -74,3 +79,47 @@ def test_empty_table_and_no_python(spark):
     assert out.collect() == []
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+PACKAGES = os.path.dirname(os.path.dirname(pyspark.__file__))
+#: License files of installed packages, with their own heads, holders and line breaks.
+REAL = {"requests-*.dist-info/**/LICENSE": "Apache-2.0", "packaging-*.dist-info/**/LICENSE.APACHE": "Apache-2.0",
+        "hypothesis-*.dist-info/**/LICENSE.txt": "MPL-2.0", "pluggy-*.dist-info/**/LICENSE": "MIT",
+        "attrs-*.dist-info/**/LICENSE": "MIT", "psutil-*.dist-info/LICENSE": "BSD-3-Clause",
+        "idna-*.dist-info/**/LICENSE.md": "BSD-3-Clause", "xxhash-*.dist-info/LICENSE": "BSD-2-Clause",
+        "pygments-*.dist-info/**/LICENSE": "BSD-2-Clause", "pyspark/licenses/LICENSE-d3.min.js.txt": "ISC"}
+TAGS = [("// SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("/* SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note */", "GPL-2.0"),
+        ("<!-- SPDX-License-Identifier: GPL-3.0-or-later-->", "GPL-3.0"), ("# spdx-license-identifier: bsd-3-clause", "BSD-3-Clause"),
+        ("# SPDX-License-Identifier: MPL-2.0.", "MPL-2.0"), ("# SPDX-License-Identifier: Zlib", "Zlib"),
+        ("# SPDX-License-Identifier: (MIT OR LGPL-2.1+)", "LGPL-2.1"), ("# SPDX-License-Identifier: NOASSERTION", None)]
+
+
+def test_real_license_files_license_their_directories(spark):
+    files = [(p, name, path[0]) for p, name in REAL.items() if (path := glob.glob(f"{PACKAGES}/{p}", recursive=True))]
+    if not files:
+        pytest.skip("no license files installed")
+    texts = [(name, open(path, encoding="utf-8").read()) for _, name, path in files]
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "CC0-1.0"):    # with a head, other lines, parts left out
+        words = dict(li.FULL_TEXTS)[name].split()
+        texts.append((name, "The frobnicator is Copyright (C) 2021 Jo Doe.\n\n" + "\n".join(
+            " ".join(words[k:k + 9]) for k in range(0, len(words) * 9 // 10, 9))))
+    df = spark.createDataFrame([row for k, (_, text) in enumerate(texts) for row in
+                                ((2 * k, f"p{k}/LICENSE", text), (2 * k + 1, f"p{k}/src/x.c", "int x;"))],
+                               "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.origin) for r in li.scan(df, keep=("doc_id",)).collect()}
+    want = {}
+    for k, (name, _) in enumerate(texts):
+        want |= {2 * k: (name, "own"), 2 * k + 1: (name, "inherited")}
+    assert got == want
+
+
+def test_spdx_tags(spark):
+    rows = [(k, f"t{k}/a.c", f"{tag}\nint main;") for k, (tag, _) in enumerate(TAGS)]
+    df = spark.createDataFrame([*rows, *((100 + k, f"t{k}/b.c", "int x;") for k in range(len(TAGS))),
+                                (200, "u/LICENSE", TAGS[0][0]), (201, "u/v/b.c", "int x;")],
+                               "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.origin, r.score) for r in li.scan(df, keep=("doc_id",)).collect()}
+    assert [got[k] for k in range(len(TAGS))] == [(n, "own", 1.0) if n else (None, "none", None) for _, n in TAGS]
+    assert all(got[100 + k][0] is None for k in range(len(TAGS)))       # a tag in a file says nothing of the files beside it
+    assert got[201] == ("MIT", "inherited", 1.0)
