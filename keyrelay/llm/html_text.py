@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from html import unescape
+from html import escape, unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,7 @@ _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)",
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset("head script style template noscript title iframe noembed noframes datalist object audio video canvas "
-                   "svg math area base link meta param source track".split())
+                   "area base link meta param source track".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset".split())
 BLOCK = SPACED | frozenset("html body address article aside center dd details dialog dir div dt fieldcaption figcaption "
                            "footer form header hgroup legend li main menu nav optgroup option search section summary "
@@ -39,6 +39,13 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl
           "tfoot": ({"caption", "thead", "tbody", "tfoot"}, {"table"}),
           "option": ({"option"}, {"select", "datalist", "optgroup"}), "optgroup": ({"option", "optgroup"}, {"select"}),
           "body": ({"head"}, set()), "colgroup": ({"caption"}, {"table"})}
+#: What may stand in a head; any other tag, and text, ends it.
+HEAD = frozenset("title meta base basefont bgsound link script style template noscript noframes".split())
+#: Elements of svg and math that are not shown; those in which HTML goes on; HTML tags that end an svg or math left open.
+UNSHOWN = {"svg": frozenset("desc defs metadata".split()), "math": frozenset("annotation annotation-xml mphantom".split())}
+POINTS = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu "
+                     "meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 #: Scopes that an implied or unmatched end does not cross.
 SCOPE = frozenset("td th caption table html button object template".split())
 CLOSES_P = SPACED | frozenset("address article aside center details dialog dir div figcaption footer form header hgroup "
@@ -47,10 +54,11 @@ PARENT = {"td": "tr", "th": "tr"}
 
 
 class Node:
-    __slots__ = ("tag", "children", "hidden", "start")
+    __slots__ = ("tag", "children", "hidden", "start", "block", "inside")
 
     def __init__(self, tag: str, hidden: bool = False, start: int = 1):
-        self.tag, self.children, self.hidden, self.start = tag, [], hidden, start
+        self.tag, self.children, self.hidden, self.start, self.block = tag, [], hidden, start, tag in BLOCK
+        self.inside = ""                        # the svg or math that its children belong to
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -64,6 +72,7 @@ def parse(html: str) -> Node:
     opened: Counter[str] = Counter()            # tags on the stack: what is not there need not be looked for
 
     def push(node: Node) -> None:
+        node.inside = "" if node.tag in POINTS else node.tag if node.tag in UNSHOWN else stack[-1].inside
         stack[-1].children.append(node)
         stack.append(node)
         opened[node.tag] += 1
@@ -83,21 +92,32 @@ def parse(html: str) -> Node:
             elif stack[k].tag in stops:
                 return
 
+    def add_text(text: str) -> None:
+        if stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
+            close(len(stack) - 1)
+        stack[-1].children.append(text)
+
     at, size = 0, len(html)
     while at < size:
         m = _TOKEN.search(html, at)
         if not m:
-            stack[-1].children.append(html[at:])
+            add_text(html[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(html[at:m.start()])
+            add_text(html[at:m.start()])
         at = m.end()
         if m[2] is None:
+            if m[0].startswith("<![CDATA[") and stack[-1].inside:       # text as it is
+                end = html.find("]]>", m.start())
+                stack[-1].children.append(escape(html[m.start() + 9:end if end >= 0 else size], quote=False))
+                at = end + 3 if end >= 0 else size
             continue
         tag = m[2].lower()
         attributes = m[3] or m[4] or ""
         if m[1] and not opened[tag]:
             if tag == "br":
+                if stack[-1].tag == "head":
+                    close(len(stack) - 1)
                 stack[-1].children.append(Node("br"))
             continue
         if m[1]:
@@ -108,6 +128,14 @@ def parse(html: str) -> Node:
                 if stack[k].tag in SCOPE and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
                     break
             continue
+        if stack[-1].inside and tag in BREAKOUT:
+            k = len(stack)
+            while stack[k - 1].inside:
+                k -= 1
+            close(k)
+        inside = stack[-1].inside
+        if stack[-1].tag == "head" and tag not in HEAD:
+            close(len(stack) - 1)
         if tag in CLOSES:
             imply(*CLOSES[tag])
         if tag in CLOSES_P:
@@ -119,6 +147,16 @@ def parse(html: str) -> Node:
                   or tag == "input")
         begin = values.get("start", "")
         node = Node(tag, hidden, int(begin) if re.fullmatch(r"-?[0-9]{1,9}", begin) else 1)
+        if inside:
+            node.hidden |= (tag in UNSHOWN[inside] or values.get("display") == "none"
+                            or values.get("visibility") in ("hidden", "collapse"))
+            # labels stand apart, and so do the rows and cells of a formula
+            node.block |= tag in ("text", "mtr") or tag == "tspan" and ("x" in values or "y" in values)
+            if tag == "mtd":
+                stack[-1].children.append(" ")
+            if attributes.endswith("/"):
+                stack[-1].children.append(node)
+                continue
         if tag in RAW:
             stack[-1].children.append(node)
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -211,7 +249,7 @@ def render(root: Node) -> str:
                 continue
             if tag in SPACED and not (tag in ("ul", "ol") and lists):
                 out.space()
-            elif tag in BLOCK:
+            elif node.block:
                 out.end_line()
             if tag in ("ul", "ol", "menu"):
                 lists.append([tag == "ol", node.start])
@@ -253,7 +291,7 @@ def render(root: Node) -> str:
         else:
             if tag in SPACED and not (tag in ("ul", "ol") and len(lists) > 1):
                 out.space()
-            elif tag in BLOCK:
+            elif node.block:
                 out.end_line()
             if tag in ("ul", "ol", "menu") and lists:
                 lists.pop()

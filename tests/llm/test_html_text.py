@@ -44,3 +44,25 @@ def test_documents(spark):
     df = spark.createDataFrame([(k, h, "z") for k, (h, _) in enumerate(CASES)], "page_id long, html string, text string")
     assert {r.page_id: r.text for r in extract_text(df).collect()} == {k: t for k, (_, t) in enumerate(CASES)}
     assert extract_text(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<html><head><title>t</title><p>All the text<p>goes on", "All the text\n\ngoes on"),
+    ("<head><meta charset=utf-8><link rel=x><style>p {}</style><script>s</script>\n <title>t</title>\n shown <b>too</b>", "shown too"),
+    ("<head><title>t</title><header>top</header><body>text", "top\ntext"), ("<head>\n<!-- no --><noscript><img>no</noscript></head>a", "a"),
+    ("<head><title>t</title>&nbsp;a</head>b", "\xa0ab"), ("<head><template><p>no</p></template><div>a</div><title>no</title>b", "a\nb"),
+    ("a <svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><text>Jan</text><text>Feb</text></svg> b",
+     "a\nJan\nFeb\nb"),
+    ("<svg><title/><style/><path d='M 0'/><g><text x=1>1 &lt; <![CDATA[a<b &amp;]]></text></g></svg>b", "1 < a<b &amp;\nb"),
+    ("<svg><text display=none>no</text><text><tspan x=0>one</tspan><tspan x=0>two</tspan></text></svg>", "one\ntwo"),
+    ("<svg><foreignObject><p>one<p>two</foreignObject></svg>", "one\n\ntwo"), ("<svg><defs><p>shown", "shown"),
+    ("so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation></semantics></math>.", "so x=2."),
+    ("<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr><mtr><mtd>3</mtd><mtd>4</mtd></mtr></mtable></math>", "1 2\n3 4")])
+def test_implied_head_end_and_drawn_text(html, text):
+    assert text_of(html) == text
+
+
+@pytest.mark.parametrize("html", ["<svg>" * 3000 + "<p>x", "<svg><g>" * 3000 + "x<p>", "<math><mi>" * 3000 + "<p>x" * 100, "<svg>" + "<![CDATA[" * 3000,
+                                  "<head>" * 5000 + "x", "<svg>" + "<g>" * 50000 + "<path/>" * 50000 + "<p>x"])
+def test_hostile_foreign_markup(html):
+    assert len(text_of(html)) < 10**7
