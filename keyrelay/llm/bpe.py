@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, release, ship, slices, strings, table
+from .common import Remembered, release, runs, ship, slices, strings, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes below which a piece is merged directly, tokens on each side of a boundary that are encoded anew first.
@@ -187,7 +187,8 @@ class Codec:
     """Encodes texts: cut into words at single spaces, words into pieces by the pattern, pieces into ids.
 
     A space between two characters that are not white space always starts a piece, so the words that start with such spaces
-    are encoded each for itself, and remembered. Texts with a space beside other white space are cut by the pattern alone.
+    are encoded each for itself, and remembered. Texts with a space beside other white space are cut by the pattern alone; only
+    their pieces are remembered.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -221,7 +222,9 @@ class Codec:
         coded = pa.array(pieces, pa.string()).dictionary_encode()
         rows = self.pieces.rows_of(strings(coded.dictionary))[coded.indices.to_numpy()]
         ends = np.concatenate([[0], np.cumsum(self.pieces.size[rows], dtype=np.int64)])
-        return np.diff(ends[np.concatenate([[0], np.cumsum(counts)])]), self.pieces.gather(rows)
+        flat = self.pieces.gather(rows)
+        self.pieces.forget_long()
+        return np.diff(ends[np.concatenate([[0], np.cumsum(counts)])]), flat
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, all ids one after the other); null counts as empty."""
@@ -233,15 +236,20 @@ class Codec:
         at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         distinct = strings(words.dictionary)
         first = [distinct[k] for k in words.indices.to_numpy()[at[:-1]].tolist()]
-        # a text's first word has no space before it, so it and the texts cut as a whole differ from all other names
-        more, where = _distinct([*first, *(t.as_py() for t in texts.filter(pa.array(whole)))])
+        # a text's first word has no space before it, so it differs from all other names
+        more, where = _distinct(first)
         rows = self.known.rows_of([*(" " + w for w in distinct), *more])
-        rows = np.concatenate([rows[:len(distinct)], rows[len(distinct):][where]])
-        of = rows[words.indices.to_numpy()]
-        of[at[:-1]] = rows[len(distinct):len(distinct) + len(first)]
-        of[at[:-1][whole]] = rows[len(distinct) + len(first):]
-        ends = np.concatenate([[0], np.cumsum(self.known.size[of], dtype=np.int64)])
-        return np.diff(ends[at]), self.known.gather(of)
+        of = rows[:len(distinct)][words.indices.to_numpy()]
+        of[at[:-1]] = rows[len(distinct):][where]
+        start, size, flat = self.known.start[of], self.known.size[of], self.known.flat
+        self.known.forget_long()
+        if whole.any():                         # one empty word stands for each of these texts
+            own, ids = self.encode_words(strings(texts.filter(pa.array(whole))))
+            place = at[:-1][whole]
+            start[place], size[place] = len(flat) + np.cumsum(own) - own, own
+            flat = np.concatenate([flat, ids])
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        return np.diff(ends[at]), runs(flat, start, size)
 
 
 def _distinct(names: list[str]) -> tuple[list[str], np.ndarray]:

@@ -7,6 +7,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from itertools import repeat
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -74,10 +75,13 @@ def expand(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Remembered:
     """Words whose ids are known to a task: word -> row; a row's ids are one run of ``flat``.
 
-    Bounded: when half of ``bound`` words are held, they become the older generation and the one before them goes; words
-    of the older generation that come up again move to the younger one.
+    Bounded in words and in bytes of words and ids: when half of ``bound`` words or of HELD bytes are held, they become the older
+    generation and the one before them goes; words of the older generation that come up again move to the younger one. Words of
+    over LONGEST characters are encoded anew each time: their rows last until the next call.
     """
 
+    HELD, LONGEST = 96 << 20, 64
+
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], bound: int, dtype: str = "<u4"):
         """``encode``: (number of ids of each word, all ids one after the other) of new words."""
         self.encode, self.bound, self.dtype, self.old = encode, bound, dtype, None
@@ -85,6 +89,7 @@ class Remembered:
 
     def _clear(self) -> None:
         self.rows: dict[str, int] = {}
+        self.held = 0
         self.start = self.size = np.empty(0, np.int32)
         self.flat = np.empty(0, self.dtype)
 
@@ -92,17 +97,29 @@ class Remembered:
         """The ids of rows, one after the other."""
         return runs(self.flat, self.start[rows], self.size[rows])
 
-    def _add(self, words: list[str], size: np.ndarray, flat: np.ndarray) -> np.ndarray:
-        rows = np.arange(len(self.rows), len(self.rows) + len(words), dtype=np.int32)
-        self.rows.update(zip(words, rows.tolist()))
+    def forget_long(self) -> None:
+        """Drop the rows behind those of remembered words."""
+        n = len(self.rows)
+        if len(self.start) > n:
+            end = int(self.start[n])
+            self.start, self.size, self.flat = self.start[:n].copy(), self.size[:n].copy(), self.flat[:end].copy()
+
+    def _append(self, size: np.ndarray, flat: np.ndarray) -> None:
         size = size.astype(np.int32)
         self.start = np.concatenate([self.start, np.int32(len(self.flat)) + np.cumsum(size, dtype=np.int32) - size])
         self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+
+    def _add(self, words: list[str], size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        rows = np.arange(len(self.rows), len(self.rows) + len(words), dtype=np.int32)
+        self.rows.update(zip(words, rows.tolist()))
+        self.held += sum(map(getsizeof, words)) + flat.nbytes
+        self._append(size, flat)
         return rows
 
     def rows_of(self, words: list[str]) -> np.ndarray:
         """Rows of distinct words, valid until the next call."""
-        if len(self.rows) + len(words) > self.bound // 2 and self.rows:
+        self.forget_long()
+        if self.rows and (len(self.rows) + len(words) > self.bound // 2 or self.held > self.HELD // 2):
             self.old = (self.rows, self.start, self.size, self.flat)
             self._clear()
         found = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int32, len(words))
@@ -115,8 +132,14 @@ class Remembered:
                                      runs(flat, start[before], size[before]))
             unknown = np.flatnonzero(found < 0)
         if len(unknown):
-            new = [words[k] for k in unknown.tolist()]
-            found[unknown] = self._add(new, *self.encode(new))
+            long = np.fromiter((len(words[k]) > self.LONGEST for k in unknown.tolist()), bool, len(unknown))
+            short, unknown = unknown[~long], unknown[long]
+            if len(short):
+                new = [words[k] for k in short.tolist()]
+                found[short] = self._add(new, *self.encode(new))
+        if len(unknown):                        # behind the remembered words' rows
+            found[unknown] = len(self.rows) + np.arange(len(unknown), dtype=np.int32)
+            self._append(*self.encode([words[k] for k in unknown.tolist()]))
         return found
 
 

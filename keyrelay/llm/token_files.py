@@ -126,7 +126,9 @@ class Encoder:
         rows = self.known.rows_of(strings(words.dictionary))[words.indices.to_numpy()]
         ends = np.concatenate([[0], np.cumsum(self.known.size[rows], dtype=np.int64)])
         counts = np.diff(ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
-        return counts, self.known.gather(rows)
+        flat = self.known.gather(rows)
+        self.known.forget_long()
+        return counts, flat
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A few calls for all words, which are set apart by a mark; words that hold the mark's character go alone."""

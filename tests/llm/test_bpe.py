@@ -45,3 +45,29 @@ def test_join_is_the_encoding_of_the_whole(library):
     for _ in range(2000):
         left, right = (b"".join(rng.choices(tokens, k=rng.randint(1, 6))) for _ in "lr")
         assert ranks.join(ranks.tree(left), ranks.tree(right)) == ranks.merge(left + right) == ranks.merge_long(left + right)
+
+
+SPACED = ["def f(x):\n    if x:  # {0}\n        return  {0} \n\n" * 40, "Two spaces.  After each {0} end.  " * 60, "a{0}" * 900, "{0}  b", "  {0}"]
+
+
+def test_texts_with_spaces_beside_white_space_are_not_remembered(docs_of, library):
+    texts = [t.replace("{0}", f"name{k}") for k in range(60) for t in SPACED]
+    own = bpe.Codec(bpe.VOCABULARY, public_tokenizers.PATTERN)
+    for at in range(0, len(texts), 50):
+        part = texts[at:at + 50]
+        n, flat = own.encode(pa.array(part))
+        assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == [library.encode_ordinary(t) for t in part]
+    for kept in (own.known, own.pieces):
+        assert max(map(len, kept.rows)) <= 64 and len(kept.start) == len(kept.size) == len(kept.rows)
+        assert kept.held < 10**6 and int(kept.size.sum()) == len(kept.flat)
+    rows = bpe.encode_documents(docs_of(list(enumerate(texts)))).select("text", "coded.*").collect()
+    assert all(r.ids == library.encode_ordinary(r.text) and bytes(r.decoded) == r.text.encode() for r in rows)
+
+
+def test_what_is_remembered_is_bounded_in_bytes(library, monkeypatch):
+    monkeypatch.setattr(bpe.Remembered, "HELD", 20_000)
+    own, rng = bpe.Codec(bpe.VOCABULARY, public_tokenizers.PATTERN), random.Random(3)
+    for _ in range(60):
+        text = " ".join("".join(rng.choices("abcdeéñ中", k=rng.randint(1, 90))) for _ in range(30))
+        assert own.encode(pa.array([text]))[1].tolist() == library.encode_ordinary(text)
+        assert own.known.held < 10_000 + 30 * 400

@@ -73,3 +73,12 @@ def test_registered_query(spark, library):
         ids = library.encode(docs[r.doc_id], add_special_tokens=False).ids + [2]
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_long_words_are_not_remembered(library):
+    coder = t.Encoder(t.VOCABULARY)
+    texts = [f"short words {k} " + "longword\t" * 500 + f"{k}" for k in range(50)]
+    for text in texts:
+        assert coder.encode(pa.array([text]))[1].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, coder.known.rows)) <= 64 and len(coder.known.start) == len(coder.known.rows)
+    assert coder.known.held < 10**5 and int(coder.known.size.sum()) == len(coder.known.flat)
