@@ -69,7 +69,7 @@ def addresses(text: str) -> list[tuple[int, int]]:
         parts, at = m.group().split("."), m.start()
         for k in range(0, len(parts) - 3, 4):
             size = sum(map(len, parts[k:k + 4])) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts[k:k + 4]):
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in parts[k:k + 4]):
                 out.append((at, at + size))
             at += size + 1
     return out

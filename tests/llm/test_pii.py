@@ -78,3 +78,10 @@ def test_redacted_documents(docs_of, real):
     assert pii.redacted("ab12cd", [{"start": 2, "end": 4, "kind": "card", "base": True}]) == "ab[card]cd"
     assert pii.redacted("abcdef", [{"start": 1, "end": 4, "kind": "a"}, {"start": 2, "end": 5, "kind": "b"}]) == "a[a]f"
     assert pii.find_pii(docs_of([])).collect() == []
+
+
+def test_long_runs_of_zeros_in_dotted_numbers():
+    zeros = "0" * 5000
+    texts = [zeros + ".1.1.1", f"1.{zeros}7.2.3 is the host", f"9.9.9.{zeros}256", f"{zeros}.{zeros}.{zeros}.{zeros}"]
+    got = [[s for s in spans if s[0] == "ip" and s[3]] for spans in pii.find_spans(texts, pii.field())]
+    assert got == [[("ip", 0, 5006, True)], [("ip", 0, 5007, True)], [], [("ip", 0, 20003, True)]]
