@@ -8,8 +8,8 @@ from importlib import import_module
 MODULES = {"op1_simhash": "simhash", "op2_quality": "quality",
            "op3_html_text": "html_text", "op4_token_files": "token_files", "op5_chat": "chat",
            "op6_decontaminate": "decontaminate", "op7_bpe": "bpe", "op8_pii": "pii",
-           "op9_licenses": "licenses", "op10_token_counts": "token_counts", "op12_whitening": "whitening",
-           "op13_fill_middle": "fill_middle"}
+           "op9_licenses": "licenses", "op10_token_counts": "token_counts",
+           "op11_language": "language", "op12_whitening": "whitening", "op13_fill_middle": "fill_middle"}
 
 #: query names that have DuckDB SQL over the same tables (ORACLE_SQL of their module)
 ORACLES = ("op2_quality", "op5_chat", "op6_decontaminate", "op9_licenses", "op13_fill_middle")
