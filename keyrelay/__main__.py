@@ -8,8 +8,10 @@ Keys (one ``key=value`` per line, ``#`` comments), as in the original job: dbid,
 (required), kafka.server, kafka.topic, kafka.input.groupId, postgres.url, postgres.username, postgres.password. Further keys, all
 optional: postgres.index.url / .username / .password (relational index and error log, instead of Parquet),
 postgres.staging.schema (for key lists too long for IN), time.zone, layout,
-multiplicity, apply.ts, text.compression, file.bytes, index.compact.every, write.group.tables, broadcast.key.limit,
-pushdown.key.limit, kafka.max.offsets, kafka.starting.offsets, trigger.interval (default: batches follow each other).
+multiplicity, apply.ts, text.compression, file.bytes, index.partitions, write.group.tables, broadcast.key.limit,
+broadcast.byte.limit, pushdown.key.limit, source.text (database or spark), kafka.max.offsets, events.max.bytes,
+kafka.starting.offsets, trigger.interval (default: batches follow each other), source.catalog=spark with source.database.prefix
+(source tables registered in Spark's catalogue instead of a database).
 ``--events-dir`` reads events from files (columns seq, value, apply_ts) instead of Kafka; ``--fixtures`` uses the test-table
 catalogue instead of the database; ``--once`` processes what is available and stops. Master and Spark settings are the
 deployment's (spark-submit); ``--master`` is for local runs.
@@ -31,8 +33,9 @@ from .streaming.stream import start_sync
 #: property -> (option, type)
 OPTIONS = {"dbid": ("dbid", str), "time.zone": ("time_zone", str), "layout": ("layout", str), "multiplicity": ("multiplicity", str),
            "apply.ts": ("apply_ts", str), "text.compression": ("text_compression", str), "file.bytes": ("file_bytes", int),
-           "index.compact.every": ("index_compact_every", int), "write.group.tables": ("write_group_tables", int),
-           "broadcast.key.limit": ("broadcast_key_limit", int), "pushdown.key.limit": ("pushdown_key_limit", int)}
+           "index.partitions": ("index_partitions", int), "write.group.tables": ("write_group_tables", int),
+           "broadcast.key.limit": ("broadcast_key_limit", int), "broadcast.byte.limit": ("broadcast_byte_limit", int), "pushdown.key.limit": ("pushdown_key_limit", int),
+           "source.text": ("source_text", str)}
 
 
 def read_properties(path: str) -> dict:
@@ -80,6 +83,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.fixtures:
         from .sources.fixtures import fixture_catalog
         catalog = fixture_catalog(spark, a.fixtures)
+    elif p.get("source.catalog") == "spark":
+        from .sources.session_catalog import SessionCatalog
+        catalog = SessionCatalog(spark, p.get("source.database.prefix", ""))
     else:
         from .sources.jdbc import JdbcCatalog
         catalog = JdbcCatalog(spark, p["postgres.url"], {"user": p.get("postgres.username", ""),
@@ -92,7 +98,9 @@ def main(argv: list[str] | None = None) -> int:
         run_full_pull(spark, catalog, schema, table, opts.with_(run_ts=now, stream_id=f"full-{schema}-{table}"), root, a.run)
         return 0
     if a.events_dir:
-        raw = evsrc.file_events(spark, a.events_dir, streaming=True, max_files_per_trigger=1)
+        most = int(p["events.max.bytes"]) if p.get("events.max.bytes") else None
+        raw = evsrc.file_events(spark, a.events_dir, streaming=True, max_files_per_trigger=None if most else 1,
+                                max_bytes_per_trigger=most)
     else:
         opt = {"kafka.group.id": p["kafka.input.groupId"]} if p.get("kafka.input.groupId") else {}
         most = int(p["kafka.max.offsets"]) if p.get("kafka.max.offsets") else None

@@ -56,6 +56,8 @@ class SyncOptions:
     # A key side is broadcast only when its distinct-key count, measured per batch,
     # is at most this; otherwise the join shuffles (AQE handles skewed keys).
     broadcast_key_limit: int = 1_000_000
+    # ... and when the bytes of these keys (or of the events behind them) are at most this.
+    broadcast_byte_limit: int = 128 * 1024 * 1024
     # Up to this many distinct keys per table and batch are also pushed into the
     # source scan as an IN list (Parquet row-group / bucket pruning, JDBC IN chunks).
     pushdown_key_limit: int = 10_000
@@ -73,11 +75,13 @@ class SyncOptions:
     text_compression: str | None = None
     # Tables per staging job: hundreds of tables are staged in groups instead of one very wide union plan.
     write_group_tables: int = 50
-    # Every this many batches the index layers are folded into a base snapshot and the
-    # superseded folders are deleted (0 = never).
-    index_compact_every: int = 100
+    # Hash partitions of the index table; a table keeps the number it was made with.
+    index_partitions: int = 64
+    # How source columns that are not text become text: "database" = as the relational source prints
+    # them (functions/sqltext.py), "spark" = Spark's cast.
+    source_text: str = "database"
     alias_rules: tuple = field(default=ALIAS_RULES)
-    # Relational index table instead of Parquet layers: {"url", "props", "staging_schema"}.
+    # Relational index table instead of the Parquet one: {"url", "props", "staging_schema"}.
     index_jdbc: dict | None = None
 
     @property

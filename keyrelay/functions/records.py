@@ -23,14 +23,14 @@ def _alias_rule(rules, dbid: str, schema: str, table: str):
 
 
 def record_fields(columns: list[str], schema: str, table: str, record_table: str, dbid: str,
-                  run_ts: str, alias_rules=(), data_state: int = STATE_INSERT, row: str = "_row") -> list[Column]:
-    """Named columns of one record, in JSON key order, from the struct column ``row``."""
+                  run_ts: str, texts: dict[str, Column], alias_rules=(), data_state: int = STATE_INSERT) -> list[Column]:
+    """Named columns of one record, in JSON key order, from the texts of the source's columns."""
     src = [c for c in columns if c not in META_KEYS]
-    fields: dict[str, Column] = {c: F.col(f"`{row}`.`{c}`").cast("string") for c in src}
+    fields: dict[str, Column] = {c: texts[c] for c in src}
     rule = _alias_rule(alias_rules, dbid, schema, table)
     if rule and rule[0] in src:
         from_c, to_c = rule
-        alias_val = F.col(f"`{row}`.`{from_c}`").cast("string")
+        alias_val = texts[from_c]
         if to_c not in fields:
             fields[to_c] = alias_val                      # NULL is elided like any other
         elif src.index(to_c) < src.index(from_c):
@@ -63,14 +63,31 @@ def decoded_event_map(c_stm: Column, d_xgsj_text: Column, c_baah: Column, n_jbfy
                         F.lit("schemaName"), schema_name.cast("variant"))
 
 
+def event_members(value: Column) -> Column:
+    """The members of an event's JSON object as a map of variants, unknown ones included.
+
+    The variant parser takes most texts. What it rejects (a repeated key, single quotes) is read member by member by the event
+    decoder's parser; of a repeated key the last value counts, as there. Members that are themselves no valid variant keep
+    their JSON text.
+    """
+    def last_of(entries: Column) -> Column:
+        later = lambda i: F.slice(entries, i + 2, F.size(entries))
+        return F.map_from_entries(F.filter(entries, lambda e, i: ~F.exists(later(i), lambda x: x["key"] == e["key"])))
+
+    typed = F.map_entries(F.from_json(value, "map<string,variant>"))
+    texts = F.transform(F.map_entries(F.from_json(value, "map<string,string>")),
+                        lambda e: F.struct(e["key"].alias("key"), e["value"].cast("variant").alias("value")))
+    return F.coalesce(F.try_parse_json(value).try_cast("map<string,variant>"), last_of(typed), last_of(texts))
+
+
 def tombstone_value(value: Column, table_name: Column, run_ts: str, dbid: str,
                     fallback: Column | None = None) -> Column:
     """The event's own JSON object (unknown fields and JSON types kept) plus metadata.
 
     Metadata keys replace event keys of the same name; JSON nulls are dropped.
-    ``fallback`` (``decoded_event_map``) is used when the text is not a parsable object.
+    ``fallback`` (``decoded_event_map``) is used when no parser finds an object in the text.
     """
-    m = F.try_parse_json(value).try_cast("map<string,variant>")
+    m = event_members(value)
     if fallback is not None:
         m = F.coalesce(m, fallback)
     meta_names = F.array(*[F.lit(k) for k in META_KEYS])

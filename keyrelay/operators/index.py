@@ -19,7 +19,7 @@ prior row. Folding batch by batch equals folding everything at once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,22 +72,23 @@ def fold_delta(events: DataFrame) -> DataFrame:
     )
 
 
+def applied(exists: Column, old) -> dict[str, Column]:
+    """The index columns after a folded delta, where it reaches a key; ``old(name)``: a column of the row before."""
+    attr = F.col("last_attr").isNotNull()
+    return {"d_xgsj": F.when(attr, F.col("last_attr.d_xgsj")).otherwise(old("d_xgsj")),
+            "c_baah": F.when(attr, F.col("last_attr.c_baah")).otherwise(old("c_baah")),
+            "n_jbfy": F.when(attr, F.col("last_attr.n_jbfy")).otherwise(old("n_jbfy")),
+            "create_time": F.when(exists, old("create_time")).otherwise(F.col("first_ins.apply_ts")),
+            "update_time": F.col("last_ev.apply_ts"), "data_state": F.col("last_ev.data_state")}
+
+
 def _merge_rows(prior: DataFrame, delta: DataFrame) -> DataFrame:
-    p = prior.select(*_KEYS, *[F.col(c).alias("p_" + c) for c in INDEX_COLUMNS[2:]], F.lit(True).alias("_p"))
+    p = prior.select(*_KEYS, F.struct(*INDEX_COLUMNS[2:]).alias("_p"))
     j = p.join(delta, _KEYS, "full_outer")
-    exists0 = F.coalesce(F.col("_p"), F.lit(False))
-    has_delta = F.col("last_ev").isNotNull()
-    attr = F.col("last_attr").isNotNull()
-    out = j.filter(exists0 | F.col("first_ins").isNotNull()).select(
-        *_KEYS,
-        F.when(attr, F.col("last_attr.d_xgsj")).otherwise(F.col("p_d_xgsj")).alias("d_xgsj"),
-        F.when(attr, F.col("last_attr.c_baah")).otherwise(F.col("p_c_baah")).alias("c_baah"),
-        F.when(attr, F.col("last_attr.n_jbfy")).otherwise(F.col("p_n_jbfy")).alias("n_jbfy"),
-        F.when(exists0, F.col("p_create_time")).otherwise(F.col("first_ins.apply_ts")).alias("create_time"),
-        F.when(has_delta, F.col("last_ev.apply_ts")).otherwise(F.col("p_update_time")).alias("update_time"),
-        F.when(has_delta, F.col("last_ev.data_state")).otherwise(F.col("p_data_state")).alias("data_state"),
-    )
-    return out
+    exists, reached = F.col("_p").isNotNull(), F.col("last_ev").isNotNull()
+    new = applied(exists, lambda c: F.col(f"_p.{c}"))
+    return j.filter(exists | F.col("first_ins").isNotNull()).select(
+        *_KEYS, *[F.when(reached, v).otherwise(F.col(f"_p.{c}")).alias(c) for c, v in new.items()])
 
 
 def _from_delta(delta: DataFrame) -> DataFrame:

@@ -7,74 +7,99 @@ receives every matching row, so k events give k copies); ``latest`` keeps one co
 per key, tagged with the key's last ``seq``.
 
 Join strategy, decided from per-batch counts measured before planning:
-* events of the schema <= limit: broadcast the events themselves; the source is
-  scanned once, filtered map-side, and no shuffle happens at all;
-* distinct keys <= limit: broadcast distinct keys, then join the (small) pulled
+* events of the schema within the broadcast limits (rows and bytes): broadcast the events themselves;
+  the source is scanned once, filtered map-side, and no shuffle happens at all;
+* distinct keys within them: broadcast distinct keys, then join the (small) pulled
   rows back to the events with a shuffle join;
-* otherwise shuffle both sides on the key; AQE splits skewed partitions.
+* otherwise shuffle both sides on the key; AQE splits skewed partitions. The keys are a written
+  table then, from which Spark builds a Bloom filter that thins out the source ahead of its shuffle; a
+  source bucketed by the key is not shuffled at all.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SyncOptions
 from ..functions.records import record_fields, record_value
+from ..functions.sqltext import row_texts
 from ..sources.catalog import KEY
 from .catalog_ops import TablePlan
 
 
-def schema_events(pull_events: DataFrame, schema: str) -> DataFrame:
-    """Pull-path events of one schema with a usable key (a NULL key matches nothing)."""
-    return pull_events.filter((F.col("schema_name") == schema) & F.col("c_stm").isNotNull())
+class KeyStats(NamedTuple):
+    """Of a schema's pull events: their number, a bound on their distinct keys, and the bytes of their keys."""
+
+    n_events: int
+    n_keys: int
+    key_bytes: int
+
+
+@dataclass(frozen=True)
+class KeySide:
+    """The events whose keys a schema's tables are asked for."""
+
+    schema: str
+    pull_events: DataFrame
+    stats: KeyStats
+    values: list | None = None          # the distinct keys, if they are few enough for a scan's filter
+    counted: DataFrame | None = None    # else: a written table of counted keys (KEY, seq, _n)
+
+    def events(self) -> DataFrame:
+        """Pull-path events with a usable key (a NULL key matches nothing)."""
+        return self.pull_events.filter((F.col("schema_name") == self.schema) & F.col("c_stm").isNotNull())
+
+    def counts(self, multiplicity: str) -> DataFrame:
+        return self.counted if self.counted is not None else counted_keys(self.events(), multiplicity)
+
+    def small(self, rows: int, opts: SyncOptions) -> bool:
+        """Whether a key side of so many rows may be broadcast; its texts are at most those of the events."""
+        return rows <= opts.broadcast_key_limit and self.stats.key_bytes + 16 * rows <= opts.broadcast_byte_limit
+
+
+def counted_keys(events: DataFrame, multiplicity: str, *by: str) -> DataFrame:
+    """(by, KEY, seq, _n): distinct keys, their last event and number of copies (a partial aggregate)."""
+    n = F.count(F.lit(1)) if multiplicity != "latest" else F.lit(1).cast("long")
+    return events.filter(F.col("c_stm").isNotNull()).groupBy(*by, F.col("c_stm").alias(KEY)).agg(
+        F.max("seq").alias("seq"), n.alias("_n"))
 
 
-def pulled_rows(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int, n_keys: int,
-                opts: SyncOptions, columns: list[str] | None = None,
-                values: list[str] | None = None) -> DataFrame:
+def pulled_rows(catalog, plan: TablePlan, side: KeySide, opts: SyncOptions, columns: list[str] | None = None) -> DataFrame:
     """Source rows matched to events: the row as struct ``_row``, ``_k`` (event key) and ``seq``."""
-    ev = schema_events(pull_events, plan.event_schema)
-    limit = opts.broadcast_key_limit
+    n_events, n_keys, _ = side.stats
+    pull = lambda keys, rows: catalog.pull(
+        plan.source_schema, plan.table, plan.key_column, keys, broadcast_keys=side.small(rows, opts), columns=columns,
+        key_values=side.values)
     if opts.multiplicity == "latest":
-        keys = ev.groupBy(F.col("c_stm").alias(KEY)).agg(F.max("seq").alias("seq"))
-        return catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                            broadcast_keys=n_keys <= limit, columns=columns, key_values=values)
-    if n_events <= limit:
-        keys = ev.select(F.col("c_stm").alias(KEY), "seq")
-        return catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                            broadcast_keys=True, columns=columns, key_values=values)
-    keys = ev.select(F.col("c_stm").alias(KEY)).distinct()
-    rows = catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                        broadcast_keys=n_keys <= limit, columns=columns, key_values=values)
-    return rows.join(ev.select(F.col("c_stm").alias(KEY), "seq"), KEY)
+        return pull(side.counts("latest").select(KEY, "seq"), n_keys)
+    if side.small(n_events, opts):
+        return pull(side.events().select(F.col("c_stm").alias(KEY), "seq"), n_events)
+    rows = pull(side.counts(opts.multiplicity).select(KEY), n_keys)
+    return rows.join(side.events().select(F.col("c_stm").alias(KEY), "seq"), KEY)
 
 
 #: Copies of a record that stay together; the writer deals the chunks of a hot key to different tasks.
 COPY_CHUNK = 1_000
 
 
-def pulled_row_copies(catalog, plan: TablePlan, pull_events: DataFrame, n_events: int, n_keys: int,
-                      opts: SyncOptions, columns: list[str] | None = None,
-                      values: list[str] | None = None, chunk: int = COPY_CHUNK) -> DataFrame:
+def pulled_row_copies(catalog, plan: TablePlan, side: KeySide, opts: SyncOptions, columns: list[str] | None = None,
+                      chunk: int = COPY_CHUNK) -> DataFrame:
     """Source rows with a copy count ``_cnt`` instead of one row per event (record path).
 
-    The key side is ``(key, chunk number _c, _cnt)``: the events of a key are counted (a
-    partial aggregate), and a count above ``chunk`` is split into several key-side
-    rows, so no row is replicated more than ``chunk`` times by one expression; ``_c`` stays
+    The key side is ``(key, _n)``: the events of a key are counted. After the join a count above ``chunk`` is split into
+    several rows ``(_c, _cnt)``, so no row is replicated more than ``chunk`` times by one expression; ``_c`` stays
     with the record, so the writer can deal the chunks apart. Each pulled row's record is
     built once per chunk, not once per event. ``seq`` is the key's last event.
     """
-    ev = schema_events(pull_events, plan.event_schema)
-    n = F.count(F.lit(1)) if opts.multiplicity != "latest" else F.lit(1).cast("long")
-    counts = ev.groupBy(F.col("c_stm").alias(KEY)).agg(n.alias("_n"), F.max("seq").alias("seq"))
+    rows = catalog.pull(plan.source_schema, plan.table, plan.key_column, side.counts(opts.multiplicity).select(KEY, "seq", "_n"),
+                        broadcast_keys=side.small(side.stats.n_keys, opts), columns=columns, key_values=side.values)
     last_chunk = F.floor((F.col("_n") - 1) / F.lit(chunk)).cast("long")
-    keys = (counts.select(KEY, "seq", "_n", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)).alias("_c"))
-            .select(KEY, "seq", "_c", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_c") * chunk)
-                    .alias("_cnt")))
-    bound = n_keys + n_events // chunk + 1       # >= key-side rows
-    return catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                        broadcast_keys=bound <= opts.broadcast_key_limit, columns=columns, key_values=values)
+    return (rows.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+            .withColumn("_cnt", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_c") * chunk)).drop("_n"))
 
 
 def replicate(df: DataFrame) -> DataFrame:
@@ -83,14 +108,10 @@ def replicate(df: DataFrame) -> DataFrame:
              .drop("_rep", "_cnt", "_c")
 
 
-def matched_keys(catalog, plan: TablePlan, pull_events: DataFrame, n_keys: int,
-                 opts: SyncOptions, values: list[str] | None = None) -> DataFrame:
+def matched_keys(catalog, plan: TablePlan, side: KeySide, opts: SyncOptions) -> DataFrame:
     """Distinct event keys that have at least one row in the table (reads the key column only)."""
-    ev = schema_events(pull_events, plan.event_schema)
-    keys = ev.select(F.col("c_stm").alias(KEY)).distinct()
-    rows = catalog.pull(plan.source_schema, plan.table, plan.key_column, keys,
-                        broadcast_keys=n_keys <= opts.broadcast_key_limit, columns=[plan.key_column],
-                        key_values=values)
+    rows = catalog.pull(plan.source_schema, plan.table, plan.key_column, side.counts(opts.multiplicity).select(KEY),
+                        broadcast_keys=side.small(side.stats.n_keys, opts), columns=[plan.key_column], key_values=side.values)
     return rows.select(KEY).distinct()
 
 
@@ -102,7 +123,7 @@ def record_frame(rows: DataFrame, plan: TablePlan, source_columns: list[str], op
     expands them after its shuffle, so the exchange carries each row once).
     """
     fields = record_fields(source_columns, plan.source_schema, plan.table, plan.record_table,
-                           opts.dbid, opts.run_ts, opts.alias_rules)
+                           opts.dbid, opts.run_ts, row_texts(rows, opts.source_text, opts.time_zone), opts.alias_rules)
     extra = [c for c in ("_cnt", "_c") if c in rows.columns]
     out = rows.select(
         F.lit(plan.record_table).alias("tableName"),
@@ -120,7 +141,7 @@ def record_frame(rows: DataFrame, plan: TablePlan, source_columns: list[str], op
 def record_columns(rows: DataFrame, plan: TablePlan, source_columns: list[str], opts: SyncOptions) -> DataFrame:
     """The record's named columns before JSON encoding, plus ``event_seq`` (used by tests/oracles)."""
     fields = record_fields(source_columns, plan.source_schema, plan.table, plan.record_table,
-                           opts.dbid, opts.run_ts, opts.alias_rules)
+                           opts.dbid, opts.run_ts, row_texts(rows, opts.source_text, opts.time_zone), opts.alias_rules)
     return rows.select(F.col("seq").alias("event_seq"), *fields)
 
 

@@ -8,6 +8,8 @@ Constants: dbid '00', run_ts TIMESTAMP '2024-02-01 00:00:00'.
 
 from __future__ import annotations
 
+from ..sources.fixtures import PLAIN_VALUE_SQL, RAW_VALUE_SQL
+
 CDC = """cdc AS (
   SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS c_stm, date_trunc('second', ts) AS d_xgsj,
          CASE event_type WHEN 'signup' THEN 1 WHEN 'error' THEN 0 ELSE 2 END AS data_state,
@@ -66,10 +68,12 @@ def _pulled(table: str, schema: str, source: str, key: str, fields: list[tuple[s
             f"WHERE e.schema_name = '{schema}'")
 
 
-TOMBSTONES = """SELECT schema_name || '_t_' || ajzlx AS tableName, seq, c_stm, 0 AS data_state, '' AS row,
+EXTRA = """CASE WHEN seq % 97 = 7 THEN '{"a":[1,2]}' END"""
+
+TOMBSTONES = f"""SELECT schema_name || '_t_' || ajzlx AS tableName, seq, c_stm, 0 AS data_state, '' AS row,
          concat_ws('|', 'c_baah=' || c_baah, 'c_stm=' || c_stm, 'd_xgsj=' || CASE WHEN seq % 97 = 3 THEN 'not a time'
            WHEN seq % 13 = 0 THEN '' ELSE CAST(date_trunc('second', apply_ts) AS VARCHAR) END, 'data_state=0', 'dbid=00',
-           'dt=2024-02-01', 'n_jbfy=' || CAST(n_jbfy AS VARCHAR), 'schemaName=' || schema_name,
+           'dt=2024-02-01', 'extra=' || {EXTRA}, 'n_jbfy=' || CAST(n_jbfy AS VARCHAR), 'schemaName=' || schema_name,
            'tableName=' || schema_name || '_t_' || ajzlx, 'update_time=2024-02-01 00:00:00') AS body
     FROM ev WHERE data_state = 0"""
 
@@ -122,6 +126,37 @@ JOIN ie la ON la.index_table = a.index_table AND la.c_stm = a.c_stm AND la.seq =
 WHERE a.first_ins IS NOT NULL"""
 
 
+def _float_text(v: str, digits: int) -> str:
+    """SQL of a float's text: DuckDB's shortest digits, without a point behind whole numbers, in exponent form from 10^digits."""
+    t = f"regexp_replace(CAST({v} AS VARCHAR), '\\.0$', '')"
+    body = f"regexp_replace(regexp_replace({t}, '^-', ''), '\\.', '')"
+    exponent = f"(strlen(split_part(regexp_replace({t}, '^-', ''), '.', 1)) - 1)"
+    mantissa = f"rtrim({body}, '0')"
+    return f"""CASE WHEN isnan({v}) THEN 'NaN' WHEN isinf({v}) THEN CASE WHEN {v} < 0 THEN '-' ELSE '' END || 'Infinity'
+        WHEN abs({v}) >= 1e{digits} AND NOT contains({t}, 'e') THEN CASE WHEN {v} < 0 THEN '-' ELSE '' END || left({mantissa}, 1)
+             || CASE WHEN strlen({mantissa}) > 1 THEN '.' || substr({mantissa}, 2) ELSE '' END || 'e+' || lpad(CAST({exponent} AS VARCHAR), 2, '0')
+        ELSE {t} END"""
+
+
+_ODD = """CASE event_id % 5 WHEN 0 THEN 'NULL' WHEN 1 THEN 'a "b"\\c' WHEN 2 THEN '' WHEN 3 THEN 'x y' END"""
+RECORD_TEXT = f"""SELECT CAST(event_id AS VARCHAR) AS c_stm, CASE WHEN event_id % 3 = 0 THEN 't' ELSE 'f' END AS b,
+    CAST(event_id AS VARCHAR) AS i2, CAST(event_id AS VARCHAR) AS i4, CAST(CAST(value AS DECIMAL(20, 4)) AS VARCHAR) AS num,
+    {_float_text("f", 15)} AS f8, {_float_text("w", 15)} AS f8_whole, {_float_text("CAST(event_id % 1000 / 8 AS FLOAT)", 6)} AS f4,
+    strftime(ts, '%Y-%m-%d') AS d, regexp_replace(CAST(ts AS VARCHAR), '(\\.[0-9]*?)0+$', '\\1') AS t,
+    '\\x' || lower(hex(encode(CAST(user_id AS VARCHAR)))) AS raw,
+    '{{' || event_id || ',' || CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) ELSE 'NULL' END || ',-1}}' AS ints,
+    '{{' || event_type || ',' || CASE event_id % 5 WHEN 0 THEN '"NULL"' WHEN 1 THEN '"a \\"b\\"\\\\c"' WHEN 2 THEN '""'
+        WHEN 3 THEN '"x y"' ELSE 'NULL' END || '}}' AS texts,
+    CASE WHEN event_id % 2 = 0 THEN '{{t,NULL}}' ELSE '{{f,NULL}}' END AS flags,
+    '(' || event_id || ',' || CASE WHEN event_id % 4 = 0 THEN '' ELSE CASE event_id % 5 WHEN 0 THEN 'NULL'
+        WHEN 1 THEN '"a ""b""\\\\c"' WHEN 2 THEN '""' WHEN 3 THEN '"x y"' ELSE '' END END || ','
+        || CASE WHEN event_id % 2 = 0 THEN 't' ELSE 'f' END || ')' AS pair,
+    CASE WHEN event_id % 6 <> 0 THEN 'text' END AS s
+  FROM (SELECT *, round(value, 2) * CASE event_id % 5 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 1e-7 WHEN 2 THEN 1e12 WHEN 3 THEN 1e20
+          ELSE -1e-3 END AS f, CASE event_id % 7 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE
+          ELSE event_id::DOUBLE END AS w FROM events)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -137,10 +172,11 @@ def oracle_sql() -> dict[str, str]:
     q["route_counts"] = _with(CDC, EV) + """SELECT schema_name,
         CASE WHEN data_state = 0 THEN 'tombstone' ELSE 'pull' END AS route, count(*) AS n
         FROM ev GROUP BY 1, 2"""
-    q["quarantine"] = _with(CDC) + """SELECT seq,
+    q_quarantine = """SELECT seq,
         CASE seq % 97 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'no_data_state' WHEN 2 THEN 'bad_schema_name'
              WHEN 4 THEN 'bad_data_state' WHEN 5 THEN 'bad_n_jbfy' WHEN 6 THEN 'bad_json' ELSE 'bad_d_xgsj' END AS reason
         FROM cdc WHERE seq % 97 IN (0, 1, 2, 4, 5, 6) OR (seq % 97 = 3 AND data_state <> 0)"""
+    q["quarantine"] = _with(CDC) + q_quarantine
     q["catalog_tables"] = _with(*BASE, COLS, LISTED) + "SELECT table_schema, table_name FROM t"
     q["catalog_key_shape"] = _with(*BASE, COLS, LISTED) + """
         , sk AS (SELECT table_schema, table_name FROM cols WHERE column_name LIKE 'c_stm%'
@@ -167,7 +203,7 @@ def oracle_sql() -> dict[str, str]:
     q["bucket_counts"] = _with(*BASE, REC) + \
         f"SELECT 'db_ods15.db/' || tableName || '/dt=' || {DT} AS bucket, count(*) AS n_records FROM rec GROUP BY 1"
     q["compaction_rows"] = _with(*BASE, REC, "cut AS (SELECT max(event_id) // 2 AS half FROM events)") + f"""SELECT layout,
-        tableName, {DT} AS dt, count(*) AS n_records, count(DISTINCT seq <= half) AS n_writers
+        tableName, {DT} AS dt, body, count(*) AS n_records, count(DISTINCT seq <= half) AS n_writers
         FROM rec, cut, (VALUES ('single'), ('per_table')) AS l(layout) GROUP BY ALL"""
     q["json_lines"] = _with(*BASE, REC) + \
         f"SELECT tableName, {DT} AS dt, body, count(*) AS copies FROM rec GROUP BY tableName, body"
@@ -197,9 +233,9 @@ def oracle_sql() -> dict[str, str]:
         schema_name AS schemaName, c_baah, n_jbfy,
         CASE WHEN seq % 97 = 3 THEN 'not a time' WHEN seq % 13 = 0 THEN ''
              ELSE CAST(date_trunc('second', apply_ts) AS VARCHAR) END AS d_xgsj_text,
-        '2024-02-01 00:00:00' AS update_time,
+        '2024-02-01 00:00:00' AS update_time, {EXTRA} AS extra,
         concat_ws(',', CASE WHEN c_baah IS NOT NULL THEN 'c_baah' END, 'c_stm', 'd_xgsj', 'data_state', 'dbid',
-                  'dt', CASE WHEN n_jbfy IS NOT NULL THEN 'n_jbfy' END, 'schemaName', 'tableName',
+                  'dt', CASE WHEN seq % 97 = 7 THEN 'extra' END, CASE WHEN n_jbfy IS NOT NULL THEN 'n_jbfy' END, 'schemaName', 'tableName',
                   'update_time') AS json_keys
         FROM ev WHERE data_state = 0"""
     q["alias_rule"] = """SELECT d.dbid, CAST(c.c_custkey AS VARCHAR) AS c_stm,
@@ -225,12 +261,28 @@ def oracle_sql() -> dict[str, str]:
     name, _, _, _, fields = SOURCES[0]
     q["full_pull"] = f"""SELECT '{name}' AS tableName, {DT} AS dt, {_record(name, fields)} AS body,
         count(*) AS copies FROM customer x GROUP BY ALL"""
-    shard = q["index_fold"]
+    index_line = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in (
+        "c_stm", "d_xgsj", "c_baah", "n_jbfy", "create_time", "update_time", "data_state")) + ")"
     q["two_shard_batches"] = _with(*BASE, REC, GATED, IE) + "SELECT * FROM (" + f"""
-        SELECT dbid, tableName AS name, count(*) AS n, CAST(sum(data_state) AS BIGINT) AS states
+        SELECT dbid, tableName AS name, replace(body, '|dbid=00|', '|dbid=' || dbid || '|') AS body, count(*) AS n
         FROM rec, (VALUES ('00'), ('06')) AS s(dbid) GROUP BY ALL
         UNION ALL
-        SELECT dbid, replace(index_table, 'index_00', 'index_' || dbid) AS name, count(*) AS n,
-               CAST(sum(data_state + coalesce(n_jbfy, 0)) AS BIGINT) AS states
-        FROM ({shard}), (VALUES ('00'), ('06')) AS s(dbid) GROUP BY ALL)"""
+        SELECT dbid, replace(index_table, 'index_00', 'index_' || dbid) AS name, {index_line} AS body, 1 AS n
+        FROM ({q["index_fold"]}), (VALUES ('00'), ('06')) AS s(dbid))"""
+    q["index_partitioned"] = q["intake_bound"] = q["index_fold"]
+    q["pull_wide"] = q["pull_bucketed"] = pulls + """IN ('db_customer_t_customer', 'db_customer_t_customer_order',
+        'db_supplier_t_supplier', 'db_supplier_t_lineitem')"""
+    q["catalog_session"] = f"""SELECT s.*, n.n_columns,
+        CASE WHEN s.table_name IN ('t_customer_order', 't_lineitem') THEN 'BASE TABLE' ELSE 'VIEW' END AS table_type
+        FROM ({q["catalog_key_shape"]}) s JOIN (SELECT table_schema, table_name, count(*) AS n_columns
+              FROM (SELECT * FROM (WITH {COLS} SELECT * FROM cols)) GROUP BY ALL) n
+        ON n.table_schema = s.table_schema AND n.table_name = s.table_name"""
+    q["batch_metrics"] = _with(*BASE, REC, f"raw AS (SELECT seq, {RAW_VALUE_SQL} AS value FROM (SELECT seq, {PLAIN_VALUE_SQL} "
+                               "AS plain FROM cdc))".replace("AS STRING", "AS VARCHAR"), f"bad AS ({q_quarantine})") + """
+        SELECT 'events' AS kind, 'taken in' AS name, count(*) AS n FROM raw
+        UNION ALL SELECT 'bytes', 'taken in', CAST(sum(strlen(value)) AS BIGINT) FROM raw
+        UNION ALL SELECT 'reason', reason, count(*) FROM bad GROUP BY reason
+        UNION ALL SELECT CASE WHEN data_state = 0 THEN 'tombstone' ELSE 'pull' END, schema_name, count(*) FROM ev GROUP BY ALL
+        UNION ALL SELECT 'records', tableName, count(*) FROM rec GROUP BY tableName"""
+    q["record_text"] = RECORD_TEXT
     return q

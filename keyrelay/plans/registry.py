@@ -20,12 +20,14 @@ from ..operators import catalog_ops as cat
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan
 from ..operators.pull import full_pull, record_columns
-from ..session import delete_dir, scratch_path
-from ..sinks import commits, index_store, warehouse
+from ..session import delete_dir, scratch_path, session_settings
+from ..sinks import index_table as index_sink
+from ..sinks import warehouse
 from ..sources import events as evsrc
 from ..sources import fixtures
 from ..sources.catalog import KEY, FrameCatalog
-from .batch import BatchFrames, plan_batch, process_batch, run_full_pull
+from ..sources.session_catalog import SessionCatalog
+from .batch import BatchFrames, plan_batch, process_batch, run_full_pull, small_delta
 
 OPTS = FIXTURE_OPTIONS
 
@@ -133,6 +135,60 @@ def q_pull_docview(spark, sf_dir):
     return reduce(DataFrame.unionByName, frames)
 
 
+def _main_and_child(bf: BatchFrames) -> DataFrame:
+    return _pull_rows(bf, _plans(bf, lambda p: p.kind == "table" and (
+        p.table == cat.main_table(p.ajzlx) or p.key_column != "c_stm")))
+
+
+#: Every key is more than any limit, as in a batch of many millions of keys.
+WIDE = OPTS.with_(pushdown_key_limit=0, broadcast_key_limit=0)
+#: ... and every source is large enough for a Bloom filter and too large for a broadcast.
+WIDE_SETTINGS = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+                 "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+                 "spark.sql.optimizer.runtimeFilter.number.threshold": "200", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+
+def q_pull_wide(spark, sf_dir):
+    """Main and child tables by more keys than any limit: Bloom-filtered sources, shuffle joins on the keys' own types."""
+    with session_settings(spark, WIDE_SETTINGS):
+        return _settle(_main_and_child(batch(spark, sf_dir, WIDE)))
+
+
+def _registered(spark, sf_dir, name: str) -> tuple[SessionCatalog, list[str], str]:
+    root = scratch_path(spark, "q", name)
+    prefix = f"kr_{root.rsplit('/', 1)[1]}_"
+    return SessionCatalog(spark, prefix), fixtures.register_sources(spark, sf_dir, prefix, root), root
+
+
+def _unregister(spark, databases: list[str], root: str) -> None:
+    for db in databases:
+        spark.sql(f"DROP DATABASE `{db}` CASCADE")
+    delete_dir(spark, root)
+
+
+def q_pull_bucketed(spark, sf_dir):
+    """The same pulls from registered tables; the child tables are bucketed by their key and are not shuffled."""
+    catalog, databases, root = _registered(spark, sf_dir, "bucketed")
+    try:
+        with session_settings(spark, WIDE_SETTINGS):
+            return _settle(_main_and_child(plan_batch(fixtures.raw_events(spark, sf_dir), catalog, WIDE)))
+    finally:
+        _unregister(spark, databases, root)
+
+
+def q_catalog_session(spark, sf_dir):
+    """Key shapes and column counts of tables and views registered in Spark's catalogue after it was first read."""
+    catalog, databases, root = _registered(spark, sf_dir, "catalog")
+    try:
+        bf = plan_batch(fixtures.raw_events(spark, sf_dir), catalog, OPTS)
+        columns = catalog.columns()
+        shape = cat.key_shape(catalog.tables(), columns).join(_event_schemas(bf), "table_schema", "left_semi")
+        counts = columns.groupBy("table_schema", "table_name").agg(F.count(F.lit(1)).alias("n_columns"))
+        return _settle(shape.join(counts, ["table_schema", "table_name"]).join(catalog.tables(), ["table_schema", "table_name"]))
+    finally:
+        _unregister(spark, databases, root)
+
+
 def q_tombstones(spark, sf_dir):
     t = batch(spark, sf_dir).tombstones()
     v = F.col("value")
@@ -149,6 +205,7 @@ def q_tombstones(spark, sf_dir):
         F.variant_get(pj, "$.n_jbfy", "int").alias("n_jbfy"),
         F.get_json_object(v, "$.d_xgsj").alias("d_xgsj_text"),
         F.get_json_object(v, "$.update_time").alias("update_time"),
+        F.get_json_object(v, "$.extra").alias("extra"),
         F.array_join(F.array_sort(F.json_object_keys(v)), ",").alias("json_keys"),
     )
 
@@ -190,6 +247,12 @@ def q_alias_rule(spark, sf_dir):
     return out[0].unionByName(out[1])
 
 
+def q_record_text(spark, sf_dir):
+    """Text of source columns of every type, as the relational source prints them."""
+    r = _full_records(spark, fixtures.typed_frame(spark, sf_dir), "db_typed", "t_typed", OPTS)
+    return r.select(*[c for c in r.columns if c not in ("event_seq", "tableName", "dt", "update_time", "dbid", "lsn", "data_state")])
+
+
 def q_full_pull(spark, sf_dir):
     """The daily full pull as the job writes it, read back."""
     root, opts = scratch_path(spark, "q", "full_pull"), OPTS.with_(stream_id="full")
@@ -218,8 +281,20 @@ def q_index_merge(spark, sf_dir):
     cut = (ie.agg(F.max("seq")).first()[0] or 0) // 2
     prior = idx.fold(ie.filter(F.col("seq") < cut))
     delta = idx.fold_delta(ie.filter(F.col("seq") >= cut))
-    bound = sum(n for n, _ in bf.stats.values()) + bf.n_deletes       # >= index events >= delta keys
-    return idx.merge(prior, delta, broadcast_delta=bound <= OPTS.broadcast_key_limit)
+    return idx.merge(prior, delta, broadcast_delta=small_delta(bf))
+
+
+def q_index_partitioned(spark, sf_dir):
+    """The index table after three batches, the middle one applied twice and the first one replayed at the end."""
+    bf = batch(spark, sf_dir)
+    ie = _settle(bf.index_events())
+    top = ie.agg(F.max("seq")).first()[0] or 0
+    root = scratch_path(spark, "q", "index")
+    cuts = [-1, top // 3, 2 * top // 3, top]
+    for n, again in ((0, False), (1, False), (1, True), (2, False), (0, True)):
+        delta = idx.fold_delta(ie.filter((F.col("seq") > cuts[n]) & (F.col("seq") <= cuts[n + 1])))
+        index_sink.apply_delta(spark, root, OPTS.dbid, delta, "w", n, 8, f"{root}/staged", again, broadcast_delta=n == 2)
+    return _settle(index_sink.read_index(spark, root, OPTS.dbid), root)
 
 
 def q_error_rows(spark, sf_dir):
@@ -237,12 +312,10 @@ def _settle(df: DataFrame, *scratch: str) -> DataFrame:
 
 
 def _write(bf: BatchFrames, root: str, batch_id: int = 0) -> None:
-    """The record part of process_batch: open, stage, write, commit."""
+    """The record part of process_batch: stage, write, make visible."""
     spark, o = bf.good.sparkSession, bf.opts
-    commits.begin(spark, root, o.writer, batch_id, FIXTURE_DT, [warehouse.records_path(root, o)], {})
     staged = warehouse.stage_records(bf.record_groups(), root, o, batch_id)
-    warehouse.write_records(staged, root, batch_id, o)
-    commits.finish(spark, root, o.writer, batch_id, FIXTURE_DT)
+    warehouse.finish(spark, root, o, batch_id, warehouse.write_records(staged, root, batch_id, o))
     warehouse.drop_staging(spark, root, o, batch_id)
 
 
@@ -289,18 +362,21 @@ def q_two_shard_batches(spark, sf_dir):
     top = raw.agg(F.max("seq")).first()[0] or 0
     part = lambda lo, hi: raw.filter((F.col("seq") > lo) & (F.col("seq") <= hi))
     root = scratch_path(spark, "q", "two_shards")
-    first, second = OPTS.with_(stream_id="a", index_compact_every=1), OPTS.with_(stream_id="b")
+    first, second = OPTS.with_(stream_id="a"), OPTS.with_(stream_id="b")
     process_batch(spark, part(-1, top // 3), catalog, first, root, 0)
     process_batch(spark, part(top // 3, 2 * top // 3), catalog, first, root, 1)
     process_batch(spark, part(2 * top // 3, top), catalog, second, root, 0)
     process_batch(spark, raw, catalog, OPTS.with_(dbid="06"), root, 0)
     process_batch(spark, part(2 * top // 3, top), catalog, second, root, 0)
     recs = warehouse.read_records(spark, root, OPTS)
-    records = recs.groupBy(F.split_part("writer", F.lit("-"), F.lit(1)).alias("dbid"), F.col("tableName").alias("name")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("value", "$.data_state").cast("long")).alias("states"))
-    index = index_store.read_latest(spark, root)
-    rows = index.groupBy(F.substr("index_table", F.lit(7), F.lit(2)).alias("dbid"), F.col("index_table").alias("name")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("data_state").cast("long") + F.coalesce("n_jbfy", F.lit(0))).alias("states"))
+    shard = F.split_part("writer", F.lit("-"), F.lit(1)).alias("dbid")
+    records = recs.groupBy(shard, F.col("tableName").alias("name"), _body(F.col("value")).alias("body")).agg(
+        F.count(F.lit(1)).alias("n"))
+    index = index_sink.read_index(spark, root)
+    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in (
+        "c_stm", "d_xgsj", "c_baah", "n_jbfy", "create_time", "update_time", "data_state")])
+    rows = index.select(F.substr("index_table", F.lit(7), F.lit(2)).alias("dbid"), F.col("index_table").alias("name"),
+                        line.alias("body"), F.lit(1).cast("long").alias("n"))
     return _settle(records.unionByName(rows), root)
 
 
@@ -324,24 +400,44 @@ def q_compaction_rows(spark, sf_dir):
             _write(plan_batch(part, catalog, o), roots[-1], n)
             if n == 0:
                 warehouse.compact(spark, roots[-1], o, FIXTURE_DT)
-        outs.append(warehouse.read_records(spark, roots[-1], o).groupBy(F.lit(layout).alias("layout"), "tableName", "dt").agg(
+        outs.append(warehouse.read_records(spark, roots[-1], o).groupBy(
+            F.lit(layout).alias("layout"), "tableName", "dt", _body(F.col("value")).alias("body")).agg(
             F.count(F.lit(1)).alias("n_records"), F.countDistinct("writer").alias("n_writers")))
     return _settle(outs[0].unionByName(outs[1]), *roots)
 
 
 def q_stream_index_replay(spark, sf_dir):
     """Stage the raw events as 4 files, stream them one file per micro-batch, return the final index."""
+    index, _, folders = _streamed(spark, sf_dir, "stream", 4, max_files_per_trigger=1)
+    return _settle(index, *folders)
+
+
+def _streamed(spark, sf_dir, name: str, files: int, **intake):
+    """The raw events staged as files and streamed with an intake bound; (index, batches that took events, folders)."""
     from ..streaming.stream import start_sync
-    stage = scratch_path(spark, "q", "stream_in")
-    evsrc.stage_events(fixtures.raw_events(spark, sf_dir), stage, files=4)
-    out_root = scratch_path(spark, "q", "stream_out")
-    stream = evsrc.file_events(spark, stage, streaming=True, max_files_per_trigger=1)
-    q = start_sync(spark, stream, fixtures.fixture_catalog(spark, sf_dir), OPTS, out_root,
-                   checkpoint_location=out_root + "/_checkpoint", trigger={"availableNow": True})
+    stage, out_root = scratch_path(spark, "q", f"{name}_in"), scratch_path(spark, "q", f"{name}_out")
+    evsrc.stage_events(fixtures.raw_events(spark, sf_dir), stage, files=files)
+    q = start_sync(spark, evsrc.file_events(spark, stage, streaming=True, **intake), fixtures.fixture_catalog(spark, sf_dir), OPTS,
+                   out_root, checkpoint_location=out_root + "/_checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return _settle(index_store.read_latest(spark, out_root), stage, out_root)
+    return index_sink.read_index(spark, out_root), len([p for p in q.recentProgress if p["numInputRows"]]), (stage, out_root)
+
+
+def q_intake_bound(spark, sf_dir):
+    """A backlog of three files streamed with a bound in bytes that one file passes: the index after all of it."""
+    index, _, folders = _streamed(spark, sf_dir, "bound", 3, max_bytes_per_trigger=1)
+    return _settle(index, *folders)
+
+
+def q_batch_metrics(spark, sf_dir):
+    """Figures of a whole written batch, observed while its events were decoded and its records staged."""
+    root = scratch_path(spark, "q", "metrics")
+    done = process_batch(spark, fixtures.raw_events(spark, sf_dir), fixtures.fixture_catalog(spark, sf_dir), OPTS, root, 0)
+    delete_dir(spark, root)
+    kinds = "kind string, name string, n long"
+    return spark.createDataFrame([m for m in done["metrics"] if m[0] != "record bytes"], kinds)
 
 
 QUERIES = {
@@ -373,4 +469,11 @@ QUERIES = {
     "clashing_columns": q_clashing_columns,
     "shared_record_table": q_shared_record_table,
     "two_shard_batches": q_two_shard_batches,
+    "pull_wide": q_pull_wide,
+    "pull_bucketed": q_pull_bucketed,
+    "index_partitioned": q_index_partitioned,
+    "record_text": q_record_text,
+    "catalog_session": q_catalog_session,
+    "batch_metrics": q_batch_metrics,
+    "intake_bound": q_intake_bound,
 }

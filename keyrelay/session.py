@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -20,6 +22,13 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Pulls with more keys than go into a scan's filter: Bloom filters of the keys thin out sources from this size on,
+    # for every table of a staging job.
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+    "spark.sql.optimizer.runtimeFilter.number.threshold": "200",
 }
 
 
@@ -44,6 +53,19 @@ def get_session(master: str | None = None, app: str = "keyrelay", shuffle_partit
     return spark
 
 
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]):
+    """Runtime settings that hold for the work started inside, as they were before afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
@@ -92,80 +114,28 @@ def _fs(spark: SparkSession, p: str):
     return hp, hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def move_dir(spark: SparkSession, src: str, dst: str) -> None:
-    """Move a committed folder into place (replacing ``dst``); a metadata operation on HDFS."""
-    s, fs = _fs(spark, src)
-    d, _ = _fs(spark, dst)
-    if fs.exists(d):
-        fs.delete(d, True)
-    fs.mkdirs(d.getParent())
-    if not fs.rename(s, d):
-        raise IOError(f"could not move {src} to {dst}")
-
-
 def delete_dir(spark: SparkSession, p: str) -> None:
     hp, fs = _fs(spark, p)
     if fs.exists(hp):
         fs.delete(hp, True)
 
 
-def read_text(spark: SparkSession, p: str) -> str | None:
-    """Content of a small text file on any file system Spark knows; None if there is none."""
-    hp, fs = _fs(spark, p)
-    if not fs.exists(hp):
-        return None
-    stream = fs.open(hp)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-
-
-def write_text(spark: SparkSession, p: str, text: str) -> None:
-    hp, fs = _fs(spark, p)
-    stream = fs.create(hp, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-
-
-def list_files(spark: SparkSession, p: str) -> list[str]:
-    """Names of the files directly under ``p``."""
-    hp, fs = _fs(spark, p)
-    return sorted(s.getPath().getName() for s in fs.listStatus(hp) if s.isFile()) if fs.exists(hp) else []
-
-
-def move_file(spark: SparkSession, src: str, dst: str) -> None:
-    """Rename one small file; the commit point of a swap."""
-    s, fs = _fs(spark, src)
-    d, _ = _fs(spark, dst)
-    fs.mkdirs(d.getParent())
-    if not fs.rename(s, d):
-        raise IOError(f"could not move {src} to {dst}")
+def glob_dirs(spark: SparkSession, *patterns: str) -> list[str]:
+    """Folders that match path patterns, on any file system Spark knows."""
+    out = []
+    for p in patterns:
+        hp, fs = _fs(spark, p)
+        out += [x.getPath().toString() for x in (fs.globStatus(hp) or []) if x.isDirectory()]
+    return out
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """Small driver-side data (catalogue metadata) as a local relation.
 
-    Unlike ``createDataFrame`` (an RDD scan of unknown size), a VALUES relation has
+    Unlike a frame over a list of rows (an RDD scan of unknown size), a frame over an Arrow table is a local relation with
     known statistics, so the planner broadcasts it and joins with it need no shuffle.
-    Values are bound as parameters, never spliced into SQL text.
     """
-    names = [f.name for f in schema.fields]
-    if not rows:
-        nulls = ", ".join("NULL" for _ in names)
-        df = spark.sql(f"SELECT * FROM VALUES ({nulls}) AS t({', '.join(names)}) WHERE false")
-    else:
-        args, tuples = {}, []
-        for i, r in enumerate(rows):
-            marks = []
-            for j, v in enumerate(r):
-                if v is None:
-                    marks.append("NULL")
-                else:
-                    args[f"p{i}_{j}"] = v
-                    marks.append(f":p{i}_{j}")
-            tuples.append("(" + ", ".join(marks) + ")")
-        df = spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t({', '.join(names)})", args=args)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(schema.fields)
+    data = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(data, schema=schema)

@@ -2,7 +2,9 @@
 tables.
 
 A batch's distinct records are staged once (one row per record and chunk of copies), then written out in full. Every leaf
-is keyed by writer and batch (sinks/commits.py), so a replayed batch replaces its own leaves and nothing else.
+lies in partitions of its own writer and batch, which only that batch overwrites. The last job of a batch writes its rows of the
+table ``batches`` (table, date, lines, bytes), a single file: readers list that table first and read the leaves it names, so
+a batch is seen whole or not at all.
 """
 
 from __future__ import annotations
@@ -15,23 +17,78 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import SyncOptions
-from ..session import delete_dir, list_dirs, local_frame, path_exists
-from . import commits
+from ..session import delete_dir, glob_dirs, local_frame, path_exists
 
 _SIZES = T.StructType([T.StructField("tableName", T.StringType()), T.StructField("dt", T.StringType()),
                        T.StructField("first", T.IntegerType()), T.StructField("n_slots", T.IntegerType())])
+#: What a batch wrote; ``replaces``: "writer/batch" of the batches whose leaves of this table and date a compaction stands for.
+#: A batch without records has one row without a table.
+BATCH_SCHEMA = T.StructType([
+    T.StructField("tableName", T.StringType()), T.StructField("dt", T.StringType()), T.StructField("n_records", T.LongType()),
+    T.StructField("n_bytes", T.LongType()), T.StructField("replaces", T.ArrayType(T.StringType()))])
+_OWN = T.StructType([T.StructField("writer", T.StringType()), T.StructField("batch_id", T.IntegerType())])
+_READ_SCHEMA = T.StructType([*BATCH_SCHEMA.fields, *_OWN.fields])
+_LEAF = ["tableName", "dt", "writer", "batch_id"]
 
 
 def records_path(root: str, opts: SyncOptions) -> str:
     return f"{root.rstrip('/')}/{opts.warehouse_db}"
 
 
-def staging_path(root: str, opts: SyncOptions, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/_staging/{opts.writer}~{int(batch_id)}"
+def staging_path(root: str, opts: SyncOptions, batch_id: int, what: str = "") -> str:
+    return f"{root.rstrip('/')}/_staging/{opts.writer}~{int(batch_id)}" + (f"/{what}" if what else "")
 
 
+def _end(opts: SyncOptions, batch_id: int) -> str:
+    if any(c in opts.writer for c in "/~="):
+        raise ValueError(f"writer id {opts.writer!r} cannot be part of a path")
+    return f"writer={opts.writer}/batch_id={int(batch_id)}"
+
+
+# -- which batches there are -----------------------------------------------------
+def batch_path(root: str, opts: SyncOptions, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/batches/{_end(opts, batch_id)}"
+
+
+def begun(spark: SparkSession, root: str, opts: SyncOptions, batch_id: int) -> bool:
+    """Whether an earlier attempt of this batch may have left anything behind."""
+    return path_exists(spark, batch_path(root, opts, batch_id)) or path_exists(spark, staging_path(root, opts, batch_id))
+
+
+def clear(spark: SparkSession, root: str, opts: SyncOptions, batch_id: int) -> None:
+    """Remove what an earlier attempt of this batch wrote, whatever tables and dates it had; its visibility goes first."""
+    end, root = _end(opts, batch_id), root.rstrip("/")
+    delete_dir(spark, batch_path(root, opts, batch_id))
+    for leaf in glob_dirs(spark, f"{records_path(root, opts)}/*/dt=*/{end}", f"{root}/errors/c_dt=*/{end}",
+                          f"{root}/quarantine/dt=*/{end}"):
+        delete_dir(spark, leaf)
+
+
+def finish(spark: SparkSession, root: str, opts: SyncOptions, batch_id: int, rows: list[tuple]) -> None:
+    """The last write of a batch: what it wrote, in one file."""
+    rows = rows or [(None, None, 0, 0, [])]
+    local_frame(spark, rows, BATCH_SCHEMA).coalesce(1).write.mode("overwrite").parquet(batch_path(root, opts, batch_id))
+
+
+def batches(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of all finished batches, as of now."""
+    path = f"{root.rstrip('/')}/batches"
+    if not path_exists(spark, path):
+        return local_frame(spark, [], _READ_SCHEMA)
+    return spark.read.schema(_READ_SCHEMA).parquet(path)
+
+
+def visible_leaves(done: DataFrame) -> DataFrame:
+    """(tableName, dt, writer, batch_id, n_bytes) that readers see: written by a finished batch, and not replaced by another."""
+    gone = done.select("tableName", "dt", F.explode("replaces").alias("_r")).select(
+        "tableName", "dt", F.split_part("_r", F.lit("/"), F.lit(1)).alias("writer"),
+        F.split_part("_r", F.lit("/"), F.lit(2)).cast("int").alias("batch_id"))
+    return done.filter(F.col("tableName").isNotNull()).join(gone, _LEAF, "left_anti").select(*_LEAF, "n_bytes")
+
+
+# -- records ---------------------------------------------------------------------
 def _text_writer(df: DataFrame, opts: SyncOptions):
-    w = df.write.mode("append")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if opts.max_records_per_file:
         w = w.option("maxRecordsPerFile", str(opts.max_records_per_file))
     return w.option("compression", opts.text_compression) if opts.text_compression else w
@@ -42,15 +99,18 @@ def stage_records(groups: list[DataFrame], root: str, opts: SyncOptions, batch_i
 
     The source is read here only: sizes, record files and index gate all come from the staged rows.
     """
-    path = staging_path(root, opts, batch_id)
-    delete_dir(groups[0].sparkSession, path)
-    for g in groups:
-        g.write.mode("append").parquet(path)
+    path = staging_path(root, opts, batch_id, "records")
+    size = (F.octet_length("value") + 1).cast("long")
+    groups = [g.withColumn("_bytes", size) for g in groups]
+    for k, g in enumerate(groups):
+        g.write.mode("append" if k else "overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return groups[0].sparkSession.read.schema(groups[0].schema).parquet(path)
 
 
-def _bytes() -> Column:
-    return (F.octet_length("value") + 1).cast("long")
+def sizes_of(staged: DataFrame) -> list[tuple]:
+    """(tableName, dt, lines, bytes) of the full output: one row per table and date of the batch."""
+    return [tuple(r) for r in staged.groupBy("tableName", "dt").agg(
+        F.sum("_cnt").alias("n"), F.sum(F.col("_cnt") * F.col("_bytes")).alias("b")).collect()]
 
 
 def slots_of(sizes: list, opts: SyncOptions, parallelism: int) -> tuple[list[tuple], int]:
@@ -68,13 +128,13 @@ def slots_of(sizes: list, opts: SyncOptions, parallelism: int) -> tuple[list[tup
     return out, at
 
 
-def dealt(staged: DataFrame, opts: SyncOptions) -> tuple[DataFrame, list[tuple]]:
+def dealt(staged: DataFrame, opts: SyncOptions, sizes: list[tuple] | None = None) -> tuple[DataFrame, list[tuple]]:
     """Staged rows (tableName, dt, seq, c_stm, value, _cnt, _c) dealt to slots sized by the bytes of their copies.
 
-    The sizes are one row per table and date of the batch. A record's chunks of copies are dealt apart.
+    A record's chunks of copies are dealt apart.
     """
     spark = staged.sparkSession
-    sizes = [tuple(r) for r in staged.groupBy("tableName", "dt").agg(F.sum(F.col("_cnt") * _bytes()).alias("b")).collect()]
+    sizes = [(t, d, b) for t, d, _, b in (sizes_of(staged) if sizes is None else sizes)]
     slots, total = slots_of(sizes, opts, spark.sparkContext.defaultParallelism)
     at = F.col("first") + F.pmod(F.xxhash64("value", "seq", "c_stm", "_c"), F.col("n_slots")).cast("int")
     rows = (staged.select("value", "tableName", "dt", "seq", "c_stm", "_cnt", "_c")
@@ -83,51 +143,51 @@ def dealt(staged: DataFrame, opts: SyncOptions) -> tuple[DataFrame, list[tuple]]
     return rows.repartitionById(max(1, total), "_slot"), slots
 
 
-def write_records(staged: DataFrame, root: str, batch_id: int, opts: SyncOptions) -> str:
-    """K1/K2: one JSON object per line, UTF-8, every record as often as its copy count says.
+def write_records(staged: DataFrame, root: str, batch_id: int, opts: SyncOptions) -> list[tuple]:
+    """K1/K2: one JSON object per line, UTF-8, every record as often as its copy count says. Returns the batch's rows.
 
     ``single``: {db}/tableName=T/dt=D/writer=W/batch_id=N/part-*.txt in one job.
     ``per_table``: {db}/T/dt=D/writer=W/batch_id=N/part-*.txt, the original directory shape, one job per table straight
     into its folder (no renames), several tables at a time.
     """
-    path = records_path(root, opts)
-    rows, slots = dealt(staged, opts)
+    path, sizes = records_path(root, opts), sizes_of(staged)
+    rows = [(name, dt, int(n), int(b), []) for name, dt, n, b in sizes]
+    if not sizes:
+        return rows
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_cnt")))
-    full = rows.withColumn("_rep", copies).select(
-        "value", "tableName", "dt", F.lit(opts.writer).alias("writer"), F.lit(int(batch_id)).alias("batch_id"))
-    if not slots:
-        return path
+    own = [F.lit(opts.writer).alias("writer"), F.lit(int(batch_id)).alias("batch_id")]
     if opts.layout != "per_table":
-        _text_writer(full, opts).partitionBy("tableName", "dt", "writer", "batch_id").text(path)
-        return path
+        full = dealt(staged, opts, sizes)[0].withColumn("_rep", copies).select("value", "tableName", "dt", *own)
+        _text_writer(full, opts).partitionBy(*_LEAF).text(path)
+        return rows
 
     def one(name: str) -> None:
-        own, _ = dealt(staged.filter(F.col("tableName") == name), opts)
-        out = own.withColumn("_rep", copies).select("value", "dt", F.lit(opts.writer).alias("writer"),
-                                                    F.lit(int(batch_id)).alias("batch_id"))
-        _text_writer(out, opts).partitionBy("dt", "writer", "batch_id").text(f"{path}/{name}")
+        part = dealt(staged.filter(F.col("tableName") == name), opts, [s for s in sizes if s[0] == name])[0]
+        out = part.withColumn("_rep", copies).select("value", "dt", *own)
+        _text_writer(out, opts).partitionBy(*_LEAF[1:]).text(f"{path}/{name}")
 
     with ThreadPoolExecutor(8) as pool:
-        list(pool.map(one, sorted({s[0] for s in slots})))
-    return path
+        list(pool.map(one, sorted({s[0] for s in sizes})))
+    return rows
 
 
 def read_records(spark: SparkSession, root: str, opts: SyncOptions, dt: str | None = None) -> DataFrame:
-    """Committed records as (value, tableName, dt, writer, batch_id, file)."""
-    path = records_path(root, opts)
+    """Records of finished batches as (value, tableName, dt, writer, batch_id, file).
+
+    The finished batches are listed before the files, so each of them has all its files in the second list; batches that finish
+    in between are not seen.
+    """
+    done, path = batches(spark, root), records_path(root, opts)
+    glob = f"{path}/*/dt={dt or '*'}/*/*"
     f = F.input_file_name()
     place = r"/(?:tableName=)?([^/]+)/dt=([^/]+)/writer=([^/]+)/batch_id=([^/]+)/[^/]+$"
-    glob = f"{path}/*/dt={dt}/*/*" if dt else f"{path}/*/*/*/*"
+    if not glob_dirs(spark, f"{path}/*/dt={dt or '*'}"):
+        return local_frame(spark, [], T.StructType([T.StructField("value", T.StringType()), *[
+            T.StructField(n, T.StringType()) for n in _LEAF[:3]], _OWN["batch_id"], T.StructField("file", T.StringType())]))
     # the place is taken from the path, which reads both layouts alike
-    df = spark.read.text(glob).select("value", *[
-        F.regexp_extract(f, place, k + 1).alias(n) for k, n in enumerate(("tableName", "dt", "writer"))],
-        F.regexp_extract(f, place, 4).cast("int").alias("batch_id"), f.alias("file"))
-    opened, gone = commits.unread(spark, root)
-    for w, b in opened:
-        df = df.filter(~((F.col("writer") == w) & (F.col("batch_id") == b)))
-    for g in gone:
-        df = df.filter(~F.col("file").contains(f"/{g}/"))
-    return df
+    df = spark.read.text(glob).select("value", *[F.regexp_extract(f, place, k + 1).alias(n) for k, n in enumerate(_LEAF[:3])],
+                                      F.regexp_extract(f, place, 4).cast("int").alias("batch_id"), f.alias("file"))
+    return df.join(visible_leaves(done).drop("n_bytes"), _LEAF, "left_semi").select("value", *_LEAF, "file")
 
 
 def bucket_of(file_col, opts: SyncOptions):
@@ -136,55 +196,64 @@ def bucket_of(file_col, opts: SyncOptions):
     return F.regexp_extract(file_col, rf"({db}/[^/]+/dt=[^/]+)/", 1)
 
 
+def _table_dir(name: str, opts: SyncOptions) -> str:
+    return name if opts.layout == "per_table" else f"tableName={name}"
+
+
 def compact(spark: SparkSession, root: str, opts: SyncOptions, dt: str, run: int = 0) -> int:
-    """K3: rewrite the committed leaves of one closed date into files of about ``opts.file_bytes`` bytes, in place.
+    """K3: rewrite the leaves of one closed date into files of about ``opts.file_bytes`` bytes.
 
-    Sizes come from the file listing, not from the data. The output is a batch of the writer ``compact``, so it can be read next
-    to live batches and compacted again; it replaces its sources in one rename (commits.swap). Returns the leaves replaced.
-    ``run`` numbers repeated compactions of a date; a crashed run is repeated under its own number.
+    The output is a batch of the writer ``compact-{date}``, so it can be read next to live batches and compacted again. Its rows
+    in ``batches`` name the leaves they replace: with that one file the new leaves appear and the old ones disappear for
+    readers; the old files are deleted afterwards, here or, if this run ends early, by the next one. ``run`` numbers repeated
+    compactions of a date. Returns the leaves replaced.
     """
-    commits.resume_swaps(spark, root)
     own = opts.with_(dbid="compact", stream_id=dt)
-    top = records_path(root, opts)
-    opened, _ = commits.unread(spark, root)
-    leaves: dict[str, list[str]] = {}
-    for t in list_dirs(spark, top):
-        for w in list_dirs(spark, f"{top}/{t}/dt={dt}"):
-            for b in list_dirs(spark, f"{top}/{t}/dt={dt}/{w}"):
-                if (w.partition("=")[2], int(b.partition("=")[2])) not in opened and (w, b) != (
-                        f"writer={own.writer}", f"batch_id={int(run)}"):
-                    leaves.setdefault(t, []).append(f"{top}/{t}/dt={dt}/{w}/{b}")
-    if not any(leaves.values()) or commits.is_done(spark, root, own.writer, run) and (own.writer, int(run)) not in opened:
+    drop_replaced(spark, root, opts, dt)
+    if path_exists(spark, batch_path(root, own, run)):
+        return 0                                            # this run is complete
+    clear(spark, root, own, run)
+    found = visible_leaves(batches(spark, root)).filter(F.col("dt") == dt).collect()       # one row per table and batch
+    if not found:
         return 0
-    commits.begin(spark, root, own.writer, run, dt, [top], {})
+    leaves: dict[str, list] = {}
+    for r in found:
+        leaves.setdefault(r["tableName"], []).append(r)
+    top = records_path(root, opts)
 
-    def one(t: str) -> None:
-        n = max(1, math.ceil(sum(_size(spark, x) for x in leaves[t]) / opts.file_bytes))
-        rows = spark.read.text(leaves[t]).select("value")
-        _text_writer(rows.repartition(n), opts).text(f"{top}/{t}/{commits.leaf(dt, own.writer, run)}")
+    def one(name: str) -> tuple:
+        at = f"{top}/{_table_dir(name, opts)}/dt={dt}"
+        rows = spark.read.text([f"{at}/writer={r['writer']}/batch_id={r['batch_id']}" for r in leaves[name]]).select("value")
+        size = sum(r["n_bytes"] for r in leaves[name])
+        rows = rows.repartition(max(1, math.ceil(size / opts.file_bytes)))
+        _text_writer(rows, opts).text(f"{at}/{_end(own, run)}")
+        return name, dt, None, size, [f"{r['writer']}/{r['batch_id']}" for r in leaves[name]]
 
     with ThreadPoolExecutor(8) as pool:
-        list(pool.map(one, sorted(leaves)))
-    gone = [x[len(root.rstrip("/")) + 1:] for xs in leaves.values() for x in xs]
-    commits.swap(spark, root, own.writer, run, dt, gone)
-    return len(gone)
+        rows = list(pool.map(one, sorted(leaves)))
+    finish(spark, root, own, run, rows)
+    drop_replaced(spark, root, opts, dt)
+    return len(found)
 
 
-def _size(spark: SparkSession, path: str) -> int:
-    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hp).getLength())
+def drop_replaced(spark: SparkSession, root: str, opts: SyncOptions, dt: str) -> None:
+    """Delete the files that finished compactions of a date stand for."""
+    top = records_path(root, opts)
+    rows = (batches(spark, root).filter((F.col("dt") == dt) & (F.size("replaces") > 0))
+            .select("tableName", F.explode("replaces").alias("r")).collect())
+    for name, old in rows:
+        writer, batch_id = old.rsplit("/", 1)
+        delete_dir(spark, f"{top}/{_table_dir(name, opts)}/dt={dt}/writer={writer}/batch_id={batch_id}")
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """Append-style table (errors, quarantine) whose partitions include writer and batch; commits.begin has cleared them.
+    """Table (errors, quarantine) whose partitions include writer and batch, which only that batch overwrites.
 
     Rebalanced by the partition columns so a batch writes a few advisory-sized files per partition.
     """
-    df.hint("rebalance", *partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(path)
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).parquet(path))
 
 
 def drop_staging(spark: SparkSession, root: str, opts: SyncOptions, batch_id: int) -> None:
-    path = staging_path(root, opts, batch_id)
-    if path_exists(spark, path):
-        delete_dir(spark, path)
+    delete_dir(spark, staging_path(root, opts, batch_id))

@@ -86,14 +86,29 @@ class FrameCatalog:
         return join_keys(src, key_col, keys, broadcast_keys, columns)
 
 
-def join_keys(src: DataFrame, key_col: str, keys: DataFrame, broadcast_keys: bool, columns: list[str] | None) -> DataFrame:
-    row = F.struct(*[F.col(f"`{c}`") for c in (columns if columns is not None else src.columns)])
-    packed = src.select(F.col(f"`{key_col}`").cast("string").alias("_source_key"), row.alias("_row"))
-    k = F.broadcast(keys) if broadcast_keys else keys
-    return packed.join(k, packed["_source_key"] == k[KEY], "inner").drop("_source_key")
+_INTEGERS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
 
 
-_INTEGERS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+def typed_key(text: Column, kind: str) -> Column:
+    """A key's text in the key column's own type, so that neither side of a join casts the column; null if no row can match.
+
+    A text equals an integer column's text only if it is that integer's plain decimal form.
+    """
+    if kind in _INTEGERS:
+        number = text.try_cast(kind)
+        return F.when(number.cast("string") == text, number)
+    return text
+
+
+def join_keys(src: DataFrame, key_col: str, keys: DataFrame, broadcast_keys: bool, columns: list[str] | None) -> DataFrame:
+    kind = dict(src.dtypes)[key_col]
+    own = kind in _INTEGERS or kind == "string"
+    key = F.col(f"`{key_col}`") if own else F.col(f"`{key_col}`").cast("string")
+    row = F.struct(*[F.col(f"`{c}`") for c in (columns if columns is not None else src.columns)])
+    packed = src.select(key.alias("_source_key"), row.alias("_row"))
+    k = keys.withColumn("_own_key", typed_key(F.col(KEY), kind)).filter(F.col("_own_key").isNotNull())
+    k = F.broadcast(k) if broadcast_keys else k
+    return packed.join(k, packed["_source_key"] == k["_own_key"], "inner").drop("_source_key", "_own_key")
 
 
 def key_filter(src: DataFrame, key_col: str, values: list[str]) -> Column:

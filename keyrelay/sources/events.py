@@ -49,12 +49,20 @@ def kafka_events(spark: SparkSession, servers: str, topic: str, streaming: bool
 
 
 def file_events(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Events staged as files with RAW_SCHEMA columns."""
+                max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Events staged as files with RAW_SCHEMA columns.
+
+    A streaming batch takes all files there are, unless one of the two bounds is set (R8); with a bound in bytes it takes files until
+    the bound is passed, at least one.
+    """
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("bound the intake by files or by bytes, not by both")
     if streaming:
         r = spark.readStream.schema(RAW_SCHEMA).format(fmt)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        if max_bytes_per_trigger:
+            r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
         return r.load(path)
     return spark.read.schema(RAW_SCHEMA).format(fmt).load(path)
 

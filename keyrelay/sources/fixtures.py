@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import FrameCatalog
+from .session_catalog import bucketed
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -39,11 +40,13 @@ def cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# FIXTURES B2: the events as JSON text; remainders mod 97 inject defects.
+# FIXTURES B2: the events as JSON text; remainders mod 97 inject defects. 7 and 8: valid events that the variant parser
+# rejects (a repeated key beside an unknown one; single quotes).
 RAW_VALUE_SQL = """
-CASE seq % 97
-  WHEN 0 THEN 'oops'
-  ELSE '{"c_stm":"' || c_stm || '"'
+CASE WHEN seq % 97 = 0 THEN 'oops' WHEN seq % 97 = 8 THEN replace(plain, '"', '''') ELSE plain END
+"""
+PLAIN_VALUE_SQL = """
+  CASE WHEN seq % 97 = 7 THEN '{"c_stm":"first","extra":{"a":[1,2]},"c_stm":"' ELSE '{"c_stm":"' END || c_stm || '"'
     || CASE WHEN seq % 97 = 3 THEN ',"d_xgsj":"not a time"'
             WHEN seq % 13 = 0 THEN ',"d_xgsj":""'
             ELSE ',"d_xgsj":"' || CAST(d_xgsj AS STRING) || '"' END
@@ -57,13 +60,13 @@ CASE seq % 97
             ELSE coalesce(',"n_jbfy":' || CAST(n_jbfy AS STRING), '') END
     || ',"schemaName":"' || CASE WHEN seq % 97 = 2 THEN 'nounderscore' ELSE schema_name END || '"}'
     || CASE WHEN seq % 97 = 6 THEN ' tail' ELSE '' END
-END
 """
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(seq BIGINT, value STRING, apply_ts TIMESTAMP_NTZ)`` - what the event source delivers."""
-    return cdc(spark, sf_dir).selectExpr("seq", f"{RAW_VALUE_SQL} AS value", "apply_ts")
+    plain = cdc(spark, sf_dir).selectExpr("seq", f"{PLAIN_VALUE_SQL} AS plain", "apply_ts")
+    return plain.selectExpr("seq", f"{RAW_VALUE_SQL} AS value", "apply_ts")
 
 
 def source_frames(spark: SparkSession, sf_dir: str) -> dict:
@@ -105,6 +108,53 @@ def xzys_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def typed_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with a column of every type a source row may hold, over ``events`` (FIXTURES B6)."""
+    n, v = F.col("event_id"), F.col("value")
+    odd = F.when(n % 5 == 0, F.lit("NULL")).when(n % 5 == 1, F.lit('a "b"\\c')).when(n % 5 == 2, F.lit("")).when(n % 5 == 3, F.lit("x y"))
+    scale = F.element_at(F.array(*[F.lit(x) for x in (1.0, 1e-7, 1e12, 1e20, -1e-3)]), (n % 5).cast("int") + 1)
+    whole = F.when(n % 7 == 0, F.lit(0.0)).when(n % 7 == 1, F.lit(float("nan"))).when(n % 7 == 2, F.lit(float("-inf"))).otherwise(
+        n.cast("double"))
+    return load_table(spark, sf_dir, "events").select(
+        n.cast("string").alias("c_stm"), (n % 3 == 0).alias("b"), n.cast("smallint").alias("i2"), n.cast("int").alias("i4"),
+        v.cast("decimal(20,4)").alias("num"), (F.round(v, 2) * scale).alias("f8"), whole.alias("f8_whole"),
+        (n % 1000 / 8).cast("float").alias("f4"), F.to_date("ts").alias("d"), F.col("ts").cast("timestamp_ntz").alias("t"),
+        F.col("user_id").cast("string").cast("binary").alias("raw"),
+        F.array(n, F.when(n % 2 == 0, n), F.lit(-1)).alias("ints"), F.array(F.col("event_type"), odd).alias("texts"),
+        F.array((n % 2 == 0), F.lit(None).cast("boolean")).alias("flags"),
+        F.struct(n.alias("x"), F.when(n % 4 != 0, odd).alias("y"), (n % 2 == 0).alias("z")).alias("pair"),
+        F.when(n % 6 != 0, F.lit("text")).alias("s"))
+
+
+def register_sources(spark: SparkSession, sf_dir: str, prefix: str, location: str, buckets: int = 16) -> list[str]:
+    """The source database as databases ``{prefix}{schema}`` of Spark's catalogue; returns their names.
+
+    The two child tables are bucketed by their key columns, the other tables are views over the Parquet files.
+    """
+    names, spec = [], {"t_customer_order": "c_stm_customer", "t_lineitem": "c_stm_supplier"}
+    for (schema, table), frame in source_frames(spark, sf_dir).items():
+        db = f"{prefix}{schema}"
+        if db not in names:
+            names.append(db)
+            spark.sql(f"CREATE DATABASE `{db}` LOCATION '{location}/{db}'")
+        if table in spec:
+            bucketed(frame, f"`{db}`.`{table}`", spec[table], buckets)
+            continue
+        spark.sql(f"CREATE VIEW `{db}`.`{table}` AS {VIEWS[table].format(sf_dir=sf_dir.rstrip('/'))}")
+    return names
+
+
+#: The source tables that are registered as views, as SQL (the same columns as in ``source_frames``).
+VIEWS = {
+    "t_customer": "SELECT c_custkey AS c_stm, c_name, c_nationkey AS n_nation, c_mktsegment FROM parquet.`{sf_dir}/customer.parquet`",
+    "t_label": "SELECT doc_id AS c_stm, quality AS n_quality, toxic AS data_state FROM parquet.`{sf_dir}/labels.parquet`",
+    "t_note": "SELECT r_name FROM parquet.`{sf_dir}/region.parquet`",
+    "tab": "SELECT n_nationkey AS c_stm, n_name FROM parquet.`{sf_dir}/nation.parquet`",
+    "t_supplier": "SELECT s_suppkey AS c_stm, s_name, s_nationkey AS n_nation FROM parquet.`{sf_dir}/supplier.parquet`",
+    "v_customer": "SELECT doc_id AS c_stm_customer, lang, source, n_chars FROM parquet.`{sf_dir}/documents.parquet`",
+}
+
+
 def clashing_catalog(spark: SparkSession, sf_dir: str) -> FrameCatalog:
     """A source table whose columns are named like the job's own helpers."""
     c = load_table(spark, sf_dir, "customer")

@@ -43,8 +43,8 @@ def test_key_shape(spark):
 def test_pull_multiplicity_and_routing(spark):
     c = _catalog(spark)
     ev = [("1", 1), ("1", 2), ("2", 1), ("9", 1), ("1", 0)]
-    for limit in (10**6, 0):      # broadcast path and shuffle path
-        opts = SyncOptions(run_ts=RUN_TS, broadcast_key_limit=limit)
+    for limit, push in ((10**6, 10**4), (0, 10**4), (0, 0)):      # broadcast path, shuffle path, written keys
+        opts = SyncOptions(run_ts=RUN_TS, broadcast_key_limit=limit, pushdown_key_limit=push)
         bf = plan_batch(_raw(spark, ev), c, opts)
         counts = {r.tableName: r["count"] for r in bf.records().groupBy("tableName").count().collect()}
         # key 1 has two pull events -> two copies of each row; key 9 matches nothing
@@ -79,11 +79,10 @@ def test_chunked_copies_equal_per_event_rows(spark):
     ev = [("1", 1)] * 5 + [("2", 2)] * 3 + [("9", 1)]
     bf = plan_batch(_raw(spark, ev), c, SyncOptions(run_ts=RUN_TS))
     plan = next(p for p in bf.record_plans() if p.table == "t_a_child")
-    n_ev, n_keys = bf.stats["db_a"]
-    want = sorted(tuple(r) for r in pulled_rows(c, plan, bf.pull_events, n_ev, n_keys, bf.opts)
+    want = sorted(tuple(r) for r in pulled_rows(c, plan, bf.side("db_a"), bf.opts)
                   .select("_row.c_stm", "_k").collect())
     for chunk in (1, 2, 10_000):
-        rows = pulled_row_copies(c, plan, bf.pull_events, n_ev, n_keys, bf.opts, chunk=chunk)
+        rows = pulled_row_copies(c, plan, bf.side("db_a"), bf.opts, chunk=chunk)
         assert rows.agg({"_cnt": "max"}).first()[0] <= chunk
         got = sorted(tuple(r) for r in replicate(rows).select("_row.c_stm", "_k").collect())
         assert got == want, chunk

@@ -9,7 +9,7 @@ from keyrelay.config import FIXTURE_OPTIONS
 from keyrelay.operators import index as idx
 from keyrelay.plans.batch import plan_batch
 from keyrelay.session import scratch_path
-from keyrelay.sinks import index_store, warehouse
+from keyrelay.sinks import index_table, warehouse
 from keyrelay.sources import events as evsrc
 from keyrelay.sources import fixtures
 
@@ -32,7 +32,7 @@ def test_cli_runs_the_stream_once(spark):
     recs = warehouse.read_records(spark, out, FIXTURE_OPTIONS).count()
     raw, cat = fixtures.raw_events(spark, SF), fixtures.fixture_catalog(spark, SF)
     assert recs == plan_batch(raw, cat, FIXTURE_OPTIONS).records().count()
-    got = index_store.read_latest(spark, out).drop("update_time")
+    got = index_table.read_index(spark, out).drop("update_time")
     want = idx.fold(plan_batch(raw, cat, FIXTURE_OPTIONS).index_events()).drop("update_time")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
@@ -54,8 +54,8 @@ def test_cli_needs_a_checkpoint_folder():
 def test_options_from_properties():
     from keyrelay.__main__ import options_of
     o = options_of({"dbid": "06", "time.zone": "Asia/Shanghai", "layout": "per_table", "file.bytes": "1000",
-                    "index.compact.every": "7", "postgres.index.url": "jdbc:x"})
-    assert (o.dbid, o.time_zone, o.layout, o.file_bytes, o.index_compact_every) == ("06", "Asia/Shanghai", "per_table", 1000, 7)
+                    "index.partitions": "7", "postgres.index.url": "jdbc:x"})
+    assert (o.dbid, o.time_zone, o.layout, o.file_bytes, o.index_partitions) == ("06", "Asia/Shanghai", "per_table", 1000, 7)
     assert o.index_jdbc["staging_schema"] == "index_06"
 
 

@@ -49,8 +49,10 @@ def test_record_json_round_trips_any_text(spark, rows):
 
     from keyrelay.functions.records import record_fields, record_value
     df = spark.createDataFrame(rows, "`c_stm` string, `a.b` string")
-    fields = record_fields(df.columns, "db_x", "t_x", "db_x_t_x", "00", "2024-02-01 00:00:00")
-    got = [json.loads(r[0]) for r in df.select(F.struct("*").alias("_row")).select(record_value(fields)).collect()]
+    from keyrelay.functions.sqltext import row_texts
+    packed = df.select(F.struct("*").alias("_row"))
+    fields = record_fields(df.columns, "db_x", "t_x", "db_x_t_x", "00", "2024-02-01 00:00:00", row_texts(packed))
+    got = [json.loads(r[0]) for r in packed.select(record_value(fields)).collect()]
     for (k, v), obj in zip(rows, got):
         assert obj.get("c_stm") == k and obj.get("a.b") == v
         assert ("c_stm" in obj) == (k is not None) and ("a.b" in obj) == (v is not None)

@@ -10,7 +10,8 @@ FAST = ["decode_events", "route_counts", "quarantine", "catalog_tables", "catalo
         "target_names", "pull_main", "pull_child", "pull_irregular", "pull_docview", "tombstones",
         "record_cols", "alias_rule", "index_gate", "index_fold", "index_merge", "error_rows", "full_pull",
         "end_to_end", "json_lines", "bucket_counts", "compaction_rows", "stream_index_replay", "target_names_zone",
-        "clashing_columns", "shared_record_table", "two_shard_batches"]
+        "clashing_columns", "shared_record_table", "two_shard_batches", "pull_wide", "pull_bucketed", "index_partitioned",
+        "record_text", "catalog_session", "batch_metrics", "intake_bound"]
 
 
 def test_registry_covers_every_query():

@@ -65,17 +65,84 @@ def test_fanout_counts_before_the_join(spark):
     assert p.index("Join") < p.index("Aggregate")         # the join stands above the count
 
 
-def test_index_key_reads_push_keys_into_the_scan(spark):
+def _nodes(plan):
+    """All nodes of an executed plan, through adaptive stages."""
+    yield plan
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        yield from _nodes(plan.executedPlan())
+    elif name.endswith("QueryStageExec"):
+        yield from _nodes(plan.plan())
+    children = plan.children()
+    for k in range(children.size()):
+        yield from _nodes(children.apply(k))
+
+
+def test_wide_pull_filters_the_source_before_its_shuffle(spark):
+    """More keys than any limit: a Bloom filter on the source side, and few rows beyond the matches are shuffled."""
+    from keyrelay.session import session_settings
+    with session_settings(spark, registry.WIDE_SETTINGS):
+        bf = registry.batch(spark, SF, registry.WIDE)
+        for table, column in (("t_lineitem", "l_suppkey"), ("t_customer_order", "o_custkey")):
+            plan = next(p for p in bf.record_plans() if p.table == table)
+            df = bf.table_records(plan, expand=False)
+            text = _plan(df)
+            assert "might_contain" in text and "bloom_filter_agg" in text and "SortMergeJoin" in text
+            assert f"cast({column}" not in text                     # the source joins by its own type
+            matches = df.count()
+            rows = df._jdf.queryExecution().executedPlan()
+            df.collect()
+            shuffled = [n.metrics().apply("shuffleRecordsWritten").value() for n in _nodes(rows)
+                        if n.getClass().getSimpleName() == "ShuffleExchangeExec"]
+            keys = bf.wide_keys(plan.event_schema).count()
+            assert matches <= max(shuffled) <= 1.1 * matches + keys
+            assert sum(shuffled) <= 1.1 * matches + 2 * keys
+
+
+def test_bucketed_source_is_not_shuffled_and_few_keys_read_few_buckets(spark):
+    from keyrelay.plans.batch import plan_batch
+    from keyrelay.session import session_settings
+    from keyrelay.sources import fixtures
+    catalog, databases, root = registry._registered(spark, SF, "plan")
+    try:
+        with session_settings(spark, registry.WIDE_SETTINGS):
+            bf = plan_batch(fixtures.raw_events(spark, SF), catalog, registry.WIDE)
+            plan = next(p for p in bf.record_plans() if p.table == "t_lineitem")
+            text = _plan(bf.table_records(plan, expand=False))
+            assert "Bucketed: true" in text and text.count("Exchange hashpartitioning") == 1      # the keys' side
+            assert "Exchange hashpartitioning(_own_key" in text
+        few = plan_batch(fixtures.raw_events(spark, SF).filter("seq in (7, 9, 15)"), catalog, FIXTURE_OPTIONS)
+        for p in few.record_plans():
+            if p.table in ("t_lineitem", "t_customer_order"):
+                df = few.table_records(p, expand=False)
+                rows, total = df._jdf.queryExecution().executedPlan(), catalog.frame(p.source_schema, p.table).count()
+                df.collect()
+                read = [n.metrics().apply("numOutputRows").value() for n in _nodes(rows)
+                        if n.getClass().getSimpleName() == "FileSourceScanExec" and p.table in n.toString()]
+                assert len(read) == 1 and read[0] <= total / 4        # three keys, 16 buckets
+        # a table that comes later is seen by the next batch
+        spark.sql(f"CREATE VIEW `{databases[0]}`.t_late AS SELECT c_custkey AS c_stm FROM parquet.`{SF}/customer.parquet`")
+        later = plan_batch(fixtures.raw_events(spark, SF), catalog, FIXTURE_OPTIONS)
+        assert "t_late" in {p.table for p in later.plans}
+        assert ("db_fyygx", "v_customer") in catalog.views and catalog.known() == (["db_customer", "db_fyygx", "db_supplier"], ["customer"])
+    finally:
+        registry._unregister(spark, databases, root)
+
+
+def test_broadcasts_are_bounded_in_bytes(spark):
+    from keyrelay.plans.batch import small_delta
+    bf = registry.batch(spark, SF)
+    plan = next(p for p in bf.record_plans() if p.table == "t_lineitem")
+    assert small_delta(bf) and bf.side(plan.event_schema).small(100, bf.opts)
+    tight = registry.batch(spark, SF, FIXTURE_OPTIONS.with_(broadcast_byte_limit=100))
+    assert not small_delta(tight) and not tight.side(plan.event_schema).small(100, tight.opts)
+
+
+def test_float_texts_compile(spark):
+    """The text of many float columns stays small enough to be compiled."""
     from pyspark.sql import functions as F
-    from keyrelay.operators import index as idx
-    from keyrelay.session import scratch_path
-    from keyrelay.sinks import index_store
-    ie = registry.batch(spark, SF).index_events()
-    root = scratch_path(spark, "t", "pushkeys")
-    index_store.write_layer(idx.fold(ie), root, "00", "v=0~w~0")
-    keys = idx.fold_delta(ie.filter(F.col("c_stm") == "2")).select("index_table", "c_stm")
-    df = index_store.read_state(spark, root, "00", before=1, keys=keys, broadcast_keys=True, key_values=["2"])
-    p = _plan(df)
-    pushed = p.split("PushedFilters: [", 1)[1].split("]", 1)[0]
-    assert "EqualTo(c_stm,2)" in pushed or "In(c_stm" in pushed, pushed
-    assert [r.c_stm for r in df.collect()] == ["2"]
+    from pyspark.sql import types as T
+    from keyrelay.functions.sqltext import text_of
+    df = spark.range(3).select(*[(F.col("id") / (k + 3)).alias(f"d{k}") for k in range(12)])
+    out = df.select(*[text_of(F.col(c), T.DoubleType()).alias(c) for c in df.columns])
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 60_000 and out.collect()[1].d1 == "0.25"

@@ -1,4 +1,4 @@
-"""Sinks (K1-K3), commits, idempotent batch writes, the layered index, and the stream with an injected failure."""
+"""Sinks (K1-K3), visibility of batches, repeated batches, the partitioned index, and the stream with an injected failure."""
 
 import glob
 import os
@@ -10,8 +10,8 @@ from keyrelay.config import FIXTURE_OPTIONS
 from keyrelay.operators import index as idx
 from keyrelay.plans import batch as batch_module
 from keyrelay.plans.batch import plan_batch, process_batch
-from keyrelay.session import list_dirs, scratch_path
-from keyrelay.sinks import commits, index_store, warehouse
+from keyrelay.session import list_dirs, path_exists, scratch_path
+from keyrelay.sinks import index_table, warehouse
 from keyrelay.sources import events as evsrc
 from keyrelay.sources import fixtures
 from keyrelay.sources.catalog import FrameCatalog
@@ -31,10 +31,8 @@ def _same(a, b):
 
 def _write(bf, root, batch_id=0):
     spark, o = bf.good.sparkSession, bf.opts
-    commits.begin(spark, root, o.writer, batch_id, DT, [warehouse.records_path(root, o)], {})
     staged = warehouse.stage_records(bf.record_groups(), root, o, batch_id)
-    warehouse.write_records(staged, root, batch_id, o)
-    commits.finish(spark, root, o.writer, batch_id, DT)
+    warehouse.finish(spark, root, o, batch_id, warehouse.write_records(staged, root, batch_id, o))
 
 
 def _one_row_catalog(spark, rows):
@@ -59,9 +57,9 @@ def test_process_batch_is_idempotent(spark):
     errs = spark.read.parquet(root + "/errors").count()
     assert errs == plan_batch(raw, cat, FIXTURE_OPTIONS).errors().count()
     assert spark.read.parquet(root + "/quarantine").count() == 75
-    assert [n for n in list_dirs(spark, index_store.index_path(root, "00"))] == ["v=0~00-batch~0"]
+    assert list_dirs(spark, index_table.index_path(root, "00")) == ["of=64"]
     assert list_dirs(spark, root + "/_staging") == []
-    _same(index_store.read_latest(spark, root), idx.fold(plan_batch(raw, cat, FIXTURE_OPTIONS).index_events()))
+    _same(index_table.read_index(spark, root), idx.fold(plan_batch(raw, cat, FIXTURE_OPTIONS).index_events()))
 
 
 def test_retry_keeps_nothing_of_the_first_attempt(spark):
@@ -73,7 +71,7 @@ def test_retry_keeps_nothing_of_the_first_attempt(spark):
     process_batch(spark, raw, _one_row_catalog(spark, [("2", "y")]), FIXTURE_OPTIONS, root, 0)
     recs = warehouse.read_records(spark, root, FIXTURE_OPTIONS)
     assert [r[0] for r in recs.select(F.get_json_object("value", "$.c_stm")).collect()] == ["2"]
-    assert [r.c_stm for r in index_store.read_latest(spark, root).collect()] == ["2"]
+    assert [r.c_stm for r in index_table.read_index(spark, root).collect()] == ["2"]
 
 
 def test_crashed_attempt_is_not_read(spark, monkeypatch):
@@ -85,31 +83,62 @@ def test_crashed_attempt_is_not_read(spark, monkeypatch):
         raise RuntimeError("injected")
 
     with monkeypatch.context() as m:
-        m.setattr(batch_module, "_index_to_layers", fail)
+        m.setattr(batch_module.index_table, "apply_delta", fail)
         with pytest.raises(RuntimeError, match="injected"):
             process_batch(spark, _events(spark, "2"), cat, FIXTURE_OPTIONS, root, 1)
-    assert commits.unread(spark, root) == ([("00-batch", 1)], [])
-    assert warehouse.read_records(spark, root, FIXTURE_OPTIONS).count() == 1       # the open batch is not seen
+    assert glob.glob(_local(warehouse.records_path(root, FIXTURE_OPTIONS)) + "/*/*/*/batch_id=1/part-*")
+    assert warehouse.read_records(spark, root, FIXTURE_OPTIONS).count() == 1       # the unfinished batch is not seen
     process_batch(spark, _events(spark, "2"), cat, FIXTURE_OPTIONS, root, 1)
     assert warehouse.read_records(spark, root, FIXTURE_OPTIONS).count() == 2
 
 
-def test_restarted_numbering_below_a_base(spark):
-    """Batches 0 and 1 with compaction, then another stream that counts from zero: nothing is lost, nothing applied twice."""
+def test_a_batch_that_finishes_during_a_read_is_not_seen(spark, monkeypatch):
+    """A batch of several tables finishes between the reader's two listings: the reader sees nothing of it, then all."""
+    root = scratch_path(spark, "t", "race")
+    cat = FrameCatalog(spark, {("db_a", t): spark.createDataFrame([("1", "x"), ("2", "y")], "c_stm string, name string")
+                               for t in ("t_a", "t_a_b", "t_a_c")})
+    process_batch(spark, _events(spark, "1"), cat, FIXTURE_OPTIONS, root, 0)
+    first = warehouse.batches
+
+    def then_finish(*a):
+        done = first(*a)
+        process_batch(spark, _events(spark, "2"), cat, FIXTURE_OPTIONS, root, 1)
+        return done
+
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "batches", then_finish)
+        seen = warehouse.read_records(spark, root, FIXTURE_OPTIONS)
+    assert seen.count() == 3
+    assert warehouse.read_records(spark, root, FIXTURE_OPTIONS).count() == 6
+
+
+def test_a_retry_after_a_lost_table_and_another_date(spark):
+    """What the first attempt wrote for a table and a date that the second one no longer has is gone."""
+    root = scratch_path(spark, "t", "lost")
+    frame = spark.createDataFrame([("1", "x")], "c_stm string, name string")
+    both, one = FrameCatalog(spark, {("db_a", "t_a"): frame, ("db_a", "t_a_b"): frame}), FrameCatalog(spark, {("db_a", "t_a"): frame})
+    process_batch(spark, _events(spark, "1"), both, FIXTURE_OPTIONS, root, 0)
+    process_batch(spark, _events(spark, "1"), one, FIXTURE_OPTIONS.with_(run_ts="2024-02-02 00:00:00"), root, 0)
+    rows = warehouse.read_records(spark, root, FIXTURE_OPTIONS).collect()
+    assert [(r.tableName, r.dt) for r in rows] == [("db_a_t_a", "2024-02-02")]
+    assert len(glob.glob(_local(warehouse.records_path(root, FIXTURE_OPTIONS)) + "/*/*/*/*/part-*")) == 1
+
+
+def test_restarted_numbering(spark):
+    """Two streams that both count from zero: nothing is lost, and a repeated batch of the first one changes nothing."""
     root = scratch_path(spark, "t", "restart")
     cat = _one_row_catalog(spark, [(str(k), "n") for k in range(5)])
-    a = FIXTURE_OPTIONS.with_(stream_id="a", index_compact_every=1)
+    a = FIXTURE_OPTIONS.with_(stream_id="a")
     b = a.with_(stream_id="b")
-    process_batch(spark, _events(spark, "0"), cat, a, root, 0)
-    process_batch(spark, _events(spark, "1"), cat, a, root, 1)
-    assert list_dirs(spark, index_store.index_path(root, "00")) == ["base=1"]
-    process_batch(spark, _events(spark, "2"), cat, b, root, 0)
+    process_batch(spark, _events(spark, "0", "1"), cat, a, root, 0)
+    process_batch(spark, _events(spark, "2", "1", state=0), cat, b, root, 0)      # the other stream has deleted 1 since
     process_batch(spark, _events(spark, "3"), cat, b, root, 1)
-    process_batch(spark, _events(spark, "1", state=0), cat, a, root, 1)       # retry of a folded batch: index untouched
-    state = {r.c_stm: r.data_state for r in index_store.read_latest(spark, root).collect()}
-    assert state == {"0": 1, "1": 1, "2": 1, "3": 1}
+    want = {"0": 1, "1": 0, "3": 1}
+    assert {r.c_stm: r.data_state for r in index_table.read_index(spark, root).collect()} == want
+    process_batch(spark, _events(spark, "2", "1", state=0), cat, b, root, 0)      # b's own older batch again
+    assert {r.c_stm: r.data_state for r in index_table.read_index(spark, root).collect()} == want
     recs = warehouse.read_records(spark, root, a).groupBy("writer").count().collect()
-    assert {r.writer: r["count"] for r in recs} == {"00-a": 2, "00-b": 2}
+    assert {r.writer: r["count"] for r in recs} == {"00-a": 2, "00-b": 3}
 
 
 @pytest.mark.parametrize("layout", ["single", "per_table"])
@@ -126,7 +155,8 @@ def test_layouts_and_compaction(spark, layout):
     n_files = len(glob.glob(f"{base}/*/*/*/*/part-*"))
     plain = opts.with_(max_records_per_file=None)
     replaced = warehouse.compact(spark, root, plain, DT)
-    assert replaced == len({k[0] for k in before})
+    assert replaced == len({k[0] for k in before}) and not glob.glob(f"{base}/*/*/writer=00-batch/*/part-*")
+    assert warehouse.compact(spark, root, plain, DT) == 0           # this run is complete
     assert len(glob.glob(f"{base}/*/*/*/*/part-*")) < n_files
     _write(plan_batch(raw, cat, plain), root, 4)                    # a live batch next to the compacted date
     after = {(r.tableName, r.dt, r.value): r.n for r in warehouse.read_records(spark, root, plain).groupBy(
@@ -139,7 +169,7 @@ def test_layouts_and_compaction(spark, layout):
 
 
 def test_interrupted_compaction(spark, monkeypatch):
-    """A crash after the swap leaves old and new files; readers see each record once and the next run cleans up."""
+    """A crash before and one after the compaction becomes visible: readers see each record once, the next run cleans up."""
     root = scratch_path(spark, "t", "swap")
     cat = _one_row_catalog(spark, [("1", "x")])
     _write(plan_batch(_events(spark, "1", "1"), cat, FIXTURE_OPTIONS), root)
@@ -148,12 +178,22 @@ def test_interrupted_compaction(spark, monkeypatch):
         raise RuntimeError("injected")
 
     with monkeypatch.context() as m:
-        m.setattr(commits, "resume_swaps", lambda *a: None if not commits.unread(*a)[1] else crash())
+        m.setattr(warehouse, "finish", crash)
         with pytest.raises(RuntimeError):
             warehouse.compact(spark, root, FIXTURE_OPTIONS, DT)
     assert warehouse.read_records(spark, root, FIXTURE_OPTIONS).count() == 2
-    warehouse.compact(spark, root, FIXTURE_OPTIONS, DT)
-    assert commits.unread(spark, root) == ([], [])
+    calls = []
+    drop = warehouse.drop_replaced
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "drop_replaced", lambda *a: crash() if calls else calls.append(drop(*a)))
+        with pytest.raises(RuntimeError):
+            warehouse.compact(spark, root, FIXTURE_OPTIONS, DT)
+    base = _local(warehouse.records_path(root, FIXTURE_OPTIONS))
+    assert len(glob.glob(f"{base}/*/*/writer=*")) == 2              # old and new files lie side by side
+    recs = warehouse.read_records(spark, root, FIXTURE_OPTIONS)
+    assert recs.count() == 2 and {r.writer for r in recs.collect()} == {f"compact-{DT}"}
+    assert warehouse.compact(spark, root, FIXTURE_OPTIONS, DT) == 0
+    assert not glob.glob(f"{base}/*/*/writer=00-batch/*/part-*")
     assert warehouse.read_records(spark, root, FIXTURE_OPTIONS).count() == 2
 
 
@@ -192,11 +232,10 @@ def test_stream_recovers_from_failure_between_sinks(spark):
     stream = lambda: evsrc.file_events(spark, stage, streaming=True, max_files_per_trigger=1)
 
     def failing(spark, df, catalog, opts, root, batch_id):
-        """Stops batch 1 after its records are written and before its index layer."""
+        """Stops batch 1 after its records are written and before its index partitions."""
         if batch_id == 1:
             opts = opts.with_(run_ts=str(df.agg(F.max("run_ts")).first()[0]))
             bf = plan_batch(df.drop("run_ts"), catalog, opts)
-            commits.begin(spark, root, opts.writer, batch_id, opts.run_ts[:10], [warehouse.records_path(root, opts)], {})
             staged = warehouse.stage_records(bf.record_groups(), root, opts, batch_id)
             warehouse.write_records(staged, root, batch_id, opts)
             raise RuntimeError(f"injected failure in batch {batch_id}")
@@ -212,7 +251,7 @@ def test_stream_recovers_from_failure_between_sinks(spark):
     q2.awaitTermination()
     assert q2.exception() is None
     assert q2.id == q.id                                       # the writer id survives the restart
-    got = index_store.read_latest(spark, out)
+    got = index_table.read_index(spark, out)
     want = idx.fold(plan_batch(raw, cat, FIXTURE_OPTIONS).index_events())
     cols = ["index_table", "c_stm", "d_xgsj", "c_baah", "n_jbfy", "create_time", "data_state"]
     _same(got.select(cols), want.select(cols))
@@ -249,41 +288,120 @@ def test_batch_time_is_the_zone_clock(spark):
     assert round((r.s - r.u).total_seconds() / 3600) == 8
 
 
-def test_index_layers_and_compaction(spark):
-    raw = fixtures.raw_events(spark, SF)
-    cat = fixtures.fixture_catalog(spark, SF)
-    ie = plan_batch(raw, cat, FIXTURE_OPTIONS).index_events()
-    root = scratch_path(spark, "t", "layers")
-    bounds = [0, 300, 650, 10**9]
-    for n in range(3):
-        chunk = ie.filter((F.col("seq") >= bounds[n]) & (F.col("seq") < bounds[n + 1]))
-        delta = idx.fold_delta(chunk)
-        number, name, exists = index_store.layer_of(spark, root, "00", "w", n)
-        assert (number, exists) == (n, False)
-        prior = index_store.read_state(spark, root, "00", before=number, keys=delta.select("index_table", "c_stm"),
-                                       broadcast_keys=(n % 2 == 0))
-        index_store.write_layer(idx.merge(prior, delta), root, "00", name)
-        if n == 1:
-            index_store.compact_index(spark, root, "00")
-    live = [p.rsplit("/", 1)[1] for _, p in index_store.live_folders(spark, root, "00")]
-    assert live == ["base=1", "v=2~w~2"]
-    _same(index_store.read_latest(spark, root), idx.fold(ie))
-
-
-def test_batches_with_index_compaction_and_retry(spark):
+def _delta(spark, *rows):
+    """Folded events of a key: (seq, key, state, n_jbfy)."""
+    ev = spark.createDataFrame([("index_00.t_a_index", k, seq, state, None, None, n, None) for seq, k, state, n in rows],
+                               "index_table string, c_stm string, seq long, data_state int, d_xgsj timestamp_ntz, c_baah string, "
+                               "n_jbfy int, apply_ts timestamp_ntz")
+    return idx.fold_delta(ev)
+
+
+def _index(spark, root):
+    rows = index_table.read_index(spark, root, "00")
+    return {r.c_stm: (r.data_state, r.n_jbfy) for r in rows.collect()} if rows is not None else {}
+
+
+def _apply(spark, root, batch_id, *rows, again=False, writer="w", **kw):
+    return index_table.apply_delta(spark, root, "00", _delta(spark, *rows), writer, batch_id, 4, f"{root}/staged", again, **kw)
+
+
+def test_index_partitions(spark, monkeypatch):
+    """Untouched partitions keep their files; retries take back what an attempt wrote; replays and crashes change nothing."""
+    root = scratch_path(spark, "t", "index")
+    files = lambda: set(glob.glob(_local(root) + "/index/dbid=00/of=4/bucket=*/part-*"))
+    keys = [str(k) for k in range(40)]
+    assert _apply(spark, root, 0, *[(k, key, 1, 0) for k, key in enumerate(keys)]) == [0, 1, 2, 3]
+    before = files()
+    touched = _apply(spark, root, 1, (100, "7", 2, 5), (101, "new", 1, 6), broadcast_delta=True)
+    assert 1 <= len(touched) <= 2
+    kept = {f for f in before if int(f.split("bucket=")[1].split("/")[0]) not in touched}
+    assert kept and kept <= files() and not (before - kept) & files()
+    assert _index(spark, root)["7"] == (2, 5) and _index(spark, root)["new"] == (1, 6)
+    # the batch again, with other rows than before: "new" and the change of 7 are taken back
+    _apply(spark, root, 1, (100, "8", 2, 9), again=True)
+    state = _index(spark, root)
+    assert state["7"] == (1, 0) and state["8"] == (2, 9) and "new" not in state and len(state) == 40
+    # a later batch, then the first one replayed: nothing moves
+    _apply(spark, root, 2, (200, "8", 0, None))
+    state = _index(spark, root)
+    assert state["8"] == (0, 9)
+    _apply(spark, root, 0, *[(k, key, 1, 0) for k, key in enumerate(keys)], again=True)
+    assert _index(spark, root) == state
+    # an attempt ends while partitions are replaced: the next one finishes them from the staged rows
+    path, _ = index_table.table_path(spark, root, "00", 99)
+    replace = index_table._replace
+
+    def broken(spark, path, staging, touched):
+        for f in glob.glob(_local(path) + "/bucket=*/*"):
+            if any(f"bucket={k}/" in f for k in touched):
+                os.rename(f, _local(root) + "/" + os.path.basename(f))
+        raise RuntimeError("injected")
+
+    with monkeypatch.context() as m:
+        m.setattr(index_table, "_replace", broken)
+        with pytest.raises(RuntimeError):
+            _apply(spark, root, 3, *[(300 + k, key, 2, 1) for k, key in enumerate(keys)])
+    assert index_table._replace is replace and len(_index(spark, root)) < 40
+    _apply(spark, root, 3, (300, "9", 2, 4), again=True)
+    assert _index(spark, root) == {**state, "9": (2, 4)}
+
+
+def test_an_attempt_that_leaves_a_partition_empty(spark):
+    root = scratch_path(spark, "t", "empty")
+    _apply(spark, root, 0, (1, "a", 1, 1))
+    _apply(spark, root, 0, (1, "a", 0, None), again=True)           # now a delete of a key that never was
+    assert _index(spark, root) == {} and not glob.glob(_local(root) + "/index/dbid=00/of=4/bucket=*/part-*")
+    assert _apply(spark, root, 1) == []
+
+
+def test_index_in_batches_equals_the_fold(spark):
     raw = fixtures.raw_events(spark, SF)
-    cat = fixtures.fixture_catalog(spark, SF)
-    opts = FIXTURE_OPTIONS.with_(index_compact_every=1, write_group_tables=2)
-    root = scratch_path(spark, "t", "compact_every")
+    ie = plan_batch(raw, fixtures.fixture_catalog(spark, SF), FIXTURE_OPTIONS).index_events().persist()
+    root = scratch_path(spark, "t", "batches")
     bounds = [0, 300, 650, 10**9]
     for n in range(3):
-        part = raw.filter((F.col("seq") >= bounds[n]) & (F.col("seq") < bounds[n + 1]))
-        process_batch(spark, part, cat, opts, root, n)
-    process_batch(spark, raw.filter(F.col("seq") >= bounds[2]), cat, opts, root, 2)     # retry of the last batch
-    assert list_dirs(spark, index_store.index_path(root, "00")) == ["base=2"]    # superseded folders pruned
-    _same(index_store.read_latest(spark, root), idx.fold(plan_batch(raw, cat, FIXTURE_OPTIONS).index_events()))
-    recs = warehouse.read_records(spark, root, opts).count()
-    assert recs == plan_batch(raw, cat, FIXTURE_OPTIONS).records().count()
+        delta = idx.fold_delta(ie.filter((F.col("seq") >= bounds[n]) & (F.col("seq") < bounds[n + 1])))
+        index_table.apply_delta(spark, root, "00", delta, "w", n, 8, f"{root}/staged", broadcast_delta=n == 1)
+    _same(index_table.read_index(spark, root), idx.fold(ie))
+    ie.unpersist()
+
+
+def test_job_count_and_figures_of_a_batch(spark):
+    """No counting job runs over the events: figures are observed while they are written."""
+    from keyrelay.plans.batch import Intake, event_stats
+    raw, cat = fixtures.raw_events(spark, SF), fixtures.fixture_catalog(spark, SF)
+    tracker, group = spark.sparkContext.statusTracker(), "figures"
+    spark.sparkContext.setJobGroup(group, group)
+    intake = Intake(raw, scratch_path(spark, "t", "intake"), cat.known())
+    seen = intake.stats()
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("other", "other")
+    assert jobs == 1
+    assert seen == event_stats(intake.events.filter(F.col("reason").isNull()), cat.known())
+    figures = {(k, n): v for k, n, v in intake.metrics()}
+    assert figures["events", "taken in"] == 1000 and figures["reason", "bad_json"] > 0
+    # a schema that only its document view leads to is counted by name
+    odd = _events(spark, "1", "2").withColumn("value", F.replace("value", F.lit("db_a"), F.lit("zz_customer")))
+    stats, _, _ = Intake(odd, scratch_path(spark, "t", "intake"), cat.known()).stats()
+    assert list(stats) == ["zz_customer"] and stats["zz_customer"].n_events == 2
+
+
+def test_key_bound_of_the_sketch(spark):
+    from keyrelay.plans.batch import event_stats
+    from keyrelay.functions.decode import decode_events
+    n = 30_000
+    raw = spark.range(2 * n).select(F.col("id").alias("seq"), F.concat(F.lit('{"c_stm":"'), F.col("id") % n, F.lit(
+        '","data_state":1,"schemaName":"db_a"}')).alias("value"), F.lit(None).cast("timestamp_ntz").alias("apply_ts"))
+    st = event_stats(decode_events(raw), (["db_a"], []))[0]["db_a"]
+    assert st.n_events == 2 * n and n <= st.n_keys <= 1.15 * n and st.key_bytes >= 5 * n
+
+
+def test_intake_bounded_in_bytes(spark):
+    from keyrelay.plans import registry
+    index, batches, _ = registry._streamed(spark, SF, "bound", 3, max_bytes_per_trigger=1)
+    assert batches == 3                                             # a file a batch, the backlog drained
+    with pytest.raises(ValueError):
+        evsrc.file_events(spark, "x", True, max_files_per_trigger=1, max_bytes_per_trigger=1)
 
 
 def test_compressed_record_files(spark):
