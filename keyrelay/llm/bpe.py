@@ -3,7 +3,8 @@
 A piece of text is encoded in halves, recursively; neighbours are joined by encoding a window of tokens around the boundary
 anew, and the window grows until the tokens beside it provably stay. The proof is local: a token sequence is the BPE encoding
 of its bytes exactly if every two adjacent tokens are the encoding of their joint bytes, so a join is right as soon as the
-pairs on both edges of the window (all other pairs are unchanged) pass this test. Decoding concatenates up the tree.
+pairs on both edges of the window (all other pairs are unchanged) pass this test. Every piece of over LEAF bytes that is no token
+goes through the tree. Decoding concatenates neighbours up a tree too.
 """
 
 from __future__ import annotations
@@ -25,13 +26,14 @@ from pyspark.sql import functions as F
 from .common import Remembered, release, runs, ship, slices, strings, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Bytes below which a piece is merged directly, tokens on each side of a boundary that are encoded anew first.
-LEAF, EDGE = 24, 2
-#: Words and token pairs remembered by a task, bytes of text encoded at once.
-REMEMBERED, AT_ONCE = 300_000, 1 << 21
+#: Bytes up to which a part is a leaf of the tree and merged directly, and up to which parts and windows are remembered; tokens on
+#: each side of a boundary that are encoded anew first; bytes from which a window is merged with a queue.
+LEAF, SHARED, EDGE, LONG = 3, 12, 1, 48
+#: Words remembered by a task, parts, windows and token pairs (each), bytes of text encoded at once.
+REMEMBERED, PARTS, AT_ONCE = 300_000, 150_000, 1 << 21
+#: Neighbours concatenated at once in decoding.
+FAN = 64
 NONE = 1 << 62
-#: Pieces merged side by side.
-SIDE_BY_SIDE = 4096
 #: A space beside another white-space character.
 BESIDE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}] | [\s\x0B\x1C-\x1F\x{85}\p{Z}]"
 
@@ -43,13 +45,9 @@ class Ranks:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
         self.token = {rank: token for token, rank in self.ranks.items()}
-        self.stable: dict[tuple[int, int], bool] = {}
-        # all pairs of tokens whose joint bytes are a token, as sorted numbers, and that token
-        pairs = {(a << 32) | b: rank for token, rank in self.ranks.items() for k in range(1, len(token))
-                 if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None}
-        self.pairs = np.array(sorted(pairs), np.int64)
-        self.joint = np.array([pairs[p] for p in self.pairs.tolist()], np.int64)
-        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.stable: dict[int, bool] = {}
+        self.parts: dict[bytes, list[int]] = {}
+        self.windows: dict[bytes, list[int]] = {}
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of a piece; a piece that is itself a token is that token."""
@@ -57,35 +55,56 @@ class Ranks:
         return self.tree(piece) if whole is None else [whole]
 
     def tree(self, piece: bytes) -> list[int]:
-        if len(piece) <= LEAF:
-            return self.merge(piece)
-        half = len(piece) // 2
-        return self.join(self.tree(piece[:half]), self.tree(piece[half:]))
+        """Halves are encoded for themselves and joined; a leaf is a few bytes. Short parts are shared by many pieces: their
+        encodings are remembered."""
+        if len(piece) > SHARED:
+            half = len(piece) // 2
+            return self.join(self.tree(piece[:half]), self.tree(piece[half:]))
+        known = self.parts.get(piece)
+        if known is None:
+            if len(self.parts) >= PARTS:
+                self.parts.clear()
+            half = len(piece) // 2
+            known = self.parts[piece] = (self.merge(piece) if len(piece) <= LEAF
+                                         else self.join(self.tree(piece[:half]), self.tree(piece[half:])))
+        return known
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of the bytes of two encodings."""
-        edge = EDGE if self.fits(left[-1], right[0]) is False else 0
-        if not edge:
+        if self.fits(left[-1], right[0]):
             return left + right
+        edge = EDGE
         while True:
             a, b = max(0, len(left) - edge), min(len(right), edge)
-            window = self.merge(self.decode(left[a:]) + self.decode(right[:b]))
+            window = self.window(self.flat(left[a:]) + self.flat(right[:b]))
             if (a == 0 or self.fits(left[a - 1], window[0])) and (b == len(right) or self.fits(window[-1], right[b])):
                 return left[:a] + window + right[b:]
             edge *= 2
 
+    def window(self, piece: bytes) -> list[int]:
+        """merge() of the bytes around a boundary; short windows come up again and again."""
+        if len(piece) > SHARED:
+            return self.merge(piece)
+        known = self.windows.get(piece)
+        if known is None:
+            if len(self.windows) >= PARTS:
+                self.windows.clear()
+            known = self.windows[piece] = self.merge(piece)
+        return known
+
     def fits(self, a: int, b: int) -> bool:
         """Whether the tokens a, b are the encoding of their joint bytes."""
-        known = self.stable.get((a, b))
+        pair = a << 32 | b
+        known = self.stable.get(pair)
         if known is None:
-            if len(self.stable) >= REMEMBERED:
+            if len(self.stable) >= PARTS:
                 self.stable.clear()
-            known = self.stable[a, b] = self.merge(self.token[a] + self.token[b]) == [a, b]
+            known = self.stable[pair] = self.window(self.token[a] + self.token[b]) == [a, b]
         return known
 
     def merge(self, piece: bytes) -> list[int]:
         """Merge adjacent tokens of the lowest rank, leftmost first, until none can be merged."""
-        if len(piece) > 2 * LEAF:
+        if len(piece) > LONG:
             return self.merge_long(piece)
         rank, cut = self.ranks.get, list(range(len(piece) + 1))
         pairs = [rank(piece[i:i + 2], NONE) for i in range(len(piece) - 1)]
@@ -99,63 +118,9 @@ class Ranks:
         return [self.ranks[piece[a:b]] for a, b in zip(cut, cut[1:])]
 
     def encode_many(self, pieces: list[bytes]) -> list[list[int]]:
-        """encode() of many pieces: those that are leaves of the tree are merged side by side, the others one by one."""
-        out: list = [None] * len(pieces)
-        leaves = []
-        for k, p in enumerate(pieces):
-            whole = self.ranks.get(p)
-            if whole is not None:
-                out[k] = [whole]
-            elif len(p) > LEAF:
-                out[k] = self.tree(p)
-            else:
-                leaves.append(k)
-        leaves.sort(key=lambda k: len(pieces[k]))
-        for at in range(0, len(leaves), SIDE_BY_SIDE):
-            part = leaves[at:at + SIDE_BY_SIDE]
-            for k, ids in zip(part, self.merge_rows([pieces[k] for k in part])):
-                out[k] = ids
-        return out
-
-    def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Token that each pair of tokens merges to, NONE if there is none; a negative b stands for no token."""
-        pair = (a << 32) | np.maximum(b, 0)
-        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == pair) & (b >= 0), self.joint[at], NONE)
-
-    def merge_rows(self, pieces: list[bytes]) -> list[list[int]]:
-        """merge() of pieces of similar length, one row of tokens each: every round merges one pair in every row."""
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        width = int(size.max())
-        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
-        column = np.arange(width)
-        tokens = np.where(column < size[:, None], self.of_byte[raw], -1)
-        tokens = np.concatenate([tokens, np.full((len(pieces), 1), -1)], axis=1)
-        ranks = self.rank_of(tokens[:, :-1].ravel(), tokens[:, 1:].ravel()).reshape(-1, width)
-        ranks[tokens[:, :-1] < 0] = NONE
-        out: list = [None] * len(pieces)
-        rows = np.arange(len(pieces))
-        while len(rows):
-            at = ranks.argmin(1)
-            here = np.arange(len(rows))
-            token = ranks[here, at]
-            done = token == NONE
-            if done.any():
-                for k, ids in zip(rows[done].tolist(), tokens[done].tolist()):
-                    out[k] = ids[:ids.index(-1)]
-                go = ~done
-                rows, tokens, ranks, at, token = rows[go], tokens[go], ranks[go], at[go], token[go]
-                here = np.arange(len(rows))
-            # the token after the merged place goes, everything behind it moves up by one
-            behind = column >= at[:, None] + 1
-            tokens[:, :-1] = np.where(behind, tokens[:, 1:], tokens[:, :-1])
-            ranks[:, :-1] = np.where(behind[:, :-1], ranks[:, 1:], ranks[:, :-1])
-            ranks[:, -1] = NONE
-            tokens[here, at] = token
-            ranks[here, at] = self.rank_of(token, tokens[here, at + 1])
-            left = np.flatnonzero(at > 0)
-            ranks[left, at[left] - 1] = self.rank_of(tokens[left, at[left] - 1], token[left])
-        return out
+        """encode() of many pieces."""
+        rank, tree = self.ranks.get, self.tree
+        return [tree(p) if whole is None else [whole] for p, whole in zip(pieces, map(rank, pieces))]
 
     def merge_long(self, piece: bytes) -> list[int]:
         """merge() with a queue, for windows that have grown long."""
@@ -179,9 +144,18 @@ class Ranks:
                 heapq.heappush(queue, (r, k, stop))
         return [ranks[piece[i:end[i]]] for i in range(n) if alive[i]]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def flat(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
+    def decode(self, ids: list[int]) -> bytes:
+        """Bytes of ids, concatenated up a tree: neighbours are joined FAN at a time, level by level."""
+        if len(ids) <= FAN:
+            return self.flat(ids)
+        parts = [self.flat(ids[k:k + FAN]) for k in range(0, len(ids), FAN)]
+        while len(parts) > 1:
+            parts = [b"".join(parts[k:k + FAN]) for k in range(0, len(parts), FAN)]
+        return parts[0]
+
 
 class Codec:
     """Encodes texts: cut into words at single spaces, words into pieces by the pattern, pieces into ids.

@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 
 from keyrelay.llm import bpe
@@ -71,3 +72,28 @@ def test_what_is_remembered_is_bounded_in_bytes(library, monkeypatch):
         text = " ".join("".join(rng.choices("abcdeéñ中", k=rng.randint(1, 90))) for _ in range(30))
         assert own.encode(pa.array([text]))[1].tolist() == library.encode_ordinary(text)
         assert own.known.held < 10_000 + 30 * 400
+
+
+def test_ordinary_words_go_through_the_tree(spark, library, monkeypatch):
+    """Of the pieces of the sample that are no token, over nine tenths are longer than a leaf and joined from halves."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
+    pieces = [p.encode() for r in rows for p in regex.findall(public_tokenizers.PATTERN, r.text)]
+    ranks = bpe.codec().ranks
+    other = [p for p in pieces if p not in ranks.ranks]
+    assert len(other) > 10_000 and sum(len(p) > bpe.LEAF for p in other) > 0.9 * len(other)
+    joined = []
+    fresh = bpe.Ranks()
+    join = fresh.join
+    monkeypatch.setattr(fresh, "join", lambda a, b: joined.append(1) or join(a, b))
+    for p in dict.fromkeys(other[:3000]):
+        before = len(joined)
+        assert fresh.encode(p) == library.encode_ordinary(p.decode())
+        assert len(joined) > before or len(p) <= bpe.SHARED         # shorter ones may be known as a part already
+    assert len(joined) > 500
+
+
+def test_decoding_up_the_tree():
+    ranks, rng = bpe.codec().ranks, random.Random(5)
+    for n in (0, 1, bpe.FAN, bpe.FAN + 1, bpe.FAN ** 2, bpe.FAN ** 2 + 7, 20_000):
+        ids = [rng.randrange(50_000) for _ in range(n)]
+        assert ranks.decode(ids) == b"".join(ranks.token[i] for i in ids)
