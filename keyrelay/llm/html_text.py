@@ -1,13 +1,13 @@
 """HTML to text by layout: a tree with implied tags, visibility rules, and a renderer for blocks, lists and tables.
 
 All visible text is kept. Blocks are set apart by line breaks or blank lines, list items by their marker and indentation, table
-cells are padded to aligned columns, and preformatted text keeps its spaces.
+cells are padded to aligned columns, and preformatted text keeps its spaces. Work and output grow in proportion to the page: cells of over
+WIDEST characters do not widen their column, and nothing is padded beyond OFFSET characters from the left.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from html import escape, unescape
 
 import pyarrow as pa
@@ -20,7 +20,11 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)"
                     r"(?:((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|([^>]*+)(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_DECLARATION = re.compile(r"((?:[^;\"'(]++|\"[^\"]*+\"?|'[^']*+'?|\([^)]*+\)?)+)")
+#: Layout of tables: characters up to which a cell widens its column, characters from the left up to which is padded, cells that
+#: span rows at a time (further ones are laid out as if they spanned one), tables within tables (further ones are laid out as blocks).
+WIDEST, OFFSET, SPANS, NESTED = 60, 160, 200, 12
 
 #: Element classes of the HTML standard (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -54,11 +58,35 @@ PARENT = {"td": "tr", "th": "tr"}
 
 
 class Node:
-    __slots__ = ("tag", "children", "hidden", "start", "block", "inside")
+    __slots__ = ("tag", "children", "hidden", "start", "block", "inside", "shown", "span")
 
     def __init__(self, tag: str, hidden: bool = False, start: int = 1):
         self.tag, self.children, self.hidden, self.start, self.block = tag, [], hidden, start, tag in BLOCK
         self.inside = ""                        # the svg or math that its children belong to
+        self.shown = None                       # its own visibility: its text and that of children that say nothing else
+        self.span = (1, 1)                      # columns and rows of a table cell
+
+
+def declarations(style: str) -> dict[str, str]:
+    """Properties of a style attribute by name, in lower case; the last one counts, but for important ones."""
+    found: dict[str, tuple[bool, str]] = {}
+    for part in _DECLARATION.findall(_COMMENT.sub(" ", style)) if ":" in style else ():
+        name, colon, value = part.partition(":")
+        value, bang, word = value.strip().lower().partition("!")
+        important = bang == "!" and word.strip() == "important"
+        name = name.strip().lower()
+        if colon and (important or not found.get(name, (False,))[0]):
+            found[name] = (important, value.strip())
+    return {name: value for name, (_, value) in found.items()}
+
+
+def _look(node: Node, values: dict[str, str], drawn: bool) -> None:
+    """Whether a node is displayed at all, and its own visibility, which children inherit unless they set theirs."""
+    style = declarations(values.get("style", ""))
+    display = style.get("display") or (values.get("display", "") if drawn else "")
+    node.hidden |= display == "none" or "hidden" in values and not display
+    visibility = style.get("visibility") or (values.get("visibility", "") if drawn else "")
+    node.shown = {"visible": True, "hidden": False, "collapse": False}.get(visibility)
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -69,28 +97,34 @@ def parse(html: str) -> Node:
     """Tree of a page; end tags that HTML allows to be left out are implied, stray ones are dropped."""
     root = Node("#root")
     stack = [root]
-    opened: Counter[str] = Counter()            # tags on the stack: what is not there need not be looked for
+    opened: dict[str, list[int]] = {}           # places on the stack of each open tag, and of scopes: nothing is searched for
+    scopes: list[int] = []
 
     def push(node: Node) -> None:
         node.inside = "" if node.tag in POINTS else node.tag if node.tag in UNSHOWN else stack[-1].inside
         stack[-1].children.append(node)
+        opened.setdefault(node.tag, []).append(len(stack))
+        if node.tag in SCOPE:
+            scopes.append(len(stack))
         stack.append(node)
-        opened[node.tag] += 1
 
     def close(k: int) -> None:
-        opened.subtract(n.tag for n in stack[k:])
-        del stack[k:]
+        while len(stack) > k:
+            tag = stack.pop().tag
+            opened[tag].pop()
+            if tag in SCOPE:
+                scopes.pop()
+
+    def last(tags) -> int:
+        """The highest place on the stack of any of these tags, 0 if none is open."""
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
 
     def imply(tags, stops) -> None:
-        if not any(opened[t] for t in tags):
-            return
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                close(k)
-                if stack[-1].tag not in tags:
-                    return
-            elif stack[k].tag in stops:
-                return
+        k = last(tags)
+        if k and k > last(stops):
+            close(k)
+            while len(stack) > 1 and stack[-1].tag in tags:
+                close(len(stack) - 1)
 
     def add_text(text: str) -> None:
         if stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
@@ -114,19 +148,16 @@ def parse(html: str) -> Node:
             continue
         tag = m[2].lower()
         attributes = m[3] or m[4] or ""
-        if m[1] and not opened[tag]:
+        if m[1] and not opened.get(tag):
             if tag == "br":
                 if stack[-1].tag == "head":
                     close(len(stack) - 1)
                 stack[-1].children.append(Node("br"))
             continue
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
-                if stack[k].tag in SCOPE and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                    break
+            k = opened[tag][-1]
+            if tag in ("table", "tr", "tbody", "thead", "tfoot", "body", "html") or not scopes or k >= scopes[-1]:
+                close(k)
             continue
         if stack[-1].inside and tag in BREAKOUT:
             k = len(stack)
@@ -143,13 +174,16 @@ def parse(html: str) -> Node:
         if tag in PARENT and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
             push(Node(PARENT[tag]))
         values = _attributes(attributes) if attributes.strip() else {}
-        hidden = (tag in HIDDEN or "hidden" in values or bool(_HIDING.search(values.get("style", "")))
-                  or tag == "input")
         begin = values.get("start", "")
-        node = Node(tag, hidden, int(begin) if re.fullmatch(r"-?[0-9]{1,9}", begin) else 1)
+        node = Node(tag, tag in HIDDEN or tag == "input", int(begin) if re.fullmatch(r"-?[0-9]{1,9}", begin) else 1)
+        if values:
+            _look(node, values, bool(inside) or tag == "svg")
+        if tag in ("td", "th") and values:
+            spans = (values.get(n, "") for n in ("colspan", "rowspan"))
+            columns, rows = (int(x) if re.fullmatch(r"[0-9]{1,5}", x) else 1 for x in spans)
+            node.span = (min(max(columns, 1), 1000), rows or 65534)
         if inside:
-            node.hidden |= (tag in UNSHOWN[inside] or values.get("display") == "none"
-                            or values.get("visibility") in ("hidden", "collapse"))
+            node.hidden |= tag in UNSHOWN[inside]
             # labels stand apart, and so do the rows and cells of a formula
             node.block |= tag in ("text", "mtr") or tag == "tspan" and ("x" in values or "y" in values)
             if tag == "mtd":
@@ -210,27 +244,80 @@ class _Lines:
         self.lines += [(" " * self.indent + x).rstrip(" ") for x in lines]
 
 
-def _aligned(rows: list[list[str]]) -> list[str]:
-    """Rows of cells as lines, every column padded to its widest cell (the last one is not padded)."""
-    width: list[int] = []
-    for row in rows:
-        for k, cell in enumerate(row):
-            if k == len(width):
-                width.append(0)
-            width[k] = max(width[k], len(cell))
-    return ["  ".join(c.ljust(width[k]) if k < len(row) - 1 else c for k, c in enumerate(row)) for row in rows if any(row)]
+class _Grid:
+    """Cells of a table by column; cells that span rows keep their columns free below them."""
+
+    def __init__(self):
+        self.rows: list[list[tuple[int, list[str]]]] = []
+        self.width: dict[int, int] = {}
+        self.busy: list[list[int]] = []         # [first column, column behind, rows still spanned], by column
+        self.next = 0
+
+    def row(self) -> None:
+        for b in self.busy:
+            b[2] -= 1
+        self.busy = [b for b in self.busy if b[2] > 0]
+        self.rows.append([])
+        self.next = 0
+
+    def cell(self, lines: list[str], span: tuple[int, int]) -> None:
+        if not self.rows:
+            self.row()
+        at = self.next
+        for first, behind, _ in self.busy:
+            if first <= at < behind:
+                at = behind
+        columns, rows = span
+        self.next = at + columns
+        if rows > 1 and len(self.busy) < SPANS:
+            self.busy.append([at, at + columns, rows])
+            self.busy.sort()
+        self.width.setdefault(at, 0)
+        if columns == 1:
+            self.width[at] = max([self.width[at], *(len(x) for x in lines if len(x) <= WIDEST)])
+        if lines:
+            self.rows[-1].append((at, lines))
+
+    def lines(self) -> list[str]:
+        """A row has as many lines as its tallest cell; a line reaches to its last cell."""
+        offset, at = {}, 0
+        for k in sorted(self.width):
+            offset[k] = min(at, OFFSET)
+            at += self.width[k] + 2
+        out = []
+        for row in self.rows:
+            made = [""] * max((len(lines) for _, lines in row), default=0)
+            parts: list[list[str]] = [[] for _ in made]
+            size = [0] * len(made)
+            for k, lines in row:
+                for n, line in enumerate(lines):
+                    gap = max(offset[k] - size[n], 2 if size[n] else 0)
+                    parts[n] += [" " * gap, line]
+                    size[n] += gap + len(line)
+            out += ["".join(p) for p in parts]
+        return out
+
+
+def _cell_lines(lines: list[str]) -> list[str]:
+    """Lines of a cell without blank ones and without the indentation that all of them have."""
+    full = [x for x in lines if x.strip()]
+    common = min((len(x) - len(x.lstrip(" ")) for x in full), default=0)
+    return [x[common:].rstrip(" ") for x in full]
 
 
 def render(root: Node) -> str:
     """Text of a tree, walked without recursion."""
     out = _Lines()
     lists: list[list] = []                      # open lists: [ordered, next number]
-    tables: list[tuple[list[list[str]], _Lines]] = []
-    pre = 0
+    tables: list[tuple[_Grid, _Lines]] = []
+    shown = [True]                              # visibility of the open nodes that set one
+    pre = flat = 0                              # open pre elements; open tables that are laid out as blocks
     todo: list[tuple[bool, Node | str]] = [(True, root)]
     while todo:
         entering, node = todo.pop()
         if isinstance(node, str):
+            if not shown[-1]:
+                continue
             if pre:
                 for k, part in enumerate(unescape(node).replace("\r\n", "\n").split("\n")):
                     if k:
@@ -247,6 +334,8 @@ def render(root: Node) -> str:
             if tag == "br":
                 out.end_line(force=True)
                 continue
+            if node.shown is not None:
+                shown.append(node.shown)
             if tag in SPACED and not (tag in ("ul", "ol") and lists):
                 out.space()
             elif node.block:
@@ -256,37 +345,47 @@ def render(root: Node) -> str:
                 out.indent += 4
             elif tag == "li":
                 kind = lists[-1] if lists else [False, 0]
-                out.marker = f"{kind[1]}. " if kind[0] else "- "
+                out.marker = "" if not shown[-1] else f"{kind[1]}. " if kind[0] else "- "
                 kind[1] += 1
             elif tag in ("dd", "blockquote"):
                 out.indent += 4
             elif tag == "hr":
-                out.add(["---"])
+                out.add(["---"] if shown[-1] else [])
                 out.blank = True
+                if node.shown is not None:
+                    shown.pop()
                 continue
             elif tag == "pre":
                 pre += 1
                 if node.children and isinstance(node.children[0], str):
                     node.children[0] = node.children[0].removeprefix("\n")
             elif tag == "table":
-                tables.append(([], out))
-            elif tag == "tr" and tables:
-                tables[-1][0].append([])
+                if flat or len(tables) >= NESTED:
+                    flat += 1
+                else:
+                    tables.append((_Grid(), out))
+            elif flat and tag in ("td", "th"):
+                out.end_line()
+            elif tag == "tr" and tables and not flat:
+                tables[-1][0].row()
             elif tag in ("td", "th") and tables:
-                if not tables[-1][0]:
-                    tables[-1][0].append([])
                 out = _Lines()
             todo.append((False, node))
             todo += [(True, c) for c in reversed(node.children)]
             continue
-        if tag == "table":
-            rows, out = tables.pop()
+        if node.shown is not None:
+            shown.pop()
+        if flat and tag in ("table", "td", "th"):
+            flat -= tag == "table"
+            out.end_line()
+        elif tag == "table":
+            grid, out = tables.pop()
             out.end_line()
-            out.add(_aligned(rows))
+            out.add(grid.lines())
             out.blank = True
         elif tag in ("td", "th") and tables:
             out.end_line()
-            tables[-1][0][-1].append(" ".join(x.strip() for x in out.lines if x))
+            tables[-1][0].cell(_cell_lines(out.lines), node.span)
             out = tables[-1][1]
         else:
             if tag in SPACED and not (tag in ("ul", "ol") and len(lists) > 1):
