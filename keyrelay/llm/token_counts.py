@@ -2,7 +2,8 @@
 
 The vocabulary is a trie. Every node that greedy matching can get stuck at has a failure link to the node it goes on from, and
 the number of pieces that are complete by then. One pass over a word's characters adds up these numbers: the length of its
-greedy longest-match segmentation, without building a piece and without going back over a character.
+greedy longest-match segmentation, without building a piece and without going back over a character. A character where no piece
+starts counts as the byte pieces of its UTF-8 form, and matching goes on behind it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 #: The character that starts a word in the vocabulary.
 START = "▁"
 REMEMBERED = 600_000
+#: Added to a length for each uncovered character; lengths stay below it.
+UNCOVERED = 1 << 32
 
 
 class LongestMatch:
@@ -30,49 +33,61 @@ class LongestMatch:
 
     def __init__(self, pieces: list[str]):
         self.next: list[dict[str, int]] = [{}]
-        final = {0: False}
-        for p in pieces:
+        weight = [0]                            # of the piece that ends at a node
+
+        def add(piece: str, value: int) -> None:
             at = 0
-            for c in p:
+            for c in piece:
                 if c not in self.next[at]:
                     self.next[at][c] = len(self.next)
-                    final[len(self.next)] = False
+                    weight.append(0)
                     self.next.append({})
                 at = self.next[at][c]
-            final[at] = bool(p)
-        self.fail = [-1] * len(self.next)       # -1: no way on
-        self.popped = [0] * len(self.next)      # pieces complete on the way along the failure link
+            weight[at] = weight[at] or value
+
+        for p in pieces:
+            if p:
+                add(p, 1)
+        for c in {c for p in pieces for c in p}:
+            add(c, covered_by_bytes(c))         # taken only where no piece starts
+        # from any node the characters so far come to pieces and the text of another node
+        self.fail = [0] * len(self.next)
+        self.popped = [0] * len(self.next)      # weight of the pieces complete on the way along the failure link
         level = [0]
         while level:
             deeper = []
             for u in level:
                 for c, v in self.next[u].items():
                     deeper.append(v)
-                    if final[v]:
-                        self.fail[v], self.popped[v] = 0, 1
+                    if weight[v]:
+                        self.popped[v] = weight[v]
                         continue
                     at, done = self.fail[u], self.popped[u]
-                    while at >= 0 and c not in self.next[at]:
+                    while c not in self.next[at]:           # the root has all characters
                         done += self.popped[at]
                         at = self.fail[at]
-                    if at >= 0:
-                        self.fail[v], self.popped[v] = self.next[at][c], done
+                    self.fail[v], self.popped[v] = self.next[at][c], done
             level = deeper
 
     def length(self, word: str) -> int:
-        """Pieces of the word's greedy segmentation, -1 if it has none."""
+        """Pieces of the word's greedy segmentation, and UNCOVERED for each character that no piece covers."""
         at, n = 0, 0
         for c in word:
-            while (to := self.next[at].get(c)) is None:
-                if self.fail[at] < 0:
-                    return -1
+            while (to := self.next[at].get(c)) is None and at:
                 n += self.popped[at]
                 at = self.fail[at]
-            at = to
-        while at > 0:
+            if to is None:                      # a character of no piece
+                n += covered_by_bytes(c)
+            else:
+                at = to
+        while at:
             n += self.popped[at]
             at = self.fail[at]
-        return n if at == 0 else -1
+        return n
+
+
+def covered_by_bytes(c: str) -> int:
+    return len(c.encode("utf-8", "surrogatepass")) + UNCOVERED
 
 
 def vocabulary_pieces(path: str = VOCABULARY) -> list[str]:
@@ -90,8 +105,8 @@ class Counter:
         self.automaton, self.known = LongestMatch(vocabulary_pieces(path)), {}
 
     def lengths(self, words: list[str]) -> np.ndarray:
-        found = np.fromiter(map(self.known.get, words, repeat(-2)), np.int64, len(words))
-        new = np.flatnonzero(found == -2).tolist()
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(found == -1).tolist()
         if len(self.known) + len(new) > REMEMBERED:
             self.known = {}
         for k in new:
@@ -102,7 +117,7 @@ class Counter:
         return found
 
     def count(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(words, tokens, unknown words) of each text; an unknown word is one token."""
+        """(words, tokens, words with an uncovered character) of each text."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = lists.flatten().dictionary_encode()
         distinct = strings(words.dictionary)
@@ -113,7 +128,7 @@ class Counter:
         def per_text(values: np.ndarray) -> np.ndarray:
             return np.diff(np.concatenate([[0], np.cumsum(values[which])])[ends])
 
-        return per_text(real.astype(np.int64)), per_text(np.where(of < 0, 1, of)), per_text((of < 0).astype(np.int64))
+        return per_text(real.astype(np.int64)), per_text(of % UNCOVERED), per_text((of >= UNCOVERED).astype(np.int64))
 
 
 @lru_cache(maxsize=2)
@@ -134,7 +149,8 @@ def token_counts(text: Column, path: str = VOCABULARY) -> Column:
 def count_tokens(docs: DataFrame, text_col: str = "text", into: str = "tokens", path: str = VOCABULARY) -> DataFrame:
     """``docs`` with a struct column of counts.
 
-    Words are runs between ASCII white space. A word with a character sequence that no pieces cover is one unknown token.
+    Words are runs between ASCII white space; unspaced text is one word. A character where no piece of the vocabulary starts counts as
+    its UTF-8 bytes (one byte piece each), and its word as unknown (n_unknown).
     Null, empty and blank texts have no words; repeated rows count alike; an empty table stays empty; other columns pass
     through (one named as the new column is replaced).
     """
