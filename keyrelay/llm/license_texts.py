@@ -3669,15 +3669,3 @@ WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABL
 CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
 NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
 """
-# The Affero license differs from the GPL in its name and its section 13: put together from that text, close enough to tell them apart.
-_GPL = FULL_TEXTS["GPL-3.0"]
-_AT, _END = _GPL.index("  13. Use with the GNU Affero"), _GPL.index("  14. Revised Versions")
-FULL_TEXTS["AGPL-3.0"] = (_GPL[:_AT] + """\
-  13. Remote Network Interaction; Use with the License.
-
-  Notwithstanding any other provision of this License, if you modify the Program, your modified version must prominently offer
-all users interacting with it remotely through a computer network (if your version supports such interaction) an opportunity to
-receive the Corresponding Source of your version by providing access to the Corresponding Source from a network server at no
-charge, through some standard or customary means of facilitating copying of software.
-
-""" + _GPL[_END:]).replace("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC").replace("GNU General Public", "GNU Affero General Public")
