@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word shapes for what they miss.
 
-The field is trained on the small labelled table below and decoded by Viterbi in numpy batches. Only lines that hold a digit
-or an at sign are decoded: the trained weights are checked to label every other line as outside throughout.
+The field is trained on the labelled sentences of pii_examples.py and decoded by Viterbi in numpy batches. Its features are shapes
+(lengths of runs, separators, first and check digits) and the words around; only words that hold a digit or an at sign can be
+personal data, so only lines with such words are decoded.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import release, ship, slices, table
 from .crf import Chain
+from .pii_examples import training_table
 
 #: Kinds of spans in the order in which they are listed; the last is found by the field alone.
 KINDS = ("email", "ip", "card", "phone", "ssn")
@@ -29,7 +31,7 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 _NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_LINE, _TRIGGER = re.compile(r"[^\n]+"), re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]")
 _WORD = re.compile(r"\S+")
 
 
@@ -88,166 +90,126 @@ _BASE = tuple(zip(KINDS, (emails, addresses, cards, phones)))
 
 # -- the field ---------------------------------------------------------------
 _STRIP_LEFT, _STRIP_RIGHT = "\"'<[{`,;:", "\"'>]}`.,;:!?"
-#: Words that announce a kind (fixed values).
-_CUES = {"email": "email e-mail mail write", "ip": "ip host server address", "card": "card visa credit payment",
-         "phone": "phone tel call mobile fax cell dial text", "ssn": "ssn social security"}
-_CUE = {w: kind for kind, words in _CUES.items() for w in words.split()}
-_CUES_OF = tuple(f"cue-{k}" for k in KINDS)
-_OWN = ("bias", "plain", "digits", "mail", "ip", "dotted", "card", "long-number", "ssn", "area", "seven", "ten", "country",
-        *_CUES_OF)
-_NEAR = ("area", "seven", "country", *_CUES_OF)
-_N = {f: k for k, f in enumerate([*_OWN, *(f"-1:{f}" for f in _NEAR), *(f"+1:{f}" for f in _NEAR)])}
+#: A feature of a word counts for the words this far behind it (negative: before it).
+REACH = (0, 1, -1, 2, -2)
+_MARKED = re.compile(r"[0-9@]")
 
 
 def word_features(word: str) -> list[str]:
-    """Shape features of a word (stripped of quotes and closing marks)."""
+    """Shape of a word without quotes and closing marks: runs of digits and letters by length, separators, first digit, check digit.
+
+    Words without digits and at signs are known by themselves; they only tell something of their neighbours.
+    """
     w = word.lstrip(_STRIP_LEFT).rstrip(_STRIP_RIGHT)
-    low, shape = w.lower(), re.sub(r"[0-9]", "d", w)
-    out = ["bias"]
-    if not re.search(r"[0-9@]", w):
-        out.append("plain")
-    elif not shape.strip("d"):
-        out.append("digits")
-    if _AT.fullmatch(w):
-        out.append("mail")
-    if re.fullmatch(r"d+(\.d+){3}", shape):
-        out.append("ip" if addresses(w) else "dotted")
-    elif re.fullmatch(r"d+(\.d+)+", shape):
-        out.append("dotted")
+    if not _MARKED.search(word):
+        return [f"word {w.lower()}"]
+    runs = re.findall(r"[0-9]+|[A-Za-z]+|[^0-9A-Za-z]", w)
+    lengths = [("d" if r[0].isdecimal() else "a") + str(min(len(r), 20)) if r[0].isalnum() else r for r in runs]
+    digits = [len(r) for r in runs if r[0].isdecimal()]
     d = _digits(w)
-    if re.fullmatch(r"[d-]+", shape) and len(d) >= 12:
-        out.append("card" if len(d) <= 19 and luhn(d) else "long-number")
-    if shape == "ddd-dd-dddd":
-        out.append("ssn")
-    if shape in ("(ddd)", "ddd"):
-        out.append("area")
-    if shape in ("ddd-dddd", "ddd.dddd"):
-        out.append("seven")
-    if re.fullmatch(r"\(?ddd[-.)]ddd[-.]dddd", shape):
-        out.append("ten")
-    if re.fullmatch(r"\+d{1,3}", shape):
-        out.append("country")
-    if low in _CUE:
-        out.append(f"cue-{_CUE[low]}")
+    out = ["marked", f"digits {min(len(d), 20)}", f"groups {min(len(digits), 6)}"]
+    out += ["shape " + "".join(lengths)] if len(runs) < 12 else []
+    out += [f"mark {c}" for c in sorted(set(r for r in runs if not r[0].isalnum()))[:4]]
+    out += [f"first {w[0]}"] if w and not w[0].isalnum() else []
+    if any(r[0].isalpha() for r in runs):
+        out.append("letters")
+    if digits:
+        out.append(f"last group {min(digits[-1], 20)}")
+    if len(d) >= 12:
+        out += [f"lead {d[0]}", "check digit" if luhn(d) else "no check digit"]
+    if digits and "." in w and all(len(x) <= 3 and int(x) <= 255 for x in re.findall("[0-9]+", w)):
+        out.append("bytes")
     return out
 
 
-def feature_rows(words: list[str]) -> np.ndarray:
-    """0/1 matrix of the words' own features and of their neighbours'."""
-    own = [word_features(w) for w in words]
-    x = np.zeros((len(words), len(_N)))
-    for i, f in enumerate(own):
-        x[i, [_N[a] for a in f]] = 1
-        for step, j in (("-1", i - 1), ("+1", i + 1)):
-            if 0 <= j < len(own):
-                x[i, [_N[f"{step}:{a}"] for a in own[j] if f"{step}:{a}" in _N]] = 1
-    return x
-
-
-#: The labelled table: sentences whose marked words {kind: words} carry the label, with three fillings of each slot.
-_SENTENCES = """
-please call {phone:%P} before noon
-my phone is {phone:%Q} thanks
-tel {phone:%Q} or fax {phone:%P}
-reach the office at {phone:%R} any day
-cell {phone:%R} and mobile {phone:%Q}
-dial {phone:+1 %P} for help
-the number +1 {phone:%P} rings
-her ssn is {ssn:%S} on file
-social security {ssn:%S} was given
-number {ssn:%S} belongs to the holder
-write to {email:%E} today
-email {email:%E} or call {phone:%P}
-mail {email:%E} for details
-the the the mail mail the the
-phone card phone card and host and host
-social security and mail and call and ssn
-the host {ip:%I} is down
-server {ip:%I} answered
-ping {ip:%I} first
-card {card:%C} was charged
-paid by visa {card:%C} yesterday
-number {card:%C} is valid
-version %V was released in %Y
-order %L shipped on %D
-chapter %N of the book has %N pages
-about %N people came in %Y and %N left
-price %N dollars or %V euros
-meet at noon at the dot of %N
-the code %L has no owner
-look at the dot com boom of %Y
-on %D the score was %H at the end
-call the shop at noon
-the social club and security office
-he paid by card in the shop
-in %Y we counted %N of %N items
-line %L has %H and %V
-room 555 seats %N people
-section %V of %N lists %L
-token %X expires on %D
-the host of the show
-"""
-_FILL = {"P": ["(523) 555-1055", "(771) 555-1655", "(212) 555-0180"], "Q": ["523-555-1055", "771.555.1655", "212-555-0180"],
-         "R": ["523 555-1055", "771 555-1655", "212 555-0180"], "S": ["123-45-6789", "219-09-9999", "457-55-5462"],
-         "E": ["ann.lee@example.com", "bob7@mail.example.org", "c_d@example.net"],
-         "I": ["10.0.12.7", "192.168.1.254", "71.9.33.120"],
-         "C": ["4111111111111111", "5500005555555559", "4012-8888-8888-1881"],
-         "V": ["1.2.3", "3.11", "2.0.4.999"], "Y": ["1999", "2024", "1850"], "L": ["4111111111111112", "990012345678901234", "77120"],
-         "D": ["2024-01-31", "12.05.2021", "3-4-1999"], "N": ["12", "7", "340"], "H": ["3-1", "21:14", "100-98"],
-         "X": ["f33e61083db5dbdf", "9d0c-11aa-77fe", "a1b2c3d4e5"]}
-
-
-def labelled_table() -> list[tuple[list[str], list[str]]]:
-    """(words, labels) of the sentences above, each slot filled in its three ways."""
-    out = []
-    for line in filter(None, _SENTENCES.split("\n")):
-        for k in range(3):
-            words, labels = [], []
-            for part in re.findall(r"\{[^}]*\}|\S+", line):
-                kind, text = part[1:-1].split(":", 1) if part[0] == "{" else ("outside", part)
-                text = re.sub(r"%([A-Z])", lambda m: _FILL[m[1]][k], text)
-                words += text.split()
-                labels += [kind] * len(text.split())
-            out.append((words, labels))
-    return out
+class Features:
+    """Numbers of the features of a training table, at every reach."""
 
+    def __init__(self, sentences: list[list[str]]):
+        names = sorted({f for words in sentences for w in words for f in word_features(w)})
+        self.number = {f: k for k, f in enumerate(names)}
+        self.size = len(names)
 
-@lru_cache(maxsize=1)
-def field() -> Chain:
-    """The trained field (deterministic; a second or so)."""
-    data = [(feature_rows(w), np.array([LABELS.index(x) for x in y])) for w, y in labelled_table()]
-    chain = Chain.train(data, len(LABELS))
-    # a line without digits and at signs holds plain words alone, some of them cues: what can another label gain there?
-    def over_outside(features: list[str]) -> np.ndarray:
-        w = chain.emit[[_N[f] for f in features]]
-        return w - w[:, :1]
+    def of(self, word: str) -> list[int]:
+        return [self.number[f] for f in word_features(word) if f in self.number]
 
-    cues = sum(np.maximum(0, over_outside([p + c for c in _CUES_OF])).max(0) for p in ("", "-1:", "+1:"))
-    chain.quiet = chain.outside_wins(float((over_outside(["bias", "plain"]).sum(0) + cues)[1:].max()))
-    return chain
+    def rows(self, words: list[str]) -> np.ndarray:
+        """0/1 matrix of the words' own features and those of the words around them, and a bias."""
+        x = np.zeros((len(words), len(REACH) * self.size + 1))
+        x[:, -1] = 1
+        for j, w in enumerate(words):
+            for r, step in enumerate(REACH):
+                if 0 <= j + step < len(words):
+                    x[j + step, [r * self.size + k for k in self.of(w)]] = 1
+        return x
+
+
+class Field:
+    """The trained chain with its features.
+
+    A word without digits and at signs is outside whatever its neighbours are, so lines without any need no decoding.
+    """
+
+    def __init__(self, table: list[tuple[list[str], list[str]]], steps: int = 120):
+        self.features = Features([w for w, _ in table])
+        data = [(self.features.rows(w), np.array([LABELS.index(x) for x in y])) for w, y in table]
+        self.chain = Chain.train(data, len(LABELS), steps, decay=2e-4)
+        size = self.features.size
+        self.emit = self.chain.emit[:-1].reshape(len(REACH), size, len(LABELS))
+        self.bias = self.chain.emit[-1]
+
+    def scores(self, word: str) -> np.ndarray:
+        """What a word says about itself and the words around it: REACH x labels."""
+        own = self.features.of(word)
+        out = self.emit[:, own].sum(1)
+        out[0] += self.bias
+        if not _MARKED.search(word):
+            out[0, 1:] -= 1e6
+        return out
+
+    def decode(self, lines: list[list[np.ndarray]]) -> list[np.ndarray]:
+        """Labels of lines of word scores, all lines side by side."""
+        scores = []
+        for line in lines:
+            rows = np.stack(line)
+            e = rows[:, 0].copy()
+            for r, step in enumerate(REACH[1:], 1):
+                if abs(step) < len(e):
+                    if step > 0:
+                        e[step:] += rows[:-step, r]
+                    else:
+                        e[:step] += rows[-step:, r]
+            scores.append(e)
+        return self.chain.decode(scores)
+
+    def label(self, sentences: list[list[str]]) -> list[list[str]]:
+        return [[LABELS[k] for k in y] for y in self.decode([[self.scores(w) for w in words] for words in sentences])]
+
+
+@lru_cache(maxsize=1)
+def field() -> Field:
+    """The field of the training table (deterministic; a few seconds)."""
+    return Field(training_table())
 
 
 class _Scores(dict):
-    """Word -> numbers of its own, -1 and +1 feature sets, remembered up to a bound."""
+    """Word -> its scores, remembered up to a bound."""
 
-    def __init__(self, chain: Chain):
+    def __init__(self, own: Field):
         super().__init__()
-        self.chain = chain
+        self.own = own
 
     def __missing__(self, word: str) -> np.ndarray:
-        own = word_features(word)
-        row = np.stack([sum((self.chain.emit[_N[p + f]] for f in own if p + f in _N), np.zeros(len(LABELS)))
-                        for p in ("", "-1:", "+1:")])
+        row = self.own.scores(word)
         if len(self) > 50_000:
             self.clear()
-        self[word] = row
+        if len(word) <= 64:
+            self[word] = row
         return row
 
 
-def _lines(text: str, all_lines: bool) -> list[tuple[int, str]]:
-    """Lines to be decoded: all, or those with a digit or an at sign."""
-    if all_lines:
-        return [(m.start(), m.group()) for m in _LINE.finditer(text)]
+def _lines(text: str) -> list[tuple[int, str]]:
+    """Lines with a digit or an at sign."""
     out, at = [], 0
     while m := _TRIGGER.search(text, at):
         a = text.rfind("\n", 0, m.start()) + 1
@@ -258,26 +220,20 @@ def _lines(text: str, all_lines: bool) -> list[tuple[int, str]]:
     return out
 
 
-def find_spans(texts: list[str], chain: Chain) -> list[list[tuple[str, int, int, bool]]]:
+def find_spans(texts: list[str], own: Field) -> list[list[tuple[str, int, int, bool]]]:
     """Per text its spans (kind, start, end, base) in code points, by kind, then start.
 
     Spans of the field are added where they overlap no base span.
     """
     out: list[list[tuple[str, int, int, bool]]] = []
-    cache = _Scores(chain)
+    cache = _Scores(own)
     pending: list[tuple[int, int, list[re.Match]]] = []
     held = 0
 
     def flush() -> None:
         nonlocal held
-        scores = []
-        for _, _, words in pending:
-            rows = np.stack([cache[w.group()] for w in words])
-            e = rows[:, 0].copy()
-            e[1:] += rows[:-1, 1]       # what the word before says about this one
-            e[:-1] += rows[1:, 2]
-            scores.append(e)
-        for (doc, at, words), labels in zip(pending, chain.decode(scores)):
+        lines = [[cache[w.group()] for w in words] for _, _, words in pending]
+        for (doc, at, words), labels in zip(pending, own.decode(lines)):
             if labels.any():
                 out[doc] += _runs(at, words, labels, out[doc])
         pending.clear()
@@ -286,7 +242,7 @@ def find_spans(texts: list[str], chain: Chain) -> list[list[tuple[str, int, int,
     for doc, text in enumerate(texts):
         base: list[tuple[str, int, int, bool]] = []
         out.append(base)
-        for at, line in _lines(text, not chain.quiet):
+        for at, line in _lines(text):
             base += [(kind, at + a, at + b, True) for kind, find in _BASE for a, b in find(line)]
             words = list(_WORD.finditer(line))
             pending.append((doc, at, words))
@@ -320,23 +276,23 @@ SPANS = "array<struct<kind: string, start: bigint, end: bigint, base: boolean>>"
 _TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
 
-def _found(batches: Iterator[pa.Array], chain: Chain) -> Iterator[tuple[list[str | None], list[list[dict]]]]:
+def _found(batches: Iterator[pa.Array], own: Field) -> Iterator[tuple[list[str | None], list[list[dict]]]]:
     """Texts and their spans, in slices that bound a task's memory."""
     for texts in batches:
         for a, b in slices(texts, BYTES_AT_ONCE):
             part = texts.slice(a, b - a).to_pylist()
-            spans = find_spans([t or "" for t in part], chain)
-            yield part, [[dict(zip(("kind", "start", "end", "base"), s)) for s in own] for own in spans]
+            spans = find_spans([t or "" for t in part], own)
+            yield part, [[dict(zip(("kind", "start", "end", "base"), s)) for s in found] for found in spans]
             release()
 
 
 def spans_column(text: Column) -> Column:
     """Spans of personal data (code points, end exclusive) of a text column; null and empty texts have none."""
-    chain = field()
+    own = field()
 
     @F.arrow_udf(SPANS)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for _, spans in _found(batches, chain):
+        for _, spans in _found(batches, own):
             yield pa.array(spans, _TYPE)
 
     return find(text)
@@ -344,11 +300,11 @@ def spans_column(text: Column) -> Column:
 
 def redacted_column(text: Column) -> Column:
     """The text with every span replaced by its kind in brackets; overlapping spans become one, null stays null."""
-    chain = field()
+    own = field()
 
     @F.arrow_udf("string")
     def redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts, spans in _found(batches, chain):
+        for texts, spans in _found(batches, own):
             yield pa.array([redacted(t, s) for t, s in zip(texts, spans)], pa.string())
 
     return redact(text)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from keyrelay.llm import pii
 from keyrelay.llm.crf import Chain
+from keyrelay.llm.pii_examples import FILL, HELD_FILL, held_out_table, training_table
 
 PLAIN = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
@@ -30,7 +31,6 @@ def test_base_spans_against_the_patterns(real):
 
 def test_field_finds_what_the_patterns_miss():
     chain = pii.field()
-    assert chain.quiet
     texts = ["Please call (415) 555-0134 now.", "Her ssn is 987-65-4320.", "phone: 415-555-0199, thanks", "no data here 12 34",
              "los 555-9331 4913187196670932 53.121.55.90", "version 4.5.6 of 2023-11-05 sold 1200 at 3.50", "at at at at dot 5 at at"]
     got = [[(k, t[a:b]) for k, a, b, base in s if not base] for t, s in zip(texts, pii.find_spans(texts, chain))]
@@ -41,13 +41,32 @@ def test_field_finds_what_the_patterns_miss():
     assert got[3] == got[5] == got[6] == []
 
 
-def test_held_out_accuracy():
-    """Trained without every third sentence's filling, the field labels the held-out sentences."""
-    rows = [(pii.feature_rows(w), np.array([pii.LABELS.index(x) for x in y])) for w, y in pii.labelled_table()]
-    chain = Chain.train([r for k, r in enumerate(rows) if k % 3], len(pii.LABELS))
-    held = [r for k, r in enumerate(rows) if k % 3 == 0]
-    right = sum((a == y).sum() for a, (_, y) in zip(chain.decode([x @ chain.emit for x, _ in held]), held))
-    assert right >= 0.98 * sum(len(y) for _, y in held)
+def measured(table):
+    """(precision, recall) of the field over words, and the kinds of phones and numbers that the patterns do not know."""
+    found = pii.field().label([w for w, _ in table])
+    pairs = [(a, b) for (_, y), got in zip(table, found) for a, b in zip(y, got)]
+    right = sum(a == b != "outside" for a, b in pairs)
+    return right / sum(b != "outside" for _, b in pairs), right / sum(a != "outside" for a, _ in pairs)
+
+
+def test_held_out_precision_and_recall():
+    """Other sentences with other fillings: none of either is in the training table."""
+    held, trained = held_out_table(), training_table()
+    assert not {" ".join(w) for w, _ in held} & {" ".join(w) for w, _ in trained}
+    for slot, texts in HELD_FILL.items():
+        assert not set(texts) & set(FILL[slot])
+    precision, recall = measured(held)
+    assert len(held) > 90 and precision >= 0.95 and recall >= 0.9
+    # of the kinds that the patterns do not find, recall alone
+    own = [(w, y) for w, y in held if set(y) & {"phone", "ssn"}]
+    assert measured(own)[1] >= 0.95
+
+
+def test_numbers_of_other_kinds_are_left_alone():
+    texts = ["part no. 219-09-9999", "version 123-45-6789", "score 212-555-0180", "Licensed under CC BY-NC 4.0.", "phone 4155552671",
+             "Call 020 7946 0958", "order no. 987-65-4320", "!! 5927243074273350!! of"]
+    got = [[(k, t[a:b]) for k, a, b, base in s if not base] for t, s in zip(texts, pii.find_spans(texts, pii.field()))]
+    assert got == [[], [], [], [], [("phone", "4155552671")], [("phone", "020 7946 0958")], [], []]
 
 
 def test_viterbi_against_brute_force():
@@ -61,11 +80,11 @@ def test_viterbi_against_brute_force():
         assert tuple(got) == max(product(range(3), repeat=len(e)), key=value)
 
 
-def test_lines_without_digits_need_no_decoding():
-    texts = ["call the phone and mail the card to the host social security ssn ip at dot com", "plain words only"]
-    chain = pii.field()
-    words = [re.findall(r"\S+", t) for t in texts]
-    assert all(not y.any() for y in chain.decode([pii.feature_rows(w) @ chain.emit for w in words]))
+def test_words_without_digits_are_outside():
+    """Whatever their neighbours are; so lines without digits and at signs need no decoding."""
+    lines = ["call the phone and mail the card to the host social security ssn ip at dot com", "ssn phone card 123-45-6789 phone 4155552671 visa"]
+    for words, labels in zip(map(str.split, lines), pii.field().label([x.split() for x in lines])):
+        assert all(y == "outside" for w, y in zip(words, labels) if not re.search("[0-9@]", w))
 
 
 def test_redacted_documents(docs_of, real):
