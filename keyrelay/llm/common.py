@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import delete_dir, path_exists, scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -28,9 +29,44 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     survives lost executors, and what is used several times is computed once."""
     path = scratch_path(df.sparkSession, "llm", name)
     df.write.parquet(path)
+    _SETTLED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SETTLED: list[str] = []
+
+
+def settled() -> list[str]:
+    """The folders that settle() has written and nobody has dropped, oldest first."""
+    return list(_SETTLED)
+
+
+def drop_settled(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of settle() whose frames are not read any more."""
+    for p in paths:
+        if path_exists(spark, p):
+            delete_dir(spark, p)
+        _SETTLED.remove(p)
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, total: int, count: str) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has one row per key and the key's number of rows in ``many`` (column ``count``).
+
+    Rows of a key with many of them are dealt over several tasks, and the key's row of ``one`` goes to each. ``total``: about the
+    rows of ``many``; fewer than HOT_KEYS keys have over total / HOT_KEYS rows, so the list of them that is broadcast is bounded.
+    """
+    most = max(LEAST_HOT, total // HOT_KEYS)
+    hot = F.broadcast(one.filter(F.col(count) > most).select(key, F.ceil(F.col(count) / most).cast("int").alias("_parts")))
+    salt = F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_parts"))).cast("int")
+    dealt = many.join(hot, key, "left").withColumn("_salt", salt).drop("_parts")
+    wanted = F.when(F.col(count) > most, F.sequence(F.lit(0), F.ceil(F.col(count) / most).cast("int") - 1)).otherwise(F.array(F.lit(0)))
+    return dealt.join(one.withColumn("_salt", F.explode(wanted)).drop(count), [key, "_salt"]).drop("_salt")
+
+
+#: Keys that may be dealt over several tasks (times the least number of rows that makes a key one of them, 25 million rows).
+HOT_KEYS, LEAST_HOT = 100_000, 256
+
+
 def slots(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

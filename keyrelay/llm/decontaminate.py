@@ -8,10 +8,11 @@ comparison confirms each occurrence. Many stretches of a batch of texts are sear
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from .common import expand, settle, ship, table, utf8
@@ -127,16 +128,6 @@ class Windows:
         return out
 
 
-def _merged(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for first, end in sorted([*a, *b]):
-        if out and first <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([first, end])
-    return out
-
-
 FOUND = "struct<n_words: bigint, runs: array<array<bigint>>, items: array<string>>"
 _TYPE = pa.struct([("n_words", pa.int64()), ("runs", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
 
@@ -171,40 +162,62 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id"
     """``docs`` with a struct column ``found``: n_words, runs of hit words [first, end) and the items found.
 
     A document word inside any occurrence of a window of ``window`` benchmark words is hit; an item of fewer words (not
-    none) is one window. Null or empty texts have no words and no hits, null or wordless items no windows; an item without
-    id marks words but cannot be named; repeated rows are judged alike; an empty benchmark hits nothing. The benchmark is
-    searched in blocks whose tables have a bounded size, one pass over ``docs`` per block.
+    none) is one window. Null or empty texts have no words and no hits, null or wordless items no windows; an item
+    without id marks words but cannot be named; repeated rows are judged alike; an empty benchmark hits nothing. The benchmark is
+    searched in blocks whose tables have a bounded size, one pass over ``docs`` per block. If there are several, the rows are written
+    once with a number of their own; each block then writes the hits of the rows that have any, its tables are
+    released, and the hits are put together by row at the end.
     """
     spark = docs.sparkSession
     ship(spark)
-    out = docs
-    for number, block in enumerate(_blocks(benchmark, id_col, text_col)):
-        if number and not block:
-            break
+    blocks = _blocks(benchmark, id_col, text_col)
+    block = next(blocks)
+    rows, parts, text = docs, [], F.col(text_col).cast("string")
+    while True:
+        following = next(blocks, [])
         tables = spark.sparkContext.broadcast(Windows(block, window))
-        if number:
-            out = settle(out, "decontaminate")
-
-        def scan(texts: Iterable[bytes | None], before: list[dict | None], tables=tables) -> list[dict]:
-            rows = []
-            for part in _slices(texts):
-                words = [words_of(t) for t in part]
-                rows += [{"n_words": len(w), "runs": runs, "items": sorted(items)}
-                         for w, (runs, items) in zip(words, tables.value.scan(words))]
-            return [{**r, "runs": _merged(r["runs"], b["runs"]), "items": sorted({*r["items"], *b["items"]})} if b else r
-                    for r, b in zip(rows, before)]
-
-        @F.arrow_udf(FOUND)
-        def first_pass(texts: pa.Array) -> pa.Array:
-            return pa.array(scan(utf8(texts), [None] * len(texts)), _TYPE)
-
-        @F.arrow_udf(FOUND)
-        def next_pass(texts: pa.Array, before: pa.Array) -> pa.Array:
-            return pa.array(scan(utf8(texts), before.to_pylist()), _TYPE)
-
-        text = F.col(text_col).cast("string")
-        out = out.withColumn(found, next_pass(text, F.col(found)) if number else first_pass(text))
-    return out
+        scanned = _scan_column(text, tables)
+        if not following and not parts:
+            return docs.withColumn(found, scanned)
+        if not parts:
+            packed = docs.select(F.struct("*").alias("row"), text.alias("text"))
+            rows = settle(packed.withColumn("number", F.monotonically_increasing_id()), "decontaminate-rows")
+        hits = rows.select("number", _scan_column(F.col("text"), tables).alias("hit"))
+        # the first block's pass keeps the words of every row, the others only rows with hits
+        parts.append(settle(hits if not parts else hits.filter(F.size("hit.runs") > 0), "decontaminate-hits"))
+        tables.destroy()
+        if not following:
+            break
+        block = following
+    each = reduce(DataFrame.unionByName, parts)
+    # one entry per block and row at most
+    merged = each.groupBy("number").agg(F.max("hit.n_words").alias("n_words"), F.flatten(F.collect_list("hit.runs")).alias("runs"),
+                                        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit.items")))).alias("items"))
+    union = F.aggregate(F.array_sort("runs"), F.array().cast("array<array<bigint>>"), _joined_runs)
+    merged = merged.select("number", F.struct("n_words", union.alias("runs"), "items").alias("hit"))
+    out = rows.join(merged, "number").select("row.*", F.col("hit").alias("_hit"))
+    return out.withColumn(found, F.col("_hit")).drop("_hit")
+
+
+def _joined_runs(done: Column, run: Column) -> Column:
+    """Runs in order of their start, with those that touch joined."""
+    last = F.try_element_at(done, F.lit(-1))
+    touch = F.coalesce(run[0] <= last[1], F.lit(False))
+    longer = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.array(last[0], F.greatest(last[1], run[1]))))
+    return F.when(touch, longer).otherwise(F.concat(done, F.array(run)))
+
+
+def _scan_column(text: Column, tables) -> Column:
+    @F.arrow_udf(FOUND)
+    def scan(texts: pa.Array) -> pa.Array:
+        rows = []
+        for part in _slices(utf8(texts)):
+            words = [words_of(t) for t in part]
+            rows += [{"n_words": len(w), "runs": runs, "items": sorted(items)}
+                     for w, (runs, items) in zip(words, tables.value.scan(words))]
+        return pa.array(rows, _TYPE)
+
+    return scan(text)
 
 
 def n_hit(found: str = "found"):

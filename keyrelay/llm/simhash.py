@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, settle, ship, slots, utf8
+from .common import release, settle, ship, slots, spread_join, utf8
 from .components import components
 from .fingerprint import simhash
 
@@ -188,13 +188,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def group_rows(rows: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS) -> DataFrame:
     """Components of rows (doc_id, fp); see near_duplicates()."""
-    classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "simhash-classes")
     roots = components(fingerprint_links(classes.select("fp"), max_bits, blocks), "simhash-links")
     labelled = (classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-                .select("fp", "least", F.coalesce("root", "fp").alias("label")))
-    named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    known = labelled.select("fp", "label").join(named, "label")
-    return rows.join(known, "fp").select("doc_id", "fp", "label", "component_id")
+                .select("fp", "least", "copies", F.coalesce("root", "fp").alias("label")))
+    labelled = settle(labelled, "simhash-labels")
+    named = labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.count("fp").alias("n"))
+    known = spread_join(labelled.select("fp", "label", "copies"), named, "label", labelled.count(), "n")
+    return spread_join(rows, known, "fp", rows.count(), "copies").select("doc_id", "fp", "label", "component_id")
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,

@@ -49,4 +49,13 @@ def test_registered(spark):
     import __spark_entry__
     names = set(__spark_entry__.queries())
     assert {"pipeline", *(n for n in names if n.startswith("op"))} <= names
-    assert sum(n.startswith("op") for n in names) == 10
+    assert sum(n.startswith("op") for n in names) == 13
+
+
+def test_scratch_of_finished_stages_is_dropped(spark):
+    import corpus_pipeline
+    from keyrelay.llm.common import settled
+    before = settled()
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    made = [p for p in settled() if p not in before]
+    assert len(made) == 1 and "pipeline-bpe_encoding" in made[0] and out.count() > 0
