@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from keyrelay.llm import bpe, decontaminate, pii, quality, simhash
-from keyrelay.llm.common import settle, table
+from keyrelay.llm.common import drop_settled, settle, settled, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage wrote on its way, and the stage before it, are dropped once its result is written."""
+    docs, kept = table(spark, sf_dir, "documents"), settled()
     for name, stage in STAGES:
         docs = settle(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        made = [p for p in settled() if p not in kept]
+        drop_settled(spark, made[:-1])
     return docs
