@@ -211,8 +211,9 @@ def q_tombstones(spark, sf_dir):
 
 
 def _bodies(records: DataFrame, copies: Column, *by: str) -> DataFrame:
-    """Distinct records with all their fields and how often each occurs."""
-    return records.groupBy("tableName", *by, _body(F.col("value")).alias("body")).agg(copies.cast("long").alias("copies"))
+    """Distinct records with all their fields and how often each occurs; equal lines are counted before any is parsed."""
+    lines = records.groupBy("tableName", *by, "value").agg(copies.cast("long").alias("n"))
+    return lines.groupBy("tableName", *by, _body(F.col("value")).alias("body")).agg(F.sum("n").alias("copies"))
 
 
 def q_record_cols(spark, sf_dir):
@@ -370,8 +371,8 @@ def q_two_shard_batches(spark, sf_dir):
     process_batch(spark, part(2 * top // 3, top), catalog, second, root, 0)
     recs = warehouse.read_records(spark, root, OPTS)
     shard = F.split_part("writer", F.lit("-"), F.lit(1)).alias("dbid")
-    records = recs.groupBy(shard, F.col("tableName").alias("name"), _body(F.col("value")).alias("body")).agg(
-        F.count(F.lit(1)).alias("n"))
+    records = _bodies(recs.withColumn("dbid", shard), F.count(F.lit(1)), "dbid").select(
+        "dbid", F.col("tableName").alias("name"), "body", F.col("copies").alias("n"))
     index = index_sink.read_index(spark, root)
     line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in (
         "c_stm", "d_xgsj", "c_baah", "n_jbfy", "create_time", "update_time", "data_state")])
@@ -400,9 +401,10 @@ def q_compaction_rows(spark, sf_dir):
             _write(plan_batch(part, catalog, o), roots[-1], n)
             if n == 0:
                 warehouse.compact(spark, roots[-1], o, FIXTURE_DT)
-        outs.append(warehouse.read_records(spark, roots[-1], o).groupBy(
-            F.lit(layout).alias("layout"), "tableName", "dt", _body(F.col("value")).alias("body")).agg(
-            F.count(F.lit(1)).alias("n_records"), F.countDistinct("writer").alias("n_writers")))
+        lines = warehouse.read_records(spark, roots[-1], o).groupBy("tableName", "dt", "value", "writer").agg(
+            F.count(F.lit(1)).alias("n"))
+        outs.append(lines.groupBy(F.lit(layout).alias("layout"), "tableName", "dt", _body(F.col("value")).alias("body")).agg(
+            F.sum("n").alias("n_records"), F.countDistinct("writer").alias("n_writers")))
     return _settle(outs[0].unionByName(outs[1]), *roots)
 
 
