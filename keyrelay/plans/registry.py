@@ -19,7 +19,7 @@ from ..functions.names import dt_value, index_table, tombstone_table, view_table
 from ..operators import catalog_ops as cat
 from ..operators import index as idx
 from ..operators.catalog_ops import TablePlan
-from ..operators.pull import full_pull, record_columns
+from ..operators.pull import full_pull
 from ..session import delete_dir, scratch_path, session_settings
 from ..sinks import index_table as index_sink
 from ..sinks import warehouse

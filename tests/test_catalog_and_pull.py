@@ -1,7 +1,5 @@
 """Catalogue rules (S5 S6 A1 T4 J5 F3 F4 Q7 Q15) and keyed pulls."""
 
-from pyspark.sql import functions as F
-
 from keyrelay.config import SyncOptions
 from keyrelay.operators import catalog_ops as cat
 from keyrelay.plans.batch import plan_batch
