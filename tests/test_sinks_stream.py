@@ -412,3 +412,16 @@ def test_compressed_record_files(spark):
     files = glob.glob(_local(warehouse.records_path(root, opts)) + "/*/*/*/*/part-*")
     assert files and all(f.endswith(".gz") for f in files)
     assert warehouse.read_records(spark, root, opts).count() == bf.records().count()
+
+
+def test_batches_without_events(spark):
+    """No rows, or rows that the optimiser knows to be none: the batch finishes and leaves nothing but its mark."""
+    cat = _one_row_catalog(spark, [("1", "x")])
+    schema = "seq long, value string, apply_ts timestamp_ntz"
+    for raw in (spark.createDataFrame([], schema), spark.sql("SELECT 1L AS seq, 'x' AS value, CAST(NULL AS timestamp_ntz) AS apply_ts WHERE false")):
+        root = scratch_path(spark, "t", "none")
+        assert process_batch(spark, raw, cat, FIXTURE_OPTIONS, root, 0)["metrics"] == []
+        assert warehouse.read_records(spark, root, FIXTURE_OPTIONS).count() == 0 and index_table.read_index(spark, root) is None
+        assert warehouse.batches(spark, root).count() == 1
+    stream = spark.createDataFrame([], schema + ", run_ts timestamp_ntz")
+    assert process_batch(spark, stream, cat, FIXTURE_OPTIONS.with_(run_ts=None), root, 1) == {"batch_id": 1, "empty": True}
