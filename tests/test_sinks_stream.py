@@ -425,3 +425,32 @@ def test_batches_without_events(spark):
         assert warehouse.batches(spark, root).count() == 1
     stream = spark.createDataFrame([], schema + ", run_ts timestamp_ntz")
     assert process_batch(spark, stream, cat, FIXTURE_OPTIONS.with_(run_ts=None), root, 1) == {"batch_id": 1, "empty": True}
+
+
+def test_copies_take_little_room_and_compaction_does_not_shuffle_them(spark):
+    """5,000 copies of a record and one of another: lines as before, in a file of a few kB, before and after a compaction."""
+    cat = _one_row_catalog(spark, [("1", "x" * 200), ("2", "y"), ("3", "z" * (2 * warehouse.BLOCK_BYTES))])
+    for layout in ("single", "per_table"):
+        opts = FIXTURE_OPTIONS.with_(layout=layout)
+        root = scratch_path(spark, "t", "copies")
+        _write(plan_batch(_events(spark, *["1"] * 5000, "2", "3", "3"), cat, opts), root)
+        lines = lambda: sorted(r.n for r in warehouse.read_records(spark, root, opts).groupBy("value").agg(
+            F.count("*").alias("n")).collect())
+        size = lambda: sum(os.path.getsize(f) for f in glob.glob(
+            _local(warehouse.records_path(root, opts)) + "/*/*/*/*/part-*"))
+        assert lines() == [1, 2, 5000] and size() < 50_000
+        assert warehouse.compact(spark, root, opts, DT) == 1
+        assert lines() == [1, 2, 5000] and size() < 50_000
+
+
+def test_plain_files_hold_the_lines_of_the_copies(spark):
+    """Without a codec the files are text lines, with and without a bound of records per file."""
+    cat = _one_row_catalog(spark, [("1", "x"), ("2", "y")])
+    for bound in (None, 100):
+        opts = FIXTURE_OPTIONS.with_(text_compression=None, max_records_per_file=bound)
+        root = scratch_path(spark, "t", "plain")
+        _write(plan_batch(_events(spark, *["1"] * 2500, "2"), cat, opts), root)
+        texts = [open(f).read() for f in glob.glob(_local(warehouse.records_path(root, opts)) + "/*/*/*/*/part-*.txt")]
+        assert sorted(map(len, (t.splitlines() for t in texts)))[-1] <= (bound or 2501)
+        found = "".join(texts).splitlines()
+        assert len(found) == 2501 and sum('"name":"x"' in x for x in found) == 2500
