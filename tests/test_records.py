@@ -113,3 +113,18 @@ def test_tombstones_lose_nothing(spark):
         out = json.loads(r.t)
         assert {k: v for k, v in out.items() if k not in ("tableName", "dt", "update_time", "dbid", "data_state", "schemaName")} == texts[r.value]
         assert out["data_state"] == 0 and out["schemaName"] == "db_x"
+
+
+def test_typed_rows_of_any_id(spark, tmp_path):
+    """Ids beyond a small integer's range, and beyond an integer's, print as they are; where they fit, the types stay small."""
+    from keyrelay.plans.registry import q_record_text
+    from keyrelay.sources.fixtures import typed_frame
+    for ids, kinds in (((5, 6), ("smallint", "int")), ((5, 40_000), ("int", "int")), ((-40_000, 3_000_000_000), ("bigint", "bigint")),
+                       ((), ("smallint", "int"))):
+        path = str(tmp_path / f"t{len(ids)}{max(ids, default=0)}")
+        rows = [(n, 7, "view", 1.5) for n in ids]
+        spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double").withColumn(
+            "ts", F.lit("2024-01-01 00:00:01").cast("timestamp_ntz")).write.parquet(f"{path}/events.parquet")
+        assert tuple(dict(typed_frame(spark, path).dtypes)[c] for c in ("i2", "i4")) == kinds
+        got = {(r.c_stm, r.i2, r.i4) for r in q_record_text(spark, path).collect()}
+        assert got == {(str(n),) * 3 for n in ids}
