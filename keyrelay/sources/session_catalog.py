@@ -51,8 +51,8 @@ class SessionCatalog(FrameCatalog):
         return schemas, sorted(v[len(VIEW_PREFIX):] for v in views if v.startswith(VIEW_PREFIX))
 
 
-def bucketed(frame: DataFrame, name: str, key_col: str, buckets: int) -> None:
-    """Write a source table bucketed and sorted by its key column, so that pulls by key join it where it lies."""
+def bucketed(frame: DataFrame, name: str, key_col: str, buckets: int, path: str) -> None:
+    """Write a source table bucketed and sorted by its key column, so that pulls by key join it where it lies (``path``)."""
     # rows are brought together by bucket first: one file per bucket, not one per task and bucket
     (frame.repartition(buckets, frame[key_col]).write.mode("overwrite").bucketBy(buckets, key_col).sortBy(key_col)
-     .format("parquet").saveAsTable(name))
+     .format("parquet").option("path", path).saveAsTable(name))

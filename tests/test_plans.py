@@ -146,3 +146,28 @@ def test_float_texts_compile(spark):
     df = spark.range(3).select(*[(F.col("id") / (k + 3)).alias(f"d{k}") for k in range(12)])
     out = df.select(*[text_of(F.col(c), T.DoubleType()).alias(c) for c in df.columns])
     assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 60_000 and out.collect()[1].d1 == "0.25"
+
+
+def test_wide_and_bucketed_pulls_are_stored_nowhere(spark):
+    """The rows of a wide pull are not written before they are asked for, whatever the caller's settings are then."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    databases = len(spark.catalog.listDatabases("kr_*"))
+    wide, bucketed = (registry.QUERIES[n](spark, SF) for n in ("pull_wide", "pull_bucketed"))
+    assert len(spark.catalog.listDatabases("kr_*")) == databases
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+    for df in (wide, bucketed):
+        text = _plan(df)
+        assert "ExistingRDD" not in text and "SortMergeJoin" in text and "might_contain" in text
+    want = registry.batch(spark, SF)
+    rows = registry._main_and_child(want)
+    assert wide.count() == bucketed.count() == rows.count() > 0
+    got = [sorted(map(tuple, df.collect())) for df in (rows, wide, bucketed)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_a_record_is_parsed_once(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([('{"b":"2","a":"1"}',), ("oops",), ('{"a":null,"c":""}',)], "v string").select(
+        registry._body(F.col("v")).alias("body"))
+    assert _plan(df.groupBy("body").count()).count("from_json") <= 1
+    assert [r.body for r in df.collect()] == ["a=1|b=2", "", "c="]
