@@ -4,7 +4,8 @@ A piece of text is encoded in halves, recursively; neighbours are joined by enco
 anew, and the window grows until the tokens beside it provably stay. The proof is local: a token sequence is the BPE encoding
 of its bytes exactly if every two adjacent tokens are the encoding of their joint bytes, so a join is right as soon as the
 pairs on both edges of the window (all other pairs are unchanged) pass this test. Every piece of over LEAF bytes that is no token
-goes through the tree. Decoding concatenates neighbours up a tree too.
+goes through the tree. The trees of many pieces are reduced side by side: leaves of LEAF bytes, then one level of joins of all pieces
+after the other; equal leaves, pairs and windows of a level are looked up once. Decoding concatenates neighbours up a tree too.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import public_tokenizers
@@ -23,19 +24,21 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Remembered, release, runs, ship, slices, strings, table
+from .common import Remembered, expand, release, runs, ship, slices, strings, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes up to which a part is a leaf of the tree and merged directly, and up to which parts and windows are remembered; tokens on
 #: each side of a boundary that are encoded anew first; bytes from which a window is merged with a queue.
 LEAF, SHARED, EDGE, LONG = 3, 12, 1, 48
 #: Words remembered by a task, parts, windows and token pairs (each), bytes of text encoded at once.
-REMEMBERED, PARTS, AT_ONCE = 300_000, 150_000, 1 << 21
+REMEMBERED, PARTS, AT_ONCE = 300_000, 400_000, 1 << 22
 #: Neighbours concatenated at once in decoding.
 FAN = 64
 NONE = 1 << 62
 #: A space beside another white-space character.
 BESIDE = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}] | [\s\x0B\x1C-\x1F\x{85}\p{Z}]"
+#: A space, a character that is not white space, and no other space.
+PLAIN = r"\A [^\s\x0B\x1C-\x1F\x{85}\p{Z}][^ ]*\z"
 
 
 class Ranks:
@@ -45,6 +48,10 @@ class Ranks:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
         self.token = {rank: token for token, rank in self.ranks.items()}
+        self.length = np.zeros(max(self.token) + 1, np.int64)
+        self.length[list(self.token)] = list(map(len, self.token.values()))
+        self.bytes_of = np.full(len(self.length), None, object)
+        self.bytes_of[list(self.token)] = list(self.token.values())
         self.stable: dict[int, bool] = {}
         self.parts: dict[bytes, list[int]] = {}
         self.windows: dict[bytes, list[int]] = {}
@@ -117,10 +124,75 @@ class Ranks:
                 pairs[i - 1] = rank(piece[cut[i - 1]:cut[i + 1]], NONE)
         return [self.ranks[piece[a:b]] for a, b in zip(cut, cut[1:])]
 
-    def encode_many(self, pieces: list[bytes]) -> list[list[int]]:
-        """encode() of many pieces."""
-        rank, tree = self.ranks.get, self.tree
-        return [tree(p) if whole is None else [whole] for p, whole in zip(pieces, map(rank, pieces))]
+    def encode_many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """encode() of many pieces: (number of ids of each, all ids one after the other)."""
+        whole = np.fromiter(map(self.ranks.get, pieces, repeat(-1)), np.int32, len(pieces))
+        other, size = np.flatnonzero(whole < 0), np.ones(len(pieces), np.int64)
+        size[other], flat = self.trees([pieces[k] for k in other.tolist()])
+        ids = np.repeat(whole, size)
+        ids[ids < 0] = flat
+        return size, ids
+
+    def trees(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """tree() of many pieces: their leaves, and then neighbours joined level by level until each piece is one run of ids."""
+        data, length = np.frombuffer(b"".join(pieces), np.uint8), np.fromiter(map(len, pieces), np.int64, len(pieces))
+        piece, number = expand(-(-length // LEAF))
+        start, size, ids = self.encodings(data, (np.cumsum(length) - length)[piece] + LEAF * number,
+                                          np.minimum(LEAF, length[piece] - LEAF * number))
+        flat, first = runs(ids, start, size), np.cumsum(size) - size
+        while len(left := np.flatnonzero((piece[1:] == piece[:-1]) & (number[:-1] % 2 == 0))):
+            flat, first = self.joins(data, flat, first, left)
+            stay = np.ones(len(piece), bool)
+            stay[left + 1] = False
+            piece, number, first = piece[stay], number[stay] // 2, first[stay]
+        return np.diff(np.append(first, len(flat))), flat
+
+    def joins(self, data: np.ndarray, flat: np.ndarray, first: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """join() of the runs ``left`` of ids, which start at ``first``, with the runs behind them: (all ids, where runs start)."""
+        low, middle, high = first[left], first[left + 1], np.append(first, len(flat))[left + 2]
+        open_ = ~self.fit(flat[middle - 1], flat[middle])
+        low, middle, high = low[open_], middle[open_], high[open_]
+        at, edge, done = np.concatenate([[0], np.cumsum(self.length[flat])]), EDGE, []
+        while len(middle):
+            a, b = np.maximum(low, middle - edge), np.minimum(high, middle + edge)
+            start, size, ids = self.encodings(data, at[a], at[b] - at[a])
+            right = np.ones(len(middle), bool)
+            k = np.flatnonzero(a > low)
+            right[k] = self.fit(flat[a[k] - 1], ids[start[k]])
+            k = np.flatnonzero(right & (b < high))
+            right[k] = self.fit(ids[start[k] + size[k] - 1], flat[b[k]])
+            done.append((a[right], b[right], size[right], runs(ids, start[right], size[right])))
+            low, middle, high = low[~right], middle[~right], high[~right]
+            edge *= 2
+        if not done:
+            return flat, first
+        a, b, size, new = map(np.concatenate, zip(*done))       # flat[a:b] becomes the next ``size`` of ``new``
+        shift, gone = np.zeros((2, len(flat) + 1), np.int64)
+        shift[b] = size - (b - a)
+        gone[a] += 1
+        gone[b] -= 1
+        shift, kept = np.cumsum(shift), np.flatnonzero(np.cumsum(gone[:-1]) == 0)
+        out = np.empty(len(flat) + int(shift[-1]), flat.dtype)
+        out[kept + shift[kept]] = flat[kept]
+        out[np.repeat(a + shift[a] - (np.cumsum(size) - size), size) + np.arange(len(new))] = new
+        return out, first + shift[first]
+
+    def encodings(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """window() of slices of ``data``, equal ones once: (where each one's ids start, their number, ids)."""
+        ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        buffers = [None, pa.py_buffer(ends), pa.py_buffer(runs(data, start, size))]
+        coded = pa.Array.from_buffers(pa.binary(), len(size), buffers).dictionary_encode()
+        found = list(map(self.window, coded.dictionary.to_pylist()))
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        which = coded.indices.to_numpy()
+        return (np.cumsum(n) - n)[which], n[which], np.fromiter(chain.from_iterable(found), np.int32, int(n.sum()))
+
+    def fit(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """fits() of many pairs, equal ones once."""
+        coded = pa.array(a.astype(np.int64) << 32 | b).dictionary_encode()
+        pairs = coded.dictionary.to_pylist()
+        known = [self.fits(p >> 32, p & 0xFFFFFFFF) if k is None else k for p, k in zip(pairs, map(self.stable.get, pairs))]
+        return np.array(known, bool)[coded.indices.to_numpy()]
 
     def merge_long(self, piece: bytes) -> list[int]:
         """merge() with a queue, for windows that have grown long."""
@@ -147,14 +219,12 @@ class Ranks:
     def flat(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: list[int] | np.ndarray) -> bytes:
         """Bytes of ids, concatenated up a tree: neighbours are joined FAN at a time, level by level."""
-        if len(ids) <= FAN:
-            return self.flat(ids)
-        parts = [self.flat(ids[k:k + FAN]) for k in range(0, len(ids), FAN)]
+        parts = self.bytes_of[np.asarray(ids, np.int64)].tolist()
         while len(parts) > 1:
             parts = [b"".join(parts[k:k + FAN]) for k in range(0, len(parts), FAN)]
-        return parts[0]
+        return parts[0] if parts else b""
 
 
 class Codec:
@@ -171,34 +241,24 @@ class Codec:
         self.pieces = Remembered(self.encode_pieces, REMEMBERED // 3, "<i4")
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.ranks.encode_many([p.encode() for p in pieces])
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        return size, np.fromiter(chain.from_iterable(ids), "<i4", int(size.sum()))
-
-    def cut(self, words: list[str]) -> tuple[list[str], np.ndarray]:
-        """(the pieces of all words one after the other, number of pieces of each word)."""
-        plain = [w for w in words if w[:1] == " " and len(w) > 1 and " " not in w[1:] and not w[1].isspace()]
-        if len(plain) < len(words):         # words of other forms are cut one by one
-            easy, (pieces, counts) = set(plain), self.cut(plain)
-            ends, out, number, at = np.cumsum(counts), [], [], 0
-            for w in words:
-                own = pieces[ends[at] - counts[at]:ends[at]] if w in easy else self.pattern.findall(w)
-                at += w in easy
-                out += own
-                number.append(len(own))
-            return out, np.array(number, np.int64)
-        pieces = self.pattern.findall("".join(words))       # a space starts a word here, and nothing else does
-        first = np.flatnonzero(np.fromiter((p[0] == " " for p in pieces), bool, len(pieces)))
-        return pieces, np.diff(np.append(first, len(pieces)))
+        return self.ranks.encode_many([p.encode() for p in pieces])
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces, counts = self.cut(words)
-        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        """Words that start with their only space are cut together: a space starts a word there, and nothing else does."""
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), PLAIN).to_numpy(zero_copy_only=False)
+        other = [self.pattern.findall(words[k]) for k in np.flatnonzero(~plain).tolist()]
+        pieces = self.pattern.findall("".join(compress(words, plain.tolist())))
+        n = len(pieces)
+        pieces = pa.array(chain(pieces, chain.from_iterable(other)), pa.string())
+        first = np.flatnonzero(pc.starts_with(pieces[:n], " ").to_numpy(zero_copy_only=False))
+        counts = np.concatenate([np.diff(np.append(first, n)), np.fromiter(map(len, other), np.int64, len(other))])
+        coded = pieces.dictionary_encode()
         rows = self.pieces.rows_of(strings(coded.dictionary))[coded.indices.to_numpy()]
         ends = np.concatenate([[0], np.cumsum(self.pieces.size[rows], dtype=np.int64)])
-        flat = self.pieces.gather(rows)
+        size, flat = np.diff(ends[np.concatenate([[0], np.cumsum(counts)])]), self.pieces.gather(rows)
         self.pieces.forget_long()
-        return np.diff(ends[np.concatenate([[0], np.cumsum(counts)])]), flat
+        back = np.argsort(np.argsort(~plain, kind="stable"))
+        return size[back], runs(flat, (np.cumsum(size) - size)[back], size[back])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, all ids one after the other); null counts as empty."""
@@ -253,7 +313,7 @@ def code_column(text: Column, path: str = VOCABULARY, pattern: str = public_toke
             for a, b in slices(texts, AT_ONCE):         # results leave in slices, which bounds a task's memory
                 n, flat = own.encode(texts.slice(a, b - a))
                 ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                decoded = [own.ranks.decode(flat[i:j].tolist()) for i, j in zip(ends.tolist(), ends[1:].tolist())]
+                decoded = [own.ranks.decode(flat[i:j]) for i, j in zip(ends.tolist(), ends[1:].tolist())]
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.StructArray.from_arrays([lists, pa.array(decoded, pa.binary())], ["ids", "decoded"])
                 release()
@@ -266,7 +326,7 @@ def decode_column(ids: Column, path: str = VOCABULARY) -> Column:
     @F.arrow_udf("binary")
     def decode(lists: pa.Array) -> pa.Array:
         decoder = codec(path).ranks.decode
-        return pa.array((decoder(x.values.to_pylist()) if x.is_valid else b"" for x in lists), pa.binary())
+        return pa.array((decoder(x.values.to_numpy()) if x.is_valid else b"" for x in lists), pa.binary())
 
     return decode(ids)
 
