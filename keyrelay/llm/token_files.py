@@ -37,8 +37,12 @@ REMEMBERED, AT_ONCE = 1_000_000, 1 << 22
 MARK = "\x01"
 #: Words in one call.
 A_CALL = 2000
-#: Words of Latin letters, with a mark behind at most: the tokenizer only lower-cases them and cuts off the mark.
-PLAIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+[.,]?")
+#: Latin letters, which the tokenizer only lower-cases, and ASCII marks of which it makes one token run: no apostrophe, and none
+#: that a special token's name starts or ends with.
+LETTERS, MARKS = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]", r"[!-&(-;=?@\[-`{}~]"
+PLAIN = re.compile(f"{LETTERS}+")
+#: A word of letters with marks before and behind, for Arrow: its three parts are encoded each for itself.
+FRAMED = re.sub(r"\\u(....)", r"\\x{\1}", rf"\A(?P<lead>{MARKS}*)(?P<core>{LETTERS}+)(?P<tail>{MARKS}*)\z")
 
 
 def _byte_level() -> str:
@@ -101,7 +105,8 @@ class Encoder:
     """Ids of texts by the tokenizers library.
 
     The tokenizer drops white space and no token or normalisation spans a space or line end, so the encoding of a text is
-    that of its words one after the other; words already met are not encoded again.
+    that of its words one after the other. It cuts a word of letters off the marks around it and lower-cases it, so such a word's
+    encoding is that of these parts. Words and parts already met are not encoded again.
     """
 
     def __init__(self, path: str):
@@ -113,6 +118,9 @@ class Encoder:
         self.pieces = Tokenizer(self.tokenizer.model)
         self.pieces.pre_tokenizer = Split(" ", "removed")
         self.mark, = self.ids(MARK).tolist()
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)        # tokens that end a word
+        self.last[[i for token, i in vocabulary.items() if token.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
         self.known = Remembered(self.encode_words, REMEMBERED)
 
     def ids(self, text: str) -> np.ndarray:
@@ -123,20 +131,30 @@ class Encoder:
         texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         lists = pc.split_pattern(texts, " ")
         words = lists.flatten().dictionary_encode()
-        rows = self.known.rows_of(strings(words.dictionary))[words.indices.to_numpy()]
-        ends = np.concatenate([[0], np.cumsum(self.known.size[rows], dtype=np.int64)])
-        counts = np.diff(ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()])
-        flat = self.known.gather(rows)
+        size, flat = self.encode_distinct(words.dictionary)
+        which = words.indices.to_numpy()
+        start, size = (np.cumsum(size) - size).astype(np.int32)[which], size.astype(np.int32)[which]
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        return np.diff(ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]), runs(flat, start, size)
+
+    def encode_distinct(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids one after the other): marks before, letters or else the whole word, marks behind."""
+        found = pc.extract_regex(words, FRAMED)
+        lead, core, tail = (pc.struct_field(found, n) for n in ("lead", "core", "tail"))
+        core = pc.coalesce(pc.utf8_lower(core), words)
+        parts = pa.concat_arrays([pc.fill_null(lead, ""), core, pc.fill_null(tail, "")]).dictionary_encode()
+        rows = self.known.rows_of(strings(parts.dictionary))[parts.indices.to_numpy()].reshape(3, -1).T
+        size, flat = self.known.size[rows].sum(axis=1), self.known.gather(rows.ravel())
         self.known.forget_long()
-        return counts, flat
+        return size, flat
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A few calls for all words, which are set apart by a mark; words that hold the mark's character go alone."""
+        """A few calls for all words. Words of letters are cut by their last tokens, others set apart by a mark; words that hold
+        the mark's character go alone."""
         plain, other, alone = [], [], []
         for k, w in enumerate(words):
             (plain if PLAIN.fullmatch(w) else alone if MARK in w else other).append(k)
-        parts = [(plain, *self._joined([words[k] for k in plain], self.pieces, _as_bytes)),
-                 (other, *self._joined([words[k] for k in other], self.tokenizer, str))]
+        parts = [(plain, *self._letters([words[k] for k in plain])), (other, *self._joined([words[k] for k in other]))]
         for k in alone:
             ids = self.ids(words[k])
             parts.append(([k], np.array([len(ids)]), ids))
@@ -146,18 +164,24 @@ class Encoder:
         start = np.cumsum(size) - size
         return size[back], runs(flat, start[back].astype(np.int32), size[back].astype(np.int32))
 
-    def _joined(self, words: list[str], tokenizer, prepare) -> tuple[np.ndarray, np.ndarray]:
-        texts = [prepare(f" {MARK} ".join([*words[k:k + A_CALL], ""])) for k in range(0, len(words), A_CALL)]
-        found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.array(list(chain.from_iterable(found)), "<u4")
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat = _flat_ids(self.pieces, [_as_bytes(" ".join(words[k:k + A_CALL])) for k in range(0, len(words), A_CALL)])
+        return np.diff(np.flatnonzero(self.last[flat]), prepend=-1), flat
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat = _flat_ids(self.tokenizer, [f" {MARK} ".join([*words[k:k + A_CALL], ""]) for k in range(0, len(words), A_CALL)])
         marks = flat == self.mark
         return np.diff(np.flatnonzero(marks), prepend=-1) - 1, flat[~marks]
 
 
+def _flat_ids(tokenizer, texts: list[str]) -> np.ndarray:
+    found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return np.array(list(chain.from_iterable(found)), "<u4")
+
+
 def _as_bytes(text: str) -> str:
-    """What normalizer and pre-tokenizer make of joined plain words: lower case, marks apart, byte-level characters."""
-    text = text.lower().replace(",", " ,").replace(".", " .")
-    return codecs.charmap_decode(text.encode(), "strict", BYTE_LEVEL)[0]
+    """What normalizer and pre-tokenizer make of words of letters: lower case, byte-level characters."""
+    return codecs.charmap_decode(text.lower().encode(), "strict", BYTE_LEVEL)[0]
 
 
 @lru_cache(maxsize=2)
