@@ -88,7 +88,7 @@ class _Asked(Exception):
     pass
 
 
-@pytest.mark.parametrize("name", ["json_lines", "compaction_rows"])
+@pytest.mark.parametrize("name", ["json_lines", "compaction_rows", "two_shard_batches"])
 def test_queries_read_runs(spark, name, monkeypatch):
     """The queries that count the lines of all files ask for runs (the reading itself is in the oracle gate)."""
     def asked(*_, counted=False, **__):
